@@ -16,13 +16,13 @@ EFFECT_NAMES = ("negligible", "small", "medium", "large", "undefined")
 
 def cramers_v(chi2: Column, n: Column, rows: Column, cols: Column) -> Column:
     freedom = F.least(rows, cols) - F.lit(1)
-    return F.when((freedom > 0) & (n > 0),
+    return F.when((freedom > 0) & (n > 0) & chi2.isNotNull(),
                   F.sqrt(F.greatest(F.lit(0.0), chi2) / F.nullif(n * freedom, F.lit(0))))
 
 
 def kruskal_eta2(h: Column, groups: Column, n: Column) -> Column:
     spare = n - groups
-    return F.when(spare > 0, F.greatest(F.lit(0.0),
+    return F.when((spare > 0) & h.isNotNull(), F.greatest(F.lit(0.0),
                                         (h - groups + F.lit(1)) / F.nullif(spare, F.lit(0))))
 
 

@@ -232,7 +232,7 @@ def _check(alternative: str) -> None:
 def t_p_value(t: Column, df: Column, alternative: str = "two-sided") -> Column:
     _check(alternative)
     if alternative == "two-sided":
-        return F.least(F.lit(1.0), F.lit(2.0) * t_sf(F.abs(t), df))
+        return F.when(t.isNotNull(), F.least(F.lit(1.0), F.lit(2.0) * t_sf(F.abs(t), df)))
     return t_sf(t if alternative == "greater" else -t, df)
 
 

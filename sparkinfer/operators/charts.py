@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkinfer.functions.normal import norm_pdf
@@ -57,13 +57,15 @@ def histogram(df: DataFrame, value: str, bins: int | str = "auto") -> DataFrame:
                       "l", "k"))
     folded = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.first("l").alias("l"),
                                        F.first("k").alias("k"))
-    # empty bins are part of a histogram, so the bins come from a sequence
-    spine = (df.sparkSession.range(1).withColumn("l", _limits(rows, value)).withColumn("k", count)
-             .where(F.col("l.total") > 0)
-             .select("l", "k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("bin")))
+    # empty bins are part of a histogram: each bin also yields the empty ones up to the next
+    order = Window.orderBy("bin")
+    start = F.when(F.lag("bin").over(order).isNull(), F.lit(0).cast("long")).otherwise(F.col("bin"))
+    stop = F.coalesce(F.lead("bin").over(order), F.col("k")) - 1
     width = (F.col("l.high") - F.col("l.low")) / F.col("k")
-    return (spine.join(folded.select("bin", "n"), "bin", "left")
-            .withColumn("n", F.coalesce("n", F.lit(0)))
+    return (folded.withColumn("start", start).withColumn("stop", stop)
+            .withColumn("each", F.explode(F.sequence("start", "stop")))
+            .withColumn("n", F.when(F.col("each") == F.col("bin"), F.col("n")).otherwise(F.lit(0).cast("long")))
+            .withColumn("bin", F.col("each"))
             .select("bin", (F.col("l.low") + F.col("bin") * width).alias("low"),
                     (F.col("l.low") + (F.col("bin") + 1) * width).alias("high"), "n",
                     (F.col("n") / (F.col("l.total") * width)).alias("density")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkinfer.functions.scalars import null_flag, number
 from sparkinfer.operators.joins import join_on
-from sparkinfer.operators.ranks import medians
+from sparkinfer.operators.ranks import Layout, medians
 
 
 def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -66,10 +66,11 @@ def null_rates(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
                     (F.col("r.n_null") / F.nullif(F.col("n"), F.lit(0))).alias("null_rate")))
 
 
-def group_summary(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+def group_summary(df: DataFrame, value: str, by: Sequence[str],
+                  layout: Layout | None = None) -> DataFrame:
     """Count, mean and exact median per group."""
     base = df.groupBy(*by).agg(F.count(number(value)).alias("n"), F.avg(number(value)).alias("mean"))
-    return join_on(base, medians(df, value, by).drop("n_values"), by, "left")
+    return join_on(base, medians(df, value, by, layout).drop("n_values"), by, "left")
 
 
 def group_sizes(df: DataFrame, by: Sequence[str]) -> DataFrame:

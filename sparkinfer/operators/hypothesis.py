@@ -16,7 +16,7 @@ from sparkinfer.functions.normal import norm_sf
 from sparkinfer.functions.scalars import number, present
 from sparkinfer.functions.tails import ALTERNATIVES, chi2_sf, f_sf, t_p_value
 from sparkinfer.operators.joins import attach, join_on, with_group
-from sparkinfer.operators.ranks import rank_cells, value_counts
+from sparkinfer.operators.ranks import Layout, probe, rank_cells, value_counts
 
 
 def _status(enough: Column, varied: Column) -> Column:
@@ -55,18 +55,25 @@ def welch_t(df: DataFrame, value: str, group: str, first, second, by: Sequence[s
 
 
 def mann_whitney(df: DataFrame, value: str, group: str, first, second, by: Sequence[str] = (),
-                 alternative: str = "two-sided") -> DataFrame:
+                 alternative: str = "two-sided", layout: Layout | None = None) -> DataFrame:
     """Mann-Whitney U of the first level, normal approximation with ties and continuity."""
     if alternative not in ALTERNATIVES:
         raise ValueError(f"alternative must be one of {ALTERNATIVES}, not {alternative!r}")
     rows = _two_samples(df, value, group, first, second, by)
-    ranked = rank_cells(value_counts(rows, "value", by, ["is_first"]), by)
+    ranked = rank_cells(value_counts(rows, "value", by, ["is_first"]), by,
+                        layout or probe(rows, "value", by))
+    return u_test(ranked, "is_first", by, alternative)
+
+
+def u_test(ranked: DataFrame, first: str, by: Sequence[str] = (), alternative: str = "two-sided",
+           **summaries: Column) -> DataFrame:
+    """Mann-Whitney from ranked cells (first, n, tied, avg_rank); ``summaries`` are added."""
     n, t = F.col("n").cast("double"), F.col("tied").cast("double")
     folded = ranked.groupBy(*by).agg(
-        F.sum(F.when(F.col("is_first"), F.col("n")).otherwise(0)).alias("n1"),
-        F.sum(F.when(~F.col("is_first"), F.col("n")).otherwise(0)).alias("n2"),
-        F.sum(F.when(F.col("is_first"), n * F.col("avg_rank")).otherwise(0.0)).alias("rank_sum"),
-        F.sum(n * (t * t - 1)).alias("ties"))
+        F.sum(F.when(F.col(first), F.col("n")).otherwise(0)).alias("n1"),
+        F.sum(F.when(~F.col(first), F.col("n")).otherwise(0)).alias("n2"),
+        F.sum(F.when(F.col(first), n * F.col("avg_rank")).otherwise(0.0)).alias("rank_sum"),
+        F.sum(n * (t * t - 1)).alias("ties"), *[c.alias(a) for a, c in summaries.items()])
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     size = n1 + n2
     u1 = F.col("rank_sum") - n1 * (n1 + 1) / 2
@@ -74,13 +81,13 @@ def mann_whitney(df: DataFrame, value: str, group: str, first, second, by: Seque
     enough = (n1 > 0) & (n2 > 0)
     moved = folded.select(*by, F.coalesce("n1", F.lit(0)).alias("n1"),
                           F.coalesce("n2", F.lit(0)).alias("n2"), F.when(enough, u1).alias("statistic"),
-                          variance.alias("variance"), enough.alias("enough"))
+                          variance.alias("variance"), enough.alias("enough"), *summaries)
     u, pairs = F.col("statistic"), n1 * n2
     tail = {"two-sided": F.greatest(u, pairs - u), "greater": u, "less": pairs - u}[alternative]
     z = _over(tail - pairs / 2 - 0.5, F.sqrt(F.when(F.col("variance") > 0, F.col("variance"))))
     p = norm_sf(z) * (2.0 if alternative == "two-sided" else 1.0)
     effect = rank_biserial(u, F.col("n1"), F.col("n2"))
-    return moved.select(*by, "n1", "n2", "statistic", effect.alias("effect"),
+    return moved.select(*by, "n1", "n2", *summaries, "statistic", effect.alias("effect"),
                         effect_label(effect, "r").alias("effect_label"),
                         F.when(F.col("variance") > 0, F.least(p, F.lit(1.0))).alias("p_value"),
                         _status(F.col("enough"), F.col("variance") > 0).alias("status"))
@@ -110,10 +117,11 @@ def anova_oneway(df: DataFrame, value: str, group: str, by: Sequence[str] = ())
 def kruskal_wallis(df: DataFrame, value: str, group: str, by: Sequence[str] = ()) -> DataFrame:
     """Kruskal-Wallis H with tie correction over all levels with at least two rows."""
     by = list(by)
-    cells = value_counts(df.where(F.col(group).isNotNull()), value, by, [group])
+    rows = df.where(F.col(group).isNotNull())
+    cells = value_counts(rows, value, by, [group])
     sizes = cells.groupBy(*by, group).agg(F.sum("n").alias("level_rows")).where(F.col("level_rows") > 1)
     kept = join_on(cells, sizes.drop("level_rows"), [*by, group], "left_semi")
-    ranked = rank_cells(kept, by)
+    ranked = rank_cells(kept, by, probe(rows, value, [*by, group]))
     n, t = F.col("n").cast("double"), F.col("tied").cast("double")
     # ranks are centred on the overall mean rank before they are summed
     offset = F.col("avg_rank") - (F.col("total") + 1) / 2.0
@@ -143,6 +151,21 @@ def _correlation_p(rho: Column, n: Column) -> Column:
     return F.coalesce(exact, t_p_value(F.when(freedom > 0, t), freedom))
 
 
+def _attach_ranks(rows: DataFrame, values: DataFrame, key: str, by: list[str], layout,
+                  weight: str) -> DataFrame:
+    """Add the centred average rank ``r<key>`` of column ``key`` to every row.
+
+    ``values`` counts the distinct values. When they are few the rank table is small
+    and a plain join will do; otherwise hot values are taken out of the shuffle.
+    """
+    table = rank_cells(values, by, layout).select(
+        *by, F.col("value").alias(key), F.col(weight).alias("weight"),
+        (F.col("avg_rank") - (F.col("total") + 1) / 2.0).alias(f"r{key}"))
+    if layout.small:
+        return rows.join(table.drop("weight"), [*by, key])
+    return attach(rows, table, [*by, key], "weight", "inner").drop("weight")
+
+
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """Spearman rank correlation of a pair over its complete rows.
 
@@ -154,13 +177,10 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
                                            F.col(y).cast("double").alias("y"))
              .groupBy(*by, "x", "y").agg(F.count(F.lit(1)).alias("m")))
     rows = pairs
-    for side in ("x", "y"):
+    for side, source in (("x", x), ("y", y)):
         values = pairs.groupBy(*by, F.col(side).alias("value")).agg(
             F.sum("m").alias("n"), F.count(F.lit(1)).alias("pairs"))
-        table = rank_cells(values, by).select(
-            *by, F.col("value").alias(side), "pairs",
-            (F.col("avg_rank") - (F.col("total") + 1) / 2.0).alias(f"r{side}"))
-        rows = attach(rows, table, [*by, side], "pairs", "inner").drop("pairs")
+        rows = _attach_ranks(rows, values, side, by, probe(df, source, by), "pairs")
     m, rx, ry = F.col("m"), F.col("rx"), F.col("ry")
     folded = rows.groupBy(*by).agg(
         F.coalesce(F.sum("m"), F.lit(0)).alias("n"), F.sum(m * rx * ry).alias("sxy"),
@@ -183,13 +203,10 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                                           for i, c in enumerate(columns)])
     rows = base
     for i in range(len(columns)):
-        table = rank_cells(value_counts(base, f"v{i}")).select(
-            F.col("value").alias(f"v{i}"), "n",
-            (F.col("avg_rank") - (F.col("total") + 1) / 2.0).alias(f"r{i}"))
-        rows = attach(rows, table, [f"v{i}"], "n", "inner").drop("n", f"v{i}")
+        rows = _attach_ranks(rows, value_counts(base, f"v{i}"), f"v{i}", [], probe(base, f"v{i}"), "n")
     k = range(len(columns))
     folded = rows.agg(F.count(F.lit(1)).alias("n"),
-                      *[F.sum(F.col(f"r{i}") * F.col(f"r{j}")).alias(f"s{i}_{j}")
+                      *[F.sum(F.col(f"rv{i}") * F.col(f"rv{j}")).alias(f"s{i}_{j}")
                         for i in k for j in k if i <= j])
     cells = []
     for i in k:

@@ -12,7 +12,7 @@ from sparkinfer.functions.scalars import number, present
 from sparkinfer.functions.tails import SW_LAST, SW_NEXT, ks_sf, shapiro_sf
 from sparkinfer.operators.describe import melt
 from sparkinfer.operators.joins import with_group
-from sparkinfer.operators.ranks import cumulative_counts, value_counts
+from sparkinfer.operators.ranks import cumulative_counts, probe, value_counts
 from sparkinfer.operators.sampling import seeded_sample
 
 SHAPIRO_LIMIT = 5000
@@ -73,7 +73,7 @@ def ks_normal(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Kolmogorov-Smirnov distance of the standardised values from N(0, 1)."""
     by = list(by)
     rows = present(df, value)
-    placed = cumulative_counts(value_counts(rows, value, by), by)
+    placed = cumulative_counts(value_counts(rows, value, by), by, probe(rows, value, by))
     scaled = with_group(placed, by, source=rows, mean=F.avg(number(value)),
                         std=F.stddev_samp(number(value)))
     z = (F.col("value") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))

@@ -1,33 +1,78 @@
 """Global order without a single-task sort: ranks with ties and exact quantiles.
 
-Values are cut into ranges at fixed points, each range is ordered in its own
-task, and the rows before each range are added as an offset. The cut points only
-balance the work; any cut points give the same result. They come from a bottom-k
-hash sample of the *distinct* values, which depends on the data alone and not on
-partitioning, so every branch of a plan (and every retry) sees the same ones.
+A probe first reads a thin hash slice of the distinct values. It tells whether the
+distinct values are few enough for one ordered window, and otherwise where to cut
+them into ranges. Each range is then ordered in its own task and the rows before
+it are added as an offset. Cut points are plain numbers fixed before the job
+starts, so every branch of a plan and every retry agrees on them; they only
+balance the work, any cut points give the same result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkinfer.functions.scalars import number, present
 from sparkinfer.operators.joins import join_on
 
+# One hash value in SLICE is probed. Up to SMALL distinct cells go to one ordered window.
+SLICE = 64
+SMALL = 1_000_000
 SAMPLE_PER_RANGE = 8
-THINNING = 64
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How to order a set of values: at once, or in ranges between ``cuts``."""
+
+    small: bool
+    cuts: tuple[float, ...] = ()
 
 
 def range_count(spark: SparkSession) -> int:
-    """Ranges per ordering: a power of two near twice the shuffle width, 32 to 4096."""
-    wanted = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = 32
-    while size < wanted and size < 4096:
-        size *= 2
-    return size
+    """Ranges per ordering: twice the shuffle width, within 32 and 4096."""
+    return max(32, min(4096, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def cut_points(drawn: Sequence[float], ranges: int) -> tuple[float, ...]:
+    """At most ``ranges - 1`` cut points that split a sample evenly.
+
+    Midpoints are used so that a value carrying rounding noise does not sit on a cut.
+    """
+    values = sorted(set(drawn))
+    cuts = []
+    for i in range(1, ranges):
+        j = i * len(values) // ranges
+        if j >= 1:
+            middle = values[j - 1] / 2 + values[j] / 2
+            if math.isfinite(middle) and (not cuts or middle > cuts[-1]):
+                cuts.append(middle)
+    return tuple(cuts)
+
+
+def probe(df: DataFrame, value: str, by: Sequence[str] = ()) -> Layout:
+    """Decide the layout for ordering ``value``; one narrow job over the column.
+
+    The slice holds about 1/SLICE of the distinct (by, value) cells, chosen by hash
+    of the cell itself, so a hot value counts once. What reaches the driver is
+    bounded by SMALL/SLICE and the number of ranges.
+    """
+    ranges = range_count(df.sparkSession)
+    limit = max(SMALL // SLICE + 1, SAMPLE_PER_RANGE * ranges)
+    cells = present(df, value).select(*by, F.col(value).cast("double").alias("value"))
+    digest = F.xxhash64(*by, "value")
+    picked = (cells.where(F.pmod(digest, F.lit(SLICE)) == 0).distinct()
+              .select("value", digest.alias("h")).orderBy("h", "value").limit(limit))
+    drawn = picked.select("value").toPandas()["value"].tolist()
+    if len(drawn) * SLICE <= SMALL:
+        return Layout(True)
+    return Layout(False, cut_points(drawn, ranges))
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = (),
@@ -37,43 +82,18 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = (),
             .groupBy(*by, *extra, "value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def cut_points(values: DataFrame, by: Sequence[str], ranges: int) -> Column:
-    """Sorted array of at most ``ranges - 1`` cut points, as a scalar subquery.
-
-    ``values`` has one row per distinct (by, value) and a positive count ``n``.
-    """
-    picked = (values.where(F.col("n") > 0)
-              .select(F.col("value").alias("v"), F.xxhash64(*by, "value").alias("h"))
-              .orderBy("h", "v").limit(SAMPLE_PER_RANGE * ranges))
-    drawn = picked.agg(F.array_sort(F.collect_set("v")).alias("s"))
-    size = F.size("s")
-    places = F.filter(
-        F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)),
-                    lambda i: F.floor(i * size / F.lit(ranges)).cast("int")),
-        lambda j: j >= 1)
-    # midpoints: a value that carries rounding noise cannot sit on a cut by design
-    cuts = F.array_distinct(F.transform(
-        places, lambda j: (F.get("s", j - 1) + F.get("s", j)) / F.lit(2.0)))
-    return drawn.select(cuts.alias("c")).scalar()
-
-
-def locate(rows: DataFrame, cuts: Column, ranges: int) -> DataFrame:
-    """Add ``range``: the number of cut points at or below the value, by binary search."""
-    steps, size = [], ranges // 2
-    while size >= 1:
-        steps.append(size)
-        size //= 2
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda at, step: at + F.when(F.get("cuts", at + step - F.lit(1)) <= F.col("value"), step)
-        .otherwise(F.lit(0)))
-    return rows.withColumn("cuts", cuts).withColumn("range", found).drop("cuts")
+def locate(rows: DataFrame, cuts: Sequence[float]) -> DataFrame:
+    """Add ``range``, the number of cut points at or below ``value``."""
+    if not cuts:
+        return rows.withColumn("range", F.lit(0.0))
+    splits = [-math.inf, *cuts, math.inf]
+    return Bucketizer(splits=splits, inputCol="value", outputCol="range").transform(rows)
 
 
 def range_offsets(located: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per group and range: rows before it, rows in it, rows of the whole group.
 
-    At most ``ranges`` rows per group enter each window partition.
+    At most one row per range and group enters each window partition.
     """
     ordered = Window.partitionBy(*by).orderBy("range")
     whole = Window.partitionBy(*by)
@@ -82,50 +102,51 @@ def range_offsets(located: DataFrame, by: Sequence[str]) -> DataFrame:
             .withColumn("total", F.sum("inside").over(whole)))
 
 
-def cumulative_counts(cells: DataFrame, by: Sequence[str] = (), keep=None) -> DataFrame:
+def cumulative_counts(cells: DataFrame, by: Sequence[str], layout: Layout, keep=None) -> DataFrame:
     """Add the running position of every value within its group.
 
-    ``cells`` has (by, ..., value, n); several rows may share a value (for
-    example one per sample). Adds ``tied`` (rows with this value), ``cum_le``
-    (rows at or below it) and ``total``. ``keep(before, inside, total)`` may
-    restrict the work to the ranges that matter.
+    ``cells`` has (by, ..., value, n); several rows may share a value (for example
+    one per sample). Adds ``tied`` (rows with this value), ``cum_le`` (rows at or
+    below it) and ``total``. ``keep(before, inside, total)`` may restrict a ranged
+    layout to the ranges that matter.
     """
     by = list(by)
-    ranges = range_count(cells.sparkSession)
-    located = locate(cells, cut_points(cells, by, ranges), ranges)
+    if layout.small:
+        running, peers = Window.partitionBy(*by).orderBy("value"), Window.partitionBy(*by, "value")
+        return (cells.withColumn("cum_le", F.sum("n").over(running))
+                .withColumn("tied", F.sum("n").over(peers if by else running.rangeBetween(0, 0)))
+                .withColumn("total", F.sum("n").over(Window.partitionBy(*by))))
+    located = locate(cells, layout.cuts)
     offsets = range_offsets(located, by)
     if keep is not None:
         offsets = offsets.where(keep(F.col("before"), F.col("inside"), F.col("total")))
     placed = join_on(located, offsets.drop("inside"), [*by, "range"], small=not by)
     running = Window.partitionBy(*by, "range").orderBy("value")
     peers = Window.partitionBy(*by, "range", "value")
-    return (placed
-            .withColumn("cum_le", F.col("before") + F.sum("n").over(running))
-            .withColumn("tied", F.sum("n").over(peers))
-            .drop("before", "range"))
+    return (placed.withColumn("cum_le", F.col("before") + F.sum("n").over(running))
+            .withColumn("tied", F.sum("n").over(peers)).drop("before", "range"))
 
 
-def rank_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def rank_cells(cells: DataFrame, by: Sequence[str], layout: Layout) -> DataFrame:
     """Average rank of every value (ties share the mean of their positions)."""
-    return cumulative_counts(cells, by).withColumn(
+    return cumulative_counts(cells, by, layout).withColumn(
         "avg_rank", F.col("cum_le") - (F.col("tied") - F.lit(1)) / F.lit(2.0))
 
 
 def average_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Rank table: (by, value, n, avg_rank, tie_term) with tie_term = t^3 - t."""
-    ranked = rank_cells(value_counts(df, value, by), by)
+    """Rank table: (by, value, n, avg_rank, tie_term, total) with tie_term = t^3 - t."""
+    ranked = rank_cells(value_counts(df, value, by), by, probe(df, value, by))
     t = F.col("tied").cast("double")
     return ranked.select(*by, "value", "n", "avg_rank", (t * t * t - t).alias("tie_term"), "total")
 
 
 def quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
               by: Sequence[str] = (), approximate: bool = False,
-              accuracy: int = 10_000) -> DataFrame:
+              accuracy: int = 10_000, layout: Layout | None = None) -> DataFrame:
     """Quantiles with linear interpolation, one output column per named probability.
 
-    Exact by default. Without groups the rows are first counted per range and
-    only the ranges that hold a wanted position are shuffled and ordered; with
-    groups the distinct values are counted first so a hot value is one row.
+    Exact by default. Where the values need ranges, only the ranges that hold a
+    wanted position are ordered; without groups, only their rows are shuffled.
     """
     by = list(by)
     names, points = list(probabilities), list(probabilities.values())
@@ -146,10 +167,11 @@ def quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
                 hit = hit | ((at >= before) & (at < before + inside))
         return hit
 
-    if by:
-        placed = cumulative_counts(value_counts(df, value, by), by, keep)
+    layout = layout or probe(df, value, by)
+    if by or layout.small:
+        placed = cumulative_counts(value_counts(df, value, by), by, layout, keep)
     else:
-        placed = _bracketed(df, value, keep)
+        placed = _bracketed(df, value, layout, keep)
     total = F.col("total")
     parts = []
     for i, p in enumerate(points):
@@ -165,16 +187,10 @@ def quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
     return found.select(*by, *out, F.coalesce(total, F.lit(0)).cast("long").alias("n_values"))
 
 
-def _bracketed(df: DataFrame, value: str, keep) -> DataFrame:
+def _bracketed(df: DataFrame, value: str, layout: Layout, keep) -> DataFrame:
     """Cumulative counts of only those value ranges that ``keep`` selects."""
-    ranges = range_count(df.sparkSession)
-    rows = present(df, value).select(F.col(value).cast("double").alias("value"))
-    # a hash slice of the values is enough to place the cuts; no row is lost by it
-    thin = (rows.where(F.pmod(F.xxhash64("value"), F.lit(THINNING)) == 0)
-            .groupBy("value").agg(F.count(F.lit(1)).alias("n")))
-    located = locate(rows, cut_points(thin, [], ranges), ranges)
-    counted = located.withColumn("n", F.lit(1).cast("long"))
-    offsets = range_offsets(counted, []).where(
+    located = locate(present(df, value).select(F.col(value).cast("double").alias("value")), layout.cuts)
+    offsets = range_offsets(located.withColumn("n", F.lit(1).cast("long")), []).where(
         keep(F.col("before"), F.col("inside"), F.col("total"))).drop("inside")
     wanted = join_on(located, offsets, ["range"], small=True)
     cells = wanted.groupBy("range", "before", "total", "value").agg(F.count(F.lit(1)).alias("n"))
@@ -182,5 +198,5 @@ def _bracketed(df: DataFrame, value: str, keep) -> DataFrame:
     return cells.withColumn("cum_le", F.col("before") + F.sum("n").over(running))
 
 
-def medians(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    return quantiles(df, value, {"median": 0.5}, by)
+def medians(df: DataFrame, value: str, by: Sequence[str] = (), layout: Layout | None = None) -> DataFrame:
+    return quantiles(df, value, {"median": 0.5}, by, layout=layout)

@@ -20,7 +20,7 @@ from sparkinfer.functions.normal import norm_ppf
 from sparkinfer.functions.scalars import number, present
 from sparkinfer.functions.tails import chi2_sf, t_p_value, t_ppf
 from sparkinfer.operators.joins import with_group
-from sparkinfer.operators.ranks import rank_cells, value_counts
+from sparkinfer.operators.ranks import probe, rank_cells, value_counts
 
 INTERCEPT = "const"
 ALIASED = 1e-9
@@ -267,7 +267,7 @@ def qq_points(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """
     by = list(by)
     rows = present(df, value)
-    ranked = rank_cells(value_counts(rows, value, by), by)
+    ranked = rank_cells(value_counts(rows, value, by), by, probe(rows, value, by))
     scaled = with_group(ranked, by, source=rows, mean=F.avg(number(value)), std=F.stddev_pop(number(value)))
     return scaled.select(
         *by, "value", "n", norm_ppf(F.col("avg_rank") / (F.col("total") + 1)).alias("theoretical"),

@@ -8,18 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from sparkinfer.functions.scalars import number
-from sparkinfer.operators.describe import group_summary
-from sparkinfer.operators.hypothesis import mann_whitney
-from sparkinfer.operators.joins import join_on, with_group
+from sparkinfer.operators.hypothesis import u_test
+from sparkinfer.operators.ranks import Layout, rank_cells, value_counts
 
 Z_95 = 1.959963984540054
+# A day series is bounded by the calendar, so it needs no probe and no ranges.
+CALENDAR = Layout(True)
 
 
 def daily_series(df: DataFrame, ts: str, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -27,12 +25,13 @@ def daily_series(df: DataFrame, ts: str, value: str, by: Sequence[str] = ()) ->
     by = list(by)
     daily = (df.where(F.col(ts).isNotNull()).groupBy(*by, F.to_date(ts).alias("day"))
              .agg(F.coalesce(F.sum(number(value)), F.lit(0.0)).alias("value")))
-    span = daily.groupBy(*by).agg(F.min("day").alias("start"), F.max("day").alias("stop"))
-    spine = (span.where(F.col("start").isNotNull())
-             .select(*by, "start", F.explode(F.sequence("start", "stop")).alias("day")))
-    return join_on(spine, daily, [*by, "day"], "left").select(
-        *by, "day", F.date_diff("day", "start").cast("long").alias("pos"),
-        F.coalesce("value", F.lit(0.0)).alias("value"))
+    order, whole = Window.partitionBy(*by).orderBy("day"), Window.partitionBy(*by)
+    until = F.coalesce(F.date_sub(F.lead("day").over(order), 1), F.col("day"))
+    gaps = (daily.withColumn("until", until).withColumn("start", F.min("day").over(whole))
+            .withColumn("each", F.explode(F.sequence("day", "until"))))
+    return gaps.select(*by, F.col("each").alias("day"),
+                       F.date_diff("each", "start").cast("long").alias("pos"),
+                       F.when(F.col("each") == F.col("day"), F.col("value")).otherwise(F.lit(0.0)).alias("value"))
 
 
 def seasonal_decompose(series: DataFrame, period: int = 7, by: Sequence[str] = ()) -> DataFrame:
@@ -46,10 +45,10 @@ def seasonal_decompose(series: DataFrame, period: int = 7, by: Sequence[str] = (
     trend = F.when(F.count("value").over(frame) == 2 * half + 1, total / F.lit(weight))
     staged = (series.withColumn("trend", trend)
               .withColumn("phase", F.pmod(F.col("pos"), F.lit(period))))
-    phases = (staged.groupBy(*by, "phase").agg(F.avg(F.col("value") - F.col("trend")).alias("mean")))
-    centred = (phases.withColumn("centre", F.avg("mean").over(Window.partitionBy(*by)))
-               .select(*by, "phase", (F.col("mean") - F.col("centre")).alias("seasonal")))
-    out = join_on(staged, centred, [*by, "phase"], small=not by)
+    mean = F.avg(F.col("value") - F.col("trend")).over(Window.partitionBy(*by, "phase"))
+    # the first ``period`` days hold each phase once, so their mean is the mean of the phases
+    centre = F.avg(F.when(F.col("pos") < period, F.col("mean"))).over(Window.partitionBy(*by))
+    out = staged.withColumn("mean", mean).withColumn("seasonal", F.col("mean") - centre)
     return out.select(*by, "day", "pos", "value", "trend", "seasonal",
                       (F.col("value") - F.col("trend") - F.col("seasonal")).alias("residual"))
 
@@ -57,10 +56,9 @@ def seasonal_decompose(series: DataFrame, period: int = 7, by: Sequence[str] = (
 def acf(series: DataFrame, lags: int = 30, by: Sequence[str] = ()) -> DataFrame:
     """Autocorrelation for lags 0..lags with Bartlett's 95% half-width."""
     by = list(by)
-    centred = with_group(series, by, mean=F.avg("value"))
     order = Window.partitionBy(*by).orderBy("pos")
-    dev = F.col("value") - F.col("mean")
-    shifted = centred.withColumn("d", dev).select(
+    dev = F.col("value") - F.avg("value").over(Window.partitionBy(*by))
+    shifted = series.withColumn("d", dev).select(
         *by, "d", *[F.lag("d", k).over(order).alias(f"d{k}") for k in range(1, lags + 1)])
     folded = shifted.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("d") * F.col("d")).alias("s0"),
@@ -76,43 +74,36 @@ def acf(series: DataFrame, lags: int = 30, by: Sequence[str] = ()) -> DataFrame:
         (F.lit(1.0) + 2 * power) / F.col("n"))).otherwise(F.lit(0.0)).alias("band"))
 
 
-def _levinson(r: np.ndarray) -> np.ndarray:
-    """Partial autocorrelations from autocorrelations r[0..K] (Durbin's recursion)."""
-    out = np.full(len(r), np.nan)
-    out[0] = 1.0
-    phi, error = np.empty(0), 1.0
-    for k in range(1, len(r)):
-        if not error > 1e-14:
-            break
-        last = (r[k] - phi @ r[k - 1:0:-1]) / error
-        phi = np.append(phi - last * phi[::-1], last)
-        error *= 1.0 - last * last
-        out[k] = last
-    return out
+def _dot(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, v: total + v)
 
 
 def pacf(series: DataFrame, lags: int = 30, by: Sequence[str] = ()) -> DataFrame:
     """Partial autocorrelation (Yule-Walker) with the 1.96/sqrt(n) half-width.
 
-    Each group handed to Python is the ``lags + 1`` rows of one autocorrelation function.
+    Durbin's recursion over the ``lags + 1`` autocorrelations of each series. The
+    state is the list of order-k coefficients and the partial values found so far.
     """
     by = list(by)
-    correlations = acf(series, lags, by).select(*by, "lag", "n", "acf")
-    keys = [f for f in correlations.schema.fields if f.name in by]
-    schema = StructType([*keys, StructField("lag", LongType()), StructField("n", LongType()),
-                         StructField("pacf", DoubleType())])
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("lag")
-        r = rows["acf"].to_numpy(dtype=float)
-        values = np.full(len(r), np.nan) if np.isnan(r).any() else _levinson(r)
-        out = rows[[*by, "lag", "n"]].copy()
-        out["pacf"] = pd.Series(values, index=out.index).astype("Float64").where(~np.isnan(values))
-        return out
-
-    solved = correlations.groupBy(*by).applyInPandas(solve, schema)
-    return solved.withColumn("band", F.when(F.col("lag") > 0, F.lit(Z_95) / F.sqrt(F.col("n")))
-                             .otherwise(F.lit(0.0)))
+    curves = acf(series, lags, by).groupBy(*by).agg(
+        F.max("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("lag", "acf"))),
+                                           lambda p: p["acf"]).alias("r"))
+
+    def step(state, k):
+        phi, r = state["phi"], F.col("r")
+        recent = F.slice(r, F.lit(2), k - 1)                      # r_1 .. r_{k-1}
+        gap = F.get(r, k) - _dot(phi, F.reverse(recent))
+        last = gap / F.nullif(F.lit(1.0) - _dot(phi, recent), F.lit(0.0))
+        shifted = F.zip_with(phi, F.reverse(phi), lambda x, y: x - last * y)
+        return F.struct(F.concat(shifted, F.array(last)).alias("phi"),
+                        F.concat(state["out"], F.array(last)).alias("out"))
+
+    start = F.struct(F.array().cast("array<double>").alias("phi"), F.array(F.lit(1.0)).alias("out"))
+    orders = F.when(F.size("r") > 1, F.sequence(F.lit(1), F.size("r") - 1)).otherwise(F.array().cast("array<int>"))
+    solved = curves.withColumn("out", F.aggregate(orders, start, step, lambda state: state["out"]))
+    return (solved.select(*by, "n", F.posexplode("out").alias("lag", "pacf"))
+            .select(*by, F.col("lag").cast("long").alias("lag"), "n", "pacf",
+                    F.when(F.col("lag") > 0, F.lit(Z_95) / F.sqrt(F.col("n"))).otherwise(F.lit(0.0)).alias("band")))
 
 
 def event_calendar(events: DataFrame, series: DataFrame) -> DataFrame:
@@ -129,11 +120,15 @@ def event_flags(series: DataFrame, events: DataFrame, days: int = 7) -> DataFram
     Each event becomes its 2*days+1 calendar days, so membership is an equality
     join on the day.
     """
-    inside = event_calendar(events, series).where("in_range")
-    near = (inside.select(F.explode(F.sequence(F.date_sub("day", days), F.date_add("day", days))).alias("day"))
-            .distinct().withColumn("hit", F.lit(True)))
-    return (join_on(series, near, ["day"], "left")
-            .withColumn("is_special", F.coalesce("hit", F.lit(False))).drop("hit"))
+    near = (events.select(F.col("day").alias("event"), F.explode(
+        F.sequence(F.date_sub("day", days), F.date_add("day", days))).alias("day"))
+        .groupBy("day").agg(F.collect_set("event").alias("events")))
+    whole = Window.partitionBy()
+    spanned = (series.withColumn("start", F.min("day").over(whole))
+               .withColumn("stop", F.max("day").over(whole)))
+    hit = F.exists("events", lambda e: e.between(F.col("start"), F.col("stop")))
+    return (spanned.join(near, "day", "left").select(
+        *series.columns, F.coalesce(hit, F.lit(False)).alias("is_special")))
 
 
 def event_impact(series: DataFrame, events: DataFrame, start=None, days: int = 7) -> DataFrame:
@@ -146,12 +141,16 @@ def event_impact(series: DataFrame, events: DataFrame, start=None, days: int = 7
     flagged = event_flags(series, events, days).withColumn("value", F.round("value", 6))
     if start is not None:
         flagged = flagged.where(F.col("day") >= F.lit(start).cast("date"))
-    sides = group_summary(flagged, "value", ["is_special"])
-    pick = lambda flag, name: F.max(F.when(F.col("is_special") == flag, F.col(name)))
-    means = sides.agg(F.struct(
-        pick(True, "mean").alias("mean_special"), pick(False, "mean").alias("mean_normal"),
-        pick(True, "median").alias("median_special"), pick(False, "median").alias("median_normal")).alias("s"))
-    test = mann_whitney(flagged, "value", "is_special", True, False)
-    return test.withColumn("s", means.scalar()).select(
-        F.col("n1").alias("n_special"), F.col("n2").alias("n_normal"), "s.*", "statistic",
-        "p_value", "effect", "effect_label", "status")
+    cells = value_counts(flagged, "value", extra=["is_special"])
+    ranked = rank_cells(cells, [], CALENDAR)
+
+    def side(flag):
+        inside = F.col("is_special") == flag
+        rows = F.when(inside, F.col("n"))
+        mean = F.sum(F.when(inside, F.col("value") * F.col("n"))) / F.nullif(F.sum(rows), F.lit(0))
+        return mean, F.percentile(F.when(inside, F.col("value")), F.lit(0.5), F.col("n"))
+
+    (mean_special, median_special), (mean_normal, median_normal) = side(True), side(False)
+    test = u_test(ranked, "is_special", mean_special=mean_special, mean_normal=mean_normal,
+                  median_special=median_special, median_normal=median_normal)
+    return test.withColumnsRenamed({"n1": "n_special", "n2": "n_normal"})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparkinfer.operators import (charts, cleaning, contingency, describe, hypothesis, joins, normality,
                                   ranks, reconcile, regression, sampling, timeseries)
 from sparkinfer.plans.sales import lines, sales, table
+from sparkinfer.sources.landing import keep
 from sparkinfer.plans.suites import SalesColumns, StudyConfig, event_table, hypothesis_suite
 
 SEED = 42
@@ -41,7 +42,7 @@ def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
 @query
 def clean_derive(spark, sf):
     df = cleaning.derive(sales(spark, sf), birth="birth_text", sold_at="shipped", age="age_from_text")
-    return rounded(df.select("row_key", "discount", "amount_per_unit", "age_from_text"))
+    return rounded(df.select("row_key", "discount", "amount_per_unit", "age_from_text"), amount_per_unit=8)
 
 
 @query
@@ -111,8 +112,7 @@ def null_rates(spark, sf):
 @query
 def one_hot_counts(spark, sf):
     df, names = cleaning.one_hot(sales(spark, sf), "channel")
-    return df.agg(*[F.sum(n).cast("long").alias(n.replace("channel_", "n_").replace("-", "_")
-                                                .replace(" ", "_").lower()) for n in names])
+    return df.agg(*[F.sum(n).cast("long").alias(n) for n in names]).unpivot([], names, "dummy", "n")
 
 
 # ---- joins ------------------------------------------------------------------
@@ -357,7 +357,9 @@ def normality_report(spark, sf):
 @query
 def hypothesis_report(spark, sf):
     config = StudyConfig(columns=SalesColumns(), app_channel=URGENT, web_channel=LOW, genders=("F", "O"), seed=SEED)
-    df = joins.frequency(sales(spark, sf), "customer_id")
+    # read by eight tests, so the joined rows are kept
+    df = keep(joins.frequency(sales(spark, sf), "customer_id").select(
+        "channel", "gender", "units", "discount", "amount", "age_years", "frequency"))
     return rounded(hypothesis_suite(df, config))
 
 
