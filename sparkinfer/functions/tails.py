@@ -153,11 +153,42 @@ def _one_sided_smirnov(d, n):
     return min(1.0, math.exp(top + math.log(np.exp(logs - top).sum()) + math.log(d)))
 
 
+def _two_sided_kolmogorov(d, n):
+    """Exact P(D < d) as a matrix power (Durbin; Marsaglia, Tsang and Wang 2003)."""
+    k = int(n * d) + 1
+    size, h = 2 * k - 1, k - n * d
+    i, j = np.indices((size, size))
+    step = i - j + 1
+    base = np.where(step >= 0, 1.0, 0.0)
+    powers = h ** np.arange(1, size + 1)
+    base[:, 0] -= powers
+    base[-1, :] -= powers[::-1]
+    base[-1, 0] += max(0.0, 2 * h - 1) ** size
+    base *= np.exp(-_LOG_GAMMA(np.maximum(step, 0) + 1.0))
+    # square and multiply, with the scale kept apart as a logarithm
+    result, log_result, log_base, left = np.eye(size), 0.0, 0.0, int(n)
+    while left:
+        if left & 1:
+            result, log_result = result @ base, log_result + log_base
+            top = np.abs(result).max()
+            result, log_result = result / top, log_result + math.log(top)
+        left >>= 1
+        if left:
+            base, log_base = base @ base, 2 * log_base
+            top = np.abs(base).max()
+            base, log_base = base / top, log_base + math.log(top)
+    centre = result[k - 1, k - 1]
+    if centre <= 0:
+        return 0.0
+    return math.exp(math.log(centre) + log_result + math.lgamma(n + 1) - n * math.log(n))
+
+
 def kolmogorov_upper(d, n):
     """Two-sided one-sample Kolmogorov-Smirnov p-value.
 
     Far out (n d^2 >= 2.2) twice the one-sided exact tail is the two-sided tail to
-    working precision; elsewhere the limiting series with the 1/(6 sqrt n) shift.
+    working precision. Nearer, the exact distribution up to n = 10,000 and beyond
+    that the limiting series with the 1/(6 sqrt n) shift.
     """
     if not (n > 0) or math.isnan(d):
         return math.nan
@@ -167,6 +198,8 @@ def kolmogorov_upper(d, n):
         return 0.0
     if n * d * d >= 2.2 and n <= 1_000_000:
         return min(1.0, 2.0 * _one_sided_smirnov(d, n))
+    if n <= 10_000:
+        return min(1.0, max(0.0, 1.0 - _two_sided_kolmogorov(d, n)))
     z = math.sqrt(n) * d + 1.0 / (6.0 * math.sqrt(n))
     if z < 1.0:
         total = sum(math.exp(-((2 * k - 1) ** 2) * math.pi ** 2 / (8 * z * z)) for k in range(1, 40))

@@ -92,7 +92,8 @@ def kde_curve(df: DataFrame, value: str, points: int = 200, resolution: int = 40
               .select("m", "centre", "h", F.col("l.low").alias("low"), "step",
                       F.col("l.total").alias("total"), F.explode(grid).alias("point"))
               .withColumn("x", F.col("low") + F.col("point") * F.col("step")))
-    kernel = F.col("m") * norm_pdf((F.col("x") - F.col("centre")) / F.col("h")) / (F.col("total") * F.col("h"))
+    spread = spread.withColumn("z", (F.col("x") - F.col("centre")) / F.col("h"))
+    kernel = F.col("m") * norm_pdf(F.col("z")) / (F.col("total") * F.col("h"))
     return spread.groupBy("point").agg(F.first("x").alias("x"), F.sum(kernel).alias("density"))
 
 

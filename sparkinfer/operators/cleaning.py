@@ -46,9 +46,14 @@ def valid_median(df: DataFrame, column: str, low=MIN_AGE, high=MAX_AGE,
 
 
 def impute_invalid(df: DataFrame, column: str, low=MIN_AGE, high=MAX_AGE,
-                   fallback: float = FALLBACK_AGE, approximate: bool = False) -> DataFrame:
-    """Replace missing or out-of-range values with the median of the valid ones."""
-    middle = valid_median(df, column, low, high, fallback, approximate).select("median").scalar()
+                   fallback: float = FALLBACK_AGE, approximate: bool = False,
+                   median: DataFrame | None = None) -> DataFrame:
+    """Replace missing or out-of-range values with the median of the valid ones.
+
+    ``median`` may be given if :func:`valid_median` has been called already.
+    """
+    found = valid_median(df, column, low, high, fallback, approximate) if median is None else median
+    middle = found.select("median").scalar()
     bad = out_of_range(number(column), low, high)
     return df.withColumn(column, F.when(bad, middle).otherwise(number(column)))
 

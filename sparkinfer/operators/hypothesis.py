@@ -85,12 +85,13 @@ def u_test(ranked: DataFrame, first: str, by: Sequence[str] = (), alternative: s
     u, pairs = F.col("statistic"), n1 * n2
     tail = {"two-sided": F.greatest(u, pairs - u), "greater": u, "less": pairs - u}[alternative]
     z = _over(tail - pairs / 2 - 0.5, F.sqrt(F.when(F.col("variance") > 0, F.col("variance"))))
-    p = norm_sf(z) * (2.0 if alternative == "two-sided" else 1.0)
-    effect = rank_biserial(u, F.col("n1"), F.col("n2"))
-    return moved.select(*by, "n1", "n2", *summaries, "statistic", effect.alias("effect"),
-                        effect_label(effect, "r").alias("effect_label"),
-                        F.when(F.col("variance") > 0, F.least(p, F.lit(1.0))).alias("p_value"),
-                        _status(F.col("enough"), F.col("variance") > 0).alias("status"))
+    # z and the effect are columns of their own: the formulas below read them many times
+    scored = moved.withColumn("z", z).withColumn("effect", rank_biserial(u, F.col("n1"), F.col("n2")))
+    p = norm_sf(F.col("z")) * (2.0 if alternative == "two-sided" else 1.0)
+    return scored.select(*by, "n1", "n2", *summaries, "statistic", "effect",
+                         effect_label(F.col("effect"), "r").alias("effect_label"),
+                         F.when(F.col("z").isNotNull(), F.least(p, F.lit(1.0))).alias("p_value"),
+                         _status(F.col("enough"), F.col("variance") > 0).alias("status"))
 
 
 def anova_oneway(df: DataFrame, value: str, group: str, by: Sequence[str] = ()) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 # A key is "hot" when it holds more than 1/HOT_SHARE of all rows, so there are
 # always fewer than HOT_SHARE hot keys: that is the proven bound of the broadcast.
 HOT_SHARE = 1024
-SALTS = 4096
 
 
 def same(left: DataFrame, right: DataFrame, pairs) -> Column:
@@ -39,41 +38,35 @@ def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str,
            how: str = "left") -> DataFrame:
     """Look up ``table`` (one row per key, ``weight`` = rows per key) from every row.
 
-    Rows of hot keys take their values from a broadcast of the hot part of the
-    table. In the shuffle join they, and rows without a key, carry a salt that
-    spreads them evenly and matches nothing, so no task receives a whole hot key.
-    Columns of ``table`` other than the keys are added, ``weight`` included.
-    Rows with a NULL key match nothing.
+    Rows of hot keys take their values from a broadcast of the hot part of the table
+    and, like rows without a key, never enter a shuffle. The other rows are joined
+    on their key, where no key holds more than 1/HOT_SHARE of them all. Columns of
+    ``table`` other than the keys are added, ``weight`` included. Rows with a NULL
+    key match nothing.
     """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
     values = [c for c in table.columns if c not in keys]
-    keyed = table.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    keyed = table.where(has_key)
     total = keyed.agg(F.sum(weight).alias("t")).scalar()
     heavy = F.col(weight) * F.lit(HOT_SHARE) > total
 
-    def packed(prefix, part):
-        return part.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys],
-                           F.struct(*values).alias(f"{prefix}v"))
-
-    hot = F.broadcast(packed("__h_", keyed.where(heavy)))
-    first = rows.join(hot, reduce(lambda a, b: a & b,
-                                  [rows[k] == hot[f"__h_{k}"] for k in keys]), "left")
-    off_path = F.col("__h_v").isNotNull() | reduce(
-        lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    first = first.withColumn(
-        "__salt", F.when(off_path, F.monotonically_increasing_id() % SALTS + 1).otherwise(F.lit(0)))
-    # always 0, but written over the key so that it stays a join key: as a literal
-    # the optimizer would turn it into a filter and hash on the key alone
-    cold = packed("__c_", keyed.where(~heavy)).withColumn(
-        "__zero", F.pmod(F.xxhash64(*[f"__c_{k}" for k in keys]), F.lit(1).cast("long")))
-    second = first.join(
-        cold, reduce(lambda a, b: a & b, [first[k] == cold[f"__c_{k}"] for k in keys])
-        & (first["__salt"] == cold["__zero"]), "left")
-    found = F.coalesce(F.col("__h_v"), F.col("__c_v"))
-    if how == "inner":
-        second = second.where(found.isNotNull())
-    elif how != "left":
-        raise ValueError("how must be 'left' or 'inner'")
-    return second.select(*rows.columns, *[found.getField(v).alias(v) for v in values])
+    def joined(left, right, kind):
+        renamed = right.select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*values).alias("__v"))
+        renamed = F.broadcast(renamed) if kind == "hot" else renamed
+        on = reduce(lambda a, b: a & b, [left[k] == renamed[f"__{k}"] for k in keys])
+        return left.join(renamed, on, "left" if kind == "hot" else how)
+
+    def unpacked(df):
+        return df.select(*rows.columns, *[F.col(f"__v.{v}").alias(v) for v in values])
+
+    marked = joined(rows, keyed.where(heavy), "hot")
+    settled = F.col("__v").isNotNull()
+    if how == "left":
+        settled = settled | ~has_key
+    rest = marked.where(F.col("__v").isNull() & has_key).select(*rows.columns)
+    return unpacked(marked.where(settled)).unionByName(unpacked(joined(rest, keyed.where(~heavy), "cold")))
 
 
 def frequency(df: DataFrame, key: str, output: str = "frequency") -> DataFrame:

@@ -12,7 +12,7 @@ from sparkinfer.functions.scalars import number, present
 from sparkinfer.functions.tails import SW_LAST, SW_NEXT, ks_sf, shapiro_sf
 from sparkinfer.operators.describe import melt
 from sparkinfer.operators.joins import with_group
-from sparkinfer.operators.ranks import cumulative_counts, probe, value_counts
+from sparkinfer.operators.ranks import SMALL, Layout, cumulative_counts, probe, value_counts
 from sparkinfer.operators.sampling import seeded_sample
 
 SHAPIRO_LIMIT = 5000
@@ -26,8 +26,8 @@ def shapiro_of_sample(sample: DataFrame, value: str, by: Sequence[str] = ()) ->
     placed = (present(sample, value).select(*by, F.col(value).cast("double").alias("x"))
               .withColumn("i", F.row_number().over(order))
               .withColumn("n", F.count(F.lit(1)).over(whole)))
-    scored = placed.withColumn(
-        "m", norm_ppf((F.col("i") - F.lit(0.375)) / (F.col("n") + F.lit(0.25))))
+    scored = (placed.withColumn("at", (F.col("i") - F.lit(0.375)) / (F.col("n") + F.lit(0.25)))
+              .withColumn("m", norm_ppf(F.col("at"))))
 
     def at(i, what):
         return F.max(F.when(F.col("i") == i, F.col(what)))
@@ -40,9 +40,9 @@ def shapiro_of_sample(sample: DataFrame, value: str, by: Sequence[str] = ()) ->
         at(n_rows - 1, "x").alias("y2"), at(n_rows, "x").alias("y1"),
         at(n_rows, "m").alias("m1"), at(n_rows - 1, "m").alias("m2"))
     n = F.col("n").cast("double")
-    u = F.lit(1.0) / F.sqrt(n)
-    scale = F.sqrt(F.nullif(F.col("mm"), F.lit(0.0)))
-    staged = (folded
+    u, scale = F.col("u"), F.col("scale")
+    staged = (folded.withColumn("u", F.lit(1.0) / F.sqrt(n))
+              .withColumn("scale", F.sqrt(F.nullif(F.col("mm"), F.lit(0.0))))
               .withColumn("a1", polynomial(u, (*SW_LAST, 0.0)) + F.col("m1") / scale)
               .withColumn("a2", F.when(n > 5, polynomial(u, (*SW_NEXT, 0.0)) + F.col("m2") / scale))
               .withColumn("wide", F.col("y1") - F.col("x1"))
@@ -55,9 +55,11 @@ def shapiro_of_sample(sample: DataFrame, value: str, by: Sequence[str] = ()) ->
     inner = (a1 * F.col("wide") + F.when(n > 5, a2 * F.col("next")).otherwise(F.lit(0.0))
              + rest / F.sqrt(phi))
     numerator = F.when(n == 3, F.sqrt(F.lit(0.5)) * F.col("wide")).otherwise(inner)
-    w = numerator * numerator / F.nullif(F.col("variance") * n, F.lit(0.0))
+    final = staged.withColumn("numerator", numerator).withColumn(
+        "w", F.col("numerator") * F.col("numerator") / F.nullif(F.col("variance") * n, F.lit(0.0)))
     ok = (n >= 3) & (F.col("variance") > 0)
-    return (staged.select(*by, "n", F.when(ok, F.least(F.lit(1.0), w)).alias("statistic"),
+    w = F.col("w")
+    return (final.select(*by, "n", F.when(ok, F.least(F.lit(1.0), w)).alias("statistic"),
                           F.when(F.col("n") < 3, "too few rows").when(~ok, "degenerate")
                           .otherwise("ok").alias("status"))
             .withColumn("p_value", shapiro_sf(F.col("statistic"), F.col("n"))))
@@ -69,17 +71,18 @@ def shapiro_wilk(df: DataFrame, value: str, keys: Sequence[str], by: Sequence[st
     return shapiro_of_sample(seeded_sample(present(df, value), keys, size, seed, by), value, by)
 
 
-def ks_normal(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def ks_normal(df: DataFrame, value: str, by: Sequence[str] = (), layout: Layout | None = None) -> DataFrame:
     """Kolmogorov-Smirnov distance of the standardised values from N(0, 1)."""
     by = list(by)
     rows = present(df, value)
-    placed = cumulative_counts(value_counts(rows, value, by), by, probe(rows, value, by))
+    placed = cumulative_counts(value_counts(rows, value, by), by,
+                               layout or probe(rows, value, by))
     scaled = with_group(placed, by, source=rows, mean=F.avg(number(value)),
                         std=F.stddev_samp(number(value)))
     z = (F.col("value") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
     size = F.col("total").cast("double")
     # the CDF is a column of its own so that both distances share one evaluation
-    at = scaled.withColumn("cdf", norm_cdf(z))
+    at = scaled.withColumn("z", z).withColumn("cdf", norm_cdf(F.col("z")))
     distance = F.greatest(F.col("cum_le") / size - F.col("cdf"),
                           F.col("cdf") - (F.col("cum_le") - F.col("tied")) / size)
     out = at.groupBy(*by).agg(F.coalesce(F.max("total"), F.lit(0)).alias("n"),
@@ -96,7 +99,8 @@ def normality(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
     long = melt(sample, columns)
     w = shapiro_of_sample(long, "value", ["column"]).select(
         "column", "n", F.col("statistic").alias("shapiro_w"), F.col("p_value").alias("shapiro_p"), "status")
-    d = ks_normal(long, "value", ["column"]).select(
+    bounded = Layout(True) if size <= SMALL else None
+    d = ks_normal(long, "value", ["column"], bounded).select(
         F.col("column").alias("c"), F.col("statistic").alias("ks_d"), F.col("p_value").alias("ks_p"))
     joined = w.join(d, w["column"] == d["c"], "left").drop("c")
     smaller = F.least("shapiro_p", "ks_p")

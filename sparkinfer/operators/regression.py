@@ -269,6 +269,6 @@ def qq_points(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     rows = present(df, value)
     ranked = rank_cells(value_counts(rows, value, by), by, probe(rows, value, by))
     scaled = with_group(ranked, by, source=rows, mean=F.avg(number(value)), std=F.stddev_pop(number(value)))
-    return scaled.select(
-        *by, "value", "n", norm_ppf(F.col("avg_rank") / (F.col("total") + 1)).alias("theoretical"),
+    return scaled.withColumn("at", F.col("avg_rank") / (F.col("total") + 1)).select(
+        *by, "value", "n", norm_ppf(F.col("at")).alias("theoretical"),
         ((F.col("value") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))).alias("sample"))

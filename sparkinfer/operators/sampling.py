@@ -83,7 +83,8 @@ def split_flag_exact(df: DataFrame, keys: Sequence[str], test_share: float = 0.3
     edge = _cut(marked, [], wanted, 5)
     last = edge.select("slot").scalar()
     # rows of the last prefix only, about n / 16**5 of them
-    before = marked.agg(F.count_if(_digest_slot(5) < last).alias("b"), F.count(F.lit(1)).alias("rows"))
+    before = marked.select((_digest_slot(5) < last).alias("early")).agg(
+        F.count_if("early").alias("b"), F.count(F.lit(1)).alias("rows"))
     room = before.select((F.ceil(F.lit(float(test_share)) * F.col("rows")) - F.col("b"))).scalar()
     inside = marked.where(_digest_slot(5) == last).select("__digest")
     place = F.row_number().over(Window.orderBy("__digest"))

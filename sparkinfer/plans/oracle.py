@@ -352,6 +352,7 @@ def build() -> dict[str, str]:
     q["invalid_range_impute"] = f"""WITH {SALES}, {fixed} SELECT round(min(age), 6) AS min_age, round(max(age), 6) AS max_age,
         round(avg(age), 6) AS mean_age, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS n_invalid,
         round(any_value(med), 6) AS median_age FROM fixed"""
+    q["invalid_range_count"] = f"""WITH {SALES}, {fixed} SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS n_invalid FROM fixed"""
     q["imputed_rows"] = f"WITH {SALES}, {fixed} SELECT row_key, round(age, 6) AS age_years FROM fixed"
     cols = "round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 1.5 * (q3 - q1), 6) AS low, round(q3 + 1.5 * (q3 - q1), 6) AS high, n_values"
     q["iqr_fences"] = f"WITH {LINES}, f AS ({_fences('lines', 'amount')}) SELECT {cols} FROM f"

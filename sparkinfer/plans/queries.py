@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkinfer.functions.scalars import out_of_range
 from sparkinfer.operators import (charts, cleaning, contingency, describe, hypothesis, joins, normality,
                                   ranks, reconcile, regression, sampling, timeseries)
 from sparkinfer.plans.sales import lines, sales, table
@@ -47,17 +48,20 @@ def clean_derive(spark, sf):
 
 @query
 def invalid_range_impute(spark, sf):
-    df = sales(spark, sf)
-    fixed = cleaning.impute_invalid(df, "age_years")
-    counts = cleaning.invalid_count(df, "age_years")
+    df = sales(spark, sf).select("age_years", out_of_range(F.col("age_years"), 0, 110).alias("bad"))
     middle = cleaning.valid_median(df, "age_years")
+    fixed = cleaning.impute_invalid(df, "age_years", median=middle)
     return rounded(fixed.agg(F.min("age_years").alias("min_age"), F.max("age_years").alias("max_age"),
-                             F.avg("age_years").alias("mean_age"))
-                   .withColumn("n", counts.select("n").scalar())
-                   .withColumn("n_invalid", counts.select("n_invalid").scalar())
+                             F.avg("age_years").alias("mean_age"), F.count(F.lit(1)).alias("n"),
+                             F.count_if("bad").alias("n_invalid"))
                    .withColumn("median_age", middle.select("median").scalar()))
 
 
+@query
+def invalid_range_count(spark, sf):
+    return cleaning.invalid_count(sales(spark, sf), "age_years")
+
+
 @query
 def imputed_rows(spark, sf):
     return rounded(cleaning.impute_invalid(sales(spark, sf), "age_years").select("row_key", "age_years"))

@@ -6,6 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkinfer.functions.scalars import years_between
+from sparkinfer.sources.landing import balance
+
+
+def fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are spread over all cores when its files have too few splits."""
+    return balance(table(spark, sf_dir, name))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,12 +34,12 @@ def _line_columns():
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales columns that come from lineitem alone (no join)."""
-    return table(spark, sf_dir, "lineitem").select("l_shipdate", *_line_columns())
+    return fact(spark, sf_dir, "lineitem").select("l_shipdate", *_line_columns())
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with its order and customer; a third of the rows have no customer id."""
-    item, order = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    item, order = fact(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     joined = (item.join(order, item["l_orderkey"] == order["o_orderkey"])
               .join(customer, order["o_custkey"] == customer["c_custkey"]))

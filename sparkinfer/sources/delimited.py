@@ -62,7 +62,7 @@ def header(spark: SparkSession, path: str, separator: str = SEPARATOR, quote: st
     """Column names in the file's own order."""
     try:
         return (spark.read.option("header", True).option("sep", separator).option("quote", quote)
-                .csv(path).columns)
+                .option("escape", quote).csv(path).columns)
     except PySparkException as error:
         raise DataReadError(f"cannot read {path!r}: {error}") from error
 
@@ -97,7 +97,7 @@ def scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
     kept = [c for c in wanted if c in present]
     text = StructType([StructField(c, StringType()) for c in present])
     raw = (spark.read.schema(text).option("header", True).option("sep", separator)
-           .option("quote", quote).option("mode", "PERMISSIVE").csv(path))
+           .option("quote", quote).option("escape", quote).option("mode", "PERMISSIVE").csv(path))
     kinds = {f.name: f.dataType for f in schema.fields}
     source = raw.select(*[F.col(f"`{c}`") for c in kept])
     values = {c: _typed(F.col(f"`{c}`"), kinds.get(c, StringType())) for c in kept}
