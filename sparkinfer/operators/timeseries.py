@@ -98,7 +98,9 @@ def pacf(series: DataFrame, lags: int = 30, by: Sequence[str] = ()) -> DataFrame
         return F.struct(F.concat(shifted, F.array(last)).alias("phi"),
                         F.concat(state["out"], F.array(last)).alias("out"))
 
-    start = F.struct(F.array().cast("array<double>").alias("phi"), F.array(F.lit(1.0)).alias("out"))
+    # nullable elements: an undefined coefficient stays NULL
+    one = F.when(F.size("r") > 0, F.lit(1.0))
+    start = F.struct(F.array().cast("array<double>").alias("phi"), F.array(one).alias("out"))
     orders = F.when(F.size("r") > 1, F.sequence(F.lit(1), F.size("r") - 1)).otherwise(F.array().cast("array<int>"))
     solved = curves.withColumn("out", F.aggregate(orders, start, step, lambda state: state["out"]))
     return (solved.select(*by, "n", F.posexplode("out").alias("lag", "pacf"))

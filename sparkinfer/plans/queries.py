@@ -11,7 +11,7 @@ from sparkinfer.functions.scalars import out_of_range
 from sparkinfer.operators import (charts, cleaning, contingency, describe, hypothesis, joins, normality,
                                   ranks, reconcile, regression, sampling, timeseries)
 from sparkinfer.plans.sales import lines, sales, table
-from sparkinfer.sources.landing import keep
+from sparkinfer.sources.landing import cut
 from sparkinfer.plans.suites import SalesColumns, StudyConfig, event_table, hypothesis_suite
 
 SEED = 42
@@ -361,8 +361,8 @@ def normality_report(spark, sf):
 @query
 def hypothesis_report(spark, sf):
     config = StudyConfig(columns=SalesColumns(), app_channel=URGENT, web_channel=LOW, genders=("F", "O"), seed=SEED)
-    # read by eight tests, so the joined rows are kept
-    df = keep(joins.frequency(sales(spark, sf), "customer_id").select(
+    # read by eight tests, so the joined rows are stored once
+    df = cut(joins.frequency(sales(spark, sf), "customer_id").select(
         "channel", "gender", "units", "discount", "amount", "age_years", "frequency"))
     return rounded(hypothesis_suite(df, config))
 

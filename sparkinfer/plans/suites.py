@@ -12,7 +12,7 @@ from sparkinfer.functions.effects import verdict
 from sparkinfer.functions.scalars import present
 from sparkinfer.operators import charts, cleaning, contingency, describe, hypothesis, joins
 from sparkinfer.operators import normality, regression, sampling, timeseries
-from sparkinfer.sources.landing import keep
+from sparkinfer.sources.landing import cut
 
 # Categories a sale may carry, and the store numbers in use.
 EXPECTED_CHANNELS = ("APP", "WEB", "POS", "CCT", "SUCURSAL")
@@ -64,7 +64,6 @@ class StudyConfig:
     series_start: str | None = RAMP_UP_END
     test_share: float = 0.3
     seed: int | None = None
-    cache: bool = True
 
 
 def event_table(spark, events: Sequence[tuple[str, str]]) -> DataFrame:
@@ -73,15 +72,18 @@ def event_table(spark, events: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def clean_table(df: DataFrame, config: StudyConfig) -> DataFrame:
-    """Impute, derive, count purchases per customer, repair ages; customer id is dropped."""
+    """Impute, derive, count purchases per customer, repair ages; customer id is dropped.
+
+    Each of the two stored steps is read by many later jobs.
+    """
     c = config.columns
     out = cleaning.derive(df, discount=c.discount, amount=c.amount, units=c.units, sold_at=c.ts,
                           birth=c.birth, age=c.age)
     if c.birth is not None:
         out = out.drop(c.birth)
-    out = joins.frequency(out, c.customer).drop(c.customer)
+    out = cut(joins.frequency(out, c.customer).drop(c.customer))
     out = cleaning.impute_invalid(out, c.age)
-    return cleaning.flag_outliers(out, c.amount)
+    return cut(cleaning.flag_outliers(out, c.amount))
 
 
 def _row(name: str, test: str, result: DataFrame, n, effect=None) -> DataFrame:
@@ -186,8 +188,8 @@ def temporal_suite(df: DataFrame, config: StudyConfig) -> dict[str, DataFrame]:
 def run_study(df: DataFrame, config: StudyConfig | None = None) -> dict[str, DataFrame]:
     """The whole analysis as named, lazy result tables.
 
-    The cleaned table is cached once when ``config.cache`` is set and feeds every
-    later step; nothing but result tables leaves the cluster.
+    The cleaned table is stored once and feeds every later step; nothing but result
+    tables leaves the cluster.
     """
     config = config or StudyConfig()
     c = config.columns
@@ -197,8 +199,6 @@ def run_study(df: DataFrame, config: StudyConfig | None = None) -> dict[str, Dat
         results["birth_missingness"] = contingency.missingness(df, c.birth, [c.channel, c.store])
     results["customers"] = joins.distinct_keys(df, c.customer)
     clean = clean_table(df, config)
-    if config.cache:
-        clean = keep(clean)
     numeric = [c.units, c.discount, c.amount, "amount_per_unit", c.age, "frequency"]
     scaled = numeric[1:]
     results |= {

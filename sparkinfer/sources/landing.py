@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +50,25 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise a step and end its lineage with a reliable checkpoint.
+
+    Later steps then plan against a stored table, and a lost executor re-reads it.
+    The folder is the one the cluster names in spark.checkpoint.dir; a temporary one
+    is used only by a local session that names none.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def write_results(results: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
     """Write every result table under ``path/name`` as Parquet or JSON."""
     if fmt not in ("parquet", "json"):
