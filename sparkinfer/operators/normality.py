@@ -75,10 +75,17 @@ def ks_normal(df: DataFrame, value: str, by: Sequence[str] = (), layout: Layout
     """Kolmogorov-Smirnov distance of the standardised values from N(0, 1)."""
     by = list(by)
     rows = present(df, value)
-    placed = cumulative_counts(value_counts(rows, value, by), by,
-                               layout or probe(rows, value, by))
-    scaled = with_group(placed, by, source=rows, mean=F.avg(number(value)),
-                        std=F.stddev_samp(number(value)))
+    layout = layout or probe(rows, value, by)
+    placed = cumulative_counts(value_counts(rows, value, by), by, layout)
+    if layout.small:  # the cells of a group already share a window partition
+        group, n = Window.partitionBy(*by), F.col("n").cast("double")
+        shifted = placed.withColumn("mean", F.sum(n * F.col("value")).over(group) / F.col("total"))
+        gap = F.col("value") - F.col("mean")
+        spread = F.sum(n * gap * gap).over(group) / F.nullif(F.col("total") - 1, F.lit(0))
+        scaled = shifted.withColumn("std", F.sqrt(spread))
+    else:
+        scaled = with_group(placed, by, source=rows, mean=F.avg(number(value)),
+                            std=F.stddev_samp(number(value)))
     z = (F.col("value") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
     size = F.col("total").cast("double")
     # the CDF is a column of its own so that both distances share one evaluation

@@ -276,7 +276,7 @@ def spearman_by_segment(spark, sf):
 
 @query
 def spearman_matrix(spark, sf):
-    df = sales(spark, sf).withColumn("constant", F.lit(1))
+    df = sales(spark, sf).withColumn("constant", F.signum("units"))
     return rounded(hypothesis.spearman_matrix(df, ["constant", "units", "discount", "amount"])
                    .select("a", "b", "n", "rho", "p_value", "stars"))
 

@@ -54,8 +54,8 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise a step and end its lineage with a reliable checkpoint.
 
     Later steps then plan against a stored table, and a lost executor re-reads it.
-    The folder is the one the cluster names in spark.checkpoint.dir; a temporary one
-    is used only by a local session that names none.
+    The folder is the one the cluster names in spark.checkpoint.dir. Without one, a
+    local session uses a temporary folder and a cluster caches the step instead.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -63,7 +63,7 @@ def cut(df: DataFrame) -> DataFrame:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+                return keep(df)
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
