@@ -1 +1,9 @@
 """Exploration, cleaning, statistical tests and regression on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so it need not be
+# installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
