@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkinfer.llm import exact, packing, secrets, sharding, token_files, urls
+from sparkinfer.llm import exact, language, near, packing, secrets, sharding, token_files, urls
 from sparkinfer.llm.common import scratch_path, table, text_of
 
 #: Public tokenizer file of the token queries.
 TOKENIZER = "word_bpe_49k.json"
+#: Public vocabulary of the language model.
+PIECES = "piece_bpe_32k.model"
 SHARDS = 40
 # The url rules, as (verdict, host, path).
 URL_RULES = (
@@ -29,6 +31,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def pieces_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(PIECES)
+
+
 def op1_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text").cast("string")
     rows = table(spark, sf_dir, "documents").select(
@@ -73,11 +81,27 @@ def op6_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _joined_spans(F.col("found")).alias("spans"))
 
 
+def held_out(doc_id: str) -> Column:
+    """Whether a row is kept for testing; never learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op8_piece_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language.learn_languages(documents.where(~held_out("doc_id")), "text", "lang", pieces_path())
+    rows = documents.select("doc_id", "text", held_out("doc_id").alias("held_out"))
+    return language.predict_language(rows, "text", model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_groups(table(spark, sf_dir, "documents"), "doc_id", "text", k=2, percent=80)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_jump_shards, op2_tier_packing, op4_url_rules, op5_token_files, op6_secret_spans,
-                            op10_exact_dedup)
+                            op8_piece_languages, op9_super_minhash, op10_exact_dedup)
 }
