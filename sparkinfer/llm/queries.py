@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkinfer.llm import exact, language, near, packing, secrets, sharding, token_files, urls
+from sparkinfer.llm import decontaminate, exact, language, near, packing, secrets, sharding, token_files, urls
 from sparkinfer.llm.common import scratch_path, table, text_of
 
 #: Public tokenizer file of the token queries.
@@ -81,6 +81,11 @@ def op6_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _joined_spans(F.col("found")).alias("spans"))
 
 
+def op7_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), "doc_id", "text",
+                                    table(spark, sf_dir, "benchmark"), "item_id", "text").withColumnRenamed("item", "item_id")
+
+
 def held_out(doc_id: str) -> Column:
     """Whether a row is kept for testing; never learned from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -103,5 +108,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_jump_shards, op2_tier_packing, op4_url_rules, op5_token_files, op6_secret_spans,
-                            op8_piece_languages, op9_super_minhash, op10_exact_dedup)
+                            op7_simhash_windows, op8_piece_languages, op9_super_minhash, op10_exact_dedup)
 }
