@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from itertools import chain
+import json
+from itertools import chain, islice
+from unicodedata import is_normalized
 
 import numpy as np
 
-#: Words a worker remembers, and the longest it remembers.
-CACHE_WORDS = 400_000
+#: Words a worker remembers, how many of them when there is no more room, and the longest it remembers.
+CACHE_WORDS = 600_000
+KEPT_WORDS = 250_000
 CACHE_CHARS = 48
 #: Texts are handled in lots of about so many characters.
 LOT_CHARS = 4_000_000
+#: Fixed value: the pattern by which the file splits letters, digits and marks.
+LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def tokenizer_json(path: str) -> str:
@@ -33,8 +38,26 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(source)
+        self.plain = self._letters_only(source)
         self.known: dict[str, bytes] = {"": b""}
 
+    @staticmethod
+    def _letters_only(source: str):
+        """The same model without its steps before the pieces, for words those steps leave as they are.
+
+        Those are runs of small letters in composed form, where the file composes, lower-cases
+        and splits runs of letters from the rest. None for files that do anything else.
+        """
+        from tokenizers import Tokenizer
+
+        file = json.loads(source)
+        before = [n["type"] for n in (file["normalizer"] or {}).get("normalizers", [])]
+        split = (file["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if before != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in split] != ["Split", "ByteLevel"] or \
+                split[0]["pattern"] != {"Regex": LETTER_RUNS} or split[1]["add_prefix_space"]:
+            return None
+        return Tokenizer.from_str(json.dumps({**file, "normalizer": None, "added_tokens": [], "pre_tokenizer": split[1]}))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         lot: list[str] = []
@@ -49,16 +72,42 @@ class WordCoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set(chain.from_iterable(parts)).difference(self.known))
+        new = set(chain.from_iterable(parts)).difference(self.known)
         if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {"": b""}
-            new = list(set(chain.from_iterable(parts)).difference(self.known))
-        ids = [np.array(e.ids, "<u4").tobytes()
-               for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            # frequent words were met early, so the oldest entries are the ones to keep
+            self.known = dict(islice(self.known.items(), KEPT_WORDS))
+            new = set(chain.from_iterable(parts)).difference(self.known)
+        self._learn(new)
         known = self.known
-        known.update(zip(new, ids, strict=True))
         out = [b"".join(map(known.__getitem__, p)) for p in parts]
         for word in new:
             if len(word) > CACHE_CHARS:
                 del known[word]
         return out
+
+    def _learn(self, new: set[str]) -> None:
+        """Ids of new words; a word and its form with a capital or a final stop are coded once."""
+        known = self.known
+        if not self.plain:
+            words = list(new)
+            known.update(zip(words, self._ids(self.tokenizer, words), strict=True))
+            return
+        same = {}
+        for word in new:
+            stem = word.lower() if word.isascii() else word
+            mark = stem[-1] if stem[-1] in ".," and stem[:-1].lower().isalnum() else ""
+            same[word] = (stem.removesuffix(mark), mark)
+        stems = {x for pair in same.values() for x in pair}.difference(known)
+        runs = [w for w in stems if w.isalpha() and w == w.lower() and is_normalized("NFC", w)]
+        rest = list(stems.difference(runs))
+        coded = dict(zip(runs, self._ids(self.plain, runs), strict=True))
+        coded.update(zip(rest, self._ids(self.tokenizer, rest), strict=True))
+        known.update((w, c) for w, c in coded.items() if len(w) <= CACHE_CHARS)
+        for word, (stem, mark) in same.items():
+            known[word] = (coded[stem] if stem in coded else known[stem]) + (
+                coded[mark] if mark in coded else known[mark])
+
+    @staticmethod
+    def _ids(tokenizer, words: list[str]) -> list[bytes]:
+        coded = tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in coded]
