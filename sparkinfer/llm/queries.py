@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkinfer.llm import decontaminate, exact, language, near, packing, secrets, sharding, token_files, urls
+from sparkinfer.llm import decontaminate, exact, language, near, packing, secrets, sharding, suffixes, token_files, urls
 from sparkinfer.llm.common import scratch_path, table, text_of
 
 #: Public tokenizer file of the token queries.
@@ -52,6 +52,12 @@ def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "tier", "step_id")
 
 
+def op3_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeated_spans(table(spark, sf_dir, "documents"), "doc_id", "text", length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.coalesce(F.sha2("kept", 256), F.col("text_sha256")).alias("kept_sha256"))
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
     return urls.judge_urls(table(spark, sf_dir, "pages"), "page_id", "url", rules)
@@ -107,6 +113,6 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_jump_shards, op2_tier_packing, op4_url_rules, op5_token_files, op6_secret_spans,
+    f.__name__: f for f in (op1_jump_shards, op2_tier_packing, op3_interval_expansion, op4_url_rules, op5_token_files, op6_secret_spans,
                             op7_simhash_windows, op8_piece_languages, op9_super_minhash, op10_exact_dedup)
 }
