@@ -55,6 +55,10 @@ def pack_signs(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1).view(np.uint16)
 
 
+def _in_sorted(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 class MultiIndex:
     """Fingerprints by the values of their blocks; finds all within RADIUS of a fingerprint.
 
@@ -132,13 +136,13 @@ class Searcher:
         for kk, (bloom, every) in self.any.items():
             run = self.run(words, kk)
             maybe = np.flatnonzero(bloom[run >> np.uint64(44)])
-            hits = maybe[np.isin(run[maybe], every)] if len(maybe) else maybe
+            hits = maybe[_in_sorted(run[maybe], every)]
             if not len(hits):
                 continue
             for k2, size in self.shapes:
                 if k2 == kk:
                     own, index, shingles = self.by_shape[size]
-                    self._windows(words, run, hits[np.isin(run[hits], shingles)], kk, size, own, index, best)
+                    self._windows(words, run, hits[_in_sorted(run[hits], shingles)], kk, size, own, index, best)
         return best
 
     def _windows(self, words, run, hits, kk, size, own, index, best) -> None:
