@@ -188,12 +188,15 @@ class NearDuplicates:
 
         return stored(both.mapInArrow(verify, "a long, b long"), "near-links")
 
-    def labelled(self) -> DataFrame:
-        """``rows`` with ``root``: the node that stands for the component; null without words."""
-        roots = self.classes if self.roots is None else self.classes.join(self.roots, "node", "left")
-        named = roots.select(self.fa, self.fb, F.coalesce("root", "node").alias("root")) if self.roots is not None \
-            else roots.select(self.fa, self.fb, F.col("node").alias("root"))
-        return self.rows.drop(self.text, self.keys).join(named, [self.fa, self.fb], "left")
+    def labelled(self, id_col: str) -> DataFrame:
+        """Every row as (id, uid, n, root): the node that stands for its component, null without words."""
+        roots = self.classes.withColumn("root", F.col("node"))
+        if self.roots is not None:
+            roots = (self.classes.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+        named = roots.select(F.col(self.fa).alias("fa"), F.col(self.fb).alias("fb"), "root")
+        rows = self.rows.select(F.col(f"`{id_col}`").alias("id"), F.col(self.uid).alias("uid"), F.col(self.n).alias("n"),
+                                F.col(self.fa).alias("fa"), F.col(self.fb).alias("fb"))
+        return rows.join(named, ["fa", "fb"], "left").select("id", "uid", "n", "root")
 
 
 def near_groups(df: DataFrame, id_col: str, text_col: str, k: int = 5, percent: int = 80) -> DataFrame:
@@ -207,19 +210,18 @@ def near_groups(df: DataFrame, id_col: str, text_col: str, k: int = 5, percent:
     gives no rows. Other columns are not read.
     """
     found = NearDuplicates(df, text_col, [id_col], k, percent)
-    rows = found.labelled()
-    key = F.col(f"`{id_col}`")
-    low = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(key).alias("component_id"))
-    named = rows.join(low, "root", "left")
-    component = F.when(F.col("root").isNull(), key).otherwise(F.col("component_id"))
-    return named.select(key, F.col(found.n).alias("n_shingles"), component.alias("component_id"),
-                        key.eqNullSafe(component).alias("kept"))
+    rows = found.labelled(id_col)
+    low = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("low"))
+    component = F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("low"))
+    return rows.join(low, "root", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.col("id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near_copies(df: DataFrame, id_col: str, text_col: str, k: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group with all its columns: the smallest id, of equal ids the first; null ids last."""
     found = NearDuplicates(df, text_col, df.columns, k, percent)
-    rows = found.labelled().select(F.col(f"`{id_col}`").alias("id"), F.col(found.uid).alias("uid"), "root")
+    rows = found.labelled(id_col)
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("uid").alias("uid"))
     group = F.coalesce(F.col("root"), -F.col("uid") - F.lit(1))  # rows without words stand alone
     best = rows.groupBy(group.alias("group")).agg(F.min(order).alias("best")).select(F.col("best.uid").alias(found.uid))

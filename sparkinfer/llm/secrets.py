@@ -95,7 +95,9 @@ def trigram_query(pattern: str) -> list[list[list[str]]]:
     query = []
     for part in _joined(_strings(pattern_tree.parse(pattern))):
         if part and all(len(s) >= 3 and s.isascii() for s in part):
-            query.append([sorted({s[i:i + 3] for i in range(len(s) - 2)}) for s in sorted(part)])
+            options = {frozenset(s[i:i + 3] for i in range(len(s) - 2)) for s in part}
+            # what asks for more than another option adds nothing
+            query.append(sorted(sorted(o) for o in options if not any(other < o for other in options)))
     return query
 
 

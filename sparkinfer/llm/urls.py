@@ -158,7 +158,7 @@ def _joined(found: DataFrame, rules: DataFrame, id_col: str, default: str, salts
     hits = rows.select(F.col(f"`{id_col}`"), "host", "path", row, F.explode_outer("hits").alias("rule"))
     if salts > 1:
         hits = hits.withColumn(salt, F.pmod(F.col(row), F.lit(salts)))
-        rules = rules.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+        rules = rules.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     matched = hits.join(rules, ["rule", salt] if salts > 1 else ["rule"], "left")
     fits = F.col("rule_verdict").isNotNull()
     size = F.when(fits, F.length("rule"))
