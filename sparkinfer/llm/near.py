@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +20,10 @@ from sparkinfer.llm.shingles import GOLDEN, fingerprint, mix, shingle_hashes, sh
 BANDS, RANKS = 40, 6
 #: Elements of a signature lot; a lot holds one permutation of the ranks for each.
 LOT_ELEMENTS = 32_768
-#: Representatives a bucket compares with all its members in a later round.
+#: Nodes a bucket compares with all its members in a later round.
 PIVOTS = 32
+#: Ratio of the sizes that bound a class of sets.
+SIZE_CLASS = 1.05
 
 
 def super_minhash(elements: np.ndarray, sizes: np.ndarray, ranks: int) -> np.ndarray:
@@ -131,37 +134,92 @@ class NearDuplicates:
         """Verified links between nodes; all of them stem from shared bands, none from a sample.
 
         In a bucket of one band key the smallest node is compared with every member, which costs
-        one pair a member. A bucket whose members then lie in one component is done. In the
-        others the next PIVOTS nodes are compared with the members of other components, and
-        leave the bucket, until none is open: at the end every pair of a bucket has been compared,
-        or was in one component already.
+        one pair a member. A bucket whose members then lie in one component is done. Nodes of the
+        others, mostly copies edited too much to be linked, meet again under the rarest shingles
+        of their sets (:meth:`_rare`), which is exact; there, members outside the most frequent
+        component are compared with all others, PIVOTS of them a round, and leave. At the end every
+        pair that can be linked has been compared or was in one component already.
         """
         leads = self.rows.where(F.col(self.keys).isNotNull())
         nodes = leads.join(self.classes.select(F.col("node").alias(self.uid)), self.uid)
         self.texts = nodes.select(F.col(self.uid).alias("node"), F.col(self.text).alias("text"))
         members = nodes.select(F.explode(self.keys).alias("key"), F.col(self.uid).alias("node"), F.col(self.n).alias("n"))
         shared = members.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
-        open_ = stored(members.join(shared, "key"), "near-buckets")
-        if open_.isEmpty():
+        buckets = stored(members.join(shared, "key"), "near-buckets")
+        if buckets.isEmpty():
             return None
-        self.texts = stored(self.texts.join(open_.select("node").distinct(), "node", "left_semi"), "near-texts")
-        pivots = open_.groupBy("key").agg(F.min("node").alias("pivot"), F.min_by("n", "node").alias("pn"))
-        links = self._verified(open_.join(pivots, "key").where("node != pivot"))
-        while True:
-            roots = components(links, "a", "b")
-            rest = open_.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
-            labelled = (rest.drop("root").join(roots, "node", "left")
-                        .withColumn("root", F.coalesce("root", "node")))
-            labelled = stored(labelled, "near-labelled")
-            mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-            open_ = stored(labelled.join(mixed.select("key"), "key", "left_semi"), "near-open")
-            if open_.isEmpty():
-                return links
+        self.texts = stored(self.texts.join(buckets.select("node").distinct(), "node", "left_semi"), "near-texts")
+        pivots = buckets.groupBy("key").agg(F.min("node").alias("pivot"), F.min_by("n", "node").alias("pn"))
+        links = self._verified(buckets.join(pivots, "key").where("node != pivot"))
+        roots = components(links, "a", "b")
+        rest = buckets.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
+        open_ = self._mixed(rest, roots)
+        if open_.isEmpty():
+            return links
+        open_ = self._mixed(self._rare(open_.select("node", "n").distinct()), roots)
+        while not open_.isEmpty():
+            sizes = open_.groupBy("key", "root").agg(F.count("*").alias("members"))
+            most = sizes.groupBy("key").agg(F.max_by("root", "members").alias("most"))
+            few = open_.join(most, "key").where("root != most")
             order = Window.partitionBy("key").orderBy("node")
-            pivots = stored(open_.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS).select(
+            pivots = stored(few.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS).select(
                 "key", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("root").alias("proot")), "near-pivots")
-            more = self._verified(open_.join(pivots, "key").where("pivot < node and proot != root"))
+            more = self._verified(open_.join(pivots, "key").where("proot != root"))
             links = stored(links.unionByName(more), "near-links")
+            roots = components(links, "a", "b")
+            rest = open_.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
+            open_ = self._mixed(rest, roots)
+        return links
+
+    @staticmethod
+    def _mixed(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+        """Members (key, node, n, root) of the buckets that hold more than one component."""
+        labelled = (buckets.select("key", "node", "n").join(roots, "node", "left")
+                    .withColumn("root", F.coalesce("root", "node")))
+        labelled = stored(labelled, "near-labelled")
+        mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+        return stored(labelled.join(mixed.select("key"), "key", "left_semi"), "near-open")
+
+    def _rare(self, nodes: DataFrame) -> DataFrame:
+        """Buckets (key, node, n) such that any two similar sets of ``nodes`` share one.
+
+        Sets A and B reach the threshold only if they share t = percent (|A| + |B|) / (100 + percent)
+        shingles, so in any common order each has one of the shared ones among its first
+        |A| - t + 1. The order is by the number of sets, rarest first: what edits have added comes
+        before what all copies hold. Sizes fall into classes, and a key is a shingle and two classes, so
+        that t follows from it. Shingles of one set make no key.
+        """
+        k, percent = self.k, self.percent
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for record in batches:
+                for lot in range(0, record.num_rows, 256):
+                    part = record.slice(lot, 256)
+                    sets = [shingle_hashes(words_of(t), k).view(np.int64) for t in part.column(2).to_pylist()]
+                    sizes = [len(s) for s in sets]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(part.column(i).to_numpy(), sizes)) for i in (0, 1)]
+                        + [pa.array(np.concatenate(sets))], names=["node", "n", "shingle"])
+
+        each = stored(nodes.join(self.texts, "node").select("node", "n", "text").mapInArrow(
+            cut, "node long, n long, shingle long"), "near-shingles")
+        often = each.groupBy("shingle").agg(F.count("*").alias("sets")).where("sets > 1")
+        order = Window.partitionBy("node").orderBy(F.coalesce("sets", F.lit(1)), "shingle")
+        first = (each.join(often, "shingle", "left").withColumn("nth", F.row_number().over(order))
+                 .where("sets is not null").where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
+        step = math.log(SIZE_CLASS)
+
+        def size_class(n):
+            return F.floor(F.log(n.cast("double")) / F.lit(step) + F.lit(1e-9))
+
+        low, high = F.ceil(F.col("n") * percent / 100), F.floor(F.col("n") * 100 / percent)
+        classes = F.sequence(size_class(low), size_class(high))
+        least = F.greatest(low, F.ceil(F.exp(F.col("other") * F.lit(step)) * F.lit(1 - 1e-9) - F.lit(1e-6)))
+        needed = F.ceil(F.lit(percent) * (F.col("n") + least) / F.lit(100 + percent))
+        paired = (first.withColumn("own", size_class(F.col("n"))).withColumn("other", F.explode(classes))
+                  .where(F.col("nth") <= F.col("n") - needed + 1))
+        return paired.select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
+                             "node", "n").distinct()
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs whose whole sets are similar enough, compared as words."""
