@@ -17,6 +17,8 @@ from sparkinfer.llm.tokens import WordCoder, tokenizer_json
 STRIPE_BYTES = 16 << 20
 INDEX_STRIDE = 1000
 BLOOM_FPP = 0.01
+#: The table of what stands before each file is broadcast up to so many files (16 bytes each).
+BROADCAST_FILES = 100_000
 
 
 def write_token_files(df: DataFrame, path: str, id_col: str, text_col: str, tokenizer: str,
@@ -77,6 +79,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     files = (tagged.groupBy(file).agg(F.max(F.col("first") + F.col("n_tokens")).alias(before)))
     ahead = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
     sums = files.withColumn(before, F.coalesce(F.sum(before).over(ahead), F.lit(0)))
+    if files.count() <= BROADCAST_FILES:
+        sums = F.broadcast(sums)
     return tagged.join(sums, file).withColumn("start", F.col(before) + F.col("first")).drop(file, before)
 
 

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import json
 from itertools import chain, islice
+from struct import pack
 from unicodedata import is_normalized
 
-import numpy as np
-
 #: Words a worker remembers, how many of them when there is no more room, and the longest it remembers.
 CACHE_WORDS = 600_000
 KEPT_WORDS = 250_000
@@ -71,6 +70,8 @@ class WordCoder:
         return out + self._encode(lot)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        if self.plain:  # small letters cost no words of their own; others than ASCII are left to the file
+            texts = [t.lower() if t.isascii() and "<|" not in t else t for t in texts]
         parts = [t.replace("\n", " ").split(" ") for t in texts]
         new = set(chain.from_iterable(parts)).difference(self.known)
         if len(self.known) + len(new) > CACHE_WORDS:
@@ -94,7 +95,7 @@ class WordCoder:
             return
         same = {}
         for word in new:
-            stem = word.lower() if word.isascii() else word
+            stem = word.lower() if word.isascii() and "<|" not in word else word
             mark = stem[-1] if stem[-1] in ".," and stem[:-1].lower().isalnum() else ""
             same[word] = (stem.removesuffix(mark), mark)
         stems = {x for pair in same.values() for x in pair}.difference(known)
@@ -110,4 +111,4 @@ class WordCoder:
     @staticmethod
     def _ids(tokenizer, words: list[str]) -> list[bytes]:
         coded = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in coded]
+        return [pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in coded)]

@@ -96,7 +96,7 @@ def plain_ids(texts):
 def test_word_coder_equals_the_tokenizer(documents):
     rng, letters = random.Random(3), "aB.,' éÉ́İ\n1²<|>ſßΣσς\t "
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 60))) for _ in range(5000)]
-    texts += [d["text"] for d in documents] + [t or "" for _, t in EDGE] + ["a.<|endoftext|>.b", "x" * 5000 + "."]
+    texts += [d["text"] for d in documents] + [t or "" for _, t in EDGE] + ["a.<|endoftext|>.b", "x" * 5000 + ".", "A <|ENDOFTEXT|> <|EndOfText|>é"]
     coder = WordCoder(tokenizer_json(queries.tokenizer_path()))
     assert coder.plain is not None
     assert coder.encode(texts) == plain_ids(texts)
