@@ -12,7 +12,8 @@ from sparkinfer.functions.scalars import number, present
 from sparkinfer.operators.joins import attach
 from sparkinfer.operators.ranks import quantiles
 
-AUTO_BINS_LIMIT = 100_000
+#: Narrow bins a kernel's bandwidth spans when a density is folded.
+BINS_PER_BANDWIDTH = 64
 
 
 def _slot(value: Column, low: Column, high: Column, bins: Column) -> Column:
@@ -43,8 +44,7 @@ def auto_bins(df: DataFrame, value: str) -> Column:
     fd = F.ceil(span / F.nullif(width, F.lit(0.0)))
     sturges = F.ceil(F.log2(n) + 1)
     return (q.where(F.col("n_values") > 0).withColumn("__l", limits)
-            .select(F.least(F.greatest(sturges, F.coalesce(fd, sturges)), F.lit(AUTO_BINS_LIMIT))
-                    .cast("long").alias("bins")).scalar())
+            .select(F.greatest(sturges, F.coalesce(fd, sturges)).cast("long").alias("bins")).scalar())
 
 
 def histogram(df: DataFrame, value: str, bins: int | str = "auto") -> DataFrame:
@@ -71,16 +71,18 @@ def histogram(df: DataFrame, value: str, bins: int | str = "auto") -> DataFrame:
                     (F.col("n") / (F.col("l.total") * width)).alias("density")))
 
 
-def kde_curve(df: DataFrame, value: str, points: int = 200, resolution: int = 4096) -> DataFrame:
+def kde_curve(df: DataFrame, value: str, points: int = 200, resolution: int | None = None) -> DataFrame:
     """Gaussian kernel density with Scott's bandwidth over the value range.
 
-    The whole column is first folded to ``resolution`` narrow bins, each standing
-    at the mean of its rows, so the kernel sum is resolution x points however many
-    rows there are.
+    The whole column is first folded to ``resolution`` narrow bins (default: by the
+    bandwidth, which shrinks with the number of rows), each standing at the mean of its
+    rows, so the kernel sum is occupied bins x points however many rows there are.
     """
     rows = present(df, value)
     limits = _limits(rows, value, {"std": F.stddev_samp(number(value))})
-    k = F.lit(resolution).cast("long")
+    span = (F.col("l.high") - F.col("l.low")) * F.pow(F.col("l.total").cast("double"), F.lit(0.2))
+    k = F.lit(resolution).cast("long") if resolution else F.coalesce(
+        F.ceil(F.lit(BINS_PER_BANDWIDTH) * span / F.nullif(F.col("l.std"), F.lit(0.0))), F.lit(1).cast("long"))
     mass = (rows.select(F.col(value).cast("double").alias("v")).withColumn("l", limits)
             .groupBy(_slot(F.col("v"), F.col("l.low"), F.col("l.high"), k).alias("bin"))
             .agg(F.count(F.lit(1)).alias("m"), F.avg("v").alias("centre")))
@@ -100,12 +102,12 @@ def kde_curve(df: DataFrame, value: str, points: int = 200, resolution: int = 40
 def boxplot(df: DataFrame, value: str, by: Sequence[str], width: float = 1.5) -> DataFrame:
     """Quartiles and whiskers (furthest value within width*iqr of the box) per group."""
     by = list(by)
-    rows = present(df, value, *by).select(*by, F.col(value).cast("double").alias("v"))
+    rows = present(df, value).select(*by, F.col(value).cast("double").alias("v"))
     q = quantiles(rows, "v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
     iqr = F.col("q3") - F.col("q1")
     # whiskers only need distinct values, so hot values shrink to one row
     cells = rows.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("m"))
-    placed = attach(cells, q, by, "n_values", "inner")
+    placed = attach(cells, q, by, "n_values", "inner", nulls=True)
     inside = ((F.col("v") >= F.col("q1") - F.lit(width) * iqr)
               & (F.col("v") <= F.col("q3") + F.lit(width) * iqr))
     return (placed.groupBy(*by)

@@ -70,11 +70,11 @@ def iqr_fences(df: DataFrame, column: str, by: Sequence[str] = (), width: float
 def flag_outliers(df: DataFrame, column: str, output: str = "is_outlier",
                   by: Sequence[str] = (), width: float = FENCE_WIDTH,
                   approximate: bool = False) -> DataFrame:
-    """Mark values strictly outside the fences; every row is kept."""
+    """Mark values strictly outside the fences; every row is kept. NULL is a group like any other."""
     fences = iqr_fences(df, column, by, width, approximate)
     value = number(column)
     if by:
-        placed = attach(df, fences.select(*by, "low", "high", "n_values"), by, "n_values")
+        placed = attach(df, fences.select(*by, "low", "high", "n_values"), by, "n_values", nulls=True)
         return placed.select(*df.columns, outside(value, F.col("low"), F.col("high")).alias(output))
     pair = fences.select(F.struct("low", "high").alias("f")).scalar()
     return (df.withColumn("__f", pair)
@@ -123,24 +123,29 @@ def rejected_count(df: DataFrame, valid) -> DataFrame:
 MAX_LEVELS = 1000
 
 
-def level_counts(df: DataFrame, column: str) -> list[str]:
+def level_counts(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list[str]:
     """Levels of a categorical column, most frequent first, ties by name.
 
-    Only the level names reach the driver, and never more than ``MAX_LEVELS``.
+    Only the level names reach the driver; a column with more than ``max_levels`` is an error.
     """
     counted = (df.where(F.col(column).isNotNull()).groupBy(column)
-               .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column).limit(MAX_LEVELS + 1))
+               .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column).limit(max_levels + 1))
     levels = [r[0] for r in counted.select(column).collect()]
-    if len(levels) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} levels; dummies are not sensible")
+    if len(levels) > max_levels:
+        raise ValueError(f"{column} has more than {max_levels} levels; dummies are not sensible")
     return levels
 
 
 def one_hot(df: DataFrame, column: str, levels: Sequence | None = None, baseline=None,
             prefix: str | None = None) -> tuple[DataFrame, list[str]]:
-    """0/1 columns for every level but the baseline (default: the most frequent level)."""
+    """0/1 columns for every level but the baseline (default: the most frequent level).
+
+    A NULL or a value that is none of ``levels`` has NULL dummies, so that a fit leaves the row
+    out and counts it, and does not take it for the baseline.
+    """
     known = list(levels) if levels is not None else level_counts(df, column)
     base = known[0] if baseline is None and known else baseline
     names = {v: f"{prefix or column}_{v}" for v in known if v != base}
-    hot = [F.when(F.col(column) == F.lit(v), 1.0).otherwise(0.0).alias(nm) for v, nm in names.items()]
+    listed = F.col(column).isin([*known, *([] if base is None or base in known else [base])])
+    hot = [F.when(F.col(column) == F.lit(v), 1.0).when(listed, 0.0).alias(nm) for v, nm in names.items()]
     return df.select("*", *hot), list(names.values())

@@ -44,13 +44,14 @@ def welch_t(df: DataFrame, value: str, group: str, first, second, by: Sequence[s
         F.avg(two).alias("mean2"), F.var_samp(one).alias("v1"), F.var_samp(two).alias("v2"))
     e1, e2 = _over(F.col("v1"), F.col("n1")), _over(F.col("v2"), F.col("n2"))
     enough = (F.col("n1") > 1) & (F.col("n2") > 1)
-    ok = enough & (F.col("v1") > 0) & (F.col("v2") > 0)
+    varied = e1 + e2 > 0  # one constant sample is no obstacle
+    ok = enough & varied
     stat = F.when(ok, _over(F.col("mean1") - F.col("mean2"), F.sqrt(e1 + e2)))
     freedom = F.when(ok, _over((e1 + e2) * (e1 + e2),
                                _over(e1 * e1, F.col("n1") - 1) + _over(e2 * e2, F.col("n2") - 1)))
     return (folded.select(*by, "n1", "n2", "mean1", "mean2", stat.alias("statistic"),
                           freedom.alias("df"),
-                          _status(enough, (F.col("v1") > 0) & (F.col("v2") > 0)).alias("status"))
+                          _status(enough, varied).alias("status"))
             .withColumn("p_value", t_p_value(F.col("statistic"), F.col("df"), alternative)))
 
 
@@ -156,14 +157,14 @@ def _attach_ranks(rows: DataFrame, values: DataFrame, key: str, by: list[str], l
                   weight: str) -> DataFrame:
     """Add the centred average rank ``r<key>`` of column ``key`` to every row.
 
-    ``values`` counts the distinct values. When they are few the rank table is small
-    and a plain join will do; otherwise hot values are taken out of the shuffle.
+    ``values`` counts the distinct values. When they are few the rank table is small, which
+    the probe has measured, and is broadcast; otherwise hot values are taken out of the shuffle.
     """
     table = rank_cells(values, by, layout).select(
         *by, F.col("value").alias(key), F.col(weight).alias("weight"),
         (F.col("avg_rank") - (F.col("total") + 1) / 2.0).alias(f"r{key}"))
     if layout.small:
-        return rows.join(table.drop("weight"), [*by, key])
+        return rows.join(F.broadcast(table.drop("weight")), [*by, key])
     return attach(rows, table, [*by, key], "weight", "inner").drop("weight")
 
 

@@ -35,19 +35,20 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 
 def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str,
-           how: str = "left") -> DataFrame:
+           how: str = "left", nulls: bool = False) -> DataFrame:
     """Look up ``table`` (one row per key, ``weight`` = rows per key) from every row.
 
     Rows of hot keys take their values from a broadcast of the hot part of the table
     and, like rows without a key, never enter a shuffle. The other rows are joined
     on their key, where no key holds more than 1/HOT_SHARE of them all. Columns of
     ``table`` other than the keys are added, ``weight`` included. Rows with a NULL
-    key match nothing.
+    key match nothing, unless ``nulls``: then NULL is a key like any other, as it is
+    for groups.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     values = [c for c in table.columns if c not in keys]
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    has_key = F.lit(True) if nulls else reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     keyed = table.where(has_key)
     total = keyed.agg(F.sum(weight).alias("t")).scalar()
     heavy = F.col(weight) * F.lit(HOT_SHARE) > total
@@ -55,7 +56,8 @@ def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str,
     def joined(left, right, kind):
         renamed = right.select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*values).alias("__v"))
         renamed = F.broadcast(renamed) if kind == "hot" else renamed
-        on = reduce(lambda a, b: a & b, [left[k] == renamed[f"__{k}"] for k in keys])
+        on = reduce(lambda a, b: a & b, [
+            left[k].eqNullSafe(renamed[f"__{k}"]) if nulls else left[k] == renamed[f"__{k}"] for k in keys])
         return left.join(renamed, on, "left" if kind == "hot" else how)
 
     def unpacked(df):

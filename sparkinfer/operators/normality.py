@@ -12,7 +12,7 @@ from sparkinfer.functions.scalars import number, present
 from sparkinfer.functions.tails import SW_LAST, SW_NEXT, ks_sf, shapiro_sf
 from sparkinfer.operators.describe import melt
 from sparkinfer.operators.joins import with_group
-from sparkinfer.operators.ranks import SMALL, Layout, cumulative_counts, probe, value_counts
+from sparkinfer.operators.ranks import Layout, cumulative_counts, probe, value_counts
 from sparkinfer.operators.sampling import seeded_sample
 
 SHAPIRO_LIMIT = 5000
@@ -101,14 +101,16 @@ def ks_normal(df: DataFrame, value: str, by: Sequence[str] = (), layout: Layout
 
 def normality(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
               size: int = SHAPIRO_LIMIT, seed: int | None = None, alpha: float = 0.05) -> DataFrame:
-    """Both tests on one seeded sample of rows, one output row per column."""
+    """Both tests, one output row per column.
+
+    Kolmogorov-Smirnov is over all ``n`` rows with a value; Shapiro-Wilk, which is only
+    defined for small samples, over the ``n_sampled`` of one seeded sample of rows.
+    """
     sample = seeded_sample(df, keys, size, seed)
-    long = melt(sample, columns)
-    w = shapiro_of_sample(long, "value", ["column"]).select(
-        "column", "n", F.col("statistic").alias("shapiro_w"), F.col("p_value").alias("shapiro_p"), "status")
-    bounded = Layout(True) if size <= SMALL else None
-    d = ks_normal(long, "value", ["column"], bounded).select(
-        F.col("column").alias("c"), F.col("statistic").alias("ks_d"), F.col("p_value").alias("ks_p"))
+    w = shapiro_of_sample(melt(sample, columns), "value", ["column"]).select(
+        "column", F.col("n").alias("n_sampled"), F.col("statistic").alias("shapiro_w"), F.col("p_value").alias("shapiro_p"), "status")
+    d = ks_normal(melt(df, columns), "value", ["column"]).select(
+        F.col("column").alias("c"), "n", F.col("statistic").alias("ks_d"), F.col("p_value").alias("ks_p"))
     joined = w.join(d, w["column"] == d["c"], "left").drop("c")
     smaller = F.least("shapiro_p", "ks_p")
     return joined.withColumn("verdict", F.when(smaller.isNull(), "not testable")

@@ -259,16 +259,20 @@ def vif(df: DataFrame, xs: Sequence[str]) -> DataFrame:
                           .when(F.col("vif") > VIF_ALERT, "alert").otherwise("ok"))
 
 
-def qq_points(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Standardised values against normal quantiles, one row per distinct value.
+def qq_points(df: DataFrame, value: str, by: Sequence[str] = (), points: int = 200) -> DataFrame:
+    """Standardised values against normal quantiles, on a grid of ``points`` over all rows.
 
-    Plotting position is average rank / (n + 1); standardised by mean and
-    population deviation.
+    Point i stands at the share (i - 1/2) / points; its value is the smallest that at
+    least this share of the rows does not exceed, standardised by mean and population
+    deviation.
     """
     by = list(by)
     rows = present(df, value)
     ranked = rank_cells(value_counts(rows, value, by), by, probe(rows, value, by))
     scaled = with_group(ranked, by, source=rows, mean=F.avg(number(value)), std=F.stddev_pop(number(value)))
-    return scaled.withColumn("at", F.col("avg_rank") / (F.col("total") + 1)).select(
-        *by, "value", "n", norm_ppf(F.col("at")).alias("theoretical"),
+    upto = F.expr(f"({2 * points} * cum_le + total) div (2 * total)")
+    after = F.expr(f"({2 * points} * (cum_le - tied) + total) div (2 * total) + 1")
+    met = scaled.where(after <= upto).withColumn("point", F.explode(F.sequence(after, upto)))
+    return met.withColumn("at", (F.col("point") - F.lit(0.5)) / F.lit(float(points))).select(
+        *by, "point", "value", norm_ppf(F.col("at")).alias("theoretical"),
         ((F.col("value") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))).alias("sample"))

@@ -54,7 +54,7 @@ def seeded_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int | None =
     """The ``n`` rows (per group) with the smallest digests: a sample without replacement.
 
     Digest prefixes are counted first, so that only about ``n`` rows, not ``n`` rows
-    per input partition, are moved to be ordered.
+    per input partition, are moved to be ordered. Rows without a group form one of their own.
     """
     by, columns = list(by), df.columns
     marked = df.withColumn("__digest", stable_hash(keys, resolve_seed(seed)))
@@ -62,7 +62,7 @@ def seeded_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int | None =
         last = _cut(marked, [], F.lit(n), 5).agg(F.max("slot")).scalar()
         return (marked.where(_digest_slot(5) <= last).orderBy("__digest").limit(n).select(*columns))
     cuts = _cut(marked, by, F.lit(n), 4)
-    kept = attach(marked, cuts, by, "rows", "inner").where(_digest_slot(4) <= F.col("slot"))
+    kept = attach(marked, cuts, by, "rows", "inner", nulls=True).where(_digest_slot(4) <= F.col("slot"))
     place = F.row_number().over(Window.partitionBy(*by).orderBy("__digest"))
     return kept.withColumn("__place", place).where(F.col("__place") <= n).select(*columns)
 

@@ -488,9 +488,9 @@ def build() -> dict[str, str]:
     q["ks_normal_by_flag"] = f"WITH {LINES}, {_ks('lines', 'units', 'flag')} SELECT flag, n, round(d, 6) AS statistic, 'ok' AS status, round({_KS_P}, 6) AS p_value FROM ks"
     sample = f"picked_rows AS (SELECT * FROM lines ORDER BY {_digest()} LIMIT 5000)"
     long3 = " UNION ALL ".join(f"SELECT '{c}' AS col, {c} AS value, row_key FROM picked_rows" for c in ("units", "discount", "amount"))
-    q["normality_report"] = f"""WITH {LINES}, {sample}, long AS ({long3}), {_shapiro('long', 'value', 5000, 'col')}, {_ks('long', 'value', 'col')},
-        both_ AS (SELECT col, w.n, w, d, {_shapiro_p('w', 'w.n')} AS wp, {_KS_P.replace('sqrt(n)', 'sqrt(w.n)')} AS dp FROM w JOIN ks USING (col))
-        SELECT col AS "column", n, round(w, 6) AS shapiro_w, round(wp, 6) AS shapiro_p, 'ok' AS status, round(d, 6) AS ks_d, round(dp, 6) AS ks_p,
+    q["normality_report"] = f"""WITH {LINES}, {sample}, long AS ({long3}), whole AS ({long3.replace('picked_rows', 'lines')}), {_shapiro('long', 'value', 5000, 'col')}, {_ks('whole', 'value', 'col')},
+        both_ AS (SELECT col, ks.n, w.n AS n_sampled, w, d, {_shapiro_p('w', 'w.n')} AS wp, {_KS_P.replace('sqrt(n)', 'sqrt(ks.n)')} AS dp FROM w JOIN ks USING (col))
+        SELECT col AS "column", n, n_sampled, round(w, 6) AS shapiro_w, round(wp, 6) AS shapiro_p, 'ok' AS status, round(d, 6) AS ks_d, round(dp, 6) AS ks_p,
             CASE WHEN least(wp, dp) < 0.05 THEN 'not normal' ELSE 'compatible with normal' END AS verdict FROM both_"""
     q["one_hot_counts"] = f"""WITH {SALES}, c AS (SELECT channel, count(*) AS n FROM sales GROUP BY channel)
         SELECT 'channel_' || channel AS dummy, CAST(n AS BIGINT) AS n FROM c
@@ -551,9 +551,10 @@ def build() -> dict[str, str]:
         FROM c CROSS JOIN (VALUES (1, 'units'), (2, 'amount')) t(position, term)"""
     q["residual_shapiro"] = f"""{FITTED}, {_shapiro('fitted', 'residual', 5000)} SELECT n, round(w, 5) AS statistic, 'ok' AS status, round({_shapiro_p()}, 5) AS p_value FROM w"""
     q["qq_points"] = f"""{FITTED}, v AS (SELECT round(residual, 6) AS e FROM fitted),
-        r AS (SELECT e, {_avg_rank('e')} / (count(*) OVER () + 1) AS p, (e - avg(e) OVER ()) / stddev_pop(e) OVER () AS z FROM v),
-        d AS (SELECT e, CAST(count(*) AS BIGINT) AS n, any_value(p) AS p, any_value(z) AS z FROM r GROUP BY e)
-        SELECT n, round({ppf('p')}, 5) AS theoretical, round(z, 5) AS sample FROM d"""
+        r AS (SELECT row_number() OVER (ORDER BY e) AS k, count(*) OVER () AS n, (e - avg(e) OVER ()) / stddev_pop(e) OVER () AS z FROM v),
+        g AS (SELECT unnest(range(1, 201)) AS point), d AS (SELECT point, (point - 0.5) / 200 AS p, z
+            FROM g JOIN r ON k = ((2 * point - 1) * n + 399) // 400)
+        SELECT CAST(point AS BIGINT) AS point, round({ppf('p')}, 5) AS theoretical, round(z, 5) AS sample FROM d"""
     q["seeded_sample"] = f"WITH {LINES} SELECT row_key, amount FROM lines ORDER BY {_digest()} LIMIT 500"
     q["seeded_sample_by_flag"] = f"""WITH {LINES}, r AS (SELECT flag, row_key, amount, row_number() OVER (PARTITION BY flag ORDER BY {_digest()}) AS i FROM lines)
         SELECT flag, row_key, amount FROM r WHERE i <= 200"""

@@ -44,6 +44,9 @@ SEPARATOR, QUOTE = ";", '"'
 MISSING_MARKS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
                  "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
+#: Column in which the reader leaves rows with a wrong number of fields, and the name they get.
+CORRUPT, MALFORMED = "_malformed_row", "malformed row"
+
 
 class DataReadError(RuntimeError):
     """A data file is absent, unreadable or holds values of the wrong type."""
@@ -89,32 +92,41 @@ def scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
     returns those rows, as text with the names of the bad columns, in ``rejected``;
     ``coerce`` turns such values into NULL. A plain file is split into blocks of
     spark.sql.files.maxPartitionBytes; a gzip file is one task, see ``landing``.
+
+    Rows with too few or too many fields do not fit either: they fail ``strict`` and are
+    set aside by ``quarantine`` under the name MALFORMED. A line break ends a row, inside
+    quotes too, so such rows are malformed. All files of a directory must have the same
+    header; one in another order is an error, not read by position.
     """
     if mode not in ("strict", "quarantine", "coerce"):
         raise ValueError("mode must be 'strict', 'quarantine' or 'coerce'")
     present = header(spark, path, separator, quote)
     wanted = list(columns) if columns is not None else schema.fieldNames()
     kept = [c for c in wanted if c in present]
-    text = StructType([StructField(c, StringType()) for c in present])
-    raw = (spark.read.schema(text).option("header", True).option("sep", separator)
-           .option("quote", quote).option("escape", quote).option("mode", "PERMISSIVE").csv(path))
+    text = StructType([StructField(c, StringType()) for c in [*present, CORRUPT]])
+    raw = (spark.read.schema(text).option("header", True).option("enforceSchema", False).option("sep", separator)
+           .option("quote", quote).option("escape", quote).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    whole = F.col(CORRUPT).isNull()
     kinds = {f.name: f.dataType for f in schema.fields}
-    source = raw.select(*[F.col(f"`{c}`") for c in kept])
+    source = raw.select(*[F.col(f"`{c}`") for c in kept], CORRUPT)
     values = {c: _typed(F.col(f"`{c}`"), kinds.get(c, StringType())) for c in kept}
     checks = {c: F.col(f"`{c}`").isNotNull() & ~F.col(f"`{c}`").isin(*MISSING_MARKS) & values[c].isNull()
               for c in kept if not isinstance(kinds.get(c, StringType()), StringType)}
     missing = tuple(c for c in wanted if c not in present)
     if mode == "strict":
-        data = source.select(*[
+        wrong = F.raise_error(F.concat(F.lit("malformed row: "), F.col(CORRUPT))).cast("boolean")
+        data = source.where(F.when(whole, F.lit(True)).otherwise(wrong)).select(*[
             (F.when(checks[c], F.raise_error(F.concat(F.lit(f"bad value in column {c}: "), F.col(f"`{c}`"))))
              .otherwise(values[c]) if c in checks else values[c]).alias(c) for c in kept])
         return Scan(data, missing)
     typed = source.select(*[values[c].alias(c) for c in kept])
-    if mode == "coerce" or not checks:
+    if mode == "coerce":
         return Scan(typed, missing)
+    checks = {**checks, MALFORMED: ~whole}
     bad = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in checks.values()])
     named = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]))
-    rejected = source.where(bad).withColumn("bad_columns", named)
+    rejected = source.where(bad).withColumn("bad_columns", named).drop(CORRUPT)
     return Scan(source.where(~bad).select(*[values[c].alias(c) for c in kept]), missing, rejected)
 
 

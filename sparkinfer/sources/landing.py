@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +20,24 @@ def _newest(spark: SparkSession, path: str):
         return None
 
 
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to a path has been finished."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def land(spark: SparkSession, source: str, target: str, partitions: int | None = None, **options) -> Scan:
     """Convert a delimited source (a gzip file is not splittable) to Parquet, once.
 
-    The copy is reused while it is newer than the source. Returns the scan over the
+    The copy is reused while it is complete, newer than the source and has the wanted columns
+    with their types. Returns the scan over the
     landed table; ``options`` go to :func:`sparkinfer.sources.delimited.scan`.
     """
     read = scan(spark, source, **options)
     landed, original = _newest(spark, target), _newest(spark, source)
-    if landed is None or original is None or landed < original:
+    fresh = (landed is not None and original is not None and landed >= original and _complete(spark, target)
+             and spark.read.parquet(target).dtypes == read.data.dtypes)
+    if not fresh:
         spread = read.data.repartition(partitions) if partitions else balance(read.data)
         spread.write.mode("overwrite").parquet(target)
     return Scan(spark.read.parquet(target), read.missing, read.rejected)
@@ -54,17 +61,15 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise a step and end its lineage with a reliable checkpoint.
 
     Later steps then plan against a stored table, and a lost executor re-reads it.
-    The folder is the one the cluster names in spark.checkpoint.dir. Without one, a
-    local session uses a temporary folder and a cluster caches the step instead.
+    The folder is the one the cluster names in spark.checkpoint.dir; without one, a
+    folder in the warehouse, which driver and executors share as well.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                return keep(df)
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
         context.setCheckpointDir(folder)
     return df.checkpoint()
 

@@ -140,3 +140,24 @@ def test_years_round_down_to_whole_days(spark):
         (timestamp'2024-03-01 12:00:00', timestamp'2024-03-02 00:00:00') AS t(a, b)""")
     got = [r[0] * 365.25 for r in df.select(scalars.years_between(F.col("a"), F.col("b"))).collect()]
     assert got == pytest.approx([1, 0, -1])
+
+
+def test_tails_called_on_the_driver_still_travel_to_executors(spark):
+    here = [float(tails.t_upper(2.0, 10.0)), float(tails.f_upper(2.0, 3.0, 10.0)), float(tails.gamma_upper(1.5, 2.0)),
+            tails.kolmogorov_upper(0.1, 50), tails.kolmogorov_upper(0.01, 20_000)]
+    row = spark.range(1).select(
+        tails.t_sf(F.lit(2.0), F.lit(10)), tails.f_sf(F.lit(2.0), F.lit(3), F.lit(10)), tails.chi2_sf(F.lit(4.0), F.lit(3)),
+        tails.ks_sf(F.lit(0.1), F.lit(50)), tails.ks_sf(F.lit(0.01), F.lit(20_000))).first()
+    assert [round(v, 12) for v in row] == [round(v, 12) for v in here]
+
+
+def test_tails_at_very_large_sizes():
+    assert abs(float(tails.t_upper(2.0, 1e12)) - 0.5 * math.erfc(2 / math.sqrt(2))) < 1e-9
+    assert abs(float(tails.f_upper(2.6, 3, 1e12)) - float(tails.gamma_upper(1.5, 3.9))) < 1e-9
+    for z in (0.6, 1.0, 1.45, 1.5, 4.0):  # no jump where the method changes
+        below, above = (tails.kolmogorov_upper(z / math.sqrt(n), n) for n in (10_000, 10_001))
+        assert abs(below / above - 1) < 1e-5
+    for n in (20_000, 10**6, 10**12):
+        edge = math.sqrt(2.2 / n)
+        low, high = tails.kolmogorov_upper(edge * (1 - 1e-9), n), tails.kolmogorov_upper(edge * (1 + 1e-9), n)
+        assert abs(low / high - 1) < 1e-5
