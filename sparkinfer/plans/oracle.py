@@ -601,4 +601,58 @@ def build() -> dict[str, str]:
             CASE WHEN a.metric IS NULL OR b.metric IS NULL THEN 'MISSING_IN_ONE' WHEN a.value = b.value OR abs(a.value - b.value) < 1e-12 THEN 'IDENTICAL' ELSE 'DIFFERS' END AS status
         FROM a FULL OUTER JOIN b ON a.metric = b.metric"""
     q["hypothesis_report"] = _hypotheses()
+    gap = "gap AS (SELECT * REPLACE (nullif(flag, 'R') AS flag) FROM lines)"
+    q["seeded_sample_null_group"] = f"""WITH {LINES}, {gap}, r AS (SELECT flag, row_key, amount,
+            row_number() OVER (PARTITION BY flag ORDER BY {_digest()}) AS i FROM gap)
+        SELECT flag, row_key, amount FROM r WHERE i <= 200"""
+    q["outlier_flag_null_group"] = f"""WITH {LINES}, u AS (SELECT coalesce(nullif(flag, 'R'), '') AS flag, amount / units AS unit FROM lines),
+        f AS ({_fences('u', 'unit', 'flag')}) SELECT nullif(flag, '') AS flag, CAST(count(*) AS BIGINT) AS n,
+        CAST(count(*) FILTER (WHERE {out}) AS BIGINT) AS n_outliers FROM u JOIN f USING (flag) GROUP BY flag"""
+    q["one_hot_unlisted"] = f"""WITH {LINES}, {gap} SELECT flag, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE flag = 'N') AS BIGINT) AS n_known,
+        CASE WHEN flag = 'N' THEN CAST(count(*) AS DOUBLE) END AS n_hot FROM gap GROUP BY flag"""
+    w, columns = _welch("lines7", "units", "gender", "'F'", "'O'")
+    q["welch_constant_sample"] = f"""WITH {LINES}, lines7 AS (SELECT * REPLACE (CASE WHEN gender = 'F' THEN 25.0 ELSE units END AS units) FROM lines),
+        {w} SELECT {columns} FROM wt"""
+    q["typed_text_rows"] = """WITH t AS (SELECT l_returnflag AS part, l_orderkey % 7 AS k, l_orderkey % 11 = 0 AS broken, l_quantity, l_suppkey FROM lineitem),
+        b AS (SELECT *, concat_ws('+', CASE WHEN k IN (0, 3) THEN 'UNIDADES' END, CASE WHEN broken THEN 'malformed row' END) AS why FROM t)
+        SELECT part, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE k <> 1) AS BIGINT) AS n_units,
+            CAST(sum(l_quantity) FILTER (WHERE k <> 1) AS BIGINT) AS units, CAST(sum(l_suppkey) AS BIGINT) AS stores
+        FROM b WHERE why = '' GROUP BY part
+        UNION ALL SELECT why, CAST(count(*) AS BIGINT), NULL, NULL, NULL FROM b WHERE why <> '' GROUP BY why"""
+    q["quantiles_rank_error"] = "SELECT unnest(['p25', 'p50', 'p75']) AS quantile, true AS within"
+
+    trio = ["units", "discount", "amount"]
+    pairs = ", ".join(f"corr(k_{a}, k_{b}) AS r_{a}_{b}" for a, b in (("units", "discount"), ("units", "amount"), ("discount", "amount")))
+    cells = []
+    for i, a in enumerate(trio):
+        for j, b in enumerate(trio):
+            r = "r_" + "_".join([a, b] if i < j else [b, a])
+            t = f"{r} * sqrt((n - 2) / (1 - {r} * {r}))"
+            cells.append(f"SELECT '{a}' AS a, '{b}' AS b, 1.0 AS rho, 0.0 AS p FROM c" if a == b else
+                         f"SELECT '{a}' AS a, '{b}' AS b, {r} AS rho, {t_two_sided(t, 'n - 2')} AS p FROM c")
+    q["spearman_cells"] = f"""WITH {LINES}, k AS (SELECT {', '.join(f'{_avg_rank(v)} AS k_{v}' for v in trio)} FROM lines WHERE discount IS NOT NULL),
+        c AS (SELECT CAST(count(*) AS BIGINT) AS n, {pairs} FROM k), l AS ({' UNION ALL '.join(cells)})
+        SELECT a, b, CASE WHEN a = b THEN '1.0' ELSE printf('%.3f', rho) || CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**'
+            WHEN p < 0.05 THEN '*' ELSE ' ns' END END AS cell FROM l"""
+    kept = ["age_years", "amount", "amount_per_unit", "channel", "discount", "flag", "frequency", "gender", "is_outlier", "row_key",
+            "segment", "shipped", "store", "ts", "units"]
+    q["clean_columns"] = f"""WITH {SALES} SELECT "column", n FROM (SELECT unnest({kept}) AS "column"), (SELECT CAST(count(*) AS BIGINT) AS n FROM sales)"""
+
+    def long(section, name, metric, values):
+        return " UNION ALL ".join(
+            f"SELECT '{section}' AS section, {metric} || ' {v}' AS metric, CAST({v} AS DOUBLE) AS value FROM ({q[name]})" for v in values)
+
+    q["regression_report"] = " UNION ALL ".join([
+        long("coefficients", "ols_coefficients", "term", ["coef", "std_err"]),
+        long("fit", "ols_fit", "'train'", ["n", "r2", "r2_adj"]),
+        long("holdout", "ols_holdout", "'test'", ["n", "rmse", "mae", "r2"]),
+        long("durbin_watson", "durbin_watson", "'train'", ["n", "durbin_watson"]),
+        long("residual_shapiro", "residual_shapiro", "'sample'", ["n", "statistic"])])
+    q["association_report"] = " UNION ALL ".join([
+        long("channel_store", "chi2_independence", "'chi2'", ["statistic", "df"]),
+        long("store_anova", "anova_oneway", "'anova'", ["statistic"]),
+        long("store_kruskal", "kruskal_wallis", "'kruskal'", ["statistic"])])
+    q["temporal_report"] = " UNION ALL ".join([
+        long("daily_series", "daily_series_filled", "strftime(day, '%Y-%m-%d')", ["value"]),
+        long("acf", "acf_30", "CAST(lag AS VARCHAR)", ["acf"]), long("pacf", "pacf_30", "CAST(lag AS VARCHAR)", ["pacf"])])
     return q

@@ -12,7 +12,9 @@ from sparkinfer.operators import (charts, cleaning, contingency, describe, hypot
                                   ranks, reconcile, regression, sampling, timeseries)
 from sparkinfer.plans.sales import lines, sales, table
 from sparkinfer.sources.landing import cut
-from sparkinfer.plans.suites import SalesColumns, StudyConfig, event_table, hypothesis_suite
+from sparkinfer.plans.suites import (SalesColumns, StudyConfig, association_suite, clean_table, event_table,
+                                     hypothesis_suite, regression_report as least_squares_report, temporal_suite)
+from sparkinfer.sources.delimited import CORRUPT, parse
 
 SEED = 42
 URGENT, LOW = "1-URGENT", "5-LOW"
@@ -541,3 +543,138 @@ def determinism_diff(spark, sf):
     return rounded(reconcile.compare_runs(first, second))
 
 
+
+
+# ---- NULL groups, unlisted levels, one constant sample ----------------------
+
+def _gap(spark, sf):
+    """lines with flag R missing."""
+    return lines(spark, sf).withColumn("flag", F.nullif("flag", F.lit("R")))
+
+
+@query
+def seeded_sample_null_group(spark, sf):
+    return sampling.seeded_sample(_gap(spark, sf), ["row_key"], 200, SEED, ["flag"]).select("flag", "row_key", "amount")
+
+
+@query
+def outlier_flag_null_group(spark, sf):
+    marked = cleaning.flag_outliers(cleaning.derive(_gap(spark, sf)), "amount_per_unit", by=["flag"])
+    return marked.groupBy("flag").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_outlier").alias("n_outliers"))
+
+
+@query
+def one_hot_unlisted(spark, sf):
+    marked, names = cleaning.one_hot(_gap(spark, sf).withColumn("k", F.coalesce("gender", "flag")), "flag", ["N", "X"], "X")
+    return marked.groupBy("flag").agg(F.count(F.lit(1)).alias("n"), F.count(names[0]).alias("n_known"),
+                                      F.sum(names[0]).alias("n_hot"))
+
+
+@query
+def welch_constant_sample(spark, sf):
+    df = lines(spark, sf).withColumn("units", F.when(F.col("gender") == "F", 25.0).otherwise(F.col("units")))
+    return rounded(hypothesis.welch_t(df, "units", "gender", "F", "O"), 4)
+
+
+# ---- text rows, cells, columns kept -----------------------------------------
+
+@query
+def typed_text_rows(spark, sf):
+    """Rows rendered as text, some with a bad, missing or fractional value or a wrong number of fields, and parsed."""
+    item = table(spark, sf, "lineitem")
+    key = F.col("l_orderkey")
+    units = (F.when(key % 7 == 0, "x").when(key % 7 == 1, "n/a").when(key % 7 == 2, F.concat(F.col("l_quantity").cast("int"), F.lit(".0")))
+             .when(key % 7 == 3, "2.5").otherwise(F.col("l_quantity").cast("int").cast("string")))
+    raw = item.select(units.alias("UNIDADES"), F.col("l_discount").cast("string").alias("PORCENTAJE DESCUENTO"),
+                      F.col("l_suppkey").cast("string").alias("LOCAL"), F.col("l_returnflag").alias("CANAL"),
+                      F.when(key % 11 == 0, "1;2").alias(CORRUPT))
+    columns = ["UNIDADES", "PORCENTAJE DESCUENTO", "LOCAL", "CANAL"]
+    good, bad = parse(raw, columns, mode="quarantine")
+    kept = good.groupBy("CANAL").agg(F.count(F.lit(1)).alias("n"), F.count("UNIDADES").alias("n_units"),
+                                     F.sum("UNIDADES").alias("units"), F.sum("LOCAL").alias("stores"))
+    why = bad.groupBy(F.array_join("bad_columns", "+").alias("CANAL")).agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(None).cast("long")
+    return kept.withColumnRenamed("CANAL", "part").unionByName(why.select(
+        F.col("CANAL").alias("part"), "n", none.alias("n_units"), none.alias("units"), none.alias("stores")))
+
+
+@query
+def spearman_cells(spark, sf):
+    return hypothesis.spearman_matrix(lines(spark, sf), ["units", "discount", "amount"]).select("a", "b", "cell")
+
+
+@query
+def clean_columns(spark, sf):
+    """Column names of the cleaned table: no customer id, no birth date; one row each with its non-null count."""
+    config = StudyConfig(columns=SalesColumns(birth="birth_text", ts="shipped"))
+    clean = clean_table(sales(spark, sf).drop("age_years"), config)
+    names = sorted(clean.columns)
+    counts = clean.agg(*[F.count(c).alias(c) for c in names])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in names])).alias("r")).select("r.*")
+
+
+@query
+def quantiles_rank_error(spark, sf):
+    """Whether each approximate quantile's rank is within 1 / accuracy of what was asked."""
+    points, accuracy = {"p25": 0.25, "p50": 0.5, "p75": 0.75}, 10_000
+    rows = lines(spark, sf).select(F.col("amount").alias("v"))
+    found = ranks.quantiles(rows, "v", points, approximate=True, accuracy=accuracy)
+    one = found.select(F.struct(*points).alias("q")).scalar()
+    placed = rows.withColumn("q", one).agg(F.count("v").alias("n"), *[
+        c for p in points for c in (F.count_if(F.col("v") < F.col(f"q.{p}")).alias(f"{p}_lt"),
+                                    F.count_if(F.col("v") <= F.col(f"q.{p}")).alias(f"{p}_le"))])
+    slack = F.col("n") / accuracy + 1
+    return placed.select(F.explode(F.array(*[F.struct(
+        F.lit(p).alias("quantile"), ((F.col(f"{p}_lt") <= F.col("n") * at + slack) & (F.col(f"{p}_le") >= F.col("n") * at - slack))
+        .alias("within")) for p, at in points.items()])).alias("r")).select("r.*")
+
+
+# ---- compositions as long tables --------------------------------------------
+
+def _long(section: str, df: DataFrame, metric, values: list[str], digits: int) -> DataFrame:
+    pairs = [F.struct(F.concat_ws(" ", metric, F.lit(v)).alias("metric"),
+                      F.round(F.col(v).cast("double"), digits).alias("value")) for v in values]
+    return df.select(F.lit(section).alias("section"), F.explode(F.array(*pairs)).alias("r")).select("section", "r.*")
+
+
+def _stacked(*parts: DataFrame) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@query
+def regression_report(spark, sf):
+    def report(share):
+        return least_squares_report(lines(spark, sf), "amount", ["units"], "flag", ["row_key"], ["row_key"], "N",
+                                    ["N", "A", "R"], test_share=share, seed=SEED, exact_split=False)
+
+    whole, split = report(0.0), report(0.3)
+    return _stacked(
+        _long("coefficients", whole["coefficients"], F.col("term"), ["coef", "std_err"], 5),
+        _long("fit", whole["fit"], F.lit("train"), ["n", "r2", "r2_adj"], 8),
+        _long("holdout", split["holdout"], F.lit("test"), ["n", "rmse", "mae", "r2"], 6),
+        _long("durbin_watson", whole["durbin_watson"], F.lit("train"), ["n", "durbin_watson"], 6),
+        _long("residual_shapiro", whole["residual_shapiro"], F.lit("sample"), ["n", "statistic"], 5))
+
+
+@query
+def association_report(spark, sf):
+    config = StudyConfig(columns=SalesColumns(), channels=("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
+                         store_range=(0, 2**31 - 1))
+    found = association_suite(sales(spark, sf), config)
+    return _stacked(
+        _long("channel_store", found["channel_store_chi2"], F.lit("chi2"), ["statistic", "df"], 6),
+        _long("store_anova", found["amount_by_store_anova"], F.lit("anova"), ["statistic"], 6),
+        _long("store_kruskal", found["amount_by_store_kruskal"], F.lit("kruskal"), ["statistic"], 6))
+
+
+@query
+def temporal_report(spark, sf):
+    config = StudyConfig(columns=SalesColumns(ts="o_orderdate", amount="o_totalprice"), events=EVENTS, series_start=SERIES_START)
+    found = temporal_suite(table(spark, sf, "orders"), config)
+    return _stacked(
+        _long("daily_series", found["daily_series"], F.date_format("day", "yyyy-MM-dd"), ["value"], 2),
+        _long("acf", found["acf"], F.col("lag").cast("string"), ["acf"], 6),
+        _long("pacf", found["pacf"], F.col("lag").cast("string"), ["pacf"], 6))

@@ -107,27 +107,36 @@ def scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
     raw = (spark.read.schema(text).option("header", True).option("enforceSchema", False).option("sep", separator)
            .option("quote", quote).option("escape", quote).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    missing = tuple(c for c in wanted if c not in present)
+    data, rejected = parse(raw.select(*[F.col(f"`{c}`") for c in kept], CORRUPT), kept, schema, mode)
+    return Scan(data, missing, rejected)
+
+
+def parse(raw: DataFrame, columns: Sequence[str], schema: StructType = SALES_SCHEMA,
+          mode: str = "strict") -> tuple[DataFrame, DataFrame | None]:
+    """Typed rows from text columns and a column CORRUPT (null where a row is whole), and the rejected ones.
+
+    This is what :func:`scan` does with the text of a file; ``mode`` is as there.
+    """
+    kept = list(columns)
     whole = F.col(CORRUPT).isNull()
     kinds = {f.name: f.dataType for f in schema.fields}
-    source = raw.select(*[F.col(f"`{c}`") for c in kept], CORRUPT)
     values = {c: _typed(F.col(f"`{c}`"), kinds.get(c, StringType())) for c in kept}
     checks = {c: F.col(f"`{c}`").isNotNull() & ~F.col(f"`{c}`").isin(*MISSING_MARKS) & values[c].isNull()
               for c in kept if not isinstance(kinds.get(c, StringType()), StringType)}
-    missing = tuple(c for c in wanted if c not in present)
     if mode == "strict":
         wrong = F.raise_error(F.concat(F.lit("malformed row: "), F.col(CORRUPT))).cast("boolean")
-        data = source.where(F.when(whole, F.lit(True)).otherwise(wrong)).select(*[
+        sound = raw.where(F.when(whole, F.lit(True)).otherwise(wrong))
+        return sound.select(*[
             (F.when(checks[c], F.raise_error(F.concat(F.lit(f"bad value in column {c}: "), F.col(f"`{c}`"))))
-             .otherwise(values[c]) if c in checks else values[c]).alias(c) for c in kept])
-        return Scan(data, missing)
-    typed = source.select(*[values[c].alias(c) for c in kept])
+             .otherwise(values[c]) if c in checks else values[c]).alias(c) for c in kept]), None
     if mode == "coerce":
-        return Scan(typed, missing)
+        return raw.select(*[values[c].alias(c) for c in kept]), None
     checks = {**checks, MALFORMED: ~whole}
     bad = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in checks.values()])
     named = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]))
-    rejected = source.where(bad).withColumn("bad_columns", named).drop(CORRUPT)
-    return Scan(source.where(~bad).select(*[values[c].alias(c) for c in kept]), missing, rejected)
+    rejected = raw.where(bad).withColumn("bad_columns", named).drop(CORRUPT)
+    return raw.where(~bad).select(*[values[c].alias(c) for c in kept]), rejected
 
 
 def run_or_raise(action, what: str = "the data"):
