@@ -225,7 +225,7 @@ class Repeats:
         return self.source.mapInArrow(run, schema)
 
     def _flagged(self) -> DataFrame:
-        """Runs (node, start, end) whose anchor occurs again.
+        """Runs (node, start, end, hash) whose anchor occurs again.
 
         Tasks first count their own anchors: those met twice are settled there, and one entry
         of each anchor and task goes on. So an anchor reaches its owner at most once a task.
@@ -270,13 +270,13 @@ class Repeats:
             local, "hash long, node long, start long, end long, again boolean, leads boolean"), "repeat-anchors")
         over = Window.partitionBy("hash")
         met = (entries.where("leads").withColumn("tasks", F.count("*").over(over))
-               .where("tasks > 1 and not again").select("node", "start", "end"))
-        return entries.where("again").select("node", "start", "end").unionByName(met)
+               .where("tasks > 1 and not again").select("node", "start", "end", "hash"))
+        return entries.where("again").select("node", "start", "end", "hash").unionByName(met)
 
     def _suspects(self) -> DataFrame:
         """Texts with the runs to look at: one row a distinct text, in (fa, fb, text, runs)."""
         runs = self._flagged().groupBy("node").agg(F.collect_list(F.struct(
-            F.col("start").alias("a"), F.col("end").alias("b"))).alias("runs"))
+            F.col("start").alias("a"), F.col("end").alias("b"), F.col("hash").alias("h"))).alias("runs"))
         wanted = runs.join(self.classes.select("node", "fa", "fb"), "node").select("fa", "fb", "node", "runs")
 
         def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,10 +301,9 @@ class Repeats:
 
     def _segments(self) -> DataFrame:
         """Bytes under every suspect run, each distinct one once a task, with the number of its places there."""
-        length, k = self.length, self.k
+        length = self.length
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            powers = per_worker("powers", _Powers)
             found: dict[tuple[int, bytes], int] = {}
             size = 0
 
@@ -314,10 +313,9 @@ class Repeats:
                      pa.array(list(found.values()), pa.int64())], names=["hash", "segment", "places"])
 
             for record in batches:
-                for data, a, b in _runs_of(record):
-                    segment = data[a:b + length]
-                    _, hashes = anchor_runs(np.frombuffer(segment[:length], np.uint8), length, k, powers)
-                    key = (int(hashes.view(np.int64)[0]), segment)
+                for _, data, run in _runs_of(record):
+                    segment = data[run["a"]:run["b"] + length]
+                    key = (run["h"], segment)
                     if key not in found:
                         size += len(segment) + 100
                     found[key] = found.get(key, 0) + 1
@@ -328,7 +326,7 @@ class Repeats:
             if found:
                 yield out()
 
-        return self.texts.mapInArrow(cut, "hash long, segment binary, places long")
+        return stored(self.texts.mapInArrow(cut, "hash long, segment binary, places long"), "repeat-segments")
 
     def _repeated(self) -> DataFrame:
         """Distinct segments by digest (d1, d2) with their repeated windows as (first, last) pairs."""
@@ -420,8 +418,9 @@ class Repeats:
             for record in batches:
                 cols: list[list] = [[] for _ in range(4)]
                 nodes = record.column(0).to_pylist()
-                for row, (data, a, b) in _runs_of(record, rows=True):
-                    for c, v in zip(cols, (*_digest(data[a:b + length]), nodes[row], a), strict=True):
+                for row, data, run in _runs_of(record):
+                    a = run["a"]
+                    for c, v in zip(cols, (*_digest(data[a:run["b"] + length]), nodes[row], a), strict=True):
                         c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["d1", "d2", "node", "start"])
 
@@ -443,12 +442,12 @@ class Repeats:
         return pieces.select("node", F.aggregate("spans", empty, join).alias("spans"))
 
 
-def _runs_of(record: pa.RecordBatch, rows: bool = False) -> Iterator:
-    """Bytes of each text of (node, text, runs) with its runs."""
+def _runs_of(record: pa.RecordBatch) -> Iterator[tuple[int, bytes, dict]]:
+    """Row, bytes and run, for each text of (node, text, runs) and each of its runs."""
     for i, (text, runs) in enumerate(zip(record.column(1).to_pylist(), record.column(2).to_pylist(), strict=True)):
         data = text.encode("utf-8", "surrogatepass")
         for r in runs:
-            yield (i, (data, r["a"], r["b"])) if rows else (data, r["a"], r["b"])
+            yield i, data, r
 
 
 def repeated_spans(df: DataFrame, id_col: str, text_col: str, length: int = 200) -> DataFrame:
