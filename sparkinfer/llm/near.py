@@ -21,7 +21,7 @@ BANDS, RANKS = 40, 6
 #: Elements of a signature lot; a lot holds one permutation of the ranks for each.
 LOT_ELEMENTS = 32_768
 #: Nodes a bucket compares with all its members in a later round.
-PIVOTS = 32
+PIVOTS = 512
 #: Ratio of the sizes that bound a class of sets.
 SIZE_CLASS = 1.05
 
@@ -133,8 +133,9 @@ class NearDuplicates:
     def _links(self) -> DataFrame | None:
         """Verified links between nodes; all of them stem from shared bands, none from a sample.
 
-        In a bucket of one band key the smallest node is compared with every member, which costs
-        one pair a member. A bucket whose members then lie in one component is done. Nodes of the
+        In a bucket of one band key one node is compared with every member, which costs one pair a
+        member: the one that meets most others in its buckets, as of many edited copies that is
+        the one closest to all. A bucket whose members then lie in one component is done. Nodes of the
         others, mostly copies edited too much to be linked, meet again under the rarest shingles
         of their sets (:meth:`_rare`), which is exact; there, members outside the most frequent
         component are compared with all others, PIVOTS of them a round, and leave. At the end every
@@ -144,16 +145,19 @@ class NearDuplicates:
         nodes = leads.join(self.classes.select(F.col("node").alias(self.uid)), self.uid)
         self.texts = nodes.select(F.col(self.uid).alias("node"), F.col(self.text).alias("text"))
         members = nodes.select(F.explode(self.keys).alias("key"), F.col(self.uid).alias("node"), F.col(self.n).alias("n"))
-        shared = members.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
+        shared = members.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
         buckets = stored(members.join(shared, "key"), "near-buckets")
         if buckets.isEmpty():
             return None
         self.texts = stored(self.texts.join(buckets.select("node").distinct(), "node", "left_semi"), "near-texts")
-        pivots = buckets.groupBy("key").agg(F.min("node").alias("pivot"), F.min_by("n", "node").alias("pn"))
+        popular = buckets.groupBy("node").agg(F.sum("members").alias("popular"))
+        pivots = stored(buckets.join(popular, "node").groupBy("key").agg(
+            F.max(F.struct("popular", "node", "n")).alias("top")).select(
+                "key", F.col("top.node").alias("pivot"), F.col("top.n").alias("pn")), "near-pivots")
         links = self._verified(buckets.join(pivots, "key").where("node != pivot"))
         roots = components(links, "a", "b")
         rest = buckets.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
-        open_ = self._mixed(rest, roots)
+        open_ = self._mixed(rest.withColumn("place", F.lit(1)), roots)
         if open_.isEmpty():
             return links
         open_ = self._mixed(self._rare(open_.select("node", "n").distinct()), roots)
@@ -163,8 +167,11 @@ class NearDuplicates:
             few = open_.join(most, "key").where("root != most")
             order = Window.partitionBy("key").orderBy("node")
             pivots = stored(few.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS).select(
-                "key", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("root").alias("proot")), "near-pivots")
-            more = self._verified(open_.join(pivots, "key").where("proot != root"))
+                "key", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("root").alias("proot"),
+                F.col("place").alias("pplace")), "near-pivots")
+            needed = F.ceil(F.lit(self.percent) * (F.col("n") + F.col("pn")) / F.lit(100 + self.percent))
+            near_enough = (F.col("place") <= F.col("n") - needed + 1) & (F.col("pplace") <= F.col("pn") - needed + 1)
+            more = self._verified(open_.join(pivots, "key").where("proot != root").where(near_enough))
             links = stored(links.unionByName(more), "near-links")
             roots = components(links, "a", "b")
             rest = open_.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti")
@@ -173,15 +180,15 @@ class NearDuplicates:
 
     @staticmethod
     def _mixed(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-        """Members (key, node, n, root) of the buckets that hold more than one component."""
-        labelled = (buckets.select("key", "node", "n").join(roots, "node", "left")
+        """Members (key, node, n, place, root) of the buckets that hold more than one component."""
+        labelled = (buckets.select("key", "node", "n", "place").join(roots, "node", "left")
                     .withColumn("root", F.coalesce("root", "node")))
         labelled = stored(labelled, "near-labelled")
         mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
         return stored(labelled.join(mixed.select("key"), "key", "left_semi"), "near-open")
 
     def _rare(self, nodes: DataFrame) -> DataFrame:
-        """Buckets (key, node, n) such that any two similar sets of ``nodes`` share one.
+        """Buckets (key, node, n, place in the order) such that any two similar sets of ``nodes`` share one.
 
         Sets A and B reach the threshold only if they share t = percent (|A| + |B|) / (100 + percent)
         shingles, so in any common order each has one of the shared ones among its first
@@ -219,7 +226,7 @@ class NearDuplicates:
         paired = (first.withColumn("own", size_class(F.col("n"))).withColumn("other", F.explode(classes))
                   .where(F.col("nth") <= F.col("n") - needed + 1))
         return paired.select(F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-                             "node", "n").distinct()
+                             "node", "n", F.col("nth").alias("place")).distinct()
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs whose whole sets are similar enough, compared as words."""

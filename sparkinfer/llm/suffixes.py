@@ -105,7 +105,7 @@ def suffix_order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     place = np.arange(total)
     for j in range(step):
         key = (key << 9) | np.where(place + j <= last, symbols[np.minimum(place + j, total - 1)], 0)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     fresh_group = np.concatenate([[True], np.diff(key[order]) != 0])
     rank = np.empty(total, np.int64)
     rank[order] = np.maximum.accumulate(np.where(fresh_group, np.arange(total), 0))
@@ -120,10 +120,12 @@ def suffix_order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
         at = order[slots]
         # suffixes that have reached their mark are ordered by text, before all that go on
         ahead = np.where(at + step <= last[at], rank[np.minimum(at + step, total - 1)] + len(texts), owner[at])
-        by = np.lexsort((ahead, rank[at]))
+        # both numbers are below the number of symbols and texts, so their pair is one number
+        pair = rank[at] * np.int64(total + len(texts) + 1) + ahead
+        by = np.argsort(pair)
         order[slots] = at[by]
-        head, tail = rank[at][by], ahead[by]
-        new = np.concatenate([[True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])])
+        pair = pair[by]
+        new = np.concatenate([[True], pair[1:] != pair[:-1]])
         rank[order[slots]] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
         step *= 2
 
