@@ -54,6 +54,39 @@ FROM hosts h LEFT JOIN rules r
 GROUP BY h.n
 """
 
+# Windows as hexadecimal text, compared by their md5; runs of windows merge into spans.
+OP3 = """
+WITH b AS (SELECT doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+win AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 400)) AS s
+        FROM (SELECT doc_id, h, unnest(range(0, n - 199)) AS i FROM b WHERE n >= 200)),
+hit AS (SELECT doc_id, i FROM win WHERE s IN (SELECT s FROM win GROUP BY s HAVING count(*) > 1)),
+marked AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS first FROM hit),
+grouped AS (SELECT *, sum(first) OVER (PARTITION BY doc_id ORDER BY i) AS grp FROM marked),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM grouped GROUP BY doc_id, grp),
+ahead AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_ FROM spans),
+cut AS (SELECT s.doc_id, sum(s.b - s.a) AS removed, count(*) AS spans, max(s.b) AS last,
+        string_agg(substr(d.h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) AS kept
+        FROM ahead s JOIN b d USING (doc_id) GROUP BY s.doc_id)
+SELECT b.doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN removed IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM b LEFT JOIN cut USING (doc_id)
+"""
+
+OP9 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct(list_transform(
+        range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+         GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(d, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.d, both_.b FROM reach JOIN both_ ON reach.r = both_.a)
+SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN (SELECT d, min(r) AS component_id FROM reach GROUP BY d) c ON s.doc_id = c.d
+"""
+
 OP10 = """
 WITH g AS (SELECT coalesce(text, '') AS t, max(doc_id) AS keep_id, count(*) AS group_size FROM documents GROUP BY 1)
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(g.t) AS text_sha256
@@ -88,4 +121,4 @@ FROM docs d LEFT JOIN spans s USING (n) GROUP BY n
 
 
 def build() -> dict[str, str]:
-    return {"op1_jump_shards": OP1, "op4_url_rules": OP4, "op6_secret_spans": _op6(), "op10_exact_dedup": OP10}
+    return {"op1_jump_shards": OP1, "op3_interval_expansion": OP3, "op9_super_minhash": OP9, "op4_url_rules": OP4, "op6_secret_spans": _op6(), "op10_exact_dedup": OP10}
