@@ -17,6 +17,7 @@ from sparkinfer.functions.scalars import number, present
 from sparkinfer.functions.tails import ALTERNATIVES, chi2_sf, f_sf, t_p_value
 from sparkinfer.operators.joins import attach, join_on, with_group
 from sparkinfer.operators.ranks import Layout, probe, rank_cells, value_counts
+from sparkinfer.sources.landing import cut
 
 
 def _status(enough: Column, varied: Column) -> Column:
@@ -61,8 +62,8 @@ def mann_whitney(df: DataFrame, value: str, group: str, first, second, by: Seque
     if alternative not in ALTERNATIVES:
         raise ValueError(f"alternative must be one of {ALTERNATIVES}, not {alternative!r}")
     rows = _two_samples(df, value, group, first, second, by)
-    ranked = rank_cells(value_counts(rows, "value", by, ["is_first"]), by,
-                        layout or probe(rows, "value", by))
+    cells = cut(value_counts(rows, "value", by, ["is_first"]))  # the source is read once
+    ranked = rank_cells(cells, by, layout or probe(cells, "value", by))
     return u_test(ranked, "is_first", by, alternative)
 
 
@@ -120,10 +121,10 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, by: Sequence[str] = ()
     """Kruskal-Wallis H with tie correction over all levels with at least two rows."""
     by = list(by)
     rows = df.where(F.col(group).isNotNull())
-    cells = value_counts(rows, value, by, [group])
+    cells = cut(value_counts(rows, value, by, [group]))
     sizes = cells.groupBy(*by, group).agg(F.sum("n").alias("level_rows")).where(F.col("level_rows") > 1)
     kept = join_on(cells, sizes.drop("level_rows"), [*by, group], "left_semi")
-    ranked = rank_cells(kept, by, probe(rows, value, [*by, group]))
+    ranked = rank_cells(kept, by, probe(cells, "value", [*by, group]))
     n, t = F.col("n").cast("double"), F.col("tied").cast("double")
     # ranks are centred on the overall mean rank before they are summed
     offset = F.col("avg_rank") - (F.col("total") + 1) / 2.0
@@ -171,18 +172,18 @@ def _attach_ranks(rows: DataFrame, values: DataFrame, key: str, by: list[str], l
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """Spearman rank correlation of a pair over its complete rows.
 
-    Rows are first folded to distinct (x, y) pairs. Each side's ranks are then
+    Rows are first folded to distinct (x, y) pairs, which are stored. Each side's ranks are then
     attached by value; values holding many pairs are handled as hot keys.
     """
     by = list(by)
     pairs = (present(df, x, y, *by).select(*by, F.col(x).cast("double").alias("x"),
                                            F.col(y).cast("double").alias("y"))
              .groupBy(*by, "x", "y").agg(F.count(F.lit(1)).alias("m")))
-    rows = pairs
-    for side, source in (("x", x), ("y", y)):
+    rows = pairs = cut(pairs)
+    for side in ("x", "y"):
         values = pairs.groupBy(*by, F.col(side).alias("value")).agg(
             F.sum("m").alias("n"), F.count(F.lit(1)).alias("pairs"))
-        rows = _attach_ranks(rows, values, side, by, probe(df, source, by), "pairs")
+        rows = _attach_ranks(rows, values, side, by, probe(pairs, side, by), "pairs")
     m, rx, ry = F.col("m"), F.col("rx"), F.col("ry")
     folded = rows.groupBy(*by).agg(
         F.coalesce(F.sum("m"), F.lit(0)).alias("n"), F.sum(m * rx * ry).alias("sxy"),
@@ -198,12 +199,13 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
 def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All pairwise Spearman correlations over the rows complete in every column.
 
-    Long output (a, b, n, rho, p_value, stars, cell); each column is ranked once.
+    Long output (a, b, n, rho, p_value, stars, cell); each column is ranked once, and the
+    columns are stored first, so that ``df`` is read once.
     """
     columns = list(columns)
     base = present(df, *columns).select(*[F.col(c).cast("double").alias(f"v{i}")
                                           for i, c in enumerate(columns)])
-    rows = base
+    rows = base = cut(base)
     for i in range(len(columns)):
         rows = _attach_ranks(rows, value_counts(base, f"v{i}"), f"v{i}", [], probe(base, f"v{i}"), "n")
     k = range(len(columns))

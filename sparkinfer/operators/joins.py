@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # A key is "hot" when it holds more than 1/HOT_SHARE of all rows, so there are
 # always fewer than HOT_SHARE hot keys: that is the proven bound of the broadcast.
 HOT_SHARE = 1024
+#: Ways over which settled rows pass a join that they take no part in.
+SALTS = 1 << 20
 
 
 def same(left: DataFrame, right: DataFrame, pairs) -> Column:
@@ -38,9 +40,10 @@ def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str,
            how: str = "left", nulls: bool = False) -> DataFrame:
     """Look up ``table`` (one row per key, ``weight`` = rows per key) from every row.
 
-    Rows of hot keys take their values from a broadcast of the hot part of the table
-    and, like rows without a key, never enter a shuffle. The other rows are joined
-    on their key, where no key holds more than 1/HOT_SHARE of them all. Columns of
+    ``rows`` is read once. Rows of hot keys take their values from a broadcast of the hot
+    part of the table; with those without a key they pass the join of the others under
+    salts that match nothing, so that no task gets more than 1/HOT_SHARE of the rows
+    for one key. Columns of
     ``table`` other than the keys are added, ``weight`` included. Rows with a NULL
     key match nothing, unless ``nulls``: then NULL is a key like any other, as it is
     for groups.
@@ -53,22 +56,25 @@ def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str,
     total = keyed.agg(F.sum(weight).alias("t")).scalar()
     heavy = F.col(weight) * F.lit(HOT_SHARE) > total
 
-    def joined(left, right, kind):
-        renamed = right.select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*values).alias("__v"))
-        renamed = F.broadcast(renamed) if kind == "hot" else renamed
-        on = reduce(lambda a, b: a & b, [
-            left[k].eqNullSafe(renamed[f"__{k}"]) if nulls else left[k] == renamed[f"__{k}"] for k in keys])
-        return left.join(renamed, on, "left" if kind == "hot" else how)
-
-    def unpacked(df):
-        return df.select(*rows.columns, *[F.col(f"__v.{v}").alias(v) for v in values])
-
-    marked = joined(rows, keyed.where(heavy), "hot")
-    settled = F.col("__v").isNotNull()
-    if how == "left":
-        settled = settled | ~has_key
-    rest = marked.where(F.col("__v").isNull() & has_key).select(*rows.columns)
-    return unpacked(marked.where(settled)).unionByName(unpacked(joined(rest, keyed.where(~heavy), "cold")))
+    def renamed(part, value):
+        return part.select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*values).alias(value))
+
+    def on(left, right):
+        return reduce(lambda a, b: a & b, [
+            left[k].eqNullSafe(right[f"__{k}"]) if nulls else left[k] == right[f"__{k}"] for k in keys])
+
+    hot = F.broadcast(renamed(keyed.where(heavy), "__hot"))
+    marked = rows.join(hot, on(rows, hot), "left").select(*rows.columns, "__hot")
+    settled = F.col("__hot").isNotNull() | ~has_key
+    spread = F.lit(1) + F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
+    salted = marked.withColumn("__salt", F.when(settled, spread).otherwise(F.lit(0)))
+    cold = renamed(keyed.where(~heavy), "__cold").withColumn("__zero", F.lit(0).cast("long"))
+    joined = salted.join(cold, on(salted, cold) & (salted["__salt"] == cold["__zero"]), "left")
+    value = F.coalesce("__hot", "__cold")
+    found = joined.withColumn("__v", value)
+    if how == "inner":
+        found = found.where(F.col("__v").isNotNull())
+    return found.select(*rows.columns, *[F.col(f"__v.{v}").alias(v) for v in values])
 
 
 def frequency(df: DataFrame, key: str, output: str = "frequency") -> DataFrame:
