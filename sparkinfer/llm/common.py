@@ -56,12 +56,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def per_worker(key: str, build: Callable[[], object]) -> object:
-    """An object that a Python worker builds once and keeps for its later tasks.
+def per_worker(name: str, build: Callable[[], object]) -> object:
+    """An object that a Python worker builds once and keeps for its later tasks of the same kind.
 
-    Package functions travel by value, so their module globals do not outlive a task.
+    Package functions travel by value, so their module globals do not outlive a task. A worker
+    holds one object only: asking for another name lets the last one go.
     """
-    holder = sys.modules.setdefault("_worker_objects", types.ModuleType("_worker_objects"))
-    if not hasattr(holder, key):
-        setattr(holder, key, build())
-    return getattr(holder, key)
+    holder = sys.modules.setdefault("_worker_object", types.ModuleType("_worker_object"))
+    if getattr(holder, "name", None) != name:
+        holder.name = holder.object = None  # free the old one before the new one is built
+        holder.object = build()
+        holder.name = name
+    return holder.object

@@ -24,7 +24,7 @@ RADIUS = 40
 #: Item texts sent to the executors at once; more items are searched in several passes.
 PASS_BYTES = 16 << 20
 WORD = re.compile(r"\w+")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 
 def words_of(text: str | None) -> list[str]:

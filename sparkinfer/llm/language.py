@@ -28,7 +28,7 @@ ROUNDS = 3
 PART = 32
 LONGEST_PIECE = 12
 #: Words whose scores a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 #: Every position's factor, so that sums stay near 1; the same for all languages.
 SCALE = 16.0
 UNKNOWN = 1e-7
