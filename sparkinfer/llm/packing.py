@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkinfer.llm.common import fresh, per_worker, text_of
-from sparkinfer.llm.tokens import WordCoder, tokenizer_json
+from sparkinfer.llm.tokens import WordCoder, coder_name, tokenizer_json
 
 #: Window lengths, longest first.
 TIERS = (4096, 2048, 1024, 512)
@@ -120,7 +120,8 @@ def pack_documents(df: DataFrame, id_col: str, text_col: str, tokenizer: str, en
     run again, so read the input from files, as a lost executor's splits are read anew.
     """
     spark = df.sparkSession
-    source = spark.sparkContext.broadcast(tokenizer_json(tokenizer))
+    text = tokenizer_json(tokenizer)
+    source, name = spark.sparkContext.broadcast(text), coder_name(text)
     id_type = df.schema[id_col].dataType
     rows = df.select(F.col(f"`{id_col}`"), text_of(text_col).alias(fresh([id_col], "text")))
     fields = [("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType()), ("doc_tokens", T.LongType()),
@@ -130,7 +131,7 @@ def pack_documents(df: DataFrame, id_col: str, text_col: str, tokenizer: str, en
     tail = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = per_worker("word_coder", lambda: WordCoder(source.value))
+        coder = per_worker(name, lambda: WordCoder(source.value))
         base = TaskContext.get().partitionId() << 36
         packer = Packer(tiers)
         ids: dict[int, tuple[object, bytes]] = {}
@@ -154,8 +155,8 @@ def pack_documents(df: DataFrame, id_col: str, text_col: str, tokenizer: str, en
                 counts[tier] = nth + 1
                 step = base | (tier.bit_length() << 30) | (nth // group)
                 for length, document, start in window:
-                    name, whole = ids[document]
-                    row = (name, start, length, whole[4 * start:4 * (start + length)], len(whole) // 4,
+                    owner, whole = ids[document]
+                    row = (owner, start, length, whole[4 * start:4 * (start + length)], len(whole) // 4,
                            base | made, at, tier, step)
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
@@ -177,9 +178,9 @@ def pack_documents(df: DataFrame, id_col: str, text_col: str, tokenizer: str, en
             for lot in range(0, record.num_rows, 256):
                 part = record.slice(lot, 256)
                 names = part.column(0).to_pylist()
-                for name, coded in zip(names, coder.encode(part.column(1).to_pylist()), strict=True):
+                for owner, coded in zip(names, coder.encode(part.column(1).to_pylist()), strict=True):
                     whole = coded + tail
-                    ids[number] = (name, whole)
+                    ids[number] = (owner, whole)
                     packer.add(number, len(whole) // 4)
                     gathered += len(whole) // 4
                     number += 1

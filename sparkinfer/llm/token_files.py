@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkinfer.llm.common import fresh, per_worker, text_of
-from sparkinfer.llm.tokens import WordCoder, tokenizer_json
+from sparkinfer.llm.tokens import WordCoder, coder_name, tokenizer_json
 
 STRIPE_BYTES = 16 << 20
 INDEX_STRIDE = 1000
@@ -35,7 +35,8 @@ def write_token_files(df: DataFrame, path: str, id_col: str, text_col: str, toke
     with very many rows spans several tasks. Each task writes one file; if it is lost, it
     encodes its range again.
     """
-    source = df.sparkSession.sparkContext.broadcast(tokenizer_json(tokenizer))
+    json_text = tokenizer_json(tokenizer)
+    source, name = df.sparkSession.sparkContext.broadcast(json_text), coder_name(json_text)
     names = [id_col]
     text, place = fresh(names, "text"), fresh(names, "place")
     rows = (df.select(F.col(f"`{id_col}`"), text_of(text_col).alias(text))
@@ -47,7 +48,7 @@ def write_token_files(df: DataFrame, path: str, id_col: str, text_col: str, toke
                            T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = per_worker("word_coder", lambda: WordCoder(source.value))
+        coder = per_worker(name, lambda: WordCoder(source.value))
         first = 0
         for record in batches:
             for lot in range(0, record.num_rows, 256):

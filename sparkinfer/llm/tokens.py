@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from itertools import chain, islice
 from struct import pack
@@ -23,6 +24,11 @@ def tokenizer_json(path: str) -> str:
         return f.read()
 
 
+def coder_name(source: str) -> str:
+    """What a worker keeps a file's coder under; another file has another name."""
+    return f"word_coder_{hashlib.sha256(source.encode()).hexdigest()}"
+
+
 class WordCoder:
     """Encodes texts word by word with a cache; exact for tokenizers that break at blanks and line feeds.
 
