@@ -409,8 +409,20 @@ class Repeats:
             windows, "d1 long, d2 long, at long, w1 long, w2 long, places long"), "repeat-every-window")
         again = every.groupBy("w1", "w2").agg(F.sum("places").alias("n")).where("n > 1").select("w1", "w2")
         hit = every.join(again, ["w1", "w2"]).select("d1", "d2", "at").distinct()
-        one = F.transform(F.array_sort(F.collect_list("at")), lambda x: F.struct(x.alias("a"), x.alias("b")))
-        return hit.groupBy("d1", "d2").agg(one.alias("windows"))
+
+        def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for record in batches:
+                found = []
+                for places in record.column(2).to_pylist():
+                    flags = np.zeros(max(places) + 1, bool)
+                    flags[places] = True
+                    found.append(_intervals(flags))
+                yield pa.RecordBatch.from_arrays([record.column(0), record.column(1), _pairs(found)],
+                                                 names=["d1", "d2", "windows"])
+
+        # neighbouring windows of a segment are one interval, as from a transform
+        return hit.groupBy("d1", "d2").agg(F.collect_list("at").alias("places")).mapInArrow(
+            runs, "d1 long, d2 long, windows array<struct<a:long,b:long>>")
 
     def spans(self) -> DataFrame:
         """Suspect texts (node) with the byte spans to remove, first and end, merged."""
