@@ -18,9 +18,10 @@ from sparkinfer.llm.shingles import GOLDEN, mix
 
 #: Fingerprint bits, as blocks of 16.
 BITS, BLOCK = 128, 16
-#: Sets at 0.8 have a cosine of 0.89, so 0.15 of the bits differ: 19.4 of 128, deviation 4.1.
-#: Within 40 bits lies all but one pair in three million.
-RADIUS = 40
+#: Sets at 0.8 have a cosine of 8/9, so 0.15 of the bits differ: 19.4 of 128, deviation 4.1.
+#: Within 40 bits lies all but one pair in three million. Pairs that may have a smaller cosine,
+#: because a shingle repeats or ``percent`` is lower, are not left to the fingerprints.
+RADIUS, LEAST_COSINE = 40, (8, 9)
 #: Item texts sent to the executors at once; more items are searched in several passes.
 PASS_BYTES = 16 << 20
 WORD = re.compile(r"\w+")
@@ -91,6 +92,68 @@ class MultiIndex:
                 yield w, at[distance <= RADIUS]
 
 
+class Holders:
+    """Items of one length by shingle, and the similarity of all windows of a text to one of them."""
+
+    def __init__(self, runs: list[np.ndarray]):
+        self.span = len(runs[0])
+        self.shingles, each = np.unique(np.concatenate(runs), return_inverse=True)
+        who = np.repeat(np.arange(len(runs)), self.span)
+        pairs, self.weight = np.unique(each * len(runs) + who, return_counts=True)
+        self.item = pairs % len(runs)
+        self.first = np.searchsorted(pairs // len(runs), np.arange(len(self.shingles) + 1))
+        by_item = np.argsort(self.item, kind="stable")
+        self.of_item = np.split(by_item, np.searchsorted(self.item[by_item], np.arange(1, len(runs))))
+        self.squares = np.bincount(self.item, self.weight.astype(float) ** 2, len(runs)).astype(np.int64)
+
+    def sharing(self, found: np.ndarray, least: int) -> np.ndarray:
+        """Items that hold at least so many of the places ``found``, given as numbers of shingles."""
+        numbers, times = np.unique(found, return_counts=True)
+        n = self.first[numbers + 1] - self.first[numbers]
+        at = np.repeat(self.first[numbers] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.flatnonzero(np.bincount(self.item[at], np.repeat(times, n)) >= least)
+
+    def shared(self, item: int, hits: np.ndarray, found: np.ndarray, last: int) -> np.ndarray:
+        """Sum of the smaller weights for every window from 0 to ``last``.
+
+        A place counts where it lies in the window with fewer than the item's weight of earlier
+        places of its shingle, which holds for one interval of windows.
+        """
+        pairs = self.of_item[item]
+        numbers = np.searchsorted(self.first, pairs, "right") - 1
+        own = np.minimum(np.searchsorted(numbers, found), len(numbers) - 1)
+        mine = numbers[own] == found
+        own, place = own[mine], hits[mine]
+        order = np.argsort(own, kind="stable")
+        own, place = own[order], place[order]
+        before = np.arange(len(own)) - self.weight[pairs][own]
+        inside = before >= np.searchsorted(own, own)
+        start = np.maximum(np.where(inside, place[np.maximum(before, 0)], -1), place - self.span) + 1
+        end = np.minimum(place, last)
+        held = start <= end
+        change = np.zeros(last + 2, np.int64)
+        np.add.at(change, start[held], 1)
+        np.add.at(change, end[held] + 1, -1)
+        return np.cumsum(change[:-1])
+
+
+def window_squares(run: np.ndarray, span: int) -> np.ndarray:
+    """Sum of squared weights of every window of ``span`` shingles."""
+    n = len(run)
+    place = np.arange(n)
+    number = np.unique(run, return_inverse=True)[1]
+    order = np.argsort(number, kind="stable")
+    keys = number[order] * (n + 1) + order
+    rank = np.empty(n, np.int64)
+    rank[order] = place
+    # weight of a place's shingle in the window that ends, and in the one that begins with it
+    ending = rank + 1 - np.searchsorted(keys, number * (n + 1) + np.maximum(place - span + 1, 0))
+    beginning = np.searchsorted(keys, number * (n + 1) + np.minimum(place + span, n)) - rank
+    come = np.cumsum(2 * ending - 1)
+    gone = np.concatenate([[0], np.cumsum(2 * beginning - 1)])
+    return come[span - 1:] - gone[:n - span + 1]
+
+
 class Searcher:
     """Windows of texts against one pass of items."""
 
@@ -105,9 +168,9 @@ class Searcher:
             own = [i for i, w in enumerate(self.words) if len(w) == size]
             runs = [self.run(self.words[i], kk) for i in own]
             prints = pack_signs(np.stack([feature_bits(r).sum(axis=0, dtype=np.int64) for r in runs]))
-            self.by_shape[size] = (own, MultiIndex(prints), np.unique(np.concatenate(runs)))
+            self.by_shape[size] = (own, MultiIndex(prints), Holders(runs))
         for kk in {kk for kk, _ in self.shapes}:
-            every = np.unique(np.concatenate([self.by_shape[s][2] for k2, s in self.shapes if k2 == kk]))
+            every = np.unique(np.concatenate([self.by_shape[s][2].shingles for k2, s in self.shapes if k2 == kk]))
             bloom = np.zeros(1 << 20, bool)
             bloom[every >> np.uint64(44)] = True
             self.any[kk] = (bloom, every)
@@ -141,10 +204,50 @@ class Searcher:
                 continue
             for k2, size in self.shapes:
                 if k2 == kk:
-                    own, index, shingles = self.by_shape[size]
-                    self._windows(words, run, hits[_in_sorted(run[hits], shingles)], kk, size, own, index, best)
+                    own, index, holders = self.by_shape[size]
+                    inside = hits[_in_sorted(run[hits], holders.shingles)]
+                    self._windows(words, run, inside, kk, size, own, index, best)
+                    self._repeats(words, run, inside, kk, size, own, holders, best)
         return best
 
+    def _compare(self, words, start, kk, size, found, best) -> None:
+        """Keep a window for those of the items that it is similar to, if it is the best so far."""
+        window = words[start:start + size]
+        weights = weighted_shingles(window, min(kk, len(window)))
+        for i in found:
+            low, high = similar(weights, self.weights[i])
+            if 100 * low >= self.percent * high and low / high > best.get(i, (0.0,))[0]:
+                best[i] = (low / high, start, len(window))
+
+    def _repeats(self, words, run, hits, kk, size, own, holders, best) -> None:
+        """Pairs that RADIUS does not cover, by the weights themselves.
+
+        A similar pair shares ``need`` of its weights, whose products are at least as many, so its
+        cosine is at least need / (norm x norm). Where that is below LEAST_COSINE, the window is
+        compared without fingerprints.
+        """
+        length = min(holders.span, len(run))
+        both, p = holders.span + length, self.percent
+        need = max(1, -(-p * both // (100 + p)))
+        if len(hits) < need:
+            return
+        found = np.searchsorted(holders.shingles, run[hits])
+        squares = None
+        for i in holders.sharing(found, need).tolist():
+            if squares is None:
+                squares = window_squares(run, length)
+            covered = (LEAST_COSINE[1] * p * both) ** 2 // ((LEAST_COSINE[0] * (100 + p)) ** 2 * int(holders.squares[i]))
+            if int(squares.max()) <= covered:
+                continue
+            low = holders.shared(i, hits, found, len(run) - length)
+            starts = np.flatnonzero((100 * low >= p * (both - low)) & (squares > covered))
+            # equal hashes of unequal shingles could only raise a sum: the first whose words agree is the best
+            for start in starts[np.argsort(-low[starts], kind="stable")].tolist():
+                ratio = int(low[start]) / (both - int(low[start]))
+                if ratio <= best.get(own[i], (0.0,))[0]:
+                    break
+                self._compare(words, start, kk, size, [own[i]], best)
+
     def _windows(self, words, run, hits, kk, size, own, index, best) -> None:
         """All windows of ``size`` words that hold a shingle of an item; no other can be similar."""
         if not len(hits):
@@ -164,13 +267,7 @@ class Searcher:
                 ends = np.minimum(part - lo + span, hi - lo)
                 prints = pack_signs(sums[ends] - sums[part - lo])
                 for w, found in index.search(prints):
-                    start = int(part[w])
-                    window = words[start:start + size]
-                    weights = weighted_shingles(window, min(kk, len(window)))
-                    for i in found.tolist():
-                        low, high = similar(weights, self.weights[own[i]])
-                        if 100 * low >= self.percent * high and low / high > best.get(own[i], (0.0,))[0]:
-                            best[own[i]] = (low / high, start, len(window))
+                    self._compare(words, int(part[w]), kk, size, [own[i] for i in found.tolist()], best)
 
 
 def find_items(df: DataFrame, id_col: str, text_col: str, items: DataFrame, item_col: str, item_text: str,
@@ -186,7 +283,8 @@ def find_items(df: DataFrame, id_col: str, text_col: str, items: DataFrame, item
     none. Other columns are not read.
 
     Windows without a shingle of any item of their length have similarity 0 and get no
-    fingerprint; all others, of whole texts, do. Nothing is shuffled. Items go to the executors
+    fingerprint; all others, of whole texts, do. Where repeated shingles or a low ``percent``
+    allow a cosine that fingerprints do not cover, windows are compared by their weights. Nothing is shuffled. Items go to the executors
     in passes of at most PASS_BYTES.
     """
     return _search(df.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").alias(

@@ -435,6 +435,51 @@ def brute_items(rows, items, k=5, percent=80):
     return found
 
 
+def test_items_with_repeated_shingles_equal_brute_force():
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    plain = [word() for _ in range(90)]
+    heavy = [[word() for _ in range(n)] + [w] * m + [word() for _ in range(n)]
+             for n, m, w in ((78, 14, "a"), (120, 24, "b"), (160, 34, "c"))]
+    items = [" ".join(x) for x in (*heavy, plain, plain[:40] * 2, ["d"] * 30, heavy[0])]
+    texts = [*items, "", "d " * 300, " ".join(["d"] * 20)]
+    for x in heavy:  # the repeated word is replaced, the words around it stay
+        m = x.count(x[len(x) // 2])
+        at = x.index(x[len(x) // 2])
+        texts.append(" ".join([word() for _ in range(30)] + x[:at] + [word() for _ in range(m)] + x[at + m:]))
+    texts.append(" ".join(plain[:80] + ["e"] * 10))  # only the window repeats
+    texts.append(" ".join(plain[:84] + ["e"] * 30))
+    for _ in range(40):
+        x = rng.choice(items).split()
+        at, n = rng.randrange(len(x)), rng.randint(0, 20)
+        x[at:at + n] = [rng.choice(["a", "d", x[0]])] * rng.randint(0, 25)
+        texts.append(" ".join([word() for _ in range(rng.randint(0, 9))] + x))
+    rows = list(enumerate(texts))
+    for percent in (80, 50):
+        expected = brute_items(rows, list(enumerate(items)), percent=percent)
+        assert sum(v < 1 for v in expected.values()) > 20
+        searcher = decontaminate.Searcher(items, 5, percent)
+        got = {(d, i): f for d, t in rows for i, f in searcher.search(t).items()}
+        assert {k: f[0] for k, f in got.items()} == expected
+        for (d, i), (ratio, start, n) in got.items():
+            window, own = decontaminate.words_of(texts[d])[start:start + n], decontaminate.words_of(items[i])
+            low, high = decontaminate.similar(*(decontaminate.weighted_shingles(x, 5) for x in (window, own)))
+            assert low / high == ratio
+
+
+def test_sums_of_all_windows():
+    rng = np.random.default_rng(3)
+    run = rng.integers(0, 6, 60).astype(np.uint64)
+    for span in (1, 7, 60):
+        expected = [sum(n * n for n in Counter(run[a:a + span].tolist()).values()) for a in range(61 - span)]
+        assert decontaminate.window_squares(run, span).tolist() == expected
+        item = Counter(run[:span].tolist())
+        holders = decontaminate.Holders([run[-span:] + np.uint64(3), run[:span]])
+        hits = np.flatnonzero(np.isin(run, holders.shingles))
+        low = holders.shared(1, hits, np.searchsorted(holders.shingles, run[hits]), 60 - span)
+        assert low.tolist() == [sum((item & Counter(run[a:a + span].tolist())).values()) for a in range(61 - span)]
+
+
 def test_contaminated_pairs_equal_brute_force(spark, edge, empty, monkeypatch):
     rng = random.Random(4)
     word = lambda: f"w{rng.randint(0, 300)}"
