@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from sparkinfer.llm.common import fresh, per_worker
 
 UNDETERMINED = "und"
-#: Labelled texts that are learned from, about so many of each language; the rest is not needed.
+#: Distinct labelled texts that are learned from, about so many of each language; the rest is not needed.
 SAMPLE_TEXTS = 1500
 #: Languages that may be told apart; the model is a table of pieces by languages on the driver.
 MAX_LANGUAGES = 1000
@@ -164,24 +164,30 @@ def learn_languages(labelled: DataFrame, text_col: str, lang_col: str, pieces_fi
                     sample_texts: int = SAMPLE_TEXTS) -> LanguageModel:
     """Piece probabilities of every language from labelled rows; rows without text or language are left out.
 
-    Label counts, for the prior and the share to draw, cover all rows. Of each language about
-    ``sample_texts`` whole texts, chosen by a hash of the text, are cut into counted words; one
-    task a language fits on those counts, whose number the sample bounds. Raises ValueError
-    beyond MAX_LANGUAGES.
+    Label counts, for the prior, cover all rows. Of each language about ``sample_texts`` distinct
+    texts with a letter (all, if there are fewer), chosen by a hash of the text and the one with
+    the smallest hash always among them, are cut into counted words, each text once however many
+    copies it has; one task a language fits on those counts, whose number the sample bounds. Only
+    a language without any letter is left out. Raises ValueError beyond MAX_LANGUAGES.
     """
     pieces = vocabulary(pieces_file)
     rows = labelled.select(F.col(f"`{text_col}`").cast("string").alias("text"),
                            F.col(f"`{lang_col}`").cast("string").alias("lang")).dropna()
-    tally = rows.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    hashed = F.xxhash64("text")
+    lettered = F.when(F.col("text").rlike(r"\p{L}"), hashed)
+    tally = (rows.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct(lettered, 0.02).alias("texts"),
+                                      F.min(lettered).alias("first"))
+             .orderBy("lang").limit(MAX_LANGUAGES + 1).collect())
     if len(tally) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not tally:
         return LanguageModel([], np.zeros(0), pieces, np.zeros((len(pieces) + 2, 0)))
     spark = labelled.sparkSession
-    share = spark.createDataFrame([(r["lang"], min(1.0, sample_texts / r["count"])) for r in tally],
-                                  "lang string, share double")
+    share = spark.createDataFrame([(r["lang"], min(1.0, sample_texts / max(1, r["texts"])), r["first"]) for r in tally],
+                                  "lang string, share double, first long")
     drawn = (rows.join(F.broadcast(share), "lang")
-             .where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.col("share") * 1_000_000))
+             .where((F.pmod(hashed, F.lit(1_000_000)) < F.col("share") * 1_000_000) | (hashed == F.col("first")))
+             .where(F.col("text").rlike(r"\p{L}")).select("lang", "text").distinct())
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in batches:
@@ -193,7 +199,7 @@ def learn_languages(labelled: DataFrame, text_col: str, lang_col: str, pieces_fi
                     [pa.array([k[0] for k in tally]), pa.array([k[1] for k in tally]),
                      pa.array(list(tally.values()), pa.int64())], names=["lang", "word", "n"])
 
-    counts = (drawn.select("lang", "text").mapInArrow(count_words, "lang string, word string, n long")
+    counts = (drawn.mapInArrow(count_words, "lang string, word string, n long")
               .groupBy("lang", "word").agg(F.sum("n").alias("n")))
     given = spark.sparkContext.broadcast(pieces)
 

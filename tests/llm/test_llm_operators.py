@@ -322,6 +322,24 @@ def test_language_edge(edge, empty, spark):
     assert language.predict_language(empty, "text", model).count() == 0
 
 
+def test_languages_are_learned_from_distinct_texts(spark):
+    def learn(rows, sample_texts):
+        labelled = spark.createDataFrame(rows, "text string, lang string")
+        return language.learn_languages(labelled, "text", "lang", queries.pieces_path(), sample_texts)
+
+    # texts that a draw of half of them by hash leaves out
+    late = [r["text"] for r in make(spark, [(i, f"das wort {chr(97 + i)}") for i in range(26)])
+            .where("pmod(xxhash64(text), 1000000) > 500000").limit(2).collect()]
+    assert len(late) == 2
+    few = [(t, "de") for t in late] + [(f"the word {chr(97 + i)}", "en") for i in range(20)]
+    copies = few * 20 + [few[2]] * 500 + [("12 34", "en")] * 900 + [("56", "xx")]
+    once, often = learn(few, 20), learn(copies, 20)
+    assert once.languages == often.languages == ["de", "en"]
+    assert np.allclose(once.probability, often.probability)
+    assert math.isclose(np.exp(often.prior[0]), 40 / (40 + 400 + 500 + 900))
+    assert learn([(t, "de") for t in late] * 50, 1).languages == ["de"]
+
+
 def brute_groups(rows, k, percent=80):
     sets = [frozenset(shingles.shingle_set(shingles.words_of(t), k)) for _, t in rows]
     parent = list(range(len(rows)))
