@@ -26,7 +26,6 @@ MAX_LANGUAGES = 1000
 ROUNDS = 3
 #: Runs of letters are scored in parts of at most so many, so that products stay in range.
 PART = 32
-LONGEST_PIECE = 12
 #: Words whose scores a worker remembers.
 CACHE_WORDS = 300_000
 #: Every position's factor, so that sums stay near 1; the same for all languages.
@@ -51,17 +50,17 @@ def vocabulary(path: str) -> list[str]:
     model = SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size())
               if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return sorted({p for p in pieces if len(p) <= LONGEST_PIECE and LETTERS.fullmatch(p.removeprefix(WORD_START) or "a")})
+    return sorted({p for p in pieces if LETTERS.fullmatch(p.removeprefix(WORD_START) or "a")})
 
 
 class Lattice:
     """All pieces at all places of words of one length: ``ids[word, end, size - 1]``, -1 where there is none."""
 
-    def __init__(self, words: list[str], number: dict[str, int]):
+    def __init__(self, words: list[str], number: dict[str, int], longest: int):
         self.length = len(words[0])
         unknown = len(number)
         get = number.get
-        ids = [[[get(w[e - s:e], -1) if s <= e else -1 for s in range(1, min(LONGEST_PIECE, self.length) + 1)]
+        ids = [[[get(w[e - s:e], -1) if s <= e else -1 for s in range(1, min(longest, self.length) + 1)]
                 for e in range(1, self.length + 1)] for w in words]
         self.ids = np.array(ids, np.int32)
         # a place no single-character piece covers still has to be crossed
@@ -97,11 +96,12 @@ class Lattice:
 
 def _lattices(words: list[str], number: dict[str, int]) -> Iterator[tuple[list[str], Lattice]]:
     """Marked words by length, in lots."""
+    longest = max(map(len, number), default=1)
     for _, same in groupby(sorted(words, key=len), key=len):
         same = list(same)
         for at in range(0, len(same), 2000):
             lot = same[at:at + 2000]
-            yield lot, Lattice([WORD_START + w for w in lot], number)
+            yield lot, Lattice([WORD_START + w for w in lot], number, longest)
 
 
 def fit_pieces(words: dict[str, int], pieces: list[str]) -> np.ndarray:

@@ -297,6 +297,14 @@ def test_forward_sums_over_all_segmentations():
         assert math.isclose(scores.score([[word]])[0][0], math.log(every("▁" + word)), rel_tol=1e-9)
 
 
+def test_long_pieces_are_in_vocabulary_and_sums():
+    long = "▁" + "a" * 20
+    p = np.array([[0.1], [0.2], [0.3], [1e-7], [0.0]])
+    score = language.WordScores(["▁", "a", long], p).score([["a" * 20]])[0][0]
+    assert math.isclose(score, math.log(0.3 + 0.1 * 0.2 ** 20), rel_tol=1e-9)
+    assert {"▁international", "▁particularly", "▁distribution"} <= set(language.vocabulary(queries.pieces_path()))
+
+
 def test_language_held_out_accuracy(spark):
     import pandas as pd
 
