@@ -31,13 +31,16 @@ CACHE_WORDS = 300_000
 #: Every position's factor, so that sums stay near 1; the same for all languages.
 SCALE = 16.0
 UNKNOWN = 1e-7
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters, and numerals that are no decimal digits.
+ALPHABETIC = re.compile(r"[^\W\d_]+")
 WORD_START = "▁"
 
 
 def words_of(text: str | None) -> list[str]:
     """Runs of letters in small letters, cut in parts."""
-    runs = LETTERS.findall((text or "").lower())
+    runs = ALPHABETIC.findall((text or "").lower())
+    if not all(map(str.isalpha, runs)):
+        runs = [w for r in runs for w in "".join(c if c.isalpha() else " " for c in r).split()]
     if any(len(r) > PART for r in runs):
         return [r[i:i + PART] for r in runs for i in range(0, len(r), PART)]
     return runs
@@ -50,7 +53,7 @@ def vocabulary(path: str) -> list[str]:
     model = SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size())
               if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return sorted({p for p in pieces if LETTERS.fullmatch(p.removeprefix(WORD_START) or "a")})
+    return sorted({p for p in pieces if (p.removeprefix(WORD_START) or "a").isalpha()})
 
 
 class Lattice:

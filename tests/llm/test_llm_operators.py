@@ -305,6 +305,14 @@ def test_long_pieces_are_in_vocabulary_and_sums():
     assert {"▁international", "▁particularly", "▁distribution"} <= set(language.vocabulary(queries.pieces_path()))
 
 
+def test_numerals_are_no_letters(spark):
+    assert language.words_of("½ ① Ⅷ 12") == [] and language.words_of("Zwei½ß ①b, c") == ["zwei", "ß", "b", "c"]
+    assert all(p.removeprefix("▁").isalpha() or p == "▁" for p in language.vocabulary(queries.pieces_path()))
+    model = language.LanguageModel(["en"], np.zeros(1), ["▁", "a"], np.array([[0.5], [0.5], [1e-7], [0.0]]))
+    got = language.predict_language(make(spark, [(1, "½ ① Ⅷ"), (2, "½a")]), "text", model, score="sure").collect()
+    assert {r["doc_id"]: (r["lang_pred"], r["sure"]) for r in got} == {1: ("und", 0.0), 2: ("en", 1.0)}
+
+
 def test_language_held_out_accuracy(spark):
     import pandas as pd
 
