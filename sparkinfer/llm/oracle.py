@@ -94,6 +94,28 @@ FROM documents d JOIN g ON coalesce(d.text, '') = g.t
 """
 
 
+# Prefixes as lists of (role, text); subtree sums by spreading every node over its ancestors.
+OP13 = f"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id AS c, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS said, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(said ORDER BY i) AS s FROM turns GROUP BY c),
+hashed AS (SELECT c, s, {_CRC} % 6 AS h FROM (SELECT c, s, c::VARCHAR AS t, hex(c::VARCHAR) AS h, {_TABLE} AS tab FROM own)),
+built AS (SELECT a.c, list_concat(coalesce(b.s, [])[1:a.h], a.s[a.h + 1:]) AS s FROM hashed a LEFT JOIN own b ON b.c = a.c - a.c % 100),
+prefix AS (SELECT c, d, s[1:d] AS p, d = len(s) AS ends FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM built)),
+node AS (SELECT p, d, min(c) AS conv_id, count(*) AS n, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends) AS ids
+         FROM prefix GROUP BY p, d),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS k FROM node WHERE d > 0 GROUP BY 1),
+full_ AS (SELECT node.*, coalesce(k, 0) AS k, CASE WHEN d = 0 THEN 0 ELSE (n - 1) * length(p[d].t) END AS w
+          FROM node LEFT JOIN kids USING (p)),
+up AS (SELECT p[1:a] AS p, sum((k = 0)::INT) AS leaves, sum(w) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM full_) GROUP BY 1)
+SELECT f.conv_id, f.d::BIGINT AS depth, q.conv_id AS parent_conv_id, f.n AS n_convs, f.k AS n_children,
+       up.leaves::BIGINT AS n_leaves, up.saved::BIGINT AS saved_tokens, sha256(coalesce(f.ids, '')) AS ends_sha256
+FROM full_ f JOIN up ON up.p = f.p LEFT JOIN full_ q ON f.d > 0 AND q.p = f.p[1:f.d - 1]
+"""
+
+
 def _op6() -> str:
     """Spans from the matches and the gaps between them, by DuckDB's own expressions."""
     parts = []
@@ -121,4 +143,5 @@ FROM docs d LEFT JOIN spans s USING (n) GROUP BY n
 
 
 def build() -> dict[str, str]:
-    return {"op1_jump_shards": OP1, "op3_interval_expansion": OP3, "op9_super_minhash": OP9, "op4_url_rules": OP4, "op6_secret_spans": _op6(), "op10_exact_dedup": OP10}
+    return {"op1_jump_shards": OP1, "op3_interval_expansion": OP3, "op9_super_minhash": OP9, "op4_url_rules": OP4, "op6_secret_spans": _op6(), "op10_exact_dedup": OP10,
+            "op13_prefix_trie": OP13}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkinfer.llm import decontaminate, exact, language, near, packing, secrets, sharding, suffixes, token_files, urls
+from sparkinfer.llm import (decontaminate, exact, language, near, packing, prefix_trie, secrets, sharding, suffixes,
+                            token_files, urls, whitening)
 from sparkinfer.llm.common import scratch_path, table, text_of
 
 #: Public tokenizer file of the token queries.
@@ -112,7 +113,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op12_jacobi_davidson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(embeddings, "vec_id", "embedding", whitening.fit_whitening(embeddings, "embedding", 16))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def opening(conv: Column) -> Column:
+        return F.crc32(conv.cast("string").cast("binary")) % 6
+
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text",
+                                   openings=(100, opening, 5))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_jump_shards, op2_tier_packing, op3_interval_expansion, op4_url_rules, op5_token_files, op6_secret_spans,
-                            op7_simhash_windows, op8_piece_languages, op9_super_minhash, op10_exact_dedup)
+                            op7_simhash_windows, op8_piece_languages, op9_super_minhash, op10_exact_dedup,
+                            op12_jacobi_davidson, op13_prefix_trie)
 }
