@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkinfer.llm.common import stored
+from sparkinfer.operators.joins import attach
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,21 +42,23 @@ def components(links: DataFrame, u: str, v: str) -> DataFrame:
 
     Tasks first join their own links by union-find; what is left are at most (nodes of the
     task) links to roots. Then smallest labels spread over the links and are followed to their
-    own labels, so that chains halve a round, until a round changes nothing. A node with very
-    many links is reduced by partial aggregation; each round is stored in the shared folder.
+    own labels, so that chains halve a round, until a round changes nothing. A hub, or a label that
+    very many nodes share, is looked up from a broadcast (``attach``), and minima are
+    pre-aggregated; so neither meets one task. Each round is stored in the shared folder.
     """
     forest = stored(links.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v"))
                     .mapInArrow(_forest, "u long, v long"), "forest")
     both = forest.unionByName(forest.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    labels = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(
-        F.col("u").alias("node"), F.least("u", "m").alias("root")), "labels")
+    labels = stored(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("links")).select(
+        F.col("u").alias("node"), F.least("u", "m").alias("root"), "links"), "labels")
     while True:
-        near = (both.join(labels.select(F.col("node").alias("v"), F.col("root").alias("m")), "v")
-                .groupBy(F.col("u").alias("node")).agg(F.min("m").alias("m")))
-        spread = labels.join(near, "node").select("node", "root", F.least("root", "m").alias("low"))
-        jump = labels.select(F.col("node").alias("low"), F.col("root").alias("of_low"))
-        step = stored(spread.join(jump, "low", "left").select(
-            "node", F.least("low", F.coalesce("of_low", "low")).alias("root"), F.col("root").alias("was")), "labels")
-        labels = step.select("node", "root")
+        ends = labels.select(F.col("node").alias("v"), F.col("root").alias("m"), "links")
+        near = attach(both, ends, ["v"], "links", how="inner").groupBy(F.col("u").alias("node")).agg(F.min("m").alias("m"))
+        spread = stored(labels.join(near, "node").select("node", "root", F.least("root", "m").alias("low"), "links"), "labels")
+        jump = (spread.groupBy("low").agg(F.count("*").alias("held"))
+                .join(labels.select(F.col("node").alias("low"), F.col("root").alias("of_low")), "low"))
+        step = stored(attach(spread, jump, ["low"], "held").select(
+            "node", F.least("low", F.coalesce("of_low", "low")).alias("root"), F.col("root").alias("was"), "links"), "labels")
+        labels = step.select("node", "root", "links")
         if step.where(F.col("root") != F.col("was")).isEmpty():
-            return labels
+            return labels.select("node", "root")

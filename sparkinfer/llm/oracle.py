@@ -72,21 +72,28 @@ SELECT b.doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed
 FROM b LEFT JOIN cut USING (doc_id)
 """
 
-OP9 = r"""
+def _near(k: int, percent: int, kept: bool) -> str:
+    """Every pair of documents that share a shingle, then the smallest id along links."""
+    shingle = " || ' ' || ".join(f"ws[i + {j}]" if j else "ws[i]" for j in range(k))
+    return rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[^\x20\x09-\x0D]+') AS ws FROM documents),
-s AS (SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct(list_transform(
-        range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS sh FROM w),
+s AS (SELECT doc_id, CASE WHEN len(ws) < {k} THEN CASE WHEN len(ws) = 0 THEN [] ELSE [array_to_string(ws, ' ')] END
+             ELSE list_distinct(list_transform(range(1, len(ws) - {k - 2}), lambda i: {shingle})) END AS sh FROM w),
 e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
 link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
-         GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+         GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
 both_ AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
 reach(d, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.d, both_.b FROM reach JOIN both_ ON reach.r = both_.a)
-SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, c.component_id{", s.doc_id = c.component_id AS kept" if kept else ""}
 FROM s JOIN (SELECT d, min(r) AS component_id FROM reach GROUP BY d) c ON s.doc_id = c.d
 """
 
+
+OP9 = _near(2, 80, True)
+OP11 = _near(3, 90, False)
+
 OP10 = """
 WITH g AS (SELECT coalesce(text, '') AS t, max(doc_id) AS keep_id, count(*) AS group_size FROM documents GROUP BY 1)
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(g.t) AS text_sha256
@@ -144,4 +151,4 @@ FROM docs d LEFT JOIN spans s USING (n) GROUP BY n
 
 def build() -> dict[str, str]:
     return {"op1_jump_shards": OP1, "op3_interval_expansion": OP3, "op9_super_minhash": OP9, "op4_url_rules": OP4, "op6_secret_spans": _op6(), "op10_exact_dedup": OP10,
-            "op13_prefix_trie": OP13}
+            "op11_token_combinations": OP11, "op13_prefix_trie": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkinfer.llm import (decontaminate, exact, language, near, packing, prefix_trie, secrets, sharding, suffixes,
+from sparkinfer.llm import (decontaminate, exact, language, near, ngram_join, packing, prefix_trie, secrets, sharding, suffixes,
                             token_files, urls, whitening)
 from sparkinfer.llm.common import scratch_path, table, text_of
 
@@ -113,6 +113,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op11_token_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"), "doc_id", "text", k=3, percent=90)
+
+
 def op12_jacobi_davidson(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = table(spark, sf_dir, "embeddings")
     return whitening.whiten(embeddings, "vec_id", "embedding", whitening.fit_whitening(embeddings, "embedding", 16))
@@ -129,5 +133,5 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_jump_shards, op2_tier_packing, op3_interval_expansion, op4_url_rules, op5_token_files, op6_secret_spans,
                             op7_simhash_windows, op8_piece_languages, op9_super_minhash, op10_exact_dedup,
-                            op12_jacobi_davidson, op13_prefix_trie)
+                            op11_token_combinations, op12_jacobi_davidson, op13_prefix_trie)
 }
