@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkinfer.functions.normal import norm_pdf
 from sparkinfer.functions.scalars import number, present
-from sparkinfer.operators.joins import attach
+from sparkinfer.operators.joins import lookup
 from sparkinfer.operators.ranks import quantiles
 
 #: Narrow bins a kernel's bandwidth spans when a density is folded.
@@ -105,16 +105,14 @@ def boxplot(df: DataFrame, value: str, by: Sequence[str], width: float = 1.5) ->
     rows = present(df, value).select(*by, F.col(value).cast("double").alias("v"))
     q = quantiles(rows, "v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
     iqr = F.col("q3") - F.col("q1")
-    # whiskers only need distinct values, so hot values shrink to one row
-    cells = rows.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("m"))
-    placed = attach(cells, q, by, "n_values", "inner", nulls=True)
+    placed = lookup(rows, q, by, "n_values", "inner", nulls=True)  # groups are mostly few: rows stay where they are
     inside = ((F.col("v") >= F.col("q1") - F.lit(width) * iqr)
               & (F.col("v") <= F.col("q3") + F.lit(width) * iqr))
     return (placed.groupBy(*by)
             .agg(F.first("n_values").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
                  F.first("q3").alias("q3"), F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
                  F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-                 F.sum(F.when(inside, 0).otherwise(F.col("m"))).alias("n_fliers")))
+                 F.count_if(~inside).alias("n_fliers")))
 
 
 def binned_scatter(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:

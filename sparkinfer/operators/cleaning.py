@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkinfer.functions.scalars import (impute_and_clip, number, out_of_range, outside,
                                           parse_date, safe_ratio, years_between)
-from sparkinfer.operators.joins import attach
+from sparkinfer.operators.joins import lookup
 from sparkinfer.operators.ranks import quantiles
 
 # Valid age range in years and the age used when no valid one exists.
@@ -74,7 +74,7 @@ def flag_outliers(df: DataFrame, column: str, output: str = "is_outlier",
     fences = iqr_fences(df, column, by, width, approximate)
     value = number(column)
     if by:
-        placed = attach(df, fences.select(*by, "low", "high", "n_values"), by, "n_values", nulls=True)
+        placed = lookup(df, fences.select(*by, "low", "high", "n_values"), by, "n_values", nulls=True)
         return placed.select(*df.columns, outside(value, F.col("low"), F.col("high")).alias(output))
     pair = fences.select(F.struct("low", "high").alias("f")).scalar()
     return (df.withColumn("__f", pair)

@@ -8,11 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkinfer.sources.landing import cut
+
 # A key is "hot" when it holds more than 1/HOT_SHARE of all rows, so there are
 # always fewer than HOT_SHARE hot keys: that is the proven bound of the broadcast.
 HOT_SHARE = 1024
 #: Ways over which settled rows pass a join that they take no part in.
 SALTS = 1 << 20
+#: A measured table of up to this many keys is broadcast.
+FEW_KEYS = 50_000
 
 
 def same(left: DataFrame, right: DataFrame, pairs) -> Column:
@@ -77,6 +81,21 @@ def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str,
     return found.select(*rows.columns, *[F.col(f"__v.{v}").alias(v) for v in values])
 
 
+def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str, how: str = "left",
+           nulls: bool = False) -> DataFrame:
+    """As :func:`attach`, for a table that is mostly small: it is stored and measured first.
+
+    With at most ``FEW_KEYS`` keys it is broadcast and ``rows`` are not shuffled; with more they
+    take the way of :func:`attach`.
+    """
+    table = cut(table)
+    if table.limit(FEW_KEYS + 1).count() > FEW_KEYS:
+        return attach(rows, table, keys, weight, how, nulls)
+    right = F.broadcast(table.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in table.columns if c not in keys]))
+    on = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(right[f"__{k}"]) if nulls else rows[k] == right[f"__{k}"] for k in keys])
+    return rows.join(right, on, how).drop(*[f"__{k}" for k in keys])
+
+
 def frequency(df: DataFrame, key: str, output: str = "frequency") -> DataFrame:
     """Number of rows sharing each row's key; rows without a key count as 1."""
     counts = (df.where(F.col(key).isNotNull()).groupBy(key)

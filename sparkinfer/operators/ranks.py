@@ -19,12 +19,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkinfer.functions.scalars import number, present
-from sparkinfer.operators.joins import join_on
+from sparkinfer.operators.joins import FEW_KEYS, attach, join_on
+from sparkinfer.sources.landing import cut
 
 # One hash value in SLICE is probed. Up to SMALL distinct cells go to one ordered window.
 SLICE = 64
 SMALL = 1_000_000
 SAMPLE_PER_RANGE = 8
+# Approximate quantiles that bracket exact ones have an error of at most 1 / RESOLUTION; brackets
+# reach this far to both sides, by the size of the group.
+RESOLUTION = 1000
+REACHES = (0.004, 0.012, 0.06, 1.0)
 
 
 @dataclass(frozen=True)
@@ -145,8 +150,9 @@ def quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
               accuracy: int = 10_000, layout: Layout | None = None) -> DataFrame:
     """Quantiles with linear interpolation, one output column per named probability.
 
-    Exact by default. Where the values need ranges, only the ranges that hold a
-    wanted position are ordered; without groups, only their rows are shuffled.
+    Exact by default. With groups, a first pass brackets every wanted position of every group
+    and a second one counts (see :func:`_selected`). Without groups, or with a given ``layout``,
+    values that need ranges are cut, and only the ranges that hold a wanted position are ordered.
     """
     by = list(by)
     names, points = list(probabilities), list(probabilities.values())
@@ -157,9 +163,6 @@ def quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
                 .select(*by, *[F.get("q", F.lit(i)).alias(nm) for i, nm in enumerate(names)],
                         "n_values"))
 
-    def position(p, total):
-        return F.lit(float(p)) * (total - F.lit(1))
-
     def keep(before, inside, total):
         hit = F.lit(False)
         for p in points:
@@ -167,11 +170,23 @@ def quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
                 hit = hit | ((at >= before) & (at < before + inside))
         return hit
 
+    if by and layout is None:
+        return _interpolated(_selected(df, value, points, by), names, points, by)
     layout = layout or probe(df, value, by)
     if by or layout.small:
         placed = cumulative_counts(value_counts(df, value, by), by, layout, keep)
     else:
         placed = _bracketed(df, value, layout, keep)
+    return _interpolated(placed, names, points, by)
+
+
+def position(p: float, total):
+    """0-based place of a quantile among ``total`` ordered rows, with a fraction."""
+    return F.lit(float(p)) * (total - F.lit(1))
+
+
+def _interpolated(placed: DataFrame, names: Sequence[str], points: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Quantiles from cells with running positions (by, value, cum_le, total)."""
     total = F.col("total")
     parts = []
     for i, p in enumerate(points):
@@ -187,6 +202,53 @@ def quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
     return found.select(*by, *out, F.coalesce(total, F.lit(0)).cast("long").alias("n_values"))
 
 
+def _selected(df: DataFrame, value: str, points: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Cells around the wanted positions of every group, with running positions.
+
+    Pass one brackets each position by two approximate quantiles, further apart than their error
+    bound (small groups: further apart, the smallest: all values), in partial aggregates. Pass two
+    counts: values in a bracket become cells of their own, all others of a group fall into one cell
+    a gap between brackets. So under one in a hundred rows a position is shuffled, a hot group
+    is no more than its cells, and the ordered cells give the exact positions. A wanted
+    position that lies in a gap would be an error and is reported as one, never answered.
+    """
+    rows = present(df, value).select(*by, F.col(value).cast("double").alias("value"))
+    marks = [m for reach in REACHES for p in points for m in (max(0.0, p - reach), min(1.0, p + reach))]
+    n, each = F.col("__rows"), 2 * len(points)
+    sketch = rows.groupBy(*by).agg(F.percentile_approx("value", F.array(*map(F.lit, marks)), F.lit(RESOLUTION)).alias("__marks"),
+                                   F.count(F.lit(1)).alias("__rows"))
+    # three ranks of room beside the error bound, so that rounding cannot leave a bracket
+    level = F.when(n > 0, len(REACHES) - 1)
+    for i, reach in reversed(list(enumerate(REACHES[:-1]))):
+        level = F.when(n * (reach - 1.0 / RESOLUTION) >= 3, F.lit(i)).otherwise(level)
+    first = cut(sketch.select(*by, "__rows", F.slice("__marks", level * each + 1, F.lit(each)).alias("__marks")))
+    size = first.agg(F.sum("__rows").alias("rows"), F.count(F.lit(1)).alias("groups")).first()
+    if size["groups"] <= FEW_KEYS:
+        placed = join_on(rows, first, by, small=True)
+    else:
+        placed = attach(rows, first, by, "__rows", nulls=True)
+    inside, gap = F.lit(False), F.lit(0)
+    for i in range(len(points)):
+        low, high = F.get("__marks", F.lit(2 * i)), F.get("__marks", F.lit(2 * i + 1))
+        inside = inside | F.col("value").between(low, high)
+        gap = gap + (F.col("value") > high).cast("int")
+    cells = (placed.select(*by, "value", gap.alias("gap"), inside.alias("whole"))
+             .groupBy(*by, "gap", "whole", F.when(F.col("whole"), F.col("value")).alias("cell"))
+             .agg(F.min("value").alias("value"), F.count(F.lit(1)).alias("n")))
+    layout = Layout(True)
+    if (size["rows"] or 0) * min(1.0, 3 * REACHES[0] * len(points)) > SMALL:
+        cells = cut(cells)
+        layout = probe(cells, "value", by)
+    counted = cumulative_counts(cells, by, layout)
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket"))
+    wanted = F.lit(False)
+    for p in points:
+        for at in (F.floor(position(p, F.col("total"))), F.ceil(position(p, F.col("total")))):
+            wanted = wanted | ((F.col("cum_le") > at) & (F.col("cum_le") - F.col("n") <= at))
+    checked = F.when(F.col("whole") | ~wanted | (F.col("n") == 1), F.col("value")).otherwise(missed.cast("double"))
+    return counted.withColumn("value", checked)
+
+
 def _bracketed(df: DataFrame, value: str, layout: Layout, keep) -> DataFrame:
     """Cumulative counts of only those value ranges that ``keep`` selects."""
     located = locate(present(df, value).select(F.col(value).cast("double").alias("value")), layout.cuts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -57,21 +59,25 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder driver and executors share: spark.checkpoint.dir, else one in the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise a step and end its lineage with a reliable checkpoint.
+    """Store a step in the shared folder as compressed Parquet and read it back: its lineage ends there.
 
-    Later steps then plan against a stored table, and a lost executor re-reads it.
-    The folder is the one the cluster names in spark.checkpoint.dir; without one, a
-    folder in the warehouse, which driver and executors share as well.
+    Later steps then plan against a stored table and read only the columns they need, and a
+    lost executor re-reads the files. They are removed when the application ends; the session's
+    settings are not touched.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{shared_folder(spark)}/step-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_results(results: dict[str, DataFrame], path: str, fmt: str = "parquet") -> None:
