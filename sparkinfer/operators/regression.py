@@ -1,26 +1,31 @@
 """Ordinary least squares from one aggregation pass, with diagnostics.
 
 The fact table is reduced to means and co-moments (k x k per group). Only those
-rows meet NumPy, and they stay in executors: nothing is collected to solve.
+rows meet NumPy, and they stay in executors: nothing is collected to solve. Diagnostics work on
+rows with residuals; what they need of a fit is stored, so that no plan holds the fit twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, StructField, StructType)
 
 from sparkinfer.functions.normal import norm_ppf
 from sparkinfer.functions.scalars import number, present
 from sparkinfer.functions.tails import chi2_sf, t_p_value, t_ppf
-from sparkinfer.operators.joins import with_group
+from sparkinfer.operators.joins import lookup, with_group
 from sparkinfer.operators.ranks import probe, rank_cells, value_counts
+from sparkinfer.sources.landing import cut
 
 INTERCEPT = "const"
 ALIASED = 1e-9
@@ -128,15 +133,33 @@ class OlsFit:
                                   F.when(F.col("tss") <= 0, "degenerate").when(~full, "rank deficient")
                                   .otherwise("ok").alias("status"))
 
+    @cached_property
+    def known(self) -> DataFrame:
+        """``solved``, stored when it is first used for prediction, so that no plan repeats the fit."""
+        return cut(self.solved.select(*self.by, "n", "coef"))
+
     def predict(self, df: DataFrame, output: str = "predicted") -> DataFrame:
-        """Add the fitted value; aliased terms contribute nothing. Ungrouped fits only."""
-        if self.by:
-            raise ValueError("predict() needs an ungrouped fit")
-        coef = self.solved.select("coef").scalar()
+        """Add the fitted value; aliased terms contribute nothing, rows of a group without a fit get NULL.
+
+        The coefficients of an ungrouped fit (one number a term) enter the expression as they
+        are; those of groups are looked up, NULL being a group like any other.
+        """
+        xs = [F.col(t).cast("double") for t in self.terms[1:]]
+        if not self.by:
+            row = self.known.first()
+            coef = row["coef"] if row else [None] * len(self.terms)
+            total = F.lit(coef[0]).cast("double")
+            for c, x in zip(coef[1:], xs, strict=True):
+                if c is not None:
+                    total = total + F.lit(float(c)) * x
+                else:  # the term still has to be there, as for the fit
+                    total = total + F.when(x.isNotNull(), F.lit(0.0))
+            return df.withColumn(output, total)
+        placed = lookup(df, self.known.withColumnsRenamed({"coef": "__coef", "n": "__n"}), self.by, "__n", nulls=True)
         total = F.get("__coef", F.lit(0))
-        for i, t in enumerate(self.terms[1:], start=1):
-            total = total + F.coalesce(F.get("__coef", F.lit(i)), F.lit(0.0)) * F.col(t).cast("double")
-        return df.withColumn("__coef", coef).withColumn(output, total).drop("__coef")
+        for i, x in enumerate(xs, start=1):
+            total = total + F.coalesce(F.get("__coef", F.lit(i)), F.lit(0.0)) * x
+        return placed.withColumn(output, total).drop("__coef", "__n")
 
     def residuals(self, df: DataFrame, y: str, output: str = "residual") -> DataFrame:
         """Add fitted value and residual to the complete cases of ``df``."""
@@ -175,76 +198,106 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ()) -> Ols
     return OlsFit(moments.mapInPandas(solve, schema), [INTERCEPT, *xs], by)
 
 
-def holdout_metrics(df: DataFrame, y: str, predicted: str = "predicted") -> DataFrame:
+def holdout_metrics(df: DataFrame, y: str, predicted: str = "predicted", by: Sequence[str] = ()) -> DataFrame:
     """RMSE, MAE and R-squared of predictions, in one aggregation."""
     gap = number(y) - number(predicted)
     known = F.when(gap.isNotNull(), number(y))
-    return df.agg(F.count(gap).alias("n"), F.avg(gap * gap).alias("mse"), F.avg(F.abs(gap)).alias("mae"),
-                  F.var_pop(known).alias("variance")).select(
-        "n", F.sqrt("mse").alias("rmse"), "mae",
+    return df.groupBy(*by).agg(F.count(gap).alias("n"), F.avg(gap * gap).alias("mse"), F.avg(F.abs(gap)).alias("mae"),
+                               F.var_pop(known).alias("variance")).select(
+        *by, "n", F.sqrt("mse").alias("rmse"), "mae",
         (F.lit(1.0) - F.col("mse") / F.nullif(F.col("variance"), F.lit(0.0))).alias("r2"))
 
 
-def breusch_pagan(df: DataFrame, residual: str, xs: Sequence[str]) -> DataFrame:
+def breusch_pagan(df: DataFrame, residual: str, xs: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Koenker's studentised Breusch-Pagan test: n R^2 of squared residuals on the predictors."""
     squared = df.withColumn("__e2", number(residual) * number(residual))
-    fit = ols(squared, "__e2", xs).fit
-    out = fit.select("n", (F.col("n") * F.col("r2")).alias("statistic"), F.col("rank").alias("df"), "status")
+    fit = ols(squared, "__e2", xs, by).fit
+    out = fit.select(*by, "n", (F.col("n") * F.col("r2")).alias("statistic"), F.col("rank").alias("df"), "status")
     return out.withColumn("p_value", chi2_sf(F.col("statistic"), F.col("df")))
 
 
-def durbin_watson(df: DataFrame, residual: str, order: Sequence[str]) -> DataFrame:
-    """Durbin-Watson statistic of residuals in the stated, unique order.
+def durbin_watson(df: DataFrame, residual: str, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Durbin-Watson statistic of residuals in the stated, unique order, per group.
 
-    Rows are range-partitioned by the order key; each task returns one summary row
-    (its sums and its first and last residual), and neighbouring summaries are
-    stitched together.
+    Rows are range-partitioned by group and order key, so a group of any size spans tasks and
+    many groups share one. A task returns one summary row for each group it meets (its sums, its
+    first and its last residual); the summaries of a group are stitched across task borders.
     """
-    rows = (present(df, residual).select(*order, F.col(residual).cast("double").alias("__e"))
-            .repartitionByRange(*order).sortWithinPartitions(*order).select("__e"))
-
-    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count, squares, steps = 0, 0.0, 0.0
-        first = last = None
-        for batch in batches:
-            e = batch["__e"].to_numpy()
-            if len(e) == 0:
+    by = list(by)
+    keys = [f"__g{i}" for i in range(len(by))]
+    ways = [*keys, *[f"__o{i}" for i in range(len(order))]]
+    rows = present(df, residual).select(
+        *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)],
+        *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)], F.col(residual).cast("double").alias("__e"))
+    if keys:
+        rows = rows.withColumn("__group", F.xxhash64(*keys))
+    else:
+        rows = rows.withColumn("__group", F.lit(0).cast("long"))
+    rows = rows.repartitionByRange(*ways).sortWithinPartitions(*ways).select(*keys, "__group", "__e")
+    schema = StructType([*[f for f in rows.schema.fields if f.name in keys], StructField("part", LongType()),
+                         StructField("n", LongType()), *[StructField(c, DoubleType()) for c in ("squares", "steps", "first", "last")]])
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, open_ = TaskContext.get().partitionId(), None
+        width = len(keys)
+        for record in batches:
+            group, e = record.column(width).to_numpy(), record.column(width + 1).to_numpy()
+            if not len(e):
                 continue
-            if last is None:
-                first = e[0]
-            else:
-                steps += (e[0] - last) ** 2
-            steps += float(np.square(np.diff(e)).sum())
-            squares += float(np.square(e).sum())
-            count, last = count + len(e), e[-1]
-        if count:
-            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "n": [count],
-                                "squares": [squares], "steps": [steps], "first": [first], "last": [last]})
-
-    parts = rows.mapInPandas(
-        summarise, "part long, n long, squares double, steps double, first double, last double")
-    before = F.lag("last").over(Window.orderBy("part"))
+            starts = np.flatnonzero(np.diff(group, prepend=group[0] - 1) != 0) if len(e) > 1 else np.array([0])
+            starts = np.unique(np.concatenate([[0], starts]))
+            ends = np.append(starts[1:], len(e))
+            step = np.square(np.diff(e, prepend=e[0]))
+            step[starts] = 0.0
+            runs = [[int(group[s]), s, int(t - s), float(q), float(d), float(e[s]), float(e[t - 1])] for s, t, q, d in zip(
+                starts, ends, np.add.reduceat(np.square(e), starts), np.add.reduceat(step, starts), strict=True)]
+            names = [record.column(i).take(pa.array(starts)).to_pylist() for i in range(width)]
+            done = []
+            for i, run in enumerate(runs):
+                label = tuple(c[i] for c in names)
+                if open_ is not None and open_[0] == label:
+                    _, n, squares, steps, first, last = open_
+                    open_ = (label, n + run[2], squares + run[3], steps + run[4] + (run[5] - last) ** 2, first, run[6])
+                    continue
+                if open_ is not None:
+                    done.append(open_)
+                open_ = (label, *run[2:])
+            if done:
+                yield summary(done, part)
+        if open_ is not None:
+            yield summary([open_], part)
+
+    def summary(done: list, part: int) -> pa.RecordBatch:
+        rows = [(*label, part, *rest) for label, *rest in done]
+        return pa.RecordBatch.from_pylist([dict(zip(names_, r, strict=True)) for r in rows], schema=arrow)
+
+    names_, arrow = schema.fieldNames(), to_arrow_schema(schema)
+    parts = rows.mapInArrow(summarise, schema)
+    before = F.lag("last").over(Window.partitionBy(*keys).orderBy("part"))
     joint = parts.withColumn("joint", F.coalesce(F.pow(F.col("first") - before, 2), F.lit(0.0)))
-    return joint.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum("squares").alias("squares"),
-                     F.sum(F.col("steps") + F.col("joint")).alias("steps")).select(
-        "n", (F.col("steps") / F.nullif(F.col("squares"), F.lit(0.0))).alias("durbin_watson"))
+    return joint.groupBy(*keys).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum("squares").alias("squares"),
+                                    F.sum(F.col("steps") + F.col("joint")).alias("steps")).select(
+        *[F.col(k).alias(c) for k, c in zip(keys, by, strict=True)], "n",
+        (F.col("steps") / F.nullif(F.col("squares"), F.lit(0.0))).alias("durbin_watson"))
 
 
-def vif(df: DataFrame, xs: Sequence[str]) -> DataFrame:
-    """Variance inflation factor per predictor, from the correlation matrix.
+def vif(df: DataFrame, xs: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Variance inflation factor per predictor (and group), from the correlation matrix.
 
     A constant predictor counts as uncorrelated; a singular matrix gives no VIF.
     """
-    xs = list(xs)
-    moments = co_moments(df, xs)
-    schema = StructType([StructField("position", LongType()), StructField("term", StringType()),
-                         StructField("vif", DoubleType())])
+    by, xs = list(by), list(xs)
+    moments = co_moments(df, xs, by)
+    schema = StructType([*[f for f in moments.schema.fields if f.name in by], StructField("position", LongType()),
+                         StructField("term", StringType()), StructField("vif", DoubleType())])
+    names = schema.fieldNames()
 
     def invert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         k = len(xs)
         for batch in batches:
-            for raw in batch["cov"]:
-                values = np.array([np.nan if v is None else v for v in raw], dtype=float)
+            out = []
+            for row in batch.to_dict("records"):
+                values = np.array([np.nan if v is None else v for v in row["cov"]], dtype=float)
                 cov = values.reshape(k, k)
                 scale = np.sqrt(np.diag(cov))
                 with np.errstate(invalid="ignore", divide="ignore"):
@@ -252,7 +305,9 @@ def vif(df: DataFrame, xs: Sequence[str]) -> DataFrame:
                 np.fill_diagonal(corr, 1.0)
                 free = len(independent_columns(corr)) == k
                 factors = np.diag(np.linalg.inv(corr)) if free else np.full(k, np.nan)
-                yield pd.DataFrame({"position": range(1, k + 1), "term": xs, "vif": _nullable(factors)})
+                out += [{**{g: row[g] for g in by}, "position": i, "term": t, "vif": v}
+                        for i, (t, v) in enumerate(zip(xs, _nullable(factors), strict=True), start=1)]
+            yield pd.DataFrame(out, columns=names)
 
     out = moments.mapInPandas(invert, schema)
     return out.withColumn("status", F.when(F.col("vif").isNull(), "singular")

@@ -525,6 +525,22 @@ def build() -> dict[str, str]:
         SELECT store, term, round(coef, 3) AS coef, round(se, 3) AS std_err, round(coef / se, 3) AS statistic,
             round({t_two_sided('coef / se', 'd')}, 3) AS p_value, round(coef - se * {tq}, 3) AS ci_low,
             round(coef + se * {tq}, 3) AS ci_high, 'ok' AS status FROM d"""
+    q["ols_diagnostics_by_store"] = f"""WITH {LINES}, r AS (SELECT *, {_digest()} < '4ccccccd' AS is_test FROM lines WHERE discount IS NOT NULL),
+        c AS (SELECT store, avg(units) AS m1, avg(discount) AS m2, avg(amount) AS my, count(*) AS n, corr(units, discount) AS rho,
+            var_pop(units) * count(*) AS s11, var_pop(discount) * count(*) AS s22, covar_pop(units, discount) * count(*) AS s12,
+            covar_pop(units, amount) * count(*) AS s1y, covar_pop(discount, amount) * count(*) AS s2y FROM r WHERE NOT is_test GROUP BY store),
+        s AS (SELECT *, s11 * s22 - s12 * s12 AS det, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1,
+            (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM c),
+        f AS (SELECT r.*, amount - (my + b1 * (units - m1) + b2 * (discount - m2)) AS e FROM r JOIN s USING (store)),
+        l AS (SELECT *, lag(e) OVER (PARTITION BY store ORDER BY row_key) AS before FROM f WHERE NOT is_test),
+        a AS (SELECT store, sum((e - before) * (e - before)) / sum(e * e) AS durbin_watson, covar_pop(units, e * e) * count(*) AS s1e,
+            covar_pop(discount, e * e) * count(*) AS s2e, var_pop(e * e) * count(*) AS see FROM l GROUP BY store),
+        b AS (SELECT store, n, durbin_watson, 1 / (1 - rho * rho) AS vif,
+            n * (s1e * (s1e * s22 - s2e * s12) + s2e * (s2e * s11 - s1e * s12)) / det / see AS bp FROM a JOIN s USING (store)),
+        h AS (SELECT store, count(*) AS n_test, avg(e * e) AS mse, avg(abs(e)) AS mae, var_pop(amount) AS v FROM f WHERE is_test GROUP BY store)
+        SELECT store, CAST(n AS BIGINT) AS n, round(bp, 4) AS bp, round(exp(-bp / 2), 5) AS bp_p, CAST(2 AS BIGINT) AS bp_df,
+            round(durbin_watson, 5) AS durbin_watson, round(vif, 5) AS vif, CAST(2 AS BIGINT) AS n_vif, CAST(n_test AS BIGINT) AS n_test,
+            round(sqrt(mse), 3) AS rmse, round(mae, 3) AS mae, round(1 - mse / v, 4) AS r2_test FROM b LEFT JOIN h USING (store)"""
     r, _ = _line("lines", "amount", "units")
     q["ols_collinear"] = f"""WITH {LINES}, {r}, m AS (SELECT avg(units) AS mx FROM lines),
         t AS (SELECT 'const' AS term, a AS coef, se * sqrt(sxx * (1.0 / n + mx * mx / sxx)) AS se, CAST(n - 2 AS DOUBLE) AS d FROM rs CROSS JOIN m

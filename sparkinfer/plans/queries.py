@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkinfer.functions.scalars import out_of_range
+from sparkinfer.functions.scalars import out_of_range, present
 from sparkinfer.operators import (charts, cleaning, contingency, describe, hypothesis, joins, normality,
                                   ranks, reconcile, regression, sampling, timeseries)
 from sparkinfer.plans.sales import lines, sales, table
@@ -461,6 +461,27 @@ def qq_points(spark, sf):
     return rounded(regression.qq_points(fitted, "residual").drop("value"), 5)
 
 
+@query
+def ols_diagnostics_by_store(spark, sf):
+    """Every store's own fit on its training rows, judged on its test rows, with all residual diagnostics."""
+    xs = ["units", "discount"]
+    rows = present(lines(spark, sf), "amount", *xs).select("store", "row_key", "amount", *xs)
+    flagged = cut(sampling.split_flag(rows, ["row_key"], 0.3, SEED))
+    train, test = flagged.where("not is_test"), flagged.where("is_test")
+    model = regression.ols(train, "amount", xs, ["store"])
+    fitted = cut(model.residuals(train, "amount"))
+    bp = regression.breusch_pagan(fitted, "residual", xs, ["store"]).select(
+        "store", "n", F.col("statistic").alias("bp"), F.col("p_value").alias("bp_p"), F.col("df").alias("bp_df"))
+    dw = regression.durbin_watson(fitted, "residual", ["row_key"], ["store"]).drop("n")
+    inflated = regression.vif(train, xs, ["store"]).groupBy("store").agg(F.max("vif").alias("vif"), F.count("vif").alias("n_vif"))
+    held = regression.holdout_metrics(model.residuals(test, "amount"), "amount", by=["store"]).withColumnsRenamed(
+        {"n": "n_test", "r2": "r2_test"})
+    out = bp
+    for part in (dw, inflated, held):
+        out = joins.join_on(out, part, ["store"], "left")
+    return rounded(out, 5, r2_test=4, bp=4, rmse=3, mae=3)
+
+
 # ---- samples ----------------------------------------------------------------
 
 @query
