@@ -72,7 +72,9 @@ def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str,
     settled = F.col("__hot").isNotNull() | ~has_key
     spread = F.lit(1) + F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
     salted = marked.withColumn("__salt", F.when(settled, spread).otherwise(F.lit(0)))
-    cold = renamed(keyed.where(~heavy), "__cold").withColumn("__zero", F.lit(0).cast("long"))
+    # always 0, but no literal: the optimizer would take a constant out of the join's keys, and the salts with it
+    zero = F.pmod(F.xxhash64(*[F.col(f"__{k}") for k in keys]), F.lit(1).cast("long"))
+    cold = renamed(keyed.where(~heavy), "__cold").withColumn("__zero", zero)
     joined = salted.join(cold, on(salted, cold) & (salted["__salt"] == cold["__zero"]), "left")
     value = F.coalesce("__hot", "__cold")
     found = joined.withColumn("__v", value)
