@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from sparkinfer.llm.common import stored
 from sparkinfer.operators.joins import attach
 
+#: Links, some 50 bytes each, that one task may join at the end.
+ONE_TASK = 1_000_000
+
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over a task's links: what comes out links every node to its root in the task."""
@@ -41,13 +44,18 @@ def components(links: DataFrame, u: str, v: str) -> DataFrame:
     """``node`` and ``root`` (the smallest node of its component) for every node of a link.
 
     Tasks first join their own links by union-find; what is left are at most (nodes of the
-    task) links to roots. Then smallest labels spread over the links and are followed to their
+    task) links to roots. Up to ``ONE_TASK`` of them, which is counted, are joined by one more
+    union-find. With more, smallest labels spread over the links and are followed to their
     own labels, so that chains halve a round, until a round changes nothing. A hub, or a label that
     very many nodes share, is looked up from a broadcast (``attach``), and minima are
     pre-aggregated; so neither meets one task. Each round is stored in the shared folder.
     """
     forest = stored(links.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v"))
                     .mapInArrow(_forest, "u long, v long"), "forest")
+    if forest.limit(ONE_TASK + 1).count() <= ONE_TASK:
+        whole = stored(forest.coalesce(1).mapInArrow(_forest, "u long, v long"), "forest")
+        tops = whole.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+        return whole.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(tops)
     both = forest.unionByName(forest.select(F.col("v").alias("u"), F.col("u").alias("v")))
     labels = stored(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("links")).select(
         F.col("u").alias("node"), F.least("u", "m").alias("root"), "links"), "labels")

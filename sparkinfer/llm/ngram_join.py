@@ -33,8 +33,10 @@ PART_BITS = 14
 FLOOR, TIMES = 4, 2
 #: Frequent shingles of a prefix that a group should hold at most, about.
 GROUP = 8
-#: Members of a bucket that meet its pivots in one task; buckets up to FEW are settled in one round, others by quarters.
-SHARE, FEW, QUARTERS = 256, 64, 4
+#: Members of a bucket that meet its pivots in one task.
+SHARE = 256
+#: Pairs of a round: at least so many, and as many a member of an open bucket; more are spread over rounds.
+PAIRS, PAIRS_A_MEMBER = 1_000_000, 8
 
 
 class Counts:
@@ -207,7 +209,7 @@ class NgramJoin:
         A bucket's node that meets most others is compared with its members first, one pair a member.
         Buckets whose members then lie in one component are done. In the others the members
         outside the largest component are compared with all members of other components, a share of them
-        a round, and leave; so at the end every pair that shares a key (and can reach the
+        a round where pairs are many, and leave; so at the end every pair that shares a key (and can reach the
         threshold by its places and sizes) was compared or lies in one component.
         """
         members = stored(self._indexed(), "join-keys")
@@ -237,7 +239,10 @@ class NgramJoin:
             open_ = stored(attach(labelled, mixed, ["key"], "members", how="inner"), "join-open")
             if open_.isEmpty():
                 return links
-            drawn = (F.col("few") <= FEW) | (F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(QUARTERS)) == 0)
+            size = mixed.agg(F.sum("members").alias("members"), F.sum(F.col("few") * F.col("members")).alias("pairs")).first()
+            rounds = -(-size["pairs"] // max(PAIRS, PAIRS_A_MEMBER * size["members"]))
+            # a share of the pivots; what they link may close a bucket before the others' turn
+            drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(rounds)) == 0
             pivots = stored(open_.where("root != most").where(drawn), "join-pivots")
             ways = F.ceil(F.col("members") / SHARE)
             many = pivots.select("key", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("slack").alias("pslack"),

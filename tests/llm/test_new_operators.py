@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from test_llm_operators import EDGE, brute_groups, make
 
+from sparkinfer.llm import components as components_module
 from sparkinfer.llm import ngram_join, prefix_trie, queries, whitening
 from sparkinfer.llm.components import components
 
@@ -69,7 +70,9 @@ def test_signatures_of_similar_sets_meet():
         assert keys[0] & keys[1]
 
 
-def test_components_of_a_hub_and_a_chain(spark):
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_components_of_a_hub_and_a_chain(spark, monkeypatch, one_task):
+    monkeypatch.setattr(components_module, "ONE_TASK", one_task)
     links = [(0, i) for i in range(1, 3000)] + [(10_000 + i, 10_001 + i) for i in range(300)]
     got = components(spark.createDataFrame(links, "a long, b long").repartition(7), "a", "b").toPandas()
     assert len(got) == 3301
