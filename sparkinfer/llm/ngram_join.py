@@ -35,8 +35,8 @@ FLOOR, TIMES = 4, 2
 GROUP = 8
 #: Members of a bucket that meet its pivots in one task.
 SHARE = 256
-#: Pairs of a round: at least so many, and as many a member of an open bucket; more are spread over rounds.
-PAIRS, PAIRS_A_MEMBER = 1_000_000, 8
+#: Pairs that the buckets of a round may make (places and sizes leave few of them): at least so many, and as many a member.
+PAIRS, PAIRS_A_MEMBER = 20_000_000, 64
 
 
 class Counts:
