@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from sparkinfer.functions.normal import norm_pdf
 from sparkinfer.functions.scalars import number, present
-from sparkinfer.operators.joins import lookup
+from sparkinfer.operators.joins import join_on, lookup
 from sparkinfer.operators.ranks import quantiles
 
 #: Narrow bins a kernel's bandwidth spans when a density is folded.
 BINS_PER_BANDWIDTH = 64
+#: Bandwidths a kernel reaches: beyond, it is below 1e-17 of its height.
+REACH = 9
+#: Bins of one array when empty bins are laid out.
+PIECE = 8192
 
 
 def _slot(value: Column, low: Column, high: Column, bins: Column) -> Column:
@@ -33,18 +37,21 @@ def _limits(rows: DataFrame, value: str, extra: dict[str, Column] | None = None)
         *[c.alias(n) for n, c in (extra or {}).items()]).alias("l")).scalar()
 
 
+def bin_count(n: Column, span: Column, iqr: Column) -> Column:
+    """Number of bins: the finer of Freedman-Diaconis and Sturges."""
+    n = n.cast("double")
+    width = F.lit(2.0) * iqr / F.pow(n, F.lit(1.0 / 3.0))
+    sturges = F.ceil(F.log2(n) + 1)
+    return F.greatest(sturges, F.coalesce(F.ceil(span / F.nullif(width, F.lit(0.0))), sturges)).cast("long")
+
+
 def auto_bins(df: DataFrame, value: str) -> Column:
-    """Number of bins as a scalar: the finer of Freedman-Diaconis and Sturges."""
+    """Number of bins of a column as a scalar; see :func:`bin_count`."""
     rows = present(df, value)
     q = quantiles(rows, value, {"q1": 0.25, "q3": 0.75})
-    n = F.col("n_values").cast("double")
     limits = _limits(rows, value)
-    span = F.col("__l.high") - F.col("__l.low")
-    width = F.lit(2.0) * (F.col("q3") - F.col("q1")) / F.pow(n, F.lit(1.0 / 3.0))
-    fd = F.ceil(span / F.nullif(width, F.lit(0.0)))
-    sturges = F.ceil(F.log2(n) + 1)
     return (q.where(F.col("n_values") > 0).withColumn("__l", limits)
-            .select(F.greatest(sturges, F.coalesce(fd, sturges)).cast("long").alias("bins")).scalar())
+            .select(bin_count(F.col("n_values"), F.col("__l.high") - F.col("__l.low"), F.col("q3") - F.col("q1")).alias("bins")).scalar())
 
 
 def histogram(df: DataFrame, value: str, bins: int | str = "auto") -> DataFrame:
@@ -54,49 +61,89 @@ def histogram(df: DataFrame, value: str, bins: int | str = "auto") -> DataFrame:
     placed = (rows.select(F.col(value).cast("double").alias("v"))
               .withColumn("l", _limits(rows, value)).withColumn("k", count)
               .select(_slot(F.col("v"), F.col("l.low"), F.col("l.high"), F.col("k")).alias("bin"),
-                      "l", "k"))
-    folded = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.first("l").alias("l"),
-                                       F.first("k").alias("k"))
-    # empty bins are part of a histogram: each bin also yields the empty ones up to the next
-    order = Window.orderBy("bin")
+                      "l.low", "l.high", "l.total", "k"))
+    folded = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("low", "high", "total", "k")])
+    return _with_empty_bins(folded, [])
+
+
+def histogram_of_cells(cells: DataFrame, limits: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The histogram of counted values (by, value, n), ``limits`` (by, low, high, total, k) having one row a group."""
+    placed = join_on(cells, limits, by, small=True)
+    folded = (placed.withColumn("bin", _slot(F.col("value"), F.col("low"), F.col("high"), F.col("k")))
+              .groupBy(*by, "bin").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in ("low", "high", "total", "k")]))
+    return _with_empty_bins(folded, list(by))
+
+
+def _with_empty_bins(folded: DataFrame, by: list[str]) -> DataFrame:
+    """Occupied bins (by, bin, n, low, high, total, k) with the empty ones between them and at both ends.
+
+    Runs of empty bins are laid out in pieces of ``PIECE``, so that a far outlier makes rows, not one huge array.
+    """
+    order = Window.partitionBy(*by).orderBy("bin")
     start = F.when(F.lag("bin").over(order).isNull(), F.lit(0).cast("long")).otherwise(F.col("bin"))
     stop = F.coalesce(F.lead("bin").over(order), F.col("k")) - 1
-    width = (F.col("l.high") - F.col("l.low")) / F.col("k")
-    return (folded.withColumn("start", start).withColumn("stop", stop)
-            .withColumn("each", F.explode(F.sequence("start", "stop")))
+    width = (F.col("high") - F.col("low")) / F.col("k")
+    runs = folded.withColumn("start", start).withColumn("stop", stop)
+    pieces = runs.withColumn("piece", F.explode(F.sequence(F.floor(F.col("start") / PIECE), F.floor(F.col("stop") / PIECE))))
+    inside = F.sequence(F.greatest("start", F.col("piece") * PIECE), F.least("stop", F.col("piece") * PIECE + PIECE - 1))
+    return (pieces.withColumn("each", F.explode(inside))
             .withColumn("n", F.when(F.col("each") == F.col("bin"), F.col("n")).otherwise(F.lit(0).cast("long")))
             .withColumn("bin", F.col("each"))
-            .select("bin", (F.col("l.low") + F.col("bin") * width).alias("low"),
-                    (F.col("l.low") + (F.col("bin") + 1) * width).alias("high"), "n",
-                    (F.col("n") / (F.col("l.total") * width)).alias("density")))
+            .select(*by, "bin", (F.col("low") + F.col("bin") * width).alias("low"),
+                    (F.col("low") + (F.col("bin") + 1) * width).alias("high"), "n",
+                    (F.col("n") / (F.col("total") * width)).alias("density")))
+
+
+def kde_curve(df: DataFrame, value: str, points: int = 200) -> DataFrame:
+    """Gaussian kernel density with Scott's bandwidth over the value range; see :func:`density_of_cells`."""
+    rows = present(df, value).select(F.col(value).cast("double").alias("value"), F.lit(1).cast("long").alias("n"))
+    limits = rows.agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("total"),
+                      F.stddev_samp("value").alias("std"))
+    return density_of_cells(rows, limits, [], points)
 
 
-def kde_curve(df: DataFrame, value: str, points: int = 200, resolution: int | None = None) -> DataFrame:
-    """Gaussian kernel density with Scott's bandwidth over the value range.
+def density_of_cells(cells: DataFrame, limits: DataFrame, by: Sequence[str], points: int) -> DataFrame:
+    """(by, point, x, density) from weighted values (by, value, n) and ``limits`` (by, low, high, total, std).
 
-    The whole column is first folded to ``resolution`` narrow bins (default: by the
-    bandwidth, which shrinks with the number of rows), each standing at the mean of its
-    rows, so the kernel sum is occupied bins x points however many rows there are.
+    Values are first folded to bins BINS_PER_BANDWIDTH to a bandwidth h, each known by its count, mean
+    and variance; with these the kernel sum is exact up to third moments within a bin, about
+    (1 / BINS_PER_BANDWIDTH)^3 / 40 of the kernel's height, so seven digits. A bin reaches only the grid points
+    within REACH bandwidths, so bins x reached points does not grow with the rows or as h shrinks.
     """
-    rows = present(df, value)
-    limits = _limits(rows, value, {"std": F.stddev_samp(number(value))})
-    span = (F.col("l.high") - F.col("l.low")) * F.pow(F.col("l.total").cast("double"), F.lit(0.2))
-    k = F.lit(resolution).cast("long") if resolution else F.coalesce(
-        F.ceil(F.lit(BINS_PER_BANDWIDTH) * span / F.nullif(F.col("l.std"), F.lit(0.0))), F.lit(1).cast("long"))
-    mass = (rows.select(F.col(value).cast("double").alias("v")).withColumn("l", limits)
-            .groupBy(_slot(F.col("v"), F.col("l.low"), F.col("l.high"), k).alias("bin"))
-            .agg(F.count(F.lit(1)).alias("m"), F.avg("v").alias("centre")))
-    grid = F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))
-    step = (F.col("l.high") - F.col("l.low")) / F.lit(float(points - 1))
-    bandwidth = F.col("l.std") * F.pow(F.col("l.total").cast("double"), F.lit(-0.2))
-    spread = (mass.withColumn("l", limits).where(F.col("l.std") > 0)
-              .withColumn("h", bandwidth).withColumn("step", step)
-              .select("m", "centre", "h", F.col("l.low").alias("low"), "step",
-                      F.col("l.total").alias("total"), F.explode(grid).alias("point"))
-              .withColumn("x", F.col("low") + F.col("point") * F.col("step")))
-    spread = spread.withColumn("z", (F.col("x") - F.col("centre")) / F.col("h"))
-    kernel = F.col("m") * norm_pdf(F.col("z")) / (F.col("total") * F.col("h"))
-    return spread.groupBy("point").agg(F.first("x").alias("x"), F.sum(kernel).alias("density"))
+    by = list(by)
+    usable = limits.where("std > 0").select(
+        *by, F.col("low").alias("_low"), F.col("total").alias("_total"),
+        (F.col("std") * F.pow(F.col("total").cast("double"), F.lit(-0.2))).alias("_h"),
+        ((F.col("high") - F.col("low")) / F.lit(float(points - 1))).alias("_step"))
+    if by:
+        placed = join_on(cells, usable, by, small=True)
+    else:
+        names = ("_low", "_total", "_h", "_step")
+        placed = cells.withColumn("_u", usable.select(F.struct(*names).alias("u")).scalar()).where("_u is not null").select(
+            *cells.columns, *[F.col(f"_u.{c}").alias(c) for c in names])
+    slot = F.floor((F.col("value") - F.col("_low")) / F.col("_h") * BINS_PER_BANDWIDTH)
+    # values are taken from the bin's low edge, so that squares do not cancel
+    off = F.col("value") - F.col("_low") - F.col("slot") * F.col("_h") / BINS_PER_BANDWIDTH
+    n = F.col("n").cast("double")
+    mass = (placed.withColumn("slot", slot).withColumn("off", off)
+            .groupBy(*by, "slot", "_low", "_total", "_h", "_step").agg(
+                F.sum(n).alias("m"), (F.sum(n * F.col("off")) / F.sum(n)).alias("mid"), F.sum(n * F.col("off") * F.col("off")).alias("square")))
+    centre = F.col("_low") + F.col("slot") * F.col("_h") / BINS_PER_BANDWIDTH + F.col("mid")
+    spread = F.greatest(F.lit(0.0), F.col("square") / F.col("m") - F.col("mid") * F.col("mid"))
+    at = (F.col("centre") - F.col("_low")) / F.col("_step")
+    far = F.lit(REACH) * F.col("_h") / F.col("_step")
+    low = F.greatest(F.lit(0).cast("long"), F.ceil(at - far))
+    high = F.least(F.lit(points - 1).cast("long"), F.floor(at + far))
+    reached = (mass.withColumn("centre", centre).withColumn("v2", spread / (F.col("_h") * F.col("_h")))
+               .withColumn("from", low).withColumn("to", high).where(F.col("from") <= F.col("to"))
+               .withColumn("point", F.explode(F.sequence("from", "to"))))
+    z = (F.col("_low") + F.col("point") * F.col("_step") - F.col("centre")) / F.col("_h")
+    kernel = F.col("m") * norm_pdf(F.col("z")) * (1.0 + (F.col("z") * F.col("z") - 1.0) * F.col("v2") / 2.0)
+    sums = reached.withColumn("z", z).groupBy(*by, "point").agg(F.sum(kernel).alias("k"))
+    every = usable.withColumn("point", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))))
+    met = join_on(every, sums, [*by, "point"], "left")
+    return met.select(*by, "point", (F.col("_low") + F.col("point") * F.col("_step")).alias("x"),
+                      (F.coalesce("k", F.lit(0.0)) / (F.col("_total") * F.col("_h"))).alias("density"))
 
 
 def boxplot(df: DataFrame, value: str, by: Sequence[str], width: float = 1.5) -> DataFrame:
@@ -104,15 +151,19 @@ def boxplot(df: DataFrame, value: str, by: Sequence[str], width: float = 1.5) ->
     by = list(by)
     rows = present(df, value).select(*by, F.col(value).cast("double").alias("v"))
     q = quantiles(rows, "v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
-    iqr = F.col("q3") - F.col("q1")
     placed = lookup(rows, q, by, "n_values", "inner", nulls=True)  # groups are mostly few: rows stay where they are
-    inside = ((F.col("v") >= F.col("q1") - F.lit(width) * iqr)
-              & (F.col("v") <= F.col("q3") + F.lit(width) * iqr))
+    return box_of_cells(placed.withColumnsRenamed({"v": "value"}).withColumn("n", F.lit(1).cast("long")), "value", "n", by, width)
+
+
+def box_of_cells(placed: DataFrame, value: str, weight: str, by: Sequence[str], width: float = 1.5) -> DataFrame:
+    """Box plots from weighted values that carry their group's q1, median, q3 and n_values; partial aggregates only."""
+    v, iqr = F.col(value), F.col("q3") - F.col("q1")
+    inside = (v >= F.col("q1") - F.lit(width) * iqr) & (v <= F.col("q3") + F.lit(width) * iqr)
     return (placed.groupBy(*by)
             .agg(F.first("n_values").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
-                 F.first("q3").alias("q3"), F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
-                 F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-                 F.count_if(~inside).alias("n_fliers")))
+                 F.first("q3").alias("q3"), F.min(F.when(inside, v)).alias("whisker_low"),
+                 F.max(F.when(inside, v)).alias("whisker_high"),
+                 F.sum(F.when(inside, 0).otherwise(F.col(weight))).alias("n_fliers")))
 
 
 def binned_scatter(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:

@@ -96,17 +96,24 @@ def scaling_parameters(df: DataFrame, columns: Sequence[str], by: Sequence[str]
     return wide.select(*by, F.explode(F.array(*rows)).alias("r")).select(*by, "r.*")
 
 
-def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled") -> DataFrame:
-    """Add (x - mean) / population deviation; a constant column scales by 1."""
-    fields = [f(number(c)).alias(f"{nm}{i}") for i, c in enumerate(columns)
-              for nm, f in (("m", F.avg), ("s", F.stddev_pop))]
-    params = df.agg(F.struct(*fields).alias("p")).scalar()
-    scaled = []
-    for i, c in enumerate(columns):
-        spread = F.col(f"__p.s{i}")
-        scaled.append(((number(c) - F.col(f"__p.m{i}"))
-                       / F.when(spread == 0, F.lit(1.0)).otherwise(spread)).alias(f"{c}{suffix}"))
-    return df.withColumn("__p", params).select(*df.columns, *scaled)
+def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled",
+                parameters: DataFrame | None = None) -> DataFrame:
+    """Add (x - mean) / population deviation; a constant column scales by 1.
+
+    ``parameters`` (column, mean, std) may be given if they are known; one row a column reaches the driver.
+    """
+    if parameters is None:
+        fields = [f(number(c)).alias(f"{nm}{i}") for i, c in enumerate(columns)
+                  for nm, f in (("m", F.avg), ("s", F.stddev_pop))]
+        marked = df.withColumn("__p", df.agg(F.struct(*fields).alias("p")).scalar())
+        centres = [(F.col(f"__p.m{i}"), F.col(f"__p.s{i}")) for i in range(len(columns))]
+    else:
+        known = {r["column"]: (r["mean"], r["std"]) for r in parameters.collect()}
+        marked = df
+        centres = [tuple(F.lit(x).cast("double") for x in known.get(c, (None, None))) for c in columns]
+    scaled = [((number(c) - mean) / F.when(spread == 0, F.lit(1.0)).otherwise(spread)).alias(f"{c}{suffix}")
+              for c, (mean, spread) in zip(columns, centres, strict=True)]
+    return marked.select(*df.columns, *scaled)
 
 
 def expected_levels(df: DataFrame, channel: str, store: str, channels: Sequence[str],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkinfer.functions.scalars import null_flag, number
@@ -39,16 +39,20 @@ def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
         "max": F.max(c), "skew": F.skewness(c), "kurtosis": F.kurtosis(c)})
 
 
+def shape_of_sample(n: Column, g1: Column, g2: Column) -> tuple[Column, Column]:
+    """Bias-corrected skewness and excess kurtosis from the population's."""
+    skew = F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0)))
+    kurtosis = F.when(n > 3, (n - 1) / F.nullif((n - 2) * (n - 3), F.lit(0.0)) * ((n + 1) * g2 + 6))
+    return skew, kurtosis
+
+
 def describe_full(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """As :func:`describe` plus exact median and variance, with bias-corrected shape."""
     base = _spread(df, columns, by, lambda c: {
         "n": F.count(c), "mean": F.avg(c), "variance": F.var_samp(c), "std": F.stddev_samp(c),
         "min": F.min(c), "max": F.max(c), "g1": F.skewness(c), "g2": F.kurtosis(c)})
     middle = medians(melt(df, columns, by), "value", [*by, "column"]).drop("n_values")
-    n = F.col("n").cast("double")
-    skew = F.when(n > 2, F.col("g1") * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0)))
-    kurt = F.when(n > 3, (n - 1) / F.nullif((n - 2) * (n - 3), F.lit(0.0))
-                  * ((n + 1) * F.col("g2") + 6))
+    skew, kurt = shape_of_sample(F.col("n").cast("double"), F.col("g1"), F.col("g2"))
     return join_on(base, middle, [*by, "column"], "left").select(
         *by, "column", "n", "mean", "median", "variance", "std", "min", "max",
         skew.alias("skew"), kurt.alias("kurtosis"))

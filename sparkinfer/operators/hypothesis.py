@@ -130,6 +130,11 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, by: Sequence[str] = ()
     offset = F.col("avg_rank") - (F.col("total") + 1) / 2.0
     levels = ranked.groupBy(*by, group).agg(
         F.sum("n").alias("m"), F.sum(n * offset).alias("shift"), F.sum(n * (t * t - 1)).alias("ties"))
+    return h_test(levels, by)
+
+
+def h_test(levels: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Kruskal-Wallis from one row a level: rows ``m``, sum of centred ranks ``shift``, share of the tie sum ``ties``."""
     folded = levels.groupBy(*by).agg(
         F.coalesce(F.sum("m"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("n_groups"),
         F.sum(F.col("shift") * F.col("shift") / F.col("m")).alias("spread"),
@@ -208,6 +213,12 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows = base = cut(base)
     for i in range(len(columns)):
         rows = _attach_ranks(rows, value_counts(base, f"v{i}"), f"v{i}", [], probe(base, f"v{i}"), "n")
+    return spearman_of_ranks(rows, columns, [f"rv{i}" for i in range(len(columns))])
+
+
+def spearman_of_ranks(rows: DataFrame, columns: Sequence[str], ranks: Sequence[str]) -> DataFrame:
+    """The correlation matrix of :func:`spearman_matrix` from centred average ranks, in one aggregation."""
+    rows = rows.select(*[F.col(r).alias(f"rv{i}") for i, r in enumerate(ranks)])
     k = range(len(columns))
     folded = rows.agg(F.count(F.lit(1)).alias("n"),
                       *[F.sum(F.col(f"rv{i}") * F.col(f"rv{j}")).alias(f"s{i}_{j}")

@@ -86,6 +86,11 @@ def ks_normal(df: DataFrame, value: str, by: Sequence[str] = (), layout: Layout
     else:
         scaled = with_group(placed, by, source=rows, mean=F.avg(number(value)),
                             std=F.stddev_samp(number(value)))
+    return ks_of_positions(scaled, by)
+
+
+def ks_of_positions(scaled: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The test from cells with running positions (value, cum_le, tied, total) and the group's mean and std."""
     z = (F.col("value") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
     size = F.col("total").cast("double")
     # the CDF is a column of its own so that both distances share one evaluation
@@ -100,8 +105,9 @@ def ks_normal(df: DataFrame, value: str, by: Sequence[str] = (), layout: Layout
 
 
 def normality(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
-              size: int = SHAPIRO_LIMIT, seed: int | None = None, alpha: float = 0.05) -> DataFrame:
-    """Both tests, one output row per column.
+              size: int = SHAPIRO_LIMIT, seed: int | None = None, alpha: float = 0.05,
+              distances: DataFrame | None = None) -> DataFrame:
+    """Both tests, one output row per column; ``distances`` are given where cells have been counted.
 
     Kolmogorov-Smirnov is over all ``n`` rows with a value; Shapiro-Wilk, which is only
     defined for small samples, over the ``n_sampled`` of one seeded sample of rows.
@@ -109,7 +115,8 @@ def normality(df: DataFrame, columns: Sequence[str], keys: Sequence[str],
     sample = seeded_sample(df, keys, size, seed)
     w = shapiro_of_sample(melt(sample, columns), "value", ["column"]).select(
         "column", F.col("n").alias("n_sampled"), F.col("statistic").alias("shapiro_w"), F.col("p_value").alias("shapiro_p"), "status")
-    d = ks_normal(melt(df, columns), "value", ["column"]).select(
+    found = ks_normal(melt(df, columns), "value", ["column"]) if distances is None else distances
+    d = found.select(
         F.col("column").alias("c"), "n", F.col("statistic").alias("ks_d"), F.col("p_value").alias("ks_p"))
     joined = w.join(d, w["column"] == d["c"], "left").drop("c")
     smaller = F.least("shapiro_p", "ks_p")

@@ -325,6 +325,11 @@ def qq_points(df: DataFrame, value: str, by: Sequence[str] = (), points: int = 2
     rows = present(df, value)
     ranked = rank_cells(value_counts(rows, value, by), by, probe(rows, value, by))
     scaled = with_group(ranked, by, source=rows, mean=F.avg(number(value)), std=F.stddev_pop(number(value)))
+    return qq_grid(scaled, by, points)
+
+
+def qq_grid(scaled: DataFrame, by: Sequence[str], points: int) -> DataFrame:
+    """The grid from cells with running positions (value, cum_le, tied, total) and the group's mean and std."""
     upto = F.expr(f"({2 * points} * cum_le + total) div (2 * total)")
     after = F.expr(f"({2 * points} * (cum_le - tied) + total) div (2 * total) + 1")
     met = scaled.where(after <= upto).withColumn("point", F.explode(F.sequence(after, upto)))

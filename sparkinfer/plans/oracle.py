@@ -340,6 +340,83 @@ def _hypotheses() -> str:
         {' UNION ALL '.join(parts)}"""
 
 
+def _study() -> str:
+    """The study's figures, one union over the cleaned table (named sales, so that the pieces above read it)."""
+    numeric = ["units", "discount", "amount", "amount_per_unit", "age_years", "frequency"]
+    ranked, drawn = ["units", "discount", "amount", "age_years", "frequency"], ["discount", "amount", "age_years"]
+    clean = f"""{SALES.replace("sales AS (", "raw AS (", 1)},
+    freq AS (SELECT customer_id AS c, count(*) AS m FROM raw WHERE customer_id IS NOT NULL GROUP BY 1),
+    aged AS (SELECT *, date_diff('day', born, shipped) / 365.25 AS a FROM raw),
+    mid AS (SELECT coalesce(quantile_cont(a, 0.5), 35.0) AS mid FROM aged WHERE a BETWEEN 0 AND 110),
+    sales AS (SELECT channel, store, units, least(greatest(coalesce(discount, 0.0), 0.0), 1.0) AS discount, amount, gender, row_key,
+        amount / units AS amount_per_unit, CASE WHEN a BETWEEN 0 AND 110 THEN a ELSE mid END AS age_years, coalesce(m, 1) AS frequency
+        FROM aged CROSS JOIN mid LEFT JOIN freq ON customer_id = c)"""
+
+    def rows(section, label_, values, source, ctes="", where=""):
+        lead = f"WITH {ctes} " if ctes else ""
+        return " UNION ALL ".join(
+            f"SELECT * FROM ({lead}SELECT '{section}' AS section, {label_} || ' {name}' AS metric, CAST(round({value}, {digits}) AS DOUBLE) AS value "
+            f"FROM {source} {where})" for name, value, digits in values)
+
+    def tail(sql, first):  # the CTEs of a piece that starts from sales
+        return first + sql.split(f", {first}", 1)[1].rsplit("SELECT n, ", 1)[0]
+
+    long = f"SELECT * FROM ({_melt(numeric, 'sales')})"
+    moments = f"""SELECT "column" AS c, count(value) AS n, avg(value) AS mean, quantile_cont(value, 0.5) AS median, stddev_samp(value) AS std,
+        stddev_pop(value) AS pop, min(value) AS min, max(value) AS max, skewness(value) AS skew, kurtosis(value) AS kurtosis FROM ({long}) GROUP BY 1"""
+    parts = [
+        rows("describe", "c", [(x, x, 5) for x in ("n", "mean", "median", "std", "min", "max", "skew", "kurtosis")], f"({moments})"),
+        rows("scaling", "c", [("mean", "mean", 5), ("std", "pop", 5)], f"({moments})", where="WHERE c <> 'units'"),
+        rows("outliers", "'amount'", [("n", "n", 6), ("n_outliers", "o", 6), ("outlier_rate", "o / CAST(n AS DOUBLE)", 6)],
+             f"""(SELECT count(*) AS n, count(*) FILTER (amount < q1 - 1.5 * (q3 - q1) OR amount > q3 + 1.5 * (q3 - q1)) AS o
+                 FROM sales CROSS JOIN ({_fences('sales', 'amount')}))"""),
+        rows("unexpected", "'rows'", [("n", "count(*)", 0), ("n_rejected", f"count(*) FILTER (NOT (channel IN {CHANNELS} AND store BETWEEN {STORES[0]} AND {STORES[1]}))", 0)], "sales"),
+    ]
+    for c in drawn:
+        parts.append(rows("kolmogorov", f"'{c}'", [("n", "n", 6), ("ks_d", "d", 6)], "ks", _ks("sales", c)))
+    for section, columns in (("correlations", ranked), ("trio", ["units", "amount", "discount"])):
+        parts += [rows(section, f"'{a} {b}'", [("rho", "corr(x, y)", 6)], f"(SELECT {_avg_rank(a)} AS x, {_avg_rank(b)} AS y FROM sales)")
+                  for a in columns for b in columns if a < b]
+    valid = f"channel IN {CHANNELS} AND store BETWEEN {STORES[0]} AND {STORES[1]}"
+    parts.append(rows("channel_store", "'chi2'", [("statistic", "statistic", 6), ("df", "df", 6)], "tested",
+                      _chi2(f"SELECT channel AS a, store AS b, count(*) AS n FROM sales WHERE {valid} GROUP BY ALL")))
+    inside = "amount >= q1 - 1.5 * (q3 - q1) AND amount <= q3 + 1.5 * (q3 - q1)"
+    parts.append(rows("boxplot", "channel", [("n", "n", 6), ("q1", "q1", 6), ("median", "q2", 6), ("q3", "q3", 6), ("whisker_low", "lo", 6),
+                                             ("whisker_high", "hi", 6), ("n_fliers", "fl", 6)],
+                      f"""(SELECT channel, count(*) AS n, any_value(q1) AS q1, any_value(q2) AS q2, any_value(q3) AS q3, min(amount) FILTER ({inside}) AS lo,
+                          max(amount) FILTER ({inside}) AS hi, count(*) FILTER (NOT ({inside})) AS fl FROM sales JOIN (SELECT channel, quantile_cont(amount, 0.25) AS q1,
+                          quantile_cont(amount, 0.5) AS q2, quantile_cont(amount, 0.75) AS q3 FROM sales GROUP BY channel) USING (channel) GROUP BY channel)"""))
+    for factor in ("channel", "store"):
+        parts.append(rows(f"anova by {factor}", "'amount'", [("n", "n", 5), ("statistic", "stat", 5)], "s", tail(_anova("amount", factor), "g AS")))
+        parts.append(rows(f"kruskal by {factor}", "'amount'", [("n", "n", 5), ("statistic", "stat", 5)], "e", tail(_kruskal("amount", factor), "ranked AS")))
+    urgent, low = f"'{URGENT}'", f"'{LOW}'"
+    for name, column, one, two in (("app_over_web", "channel", urgent, low), ("gender_amount", "gender", "'F'", "'O'")):
+        parts.append(rows("hypotheses", f"'{name} welch_t'", [("n", "n1 + n2", 4), ("statistic", "t", 4)], "wt", _welch("sales", "amount", column, one, two)[0]))
+        parts.append(rows("hypotheses", f"'{name} mann_whitney'", [("n", "n1 + n2", 4), ("statistic", "u", 4)], "s",
+                          _mann_whitney("sales", "amount", column, one, two)[0]))
+    parts.append(rows("hypotheses", "'age_frequency spearman'", [("n", "count(*)", 4), ("statistic", "corr(x, y)", 4)],
+                      f"(SELECT {_avg_rank('age_years')} AS x, {_avg_rank('frequency')} AS y FROM sales)"))
+    parts.append(rows("hypotheses", "'discount_by_channel anova'", [("n", "n", 4), ("statistic", "stat", 4)], "s", tail(_anova("discount", "channel"), "g AS")))
+    parts.append(rows("hypotheses", "'discount_by_channel kruskal'", [("n", "n", 4), ("statistic", "stat", 4)], "e",
+                      tail(_kruskal("discount", "channel"), "ranked AS")))
+    gone = "count(*) FILTER (raw.discount IS NULL)"  # birth dates are text that never lacks, only fails to be a date
+    parts.append(rows("missing", "f", [("least", "least(d, b)", 0), ("most", "greatest(d, b)", 0)],
+                      f"(SELECT 'channel' AS f, {gone} AS d, 0 AS b FROM raw UNION ALL SELECT 'store', 0, 0)"))
+    for c in drawn:
+        parts.append(rows(f"histogram {c}", "CAST(bin AS VARCHAR)", [("n", "coalesce(m, 0)", 0)], f"""(
+            WITH lim AS (SELECT min({c}) AS lo, max({c}) AS hi, CAST(greatest(ceil(log2(count(*)) + 1), coalesce(ceil((max({c}) - min({c})) / nullif(2 *
+                (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) / count(*) ** (1.0 / 3), 0)), 0)) AS BIGINT) AS k FROM sales),
+            c AS (SELECT {_histogram('k', c)} AS bin, count(*) AS m FROM sales CROSS JOIN lim GROUP BY 1)
+            SELECT b.bin, m FROM (SELECT unnest(range(0, k)) AS bin FROM lim) b LEFT JOIN c USING (bin))"""))
+    fit = f"""r AS (SELECT *, row_number() OVER (ORDER BY {_digest()}) <= ceil(0.3 * count(*) OVER ()) AS is_test FROM sales),
+        t AS (SELECT channel, avg(discount) AS mx, avg(amount) AS my FROM r WHERE NOT is_test GROUP BY 1),
+        w AS (SELECT sum((discount - mx) * (amount - my)) / sum((discount - mx) * (discount - mx)) AS b FROM r JOIN t USING (channel) WHERE NOT is_test),
+        e AS (SELECT is_test, amount, amount - (my + b * (discount - mx)) AS e FROM r JOIN t USING (channel) CROSS JOIN w)"""
+    parts.append(rows("fit", "'train'", [("n", "count(*)", 6), ("r2", "1 - sum(e * e) / (var_pop(amount) * count(*))", 6)], "e", fit, "WHERE NOT is_test"))
+    parts.append(rows("holdout", "'test'", [("n", "count(*)", 4), ("rmse", "sqrt(avg(e * e))", 4), ("mae", "avg(abs(e))", 4)], "e", fit, "WHERE is_test"))
+    return f"WITH {clean} " + " UNION ALL ".join(parts)
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     disc = "least(greatest(coalesce(discount, 0.0), 0.0), 1.0)"
@@ -587,11 +664,10 @@ def build() -> dict[str, str]:
         {hist.format(slot=_histogram('k'))} SELECT {hist_cols.format(d=8)}"""
     q["kde_curve"] = f"""WITH {LINES}, src AS (SELECT amount AS v FROM lines), lim AS (SELECT min(v) AS lo, max(v) AS hi, count(v) AS total,
             stddev_samp(v) * count(v) ** (-0.2) AS h FROM src),
-        mass AS (SELECT {_histogram('1024')} AS bin, count(*) AS m, avg(v) AS c FROM src CROSS JOIN lim GROUP BY 1),
         grid AS (SELECT point, lo + point * (hi - lo) / 99 AS x FROM lim CROSS JOIN (SELECT unnest(range(0, 100)) AS point))
         SELECT CAST(point AS BIGINT) AS point, round(any_value(x), 9) AS x,
-            round(sum(m * exp(-0.5 * ((x - c) / h) * ((x - c) / h)) / sqrt(2 * {PI}) / (total * h)), 9) AS density
-        FROM grid CROSS JOIN mass CROSS JOIN lim GROUP BY point"""
+            round(any_value(hi - lo) * sum(exp(-0.5 * ((x - v) / h) * ((x - v) / h)) / sqrt(2 * {PI}) / (total * h)), 6) AS scaled_density
+        FROM grid CROSS JOIN src CROSS JOIN lim GROUP BY point"""
     inside = "unit >= q1 - 1.5 * (q3 - q1) AND unit <= q3 + 1.5 * (q3 - q1)"
     q["boxplot_stats"] = f"""WITH {unit}, f AS (SELECT flag, quantile_cont(unit, 0.25) AS q1, quantile_cont(unit, 0.5) AS q2, quantile_cont(unit, 0.75) AS q3 FROM u GROUP BY flag)
         SELECT flag, CAST(count(unit) AS BIGINT) AS n, round(any_value(q1), 6) AS q1, round(any_value(q2), 6) AS median, round(any_value(q3), 6) AS q3,
@@ -671,4 +747,5 @@ def build() -> dict[str, str]:
     q["temporal_report"] = " UNION ALL ".join([
         long("daily_series", "daily_series_filled", "strftime(day, '%Y-%m-%d')", ["value"]),
         long("acf", "acf_30", "CAST(lag AS VARCHAR)", ["acf"]), long("pacf", "pacf_30", "CAST(lag AS VARCHAR)", ["pacf"])])
+    q["study_summary"] = _study()
     return q

@@ -13,7 +13,7 @@ from sparkinfer.operators import (charts, cleaning, contingency, describe, hypot
 from sparkinfer.plans.sales import lines, sales, table
 from sparkinfer.sources.landing import cut
 from sparkinfer.plans.suites import (SalesColumns, StudyConfig, association_suite, clean_table, event_table,
-                                     hypothesis_suite, regression_report as least_squares_report, temporal_suite)
+                                     hypothesis_suite, regression_report as least_squares_report, run_study, temporal_suite)
 from sparkinfer.sources.delimited import CORRUPT, parse
 
 SEED = 42
@@ -513,7 +513,11 @@ def hist_auto_bins(spark, sf):
 
 @query
 def kde_curve(spark, sf):
-    return rounded(charts.kde_curve(lines(spark, sf), "amount", 100, 1024), 9)
+    """Density times range, so that six decimals are six digits; the SQL sums a kernel for every row."""
+    rows = lines(spark, sf)
+    span = rows.agg((F.max("amount") - F.min("amount")).alias("s")).scalar()
+    curve = charts.kde_curve(rows, "amount", 100)
+    return rounded(curve.select("point", "x", (F.col("density") * span).alias("scaled_density")), 6, x=9)
 
 
 @query
@@ -691,6 +695,36 @@ def association_report(spark, sf):
         _long("store_kruskal", found["amount_by_store_kruskal"], F.lit("kruskal"), ["statistic"], 6))
 
 
+@query
+def study_summary(spark, sf):
+    """The whole study as one long table: every statistic of the cleaned table's cells, tests, charts and fit."""
+    config = StudyConfig(columns=SalesColumns(birth="birth_text", ts="shipped"), app_channel=URGENT, web_channel=LOW,
+                         channels=CHANNELS, store_range=STORES, genders=("F", "O"), events=EVENTS, series_start=SERIES_START, seed=SEED)
+    found = run_study(cut(sales(spark, sf).drop("age_years")), config)
+    drawn = ("discount", "amount", "age_years")
+    pair = F.concat_ws(" ", "a", "b")
+    parts = [
+        _long("describe", found["describe_full"], F.col("column"), ["n", "mean", "median", "std", "min", "max", "skew", "kurtosis"], 5),
+        _long("scaling", found["scaling"], F.col("column"), ["mean", "std"], 5),
+        _long("outliers", found["outliers"], F.lit("amount"), ["n", "n_outliers", "outlier_rate"], 6),
+        _long("kolmogorov", found["normality"], F.col("column"), ["n", "ks_d"], 6),
+        _long("correlations", found["correlations"].where("a < b"), pair, ["rho"], 6),
+        _long("trio", found["trio_correlations"].where("a < b"), pair, ["rho"], 6),
+        _long("unexpected", found["unexpected_categories"], F.lit("rows"), ["n", "n_rejected"], 0),
+        _long("channel_store", found["channel_store_chi2"], F.lit("chi2"), ["statistic", "df"], 6),
+        _long("boxplot", found["boxplot"], F.col("channel"), ["n", "q1", "median", "q3", "whisker_low", "whisker_high", "n_fliers"], 6),
+        _long("hypotheses", found["hypotheses"].where("test <> 'slope'"), F.concat_ws(" ", "hypothesis", "test"), ["n", "statistic"], 4),
+        _long("missing", found["discount_missingness"].unionByName(found["birth_missingness"]).groupBy("factor").agg(
+            F.min("n_null").alias("least"), F.max("n_null").alias("most")), F.col("factor"), ["least", "most"], 0),
+        _long("fit", found["ols_fit"], F.lit("train"), ["n", "r2"], 6),
+        _long("holdout", found["ols_holdout"], F.lit("test"), ["n", "rmse", "mae"], 4),
+    ]
+    parts += [_long(f"{kind} by {factor}", found[f"amount_by_{factor}_{kind}"], F.lit("amount"), ["n", "statistic"], 5)
+              for factor in ("channel", "store") for kind in ("anova", "kruskal")]
+    parts += [_long(f"histogram {c}", found[f"histogram_{c}"], F.col("bin").cast("string"), ["n"], 0) for c in drawn]
+    return _stacked(*parts)
+
+
 @query
 def temporal_report(spark, sf):
     config = StudyConfig(columns=SalesColumns(ts="o_orderdate", amount="o_totalprice"), events=EVENTS, series_start=SERIES_START)

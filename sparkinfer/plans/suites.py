@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkinfer.functions.effects import verdict
-from sparkinfer.functions.scalars import present
-from sparkinfer.operators import charts, cleaning, contingency, describe, hypothesis, joins
+from sparkinfer.functions.scalars import number, out_of_range, outside, present
+from sparkinfer.operators import charts, cleaning, contingency, hypothesis, joins
 from sparkinfer.operators import normality, regression, sampling, timeseries
+from sparkinfer.operators.cells import ColumnCells, count_cells
 from sparkinfer.sources.landing import cut
 
 # Categories a sale may carry, and the store numbers in use.
@@ -72,18 +73,37 @@ def event_table(spark, events: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def clean_table(df: DataFrame, config: StudyConfig) -> DataFrame:
-    """Impute, derive, count purchases per customer, repair ages; customer id is dropped.
+    """Impute, derive, count purchases per customer, repair ages; customer id is dropped."""
+    return clean_with_cells(df, config)[0]
 
-    Each of the two stored steps is read by many later jobs.
+
+def clean_with_cells(df: DataFrame, config: StudyConfig) -> tuple[DataFrame, ColumnCells]:
+    """The cleaned table and the counted cells of its numeric columns.
+
+    The derived table is stored once. One scan of it counts the cells; the age that replaces
+    invalid ones and the fences of the amount come from them, so repairs are plain expressions
+    and the cells are repaired in place of being counted again.
     """
     c = config.columns
     out = cleaning.derive(df, discount=c.discount, amount=c.amount, units=c.units, sold_at=c.ts,
                           birth=c.birth, age=c.age)
     if c.birth is not None:
         out = out.drop(c.birth)
-    out = cut(joins.frequency(out, c.customer).drop(c.customer))
-    out = cleaning.impute_invalid(out, c.age)
-    return cut(cleaning.flag_outliers(out, c.amount))
+    base = cut(joins.frequency(out, c.customer).drop(c.customer))
+    cells = count_cells(base, [c.units, c.discount, c.amount, "amount_per_unit", c.age, "frequency"])
+    low, high = cleaning.MIN_AGE, cleaning.MAX_AGE
+    found = cells.only([c.age], F.col("value").between(low, high)).quantiles({"median": 0.5}).first()
+    middle = found["median"] if found and found["median"] is not None else cleaning.FALLBACK_AGE
+    known = cells.counted.where(F.col("column") == c.age).agg(F.sum("n")).first()[0] or 0
+
+    def repaired(age):
+        return F.when(out_of_range(age, low, high), F.lit(middle)).otherwise(age)
+
+    cells = cells.recoded(c.age, repaired(F.col("value")), base.count() - known)
+    fence = cells.fences().where(F.col("column") == c.amount).first()
+    limits = (fence["low"], fence["high"]) if fence else (None, None)
+    flag = outside(number(c.amount), *[F.lit(x).cast("double") for x in limits])
+    return base.withColumn(c.age, repaired(number(c.age))).withColumn("is_outlier", flag), cells
 
 
 def _row(name: str, test: str, result: DataFrame, n, effect=None) -> DataFrame:
@@ -96,15 +116,58 @@ def _row(name: str, test: str, result: DataFrame, n, effect=None) -> DataFrame:
         label.alias("effect_label"), "status")
 
 
+@dataclass(frozen=True)
+class RankedStudy:
+    """Rows of the clean table with the ranks of its numeric columns, stored once, and what tests read from them.
+
+    Ranks are those over all rows, so this holds where no numeric column lacks a value and every
+    level has at least two rows; :func:`rank_study` checks both.
+    """
+
+    rows: DataFrame
+    cells: ColumnCells
+    correlations: DataFrame
+    config: StudyConfig
+
+    @property
+    def age_frequency(self) -> DataFrame:
+        pair = (F.col("a") == self.config.columns.age) & (F.col("b") == "frequency")
+        status = F.when(F.col("n") < 2, "too few rows").when(F.col("rho").isNull(), "degenerate").otherwise("ok")
+        return self.correlations.where(pair).select("n", "rho", "p_value", status.alias("status"))
+
+    def kruskal(self, value: str, group: str) -> DataFrame:
+        t = F.col("tied").cast("double")
+        ties = self.cells.ranked.where(F.col("column") == value).agg(F.sum(F.col("n") * (t * t - 1))).scalar()
+        levels = self.rows.groupBy(group).agg(F.count(F.lit(1)).alias("m"), F.sum(f"rank_{value}").alias("shift"))
+        share = F.col("m") / F.sum("m").over(Window.partitionBy())  # one row a level
+        return hypothesis.h_test(levels.withColumn("ties", ties * share))
+
+
+def rank_study(clean: DataFrame, cells: ColumnCells, config: StudyConfig) -> RankedStudy | None:
+    """Attach the ranks of the numeric columns to the clean table, if they serve all tests (see :class:`RankedStudy`)."""
+    c = config.columns
+    columns = [c.units, c.discount, c.amount, c.age, "frequency"]
+    found = {r["column"]: r["n"] for r in cells.moments.select("column", "n").collect()}
+    if len({found.get(x, 0) for x in columns} | {clean.count()}) > 1:
+        return None
+    rows = cut(cells.with_ranks(clean.select(c.channel, c.store, *columns), columns).drop(*columns))
+    least = rows.groupBy(c.channel).count().select("count").unionByName(rows.groupBy(c.store).count().select("count")).agg(F.min("count"))
+    missing = rows.where(F.col(c.channel).isNull() | F.col(c.store).isNull())
+    if (least.first()[0] or 0) < 2 or not missing.isEmpty():
+        return None
+    matrix = cut(hypothesis.spearman_of_ranks(rows, columns, [f"rank_{x}" for x in columns]))
+    return RankedStudy(rows, cells, matrix, config)
+
+
 def hypothesis_suite(df: DataFrame, config: StudyConfig, frequency: str = "frequency",
-                     alpha: float = 0.05) -> DataFrame:
+                     alpha: float = 0.05, ranked: RankedStudy | None = None) -> DataFrame:
     """Five questions, each with its tests; ``decides`` marks the p-value that counts."""
     c = config.columns
     both = F.col("n1") + F.col("n2")
     app, web = config.app_channel, config.web_channel
     one, two = config.genders
     h2 = hypothesis.simple_regression(df, c.units, c.discount)
-    rho = hypothesis.spearman(df, c.age, frequency)
+    rho = hypothesis.spearman(df, c.age, frequency) if ranked is None else ranked.age_frequency
     parts = [
         (_row("app_over_web", "welch_t", hypothesis.welch_t(
             df, c.amount, c.channel, app, web, alternative="greater"), both), False),
@@ -117,8 +180,8 @@ def hypothesis_suite(df: DataFrame, config: StudyConfig, frequency: str = "frequ
         (_row("age_frequency", "spearman", rho.withColumnRenamed("rho", "statistic"), F.col("n")), True),
         (_row("discount_by_channel", "anova", hypothesis.anova_oneway(
             df, c.discount, c.channel), F.col("n")), False),
-        (_row("discount_by_channel", "kruskal", hypothesis.kruskal_wallis(
-            df, c.discount, c.channel), F.col("n"), F.col("effect")), True),
+        (_row("discount_by_channel", "kruskal", hypothesis.kruskal_wallis(df, c.discount, c.channel) if ranked is None
+              else ranked.kruskal(c.discount, c.channel), F.col("n"), F.col("effect")), True),
     ]
     out = None
     for part, decides in parts:
@@ -127,16 +190,19 @@ def hypothesis_suite(df: DataFrame, config: StudyConfig, frequency: str = "frequ
     return out.withColumn("verdict", verdict(F.col("p_value"), alpha))
 
 
-def association_suite(df: DataFrame, config: StudyConfig) -> dict[str, DataFrame]:
+def association_suite(df: DataFrame, config: StudyConfig, ranked: RankedStudy | None = None) -> dict[str, DataFrame]:
     """Chi-square of channel and store, rank correlations, and amount by channel and store."""
     c = config.columns
     valid = cleaning.expected_levels(df, c.channel, c.store, config.channels, config.store_range)
+    trio = [c.units, c.amount, c.discount]
     out = {"unexpected_categories": cleaning.rejected_count(df, valid),
            "channel_store_chi2": contingency.chi2_independence(df.where(valid), c.channel, c.store),
-           "trio_correlations": hypothesis.spearman_matrix(df, [c.units, c.amount, c.discount])}
+           "trio_correlations": (hypothesis.spearman_matrix(df, trio) if ranked is None else
+                                 ranked.correlations.where(F.col("a").isin(trio) & F.col("b").isin(trio)))}
     for factor in (c.channel, c.store):
         out[f"amount_by_{factor}_anova"] = hypothesis.anova_oneway(df, c.amount, factor)
-        out[f"amount_by_{factor}_kruskal"] = hypothesis.kruskal_wallis(df, c.amount, factor)
+        out[f"amount_by_{factor}_kruskal"] = (hypothesis.kruskal_wallis(df, c.amount, factor) if ranked is None
+                                              else ranked.kruskal(c.amount, factor))
     return out
 
 
@@ -151,7 +217,8 @@ def regression_report(df: DataFrame, y: str, numeric: Sequence[str], factor: str
         rows, dummies = cleaning.one_hot(rows, factor, levels, baseline)
         xs += dummies
     split = sampling.split_flag_exact if exact_split else sampling.split_flag
-    flagged = split(rows, keys, test_share, seed)
+    needed = list(dict.fromkeys([y, *xs, *keys, *order]))
+    flagged = cut(split(rows.select(*needed), keys, test_share, seed))  # ten tables read it
     train, test = flagged.where("not is_test"), flagged.where("is_test")
     model = regression.ols(train, y, xs)
     fitted, held = model.residuals(train, y), model.residuals(test, y)
@@ -186,10 +253,11 @@ def temporal_suite(df: DataFrame, config: StudyConfig) -> dict[str, DataFrame]:
 
 
 def run_study(df: DataFrame, config: StudyConfig | None = None) -> dict[str, DataFrame]:
-    """The whole analysis as named, lazy result tables.
+    """The whole analysis as named result tables.
 
-    The cleaned table is stored once and feeds every later step; nothing but result
-    tables leaves the cluster.
+    What many tables read is computed while the plan is made and stored: the cleaned table, the
+    counted cells of its numeric columns, their order, the ranked rows and the training rows. The
+    result tables are lazy over these; nothing but result tables leaves the cluster.
     """
     config = config or StudyConfig()
     c = config.columns
@@ -198,26 +266,30 @@ def run_study(df: DataFrame, config: StudyConfig | None = None) -> dict[str, Dat
     if c.birth is not None:
         results["birth_missingness"] = contingency.missingness(df, c.birth, [c.channel, c.store])
     results["customers"] = joins.distinct_keys(df, c.customer)
-    clean = clean_table(df, config)
+    clean, cells = clean_with_cells(df, config)
+    ranked = rank_study(clean, cells, config)
     numeric = [c.units, c.discount, c.amount, "amount_per_unit", c.age, "frequency"]
-    scaled = numeric[1:]
+    scaled, drawn = numeric[1:], [c.discount, c.amount, c.age]
+    scaling = cut(cells.scaling().where(F.col("column").isin(scaled)))
+    shown = cells.only(drawn)
+    bins, curves = cut(shown.histogram()), cut(shown.density())
     results |= {
-        "clean": cleaning.standardize(clean, scaled),
-        "outliers": cleaning.outlier_summary(clean),
-        "scaling": cleaning.scaling_parameters(clean, scaled),
-        "describe": describe.describe(clean, numeric),
-        "describe_full": describe.describe_full(clean, numeric),
-        "normality": normality.normality(clean, [c.discount, c.amount, c.age], config.keys, seed=config.seed),
-        "correlations": hypothesis.spearman_matrix(
-            clean, [c.units, c.discount, c.amount, c.age, "frequency"]),
+        "clean": cleaning.standardize(clean, scaled, parameters=scaling),
+        "outliers": cells.outliers(c.amount),
+        "scaling": scaling,
+        "describe": cells.describe(),
+        "describe_full": cells.describe_full(),
+        "normality": normality.normality(clean, drawn, config.keys, seed=config.seed, distances=shown.kolmogorov()),
+        "correlations": (ranked.correlations if ranked else
+                         hypothesis.spearman_matrix(clean, [c.units, c.discount, c.amount, c.age, "frequency"])),
         "boxplot": charts.boxplot(clean, c.amount, [c.channel]),
     }
-    for column in (c.discount, c.amount, c.age):
-        results[f"histogram_{column}"] = charts.histogram(clean, column)
-        results[f"density_{column}"] = charts.kde_curve(clean, column)
-    results |= association_suite(clean, config)
+    for column in drawn:
+        results[f"histogram_{column}"] = bins.where(F.col("column") == column).drop("column")
+        results[f"density_{column}"] = curves.where(F.col("column") == column).drop("column")
+    results |= association_suite(clean, config, ranked)
     results |= temporal_suite(clean, config)
-    results["hypotheses"] = hypothesis_suite(clean, config)
+    results["hypotheses"] = hypothesis_suite(clean, config, ranked=ranked)
     report = regression_report(clean, c.amount, [c.discount], c.channel, config.keys, list(config.keys),
                                config.baseline, test_share=config.test_share, seed=config.seed)
     results |= {f"ols_{name}": table for name, table in report.items()}
