@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkinfer.functions.effects import cramers_v, effect_label
 from sparkinfer.functions.scalars import null_flag
 from sparkinfer.functions.tails import chi2_sf
-from sparkinfer.operators.joins import with_group
+from sparkinfer.operators.joins import FEW_KEYS, join_on, place, with_group
+from sparkinfer.sources.landing import cut
 
 
 def contingency(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
@@ -26,26 +27,48 @@ def contingency_wide(df: DataFrame, a: str, b: str, levels: Sequence | None = No
     return wide.na.fill(0)
 
 
-def chi2_from_cells(cells: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
-    """Pearson chi-square from counted cells, Yates-corrected when df = 1.
+def counted_with_margins(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
+    """Cells, row sums and column sums from one aggregation over grouping sets, stored: (by, a, b, n, margin).
+
+    ``margin`` is 0 for a cell, 1 for a row sum (over ``b``), 2 for a column sum. The table is read
+    once, and tasks fold their rows to cells before anything is shuffled.
+    """
+    by = list(by)
+    rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(*by, a, b)
+    keys = [F.col(c) for c in by]
+    sets = [[*keys, F.col(a), F.col(b)], [*keys, F.col(a)], [*keys, F.col(b)]]
+    counted = rows.groupingSets(sets, *keys, F.col(a), F.col(b)).agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().cast("int").alias("margin"))
+    return cut(counted)
+
+
+def chi2_from_cells(counted: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
+    """Pearson chi-square from counted cells and margins, Yates-corrected when df = 1.
 
     Only non-empty cells are touched: an empty cell adds its expected count, and
-    those sum to N minus the expected counts of the non-empty cells.
+    those sum to N minus the expected counts of the non-empty cells. Margins are joined back by
+    their keys; the side with few levels is measured and broadcast, so that a two-valued
+    column does not gather its half of the cells in one task.
     """
     by = list(by)
-    row, col = Window.partitionBy(*by, a), Window.partitionBy(*by, b)
-    margins = (cells
-               .withColumn("r", F.sum("n").over(row))
-               .withColumn("r1", F.row_number().over(row.orderBy(b)) == 1)
-               .withColumn("c", F.sum("n").over(col))
-               .withColumn("c1", F.row_number().over(col.orderBy(a)) == 1))
-    sized = with_group(margins, by, source=cells, total=F.sum("n"))
+    sizes = {r["margin"]: r["m"] for r in counted.groupBy("margin").agg(F.count(F.lit(1)).alias("m")).collect()}
+    rowsum = counted.where("margin = 1").select(*by, a, F.col("n").alias("r"))
+    colsum = counted.where("margin = 2").select(*by, b, F.col("n").alias("c"))
+    sums = rowsum.groupBy(*by).agg(F.sum("r").alias("total"), F.count(F.lit(1)).alias("n_rows"))
+    kinds = colsum.groupBy(*by).agg(F.count(F.lit(1)).alias("n_cols"))
+    cells = counted.where("margin = 0").select(*by, a, b, "n")
+    placed = place(cells, rowsum, [*by, a], "r", sizes.get(1, 0) <= FEW_KEYS, nulls=True)
+    placed = place(placed, colsum, [*by, b], "c", sizes.get(2, 0) <= FEW_KEYS, nulls=True)
+    sized = with_group(placed, by, source=rowsum, total=F.sum("r"))
     expected = F.col("r") * F.col("c").cast("double") / F.col("total")
     gap = F.abs(F.col("n") - expected)
     folded = sized.groupBy(*by).agg(
-        F.sum("n").alias("n"), F.count_if("r1").alias("n_rows"), F.count_if("c1").alias("n_cols"),
-        F.count(F.lit(1)).alias("filled"), F.sum(gap * gap / expected).alias("seen"),
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("filled"), F.sum(gap * gap / expected).alias("seen"),
         F.sum(expected).alias("covered"), F.max(gap).alias("gap"))
+    if by:
+        folded = join_on(join_on(folded, sums.drop("total"), by, "left"), kinds, by, "left")
+    else:
+        folded = folded.withColumns({"n_rows": sums.select("n_rows").scalar(), "n_cols": kinds.select("n_cols").scalar()})
     rows, cols = F.col("n_rows"), F.col("n_cols")
     full = F.col("filled") == rows * cols
     plain = F.col("seen") + F.when(full, F.lit(0.0)).otherwise(F.col("n") - F.col("covered"))
@@ -64,21 +87,21 @@ def chi2_from_cells(cells: DataFrame, a: str, b: str, by: Sequence[str] = ()) ->
 
 
 def chi2_independence(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
-    return chi2_from_cells(contingency(df, a, b, by), a, b, by)
+    return chi2_from_cells(counted_with_margins(df, a, b, by), a, b, by)
 
 
 def missingness(df: DataFrame, target: str, factors: Sequence[str], alpha: float = 0.05) -> DataFrame:
     """Does the absence of ``target`` depend on each factor?
 
-    One scan counts (factor, level, is_null) for all factors; one chi-square per
-    factor follows. Verdict: MAR (depends), MCAR (independent) or not testable.
+    One scan counts (factor, level, is_null) and both margins for all factors; one chi-square per
+    factor follows from the stored counts. Verdict: MAR (depends), MCAR (independent) or not testable.
     """
     flagged = df.select(null_flag(F.col(target)).alias("is_null"),
                         *[F.col(f).cast("string").alias(f) for f in factors])
     long = flagged.unpivot(["is_null"], list(factors), "factor", "level")
-    cells = contingency(long, "level", "is_null", ["factor"])
-    tested = chi2_from_cells(cells, "level", "is_null", ["factor"])
-    shares = cells.groupBy(F.col("factor").alias("f")).agg(
+    counted = counted_with_margins(long, "level", "is_null", ["factor"])
+    tested = chi2_from_cells(counted, "level", "is_null", ["factor"])
+    shares = counted.where("margin = 2").groupBy(F.col("factor").alias("f")).agg(
         F.sum(F.when(F.col("is_null") == 1, F.col("n")).otherwise(0)).alias("n_null"))
     out = tested.join(shares, tested["factor"] == shares["f"], "left").drop("f")
     return (out.withColumn("null_rate", F.col("n_null") / F.nullif(F.col("n"), F.lit(0)))

@@ -91,7 +91,13 @@ def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str,
     take the way of :func:`attach`.
     """
     table = cut(table)
-    if table.limit(FEW_KEYS + 1).count() > FEW_KEYS:
+    return place(rows, table, keys, weight, table.limit(FEW_KEYS + 1).count() <= FEW_KEYS, how, nulls)
+
+
+def place(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str, few: bool, how: str = "left",
+          nulls: bool = False) -> DataFrame:
+    """The lookup itself, where ``few`` says that the table has been measured to hold at most ``FEW_KEYS`` keys."""
+    if not few:
         return attach(rows, table, keys, weight, how, nulls)
     right = F.broadcast(table.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in table.columns if c not in keys]))
     on = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(right[f"__{k}"]) if nulls else rows[k] == right[f"__{k}"] for k in keys])

@@ -30,6 +30,9 @@ from sparkinfer.sources.landing import cut
 INTERCEPT = "const"
 ALIASED = 1e-9
 VIF_ALERT = 5.0
+#: Share of a column that earlier ones must leave unexplained, and R factors merged in one task.
+ALIASED_QR = 1e-11
+MERGED = 32
 
 
 def co_moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -198,6 +201,90 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ()) -> Ols
     return OlsFit(moments.mapInPandas(solve, schema), [INTERCEPT, *xs], by)
 
 
+def _triangle(block: np.ndarray, above: np.ndarray | None = None) -> np.ndarray:
+    """The R factor of a block of rows below an earlier R factor."""
+    return np.linalg.qr(block if above is None else np.vstack([above, block]), mode="r")
+
+
+def _solve_triangle(r: np.ndarray, n: int) -> dict:
+    """Least squares of the last column of R on the others; dependent columns are found one after another, first come first kept."""
+    k = r.shape[1] - 1
+    size = np.linalg.norm(r, axis=0)
+    kept: list[int] = []
+    for j in range(k):
+        if not size[j] > 0:
+            continue
+        rest = r[:, j] / size[j]
+        if kept:
+            q, _ = np.linalg.qr(r[:, kept] / size[kept])
+            rest = rest - q @ (q.T @ rest)
+            rest = rest - q @ (q.T @ rest)
+        if np.linalg.norm(rest) > ALIASED_QR:
+            kept.append(j)
+    coef, err = np.full(k, np.nan), np.full(k, np.nan)
+    spare, rss = n - len(kept), float(r[:, k] @ r[:, k])
+    if kept:
+        small = np.linalg.qr(np.column_stack([r[:, kept] / size[kept], r[:, k]]), mode="r")
+        m = len(kept)
+        inverse = np.linalg.inv(small[:m, :m])
+        coef[kept] = inverse @ small[:m, m] / size[kept]
+        rss = float(small[m:, m] @ small[m:, m])
+        if spare > 0:
+            err[kept] = np.sqrt(rss / spare * np.square(inverse).sum(axis=1)) / size[kept]
+    return {"coef": coef, "std_err": err, "rss": rss, "df_resid": spare}
+
+
+def ols_qr(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
+    """Least squares by a tall-skinny QR, for designs whose columns are nearly dependent.
+
+    Every task reduces its rows to one small R factor, and R factors are merged ``MERGED`` at a time
+    until one is left, so no task sees more than its rows or that many factors. The cross products of
+    :func:`ols` square the condition number of the design; R keeps it, so a design with condition 1e7
+    loses 7 digits of 16, not 14. Output: (term, coef, std_err, n, df_resid, status); columns that depend on
+    earlier ones are named and left out.
+    """
+    xs = list(xs)
+    rows = present(df, y, *xs).select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate([*xs, y])])
+    k = len(xs) + 2
+    factor = "part long, n long, r binary"
+
+    def reduce_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r, n = None, 0
+        for record in batches:
+            block = np.column_stack([np.ones(record.num_rows), *[record.column(i).to_numpy() for i in range(k - 1)]])
+            if len(block):
+                r, n = _triangle(block, r), n + len(block)
+        if r is not None:
+            yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [n], "r": [r.tobytes()]})
+
+    def merge(table: pa.Table) -> pa.Table:
+        whole = None
+        for _, raw in sorted(zip(table.column("part").to_pylist(), table.column("r").to_pylist(), strict=True)):
+            block = np.frombuffer(raw).reshape(-1, k)
+            whole = block if whole is None else _triangle(block, whole)
+        return pa.table({"part": pa.array([min(table.column("part").to_pylist())], pa.int64()),
+                         "n": pa.array([sum(table.column("n").to_pylist())], pa.int64()), "r": pa.array([whole.tobytes()], pa.binary())})
+
+    factors = cut(rows.mapInArrow(reduce_rows, factor))
+    last, step = factors.agg(F.max("part")).first()[0] or 0, 1
+    while step <= last:
+        step *= MERGED
+        factors = factors.groupBy(F.floor(F.col("part") / step).alias("way")).applyInArrow(merge, factor)
+    terms = [INTERCEPT, *xs]
+    schema = StructType([StructField("position", LongType()), StructField("term", StringType()), StructField("coef", DoubleType()),
+                         StructField("std_err", DoubleType()), StructField("n", LongType()), StructField("df_resid", LongType())])
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for n, raw in zip(batch["n"], batch["r"], strict=True):
+                got = _solve_triangle(np.frombuffer(raw).reshape(-1, k), int(n))
+                yield pd.DataFrame({"position": range(k - 1), "term": terms, "coef": _nullable(got["coef"]),
+                                    "std_err": _nullable(got["std_err"]), "n": int(n), "df_resid": got["df_resid"]})
+
+    return factors.mapInPandas(solve, schema).withColumn(
+        "status", F.when(F.col("coef").isNull(), "constant or collinear").otherwise("ok"))
+
+
 def holdout_metrics(df: DataFrame, y: str, predicted: str = "predicted", by: Sequence[str] = ()) -> DataFrame:
     """RMSE, MAE and R-squared of predictions, in one aggregation."""
     gap = number(y) - number(predicted)

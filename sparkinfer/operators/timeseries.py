@@ -8,16 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkinfer.functions.scalars import number
 from sparkinfer.operators.hypothesis import u_test
+from sparkinfer.operators.joins import join_on
 from sparkinfer.operators.ranks import Layout, rank_cells, value_counts
+from sparkinfer.sources.landing import cut
 
 Z_95 = 1.959963984540054
 # A day series is bounded by the calendar, so it needs no probe and no ranges.
 CALENDAR = Layout(True)
+# Days are numbered from here, and intervals of up to 2^DAY_LEVELS days are few blocks.
+EPOCH = "0001-01-01"
+DAY_LEVELS = 22
 
 
 def daily_series(df: DataFrame, ts: str, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -133,6 +138,52 @@ def event_flags(series: DataFrame, events: DataFrame, days: int = 7) -> DataFram
         *series.columns, F.coalesce(hit, F.lit(False)).alias("is_special")))
 
 
+def _dyadic(start: Column, stop: Column) -> Column:
+    """The day numbers start..stop as at most two blocks a level: structs (level, block) of 2^level aligned days each."""
+    kind = "array<struct<level:int,block:bigint>>"
+    seed = F.struct(start.cast("long").alias("s"), stop.cast("long").alias("e"), F.array().cast(kind).alias("out"))
+
+    def step(state: Column, level: Column) -> Column:
+        s, e = state["s"], state["e"]
+        odd, even = (s <= e) & (F.pmod(s, F.lit(2)) == 1), F.pmod(e, F.lit(2)) == 0
+        first = F.when(odd, F.array(F.struct(level.alias("level"), s.alias("block")))).otherwise(F.array().cast(kind))
+        s1 = F.when(odd, s + 1).otherwise(s)
+        last = (s1 <= e) & even
+        more = F.when(last, F.array(F.struct(level.alias("level"), e.alias("block")))).otherwise(F.array().cast(kind))
+        e1 = F.when(last, e - 1).otherwise(e)
+        done = s1 > e1
+        # an empty range stays empty whatever is halved
+        return F.struct(F.when(done, F.lit(1).cast("long")).otherwise(F.shiftright(s1, 1)).alias("s"),
+                        F.when(done, F.lit(0).cast("long")).otherwise(F.shiftright(e1, 1)).alias("e"),
+                        F.concat(state["out"], first, more).alias("out"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(DAY_LEVELS)), seed, step, lambda state: state["out"])
+
+
+def interval_flags(series: DataFrame, intervals: DataFrame, start: str, stop: str, by: Sequence[str] = (),
+                   output: str = "is_special") -> DataFrame:
+    """Mark the days that lie in any interval (start and stop included, of any and unequal lengths).
+
+    An interval becomes at most two aligned blocks of days a level (a century is some thirty rows, a
+    day is one) and each day knows its block on every level that intervals use, so membership is an
+    equality join and neither side grows with the lengths. With ``by`` intervals hold for their
+    own group. Intervals with a NULL end, or that end before they start, mark nothing.
+    """
+    by = list(by)
+    number_of = [F.datediff(F.col(c).cast("date"), F.lit(EPOCH).cast("date")) for c in (start, stop)]
+    blocks = (intervals.where(F.col(start).isNotNull() & F.col(stop).isNotNull()).select(
+        *by, F.explode(_dyadic(*number_of)).alias("__b")).select(*by, "__b.level", "__b.block").distinct())
+    blocks = cut(blocks)
+    levels = [r[0] for r in blocks.select("level").distinct().collect()]  # at most DAY_LEVELS + 1
+    if not levels:
+        return series.withColumn(output, F.lit(False))
+    day = F.datediff("day", F.lit(EPOCH).cast("date")).cast("long")
+    places = F.array(*[F.struct(F.lit(x).alias("level"), F.shiftright(day, x).alias("block")) for x in sorted(levels)])
+    met = (series.select(*by, "day").distinct().withColumn("__b", F.explode(places)).select(*by, "day", "__b.level", "__b.block"))
+    hit = join_on(met, blocks, [*by, "level", "block"], "left_semi").select(*by, "day").distinct().withColumn("__hit", F.lit(True))
+    return join_on(series, hit, [*by, "day"], "left").withColumn(output, F.coalesce("__hit", F.lit(False))).drop("__hit")
+
+
 def event_impact(series: DataFrame, events: DataFrame, start=None, days: int = 7) -> DataFrame:
     """Compare event days with normal days: sizes, means, medians, Mann-Whitney U.
 

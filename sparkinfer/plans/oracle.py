@@ -6,7 +6,7 @@ p-values are checked by other formulas than the ones the library uses.
 
 from __future__ import annotations
 
-from sparkinfer.plans.queries import CHANNELS, EVENTS, LOW, SEED, SERIES_START, STORES, URGENT
+from sparkinfer.plans.queries import CHANNELS, EVENTS, LOW, SEED, SERIES_START, SPANS, STORES, URGENT
 
 ROW_KEY = """concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
     strftime(l_shipdate, '%Y-%m-%d'), CAST(round(l_extendedprice * 100) AS BIGINT))"""
@@ -748,4 +748,65 @@ def build() -> dict[str, str]:
         long("daily_series", "daily_series_filled", "strftime(day, '%Y-%m-%d')", ["value"]),
         long("acf", "acf_30", "CAST(lag AS VARCHAR)", ["acf"]), long("pacf", "pacf_30", "CAST(lag AS VARCHAR)", ["pacf"])])
     q["study_summary"] = _study()
+    quarters = "(VALUES ('p25'), ('p50'), ('p75')) q(quantile)"
+    q["quantiles_approximate"] = f"""WITH {LINES} SELECT store, quantile, n, TRUE AS within
+        FROM (SELECT store, count(amount) AS n FROM lines GROUP BY store) CROSS JOIN {quarters}"""
+    q["quantiles_sketch_rollup"] = f"""WITH {LINES}, c AS (SELECT coalesce(flag, 'all') AS flag, count(amount) AS n FROM lines GROUP BY ROLLUP (flag))
+        SELECT flag, quantile, n, TRUE AS within FROM c CROSS JOIN (VALUES ('p10'), ('p50'), ('p90'), ('p99')) q(quantile)"""
+    q["distinct_customers_rollup"] = f"""WITH {SALES} SELECT coalesce(channel, 'all') AS channel, CAST(grouping(channel) AS INTEGER) AS level,
+        count(DISTINCT customer_id) AS n_exact, TRUE AS within FROM sales GROUP BY ROLLUP (channel)"""
+    def francia(value, by=""):
+        lead, part = (f"{by}, ", f"PARTITION BY {by}") if by else ("", "")
+        group = f"GROUP BY {by}" if by else ""
+        u, v = "ln(n)", "ln(ln(n))"
+        z = f"((ln(1 - w) - (-1.2725 + 1.0521 * ({v} - {u}))) / (1.0308 - 0.26758 * ({v} + 2 / {u})))"
+        return f"""WITH {LINES}, o AS (SELECT {lead}{value} AS x, row_number() OVER ({part} ORDER BY {value}) AS i, count(*) OVER ({part}) AS n
+            FROM lines WHERE {value} IS NOT NULL),
+            m AS (SELECT *, {ppf('(i - 0.375) / (n + 0.25)')} AS m FROM o),
+            w AS (SELECT {lead}CAST(count(*) AS BIGINT) AS n, corr(x, m) ** 2 AS w FROM m {group})
+            SELECT {lead}n, round(w, 6) AS statistic, 'ok' AS status, round(1 - {phi(z)}, 6) AS p_value FROM w"""
+    q["shapiro_francia"], q["shapiro_francia_by_flag"] = francia("amount"), francia("units", "flag")
+    # the same plane through (units, discount in cents), where nothing is nearly dependent
+    q["ols_illconditioned"] = f"""WITH {LINES}, r AS (SELECT amount AS y, units AS u, round(discount * 100) AS d FROM lines WHERE discount IS NOT NULL),
+        c AS (SELECT count(*) AS n, avg(u) AS mu, avg(d) AS md, avg(y) AS my, var_pop(u) * count(*) AS suu, var_pop(d) * count(*) AS sdd,
+            covar_pop(u, d) * count(*) AS sud, covar_pop(u, y) * count(*) AS suy, covar_pop(d, y) * count(*) AS sdy, var_pop(y) * count(*) AS syy FROM r),
+        b AS (SELECT *, suu * sdd - sud * sud AS det, (suy * sdd - sdy * sud) / (suu * sdd - sud * sud) AS bu,
+            (sdy * suu - suy * sud) / (suu * sdd - sud * sud) AS bd FROM c),
+        s AS (SELECT *, (syy - bu * suy - bd * sdy) / (n - 3) AS s2 FROM b),
+        t AS (SELECT 'const' AS term, my - bu * mu - bd * md AS coef,
+                sqrt(s2 * (1.0 / n + (mu * mu * sdd - 2 * mu * md * sud + md * md * suu) / det)) AS se, n, 'ok' AS m FROM s
+            UNION ALL SELECT 'units', bu / 1e7 - bd, sqrt(s2 / det * (sdd / 1e14 + suu + 2 * sud / 1e7)), n, 'ok' FROM s
+            UNION ALL SELECT 'nearly', bd, sqrt(s2 * suu / det), n, 'constant or collinear' FROM s)
+        SELECT term, CAST(n AS BIGINT) AS n, round(coef, 4) AS coef, round(se, 4) AS std_err, 'ok' AS status, m AS by_moments FROM t"""
+    spans = "spans(a, b) AS (VALUES " + ", ".join(f"(DATE '{a}', DATE '{b}')" for _, a, b in SPANS) + ")"
+    q["event_interval_flag"] = f"""WITH {SERIES}, {spans} SELECT day, pos, round(value, 2) AS value,
+        EXISTS (SELECT 1 FROM spans WHERE series.day BETWEEN spans.a AND spans.b) AS is_special FROM series"""
+    q["order_spans_by_status"] = """WITH daily AS (SELECT o_orderstatus AS s, CAST(o_orderdate AS DATE) AS day, sum(o_totalprice) AS v FROM orders GROUP BY 1, 2),
+        spine AS (SELECT s, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT s, min(day) AS a, max(day) AS b FROM daily GROUP BY s)),
+        spans AS (SELECT o_orderstatus AS s, CAST(o_orderdate AS DATE) AS a, CAST(max(l_shipdate) AS DATE) AS b FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+            WHERE o_totalprice > 400000 GROUP BY o_orderkey, o_orderstatus, o_orderdate)
+        SELECT spine.s AS o_orderstatus, spine.day, round(coalesce(v, 0.0), 2) AS value,
+            EXISTS (SELECT 1 FROM spans WHERE spans.s = spine.s AND spine.day BETWEEN a AND b) AS is_special FROM spine LEFT JOIN daily USING (s, day)"""
+    z = "((greatest(u, n1 * n2 - u)) - n1 * n2 / 2.0 - 0.5) / sqrt(var)"
+    exact = "ties = 0 AND n1 > 0 AND n2 > 0 AND n1 + n2 <= 40"
+    # subsets of the ranks 1..i by size and rank sum, one rank at a time
+    q["mann_whitney_exact_by_store"] = f"""WITH RECURSIVE {LINES}, src AS (SELECT store, strftime(l_shipdate, '%Y-%m') AS month, amount,
+            coalesce(discount, 0.0) > 0.055 AS high FROM lines WHERE amount IS NOT NULL),
+        ranked AS (SELECT *, {_avg_rank('amount', 'store, month')} AS rk, count(*) OVER (PARTITION BY store, month, amount) AS t FROM src),
+        f AS (SELECT store, month, CAST(count(*) FILTER (high) AS BIGINT) AS n1, CAST(count(*) FILTER (NOT high) AS BIGINT) AS n2,
+            coalesce(sum(rk) FILTER (high), 0) AS r1, sum(CAST(t AS DOUBLE) * t - 1) AS ties FROM ranked GROUP BY store, month),
+        s AS (SELECT *, CASE WHEN n1 > 0 AND n2 > 0 THEN r1 - n1 * (n1 + 1) / 2.0 END AS u,
+            CASE WHEN n1 + n2 > 1 THEN n1 * n2 / 12.0 * ((n1 + n2 + 1) - ties / (CAST(n1 + n2 AS DOUBLE) * (n1 + n2 - 1))) END AS var FROM f),
+        top AS (SELECT coalesce(max(n1 + n2), 0) AS n, coalesce(max(n1), 0) AS k FROM s WHERE {exact}),
+        ways(i, k, r, c) AS (SELECT 0, 0, 0, 1::DOUBLE UNION ALL
+            SELECT i + 1, ways.k + b, r + b * (i + 1), sum(c) FROM ways CROSS JOIN top CROSS JOIN (VALUES (0), (1)) v(b)
+            WHERE i < top.n AND ways.k + b <= top.k GROUP BY 1, 2, 3),
+        tails AS (SELECT store, month, sum(c) FILTER (r <= r1) / sum(c) AS low, sum(c) FILTER (r >= r1) / sum(c) AS high
+            FROM s JOIN ways ON i = n1 + n2 AND ways.k = n1 WHERE {exact} GROUP BY store, month, r1)
+        SELECT store, month, n1, n2, round(u, 6) AS statistic,
+            CASE WHEN n1 = 0 OR n2 = 0 THEN NULL WHEN {exact} THEN round(least(1.0, 2 * least(low, high)), 6)
+                 WHEN var > 0 THEN round(least(1.0, 2 * (1 - {phi(z)})), 6) END AS p_value,
+            CASE WHEN {exact} THEN 'exact' ELSE 'normal' END AS method,
+            CASE WHEN n1 = 0 OR n2 = 0 THEN 'too few rows' WHEN {exact} OR var > 0 THEN 'ok' ELSE 'degenerate' END AS status
+        FROM s LEFT JOIN tails USING (store, month)"""
     return q

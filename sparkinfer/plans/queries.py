@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkinfer.functions.scalars import out_of_range, present
 from sparkinfer.operators import (charts, cleaning, contingency, describe, hypothesis, joins, normality,
-                                  ranks, reconcile, regression, sampling, timeseries)
+                                  ranks, reconcile, regression, sampling, sketches, timeseries)
 from sparkinfer.plans.sales import lines, sales, table
 from sparkinfer.sources.landing import cut
 from sparkinfer.plans.suites import (SalesColumns, StudyConfig, association_suite, clean_table, event_table,
@@ -23,6 +23,9 @@ STORES = (2, 60)
 EVENTS = (("spring", "1996-05-12"), ("winter", "1997-12-24"), ("winter eve", "1997-12-25"),
           ("autumn", "1999-09-18"), ("before the data", "1979-01-01"), ("after the data", "2031-01-01"))
 SERIES_START = "1996-03-01"
+SPANS = (("one day", "1996-05-12", "1996-05-12"), ("a week", "1996-12-20", "1996-12-26"), ("a season", "1994-02-03", "1994-06-29"),
+         ("years", "1997-10-31", "1999-01-02"), ("inside another", "1998-03-01", "1998-03-09"), ("backwards", "1995-05-05", "1995-05-01"),
+         ("before the data", "1901-01-01", "1979-12-31"), ("past the end", "2001-06-01", "2090-01-01"))
 NUMERIC = ["units", "discount", "amount", "age_years"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +136,18 @@ def distinct_customers(spark, sf):
     return joins.distinct_keys(sales(spark, sf), "customer_id")
 
 
+@query
+def distinct_customers_rollup(spark, sf):
+    """Distinct customers of each channel, and in all, from sketches per day and channel; within three percent."""
+    rows = sales(spark, sf).select("channel", F.to_date("ts").alias("day"), "customer_id")
+    kept = cut(sketches.distinct_sketches(rows, "customer_id", ["channel", "day"]))
+    found = sketches.distinct_rollup(kept, ["channel"], "estimate")
+    exact = rows.rollup("channel").agg(F.count_distinct("customer_id").alias("n_exact"), F.grouping_id().cast("int").alias("level"))
+    met = joins.join_on(exact, found, ["channel", "level"])
+    return met.select(F.coalesce("channel", F.lit("all")).alias("channel"), "level", "n_exact",
+                      (F.abs(F.col("estimate") - F.col("n_exact")) <= 0.03 * F.col("n_exact") + 1).alias("within"))
+
+
 # ---- aggregates -------------------------------------------------------------
 
 @query
@@ -177,9 +192,32 @@ def quantiles_by_store(spark, sf):
     return rounded(ranks.quantiles(lines(spark, sf), "amount", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["store"]))
 
 
+def _within(found: DataFrame, points: dict[str, float], share: float) -> DataFrame:
+    """(..., quantile, n, within): whether the rank of each found quantile is off by at most ``share`` of the rows."""
+    at = F.create_map(*[F.lit(x) for p in points.items() for x in p])[F.col("quantile")]
+    slack = F.col("n") * share + 1
+    inside = (F.col("below") <= F.col("n") * at + slack) & (F.col("upto") >= F.col("n") * at - slack)
+    return found.withColumn("within", inside).drop("below", "upto")
+
+
 @query
 def quantiles_approximate(spark, sf):
-    return ranks.quantiles(lines(spark, sf), "amount", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, approximate=True)
+    """Approximate quantiles of every store, each with whether its rank is within 1 / accuracy."""
+    points = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    rows = lines(spark, sf).select("store", "amount")
+    found = ranks.quantiles(rows, "amount", points, ["store"], approximate=True, accuracy=1000)
+    return _within(sketches.rank_bounds(rows, "amount", found, list(points), ["store"]), points, 0.001)
+
+
+@query
+def quantiles_sketch_rollup(spark, sf):
+    """Quantile sketches per store and flag, merged to flags and to the total; ranks within two percent."""
+    points = {"p10": 0.1, "p50": 0.5, "p90": 0.9, "p99": 0.99}
+    rows = lines(spark, sf).select("store", "flag", "amount")
+    kept = cut(sketches.quantile_sketches(rows, "amount", ["store", "flag"]))
+    flags = _within(sketches.rank_bounds(rows, "amount", sketches.merged_quantiles(kept, points, ["flag"]), list(points), ["flag"]), points, 0.02)
+    total = _within(sketches.rank_bounds(rows, "amount", sketches.merged_quantiles(kept, points), list(points)), points, 0.02)
+    return flags.unionByName(total.withColumn("flag", F.lit("all")))
 
 
 @query
@@ -243,6 +281,25 @@ def event_window_flag(spark, sf):
     return rounded(timeseries.event_flags(_series(spark, sf), _events(spark), 7), 2)
 
 
+@query
+def event_interval_flag(spark, sf):
+    """Days of the series inside campaigns of very unequal length, some of them overlapping or outside."""
+    spans = spark.createDataFrame(SPANS, "name string, start string, stop string").select(
+        F.to_date("start").alias("start"), F.to_date("stop").alias("stop"))
+    return rounded(timeseries.interval_flags(_series(spark, sf), spans, "start", "stop"), 2)
+
+
+@query
+def order_spans_by_status(spark, sf):
+    """Days of each status's series that lie between an order's date and its last shipment, orders of that status only."""
+    orders = table(spark, sf, "orders").where(F.col("o_totalprice") > 400000)
+    last = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("order_key")).agg(F.max("l_shipdate").alias("stop"))
+    spans = orders.join(last, orders["o_orderkey"] == last["order_key"]).select(
+        "o_orderstatus", F.to_date("o_orderdate").alias("start"), F.to_date("stop").alias("stop"))
+    series = timeseries.daily_series(table(spark, sf, "orders"), "o_orderdate", "o_totalprice", ["o_orderstatus"])
+    return rounded(timeseries.interval_flags(series, spans, "start", "stop", ["o_orderstatus"]).drop("pos"), 2)
+
+
 @query
 def event_impact(spark, sf):
     return rounded(timeseries.event_impact(_series(spark, sf), _events(spark), SERIES_START, 7), 4)
@@ -314,6 +371,15 @@ def mann_whitney_by_segment(spark, sf):
     return rounded(hypothesis.mann_whitney(sales(spark, sf), "discount", "gender", "F", "O", ["segment"]))
 
 
+@query
+def mann_whitney_exact_by_store(spark, sf):
+    """Amounts with and without a high discount, for each store and month of shipment: mostly a handful of rows."""
+    rows = lines(spark, sf).select("store", F.date_format("l_shipdate", "yyyy-MM").alias("month"), "amount",
+                                   (F.coalesce("discount", F.lit(0.0)) > 0.055).alias("high"))
+    return rounded(hypothesis.mann_whitney_exact(rows, "amount", "high", True, False, ["store", "month"]).select(
+        "store", "month", "n1", "n2", "statistic", "p_value", "method", "status"))
+
+
 @query
 def welch_t(spark, sf):
     return rounded(hypothesis.welch_t(sales(spark, sf), "amount", "channel", URGENT, LOW,
@@ -355,6 +421,17 @@ def ks_normal_by_flag(spark, sf):
     return rounded(normality.ks_normal(lines(spark, sf), "units", ["flag"]))
 
 
+@query
+def shapiro_francia(spark, sf):
+    return rounded(normality.shapiro_francia(lines(spark, sf), "amount"))
+
+
+@query
+def shapiro_francia_by_flag(spark, sf):
+    """Fifty values hold all rows: each meets the sum of the normal scores of its places."""
+    return rounded(normality.shapiro_francia(lines(spark, sf), "units", ["flag"]))
+
+
 @query
 def normality_report(spark, sf):
     return rounded(normality.normality(lines(spark, sf), ["units", "discount", "amount"], ["row_key"], seed=SEED))
@@ -402,6 +479,22 @@ def ols_collinear(spark, sf):
     return rounded(regression.ols(df, "amount", ["units", "twice", "one"]).coefficients.drop("position"), 5)
 
 
+@query
+def ols_illconditioned(spark, sf):
+    """Two predictors that differ by one part in ten million: amount on units and 1e7 units + discount in cents.
+
+    The tall-skinny QR finds all three coefficients; co-moments take the second predictor for a multiple of the first.
+    """
+    rows = present(lines(spark, sf), "amount", "units", "discount").select(
+        "amount", "units", (F.col("units") * 1e7 + F.round(F.col("discount") * 100)).alias("nearly"))
+    found = regression.ols_qr(rows, "amount", ["units", "nearly"])
+    plain = regression.ols(rows, "amount", ["units", "nearly"]).coefficients.select("position", F.col("status").alias("by_moments"))
+    met = joins.join_on(found, plain, ["position"])
+    scale = F.when(F.col("term") == "units", F.lit(1e7)).otherwise(F.lit(1.0))
+    return met.select("term", "n", F.round(F.col("coef") / scale, 4).alias("coef"), F.round(F.col("std_err") / scale, 4).alias("std_err"),
+                      "status", "by_moments")
+
+
 def _split_fit(spark, sf):
     df, xs = _design(spark, sf)
     flagged = sampling.split_flag(df, ["row_key"], 0.3, SEED)
