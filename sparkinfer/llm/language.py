@@ -56,55 +56,123 @@ def vocabulary(path: str) -> list[str]:
     return sorted({p for p in pieces if (p.removeprefix(WORD_START) or "a").isalpha()})
 
 
+#: Fixed value: odd multiplier of the rolling hash of code points.
+ROLL = np.uint64(0x9E3779B97F4A7C15)
+FILTER_BITS = 18
+
+
+class Pieces:
+    """Numbered pieces by size, found by hash for many substrings at once; every hit is compared in full."""
+
+    def __init__(self, number: dict[str, int]):
+        self.unknown = len(number)
+        by_size: dict[int, list[str]] = {}
+        for piece in number:
+            by_size.setdefault(len(piece), []).append(piece)
+        self.longest = max(by_size, default=1)
+        self.sizes = {}
+        for size, pieces in by_size.items():
+            codes = _codes(pieces)
+            hashes = np.zeros(len(pieces), np.uint64)
+            for i in range(size):
+                hashes = (hashes + codes[:, i] + np.uint64(1)) * ROLL
+            order = np.argsort(hashes)
+            maybe = np.zeros(1 << FILTER_BITS, bool)  # rules most substrings out before the search
+            maybe[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+            self.sizes[size] = (hashes[order], codes[order], np.array([number[p] for p in pieces])[order], maybe)
+
+    def find(self, size: int, hashes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, start, piece) of every piece of this size; ``hashes`` has one column a start."""
+        none = np.zeros(0, np.int64)
+        if size not in self.sizes:
+            return none, none, none
+        known, spelled, number, maybe = self.sizes[size]
+        word, start = np.nonzero(maybe[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+        wanted = hashes[word, start]
+        word_hits, start_hits, piece_hits = [], [], []
+        at = np.searchsorted(known, wanted)
+        while len(word):  # pieces of one hash stand side by side
+            fits = at < len(known)
+            fits[fits] = known[at[fits]] == wanted[fits]
+            word, start, at, wanted = word[fits], start[fits], at[fits], wanted[fits]
+            same = np.ones(len(word), bool)
+            for i in range(size):
+                same &= codes[word, start + i] == spelled[at, i]
+            word_hits.append(word[same])
+            start_hits.append(start[same])
+            piece_hits.append(number[at[same]])
+            word, start, at, wanted = word[~same], start[~same], at[~same] + 1, wanted[~same]
+        if not word_hits:
+            return none, none, none
+        return np.concatenate(word_hits), np.concatenate(start_hits), np.concatenate(piece_hits)
+
+
+def _codes(words: list[str]) -> np.ndarray:
+    """Code points of words of one length, a row each."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1).astype(np.uint64)
+
+
 class Lattice:
-    """All pieces at all places of words of one length: ``ids[word, end, size - 1]``, -1 where there is none."""
-
-    def __init__(self, words: list[str], number: dict[str, int], longest: int):
-        self.length = len(words[0])
-        unknown = len(number)
-        get = number.get
-        ids = [[[get(w[e - s:e], -1) if s <= e else -1 for s in range(1, min(longest, self.length) + 1)]
-                for e in range(1, self.length + 1)] for w in words]
-        self.ids = np.array(ids, np.int32)
-        # a place no single-character piece covers still has to be crossed
-        self.ids[:, :, 0][self.ids[:, :, 0] < 0] = unknown
+    """All pieces at all places of words of one length: for each end and size the words that have one, and which.
+
+    A place that no single-character piece covers still has to be crossed, by the unknown piece.
+    """
+
+    def __init__(self, words: list[str], pieces: Pieces):
+        self.length, self.n = len(words[0]), len(words)
+        codes = _codes(words)
+        bare = np.ones(codes.shape, bool)
+        words_at, ends, sizes, numbers = [], [], [], []
+        hashes = np.zeros(codes.shape, np.uint64)
+        for size in range(1, min(pieces.longest, self.length) + 1):
+            hashes = (hashes[:, :self.length - size + 1] + codes[:, size - 1:] + np.uint64(1)) * ROLL
+            word, start, number = pieces.find(size, hashes, codes)
+            if size == 1:
+                bare[word, start] = False
+                lone, place = np.nonzero(bare)
+                word, start = np.concatenate([word, lone]), np.concatenate([start, place])
+                number = np.concatenate([number, np.full(len(lone), pieces.unknown)])
+            words_at.append(word)
+            ends.append(start + size)
+            sizes.append(np.full(len(word), size))
+            numbers.append(number)
+        end, size = np.concatenate(ends), np.concatenate(sizes)
+        cell = end * (pieces.longest + 1) + size
+        order = np.argsort(cell, kind="stable")
+        cell, word, number = cell[order], np.concatenate(words_at)[order], np.concatenate(numbers)[order]
+        edges = np.flatnonzero(np.diff(cell, prepend=-1, append=-1))
+        #: (end, size, words, pieces) by rising end; a word stands once in each
+        self.cells = [(int(cell[a]) // (pieces.longest + 1), int(cell[a]) % (pieces.longest + 1), word[a:b], number[a:b])
+                      for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """Sums over segmentations up to each place: (places + 1, words, languages). ``p`` has one row a piece."""
-        n, length, longest = self.ids.shape
-        a = np.zeros((length + 1, n, p.shape[1]))
+        a = np.zeros((self.length + 1, self.n, p.shape[1]))
         a[0] = 1.0
-        for e in range(1, length + 1):
-            for s in range(1, min(longest, e) + 1):
-                piece = self.ids[:, e - 1, s - 1]
-                if (piece >= 0).any():
-                    a[e] += a[e - s] * p[piece] * SCALE ** s
+        for end, size, word, piece in self.cells:
+            a[end][word] += a[end - size][word] * p[piece] * SCALE ** size
         return a
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of every piece, by forward and backward sums; for one language."""
-        n, length, longest = self.ids.shape
         a = self.forward(p)[:, :, 0]
-        b = np.zeros((length + 1, n))
-        b[length] = 1.0
+        b = np.zeros((self.length + 1, self.n))
+        b[self.length] = 1.0
         uses = np.zeros(len(p))
-        for e in range(length, 0, -1):
-            for s in range(1, min(longest, e) + 1):
-                piece = self.ids[:, e - 1, s - 1]
-                step = p[piece, 0] * SCALE ** s * b[e]
-                b[e - s] += step
-                np.add.at(uses, piece, a[e - s] * step / a[length] * counts)
+        for end, size, word, piece in reversed(self.cells):
+            step = p[piece, 0] * SCALE ** size * b[end][word]
+            b[end - size][word] += step
+            np.add.at(uses, piece, a[end - size][word] * step / a[self.length][word] * counts[word])
         return uses
 
 
-def _lattices(words: list[str], number: dict[str, int]) -> Iterator[tuple[list[str], Lattice]]:
+def _lattices(words: list[str], pieces: Pieces) -> Iterator[tuple[list[str], Lattice]]:
     """Marked words by length, in lots."""
-    longest = max(map(len, number), default=1)
     for _, same in groupby(sorted(words, key=len), key=len):
         same = list(same)
         for at in range(0, len(same), 2000):
             lot = same[at:at + 2000]
-            yield lot, Lattice([WORD_START + w for w in lot], number, longest)
+            yield lot, Lattice([WORD_START + w for w in lot], pieces)
 
 
 def fit_pieces(words: dict[str, int], pieces: list[str]) -> np.ndarray:
@@ -112,8 +180,8 @@ def fit_pieces(words: dict[str, int], pieces: list[str]) -> np.ndarray:
 
     The last two rows are the unknown character and, for absent places, zero.
     """
-    number = {p: i for i, p in enumerate(pieces)}
-    lots = [(np.array([words[w] for w in lot], float), lattice) for lot, lattice in _lattices(list(words), number)]
+    table = Pieces({p: i for i, p in enumerate(pieces)})
+    lots = [(np.array([words[w] for w in lot], float), lattice) for lot, lattice in _lattices(list(words), table)]
     p = np.full((len(pieces) + 2, 1), 1.0 / len(pieces))
     p[-2], p[-1] = UNKNOWN, 0.0
     for _ in range(ROUNDS):
@@ -135,7 +203,7 @@ class WordScores:
     """Log probabilities of words by language, each computed once."""
 
     def __init__(self, pieces: list[str], probability: np.ndarray):
-        self.number = {p: i for i, p in enumerate(pieces)}
+        self.pieces = Pieces({p: i for i, p in enumerate(pieces)})
         self.p = probability
         self.clear()
 
@@ -151,7 +219,7 @@ class WordScores:
         start = len(self.at)
         if start + len(new) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros((len(self.rows) + len(new), self.p.shape[1]))])
-        for lot, lattice in _lattices(new, self.number):
+        for lot, lattice in _lattices(new, self.pieces):
             total = np.log(lattice.forward(self.p)[-1]) - lattice.length * np.log(SCALE)
             self.rows[start:start + len(lot)] = total
             self.at.update(zip(lot, range(start, start + len(lot)), strict=True))
