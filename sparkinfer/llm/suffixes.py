@@ -29,6 +29,8 @@ PART_BYTES = 1 << 22
 LOT_BYTES = 1 << 19
 #: Distinct runs a transform takes of one anchor; anchors with more are decided window by window.
 MAX_RUNS = 1000
+#: Open rows of the transform are looked up, not counted over all rows, below one in so many.
+OPEN_SHARE = 12
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -137,7 +139,8 @@ def repeated_places(texts: list[bytes], length: int) -> np.ndarray:
     last-to-first mapping, from rows with c in the transform; they share one symbol more than
     the least of the rows between. So values l + 1 follow from values up to l: level by level
     all rows whose common prefix is l get known, and what is unknown after ``length`` levels
-    shares at least that much.
+    shares at least that much. While many rows are open a running count over all of them tells whether
+    a known one lies between; later the open ones are looked up.
     """
     order, rank, symbols = suffix_order(texts)
     n = len(order)
@@ -151,8 +154,11 @@ def repeated_places(texts: list[bytes], length: int) -> np.ndarray:
     for _ in range(length - 1):
         if not len(rows):
             break
-        count = np.cumsum(known[:n], dtype=np.int32)
-        met = count[hi] != count[lo]
+        if len(rows) * OPEN_SHARE > n:
+            count = np.cumsum(known[:n], dtype=np.int32)
+            met = count[hi] != count[lo]
+        else:  # few rows are open: count those between, and see whether they are all
+            met = np.searchsorted(rows, hi, "right") - np.searchsorted(rows, lo, "right") < hi - lo
         known[rows[met]] = True
         rows, lo, hi = rows[~met], lo[~met], hi[~met]
     same = np.zeros(n, bool)
