@@ -90,20 +90,24 @@ def chi2_independence(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) ->
     return chi2_from_cells(counted_with_margins(df, a, b, by), a, b, by)
 
 
-def missingness(df: DataFrame, target: str, factors: Sequence[str], alpha: float = 0.05) -> DataFrame:
-    """Does the absence of ``target`` depend on each factor?
+def missingness(df: DataFrame, target: str, factors: Sequence[str], alpha: float = 0.05,
+                by: Sequence[str] = ()) -> DataFrame:
+    """Does the absence of ``target`` depend on each factor, in all rows or within every group?
 
     One scan counts (factor, level, is_null) and both margins for all factors; one chi-square per
     factor follows from the stored counts. Verdict: MAR (depends), MCAR (independent) or not testable.
     """
-    flagged = df.select(null_flag(F.col(target)).alias("is_null"),
-                        *[F.col(f).cast("string").alias(f) for f in factors])
-    long = flagged.unpivot(["is_null"], list(factors), "factor", "level")
-    counted = counted_with_margins(long, "level", "is_null", ["factor"])
-    tested = chi2_from_cells(counted, "level", "is_null", ["factor"])
-    shares = counted.where("margin = 2").groupBy(F.col("factor").alias("f")).agg(
+    by = list(by)
+    keys = [*by, "factor"]
+    flagged = df.select(*by, null_flag(F.col(target)).alias("is_null"),
+                        *[F.col(f).cast("string").alias(f"__{f}") for f in factors])
+    long = flagged.unpivot([*by, "is_null"], [f"__{f}" for f in factors], "factor", "level").withColumn(
+        "factor", F.substring("factor", 3, 1 << 20))
+    counted = counted_with_margins(long, "level", "is_null", keys)
+    tested = chi2_from_cells(counted, "level", "is_null", keys)
+    shares = counted.where("margin = 2").groupBy(*keys).agg(
         F.sum(F.when(F.col("is_null") == 1, F.col("n")).otherwise(0)).alias("n_null"))
-    out = tested.join(shares, tested["factor"] == shares["f"], "left").drop("f")
+    out = join_on(tested, shares, keys, "left")
     return (out.withColumn("null_rate", F.col("n_null") / F.nullif(F.col("n"), F.lit(0)))
             .withColumn("mechanism", F.when(F.col("p_value").isNull(), "not testable")
                         .when(F.col("p_value") < alpha, "MAR").otherwise("MCAR")))

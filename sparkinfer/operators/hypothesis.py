@@ -258,26 +258,27 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     return out.withColumn("p_value", _correlation_p(F.col("rho"), F.col("n")))
 
 
-def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairwise Spearman correlations over the rows complete in every column.
+def spearman_matrix(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """All pairwise Spearman correlations over the rows complete in every column, per group.
 
-    Long output (a, b, n, rho, p_value, stars, cell); each column is ranked once, and the
+    Long output (by, a, b, n, rho, p_value, stars, cell); each column is ranked once, and the
     columns are stored first, so that ``df`` is read once.
     """
-    columns = list(columns)
-    base = present(df, *columns).select(*[F.col(c).cast("double").alias(f"v{i}")
-                                          for i, c in enumerate(columns)])
+    columns, by = list(columns), list(by)
+    base = present(df, *columns, *by).select(*by, *[F.col(c).cast("double").alias(f"v{i}")
+                                                    for i, c in enumerate(columns)])
     rows = base = cut(base)
     for i in range(len(columns)):
-        rows = _attach_ranks(rows, value_counts(base, f"v{i}"), f"v{i}", [], probe(base, f"v{i}"), "n")
-    return spearman_of_ranks(rows, columns, [f"rv{i}" for i in range(len(columns))])
+        rows = _attach_ranks(rows, value_counts(base, f"v{i}", by), f"v{i}", by, probe(base, f"v{i}", by), "n")
+    return spearman_of_ranks(rows, columns, [f"rv{i}" for i in range(len(columns))], by)
 
 
-def spearman_of_ranks(rows: DataFrame, columns: Sequence[str], ranks: Sequence[str]) -> DataFrame:
+def spearman_of_ranks(rows: DataFrame, columns: Sequence[str], ranks: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """The correlation matrix of :func:`spearman_matrix` from centred average ranks, in one aggregation."""
-    rows = rows.select(*[F.col(r).alias(f"rv{i}") for i, r in enumerate(ranks)])
+    by = list(by)
+    rows = rows.select(*by, *[F.col(r).alias(f"rv{i}") for i, r in enumerate(ranks)])
     k = range(len(columns))
-    folded = rows.agg(F.count(F.lit(1)).alias("n"),
+    folded = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
                       *[F.sum(F.col(f"rv{i}") * F.col(f"rv{j}")).alias(f"s{i}_{j}")
                         for i in k for j in k if i <= j])
     cells = []
@@ -291,7 +292,7 @@ def spearman_of_ranks(rows: DataFrame, columns: Sequence[str], ranks: Sequence[s
             cells.append(F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"),
                                   F.when(rho.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), rho)))
                                   .alias("rho")))
-    long = folded.select("n", F.explode(F.array(*cells)).alias("r")).select("r.a", "r.b", "n", "r.rho")
+    long = folded.select(*by, "n", F.explode(F.array(*cells)).alias("r")).select(*by, "r.a", "r.b", "n", "r.rho")
     diagonal = F.col("a") == F.col("b")
     out = long.withColumn("p_value", F.when(diagonal, F.lit(0.0)).otherwise(_correlation_p(F.col("rho"), F.col("n"))))
     mark = F.when(diagonal, F.lit("")).otherwise(stars(F.col("p_value")))

@@ -108,7 +108,7 @@ def frequency(df: DataFrame, key: str, output: str = "frequency") -> DataFrame:
     """Number of rows sharing each row's key; rows without a key count as 1."""
     counts = (df.where(F.col(key).isNotNull()).groupBy(key)
               .agg(F.count(F.lit(1)).alias(output)))
-    joined = attach(df, counts, [key], output)
+    joined = lookup(df, counts, [key], output)
     return joined.withColumn(output, F.coalesce(F.col(output), F.lit(1)).cast("long"))
 
 

@@ -72,8 +72,13 @@ def shapiro_of_sample(sample: DataFrame, value: str, by: Sequence[str] = ()) ->
 
 def shapiro_wilk(df: DataFrame, value: str, keys: Sequence[str], by: Sequence[str] = (),
                  size: int = SHAPIRO_LIMIT, seed: int | None = None) -> DataFrame:
-    """Shapiro-Wilk on a seeded sample of at most ``size`` rows per group."""
-    return shapiro_of_sample(seeded_sample(present(df, value), keys, size, seed, by), value, by)
+    """Shapiro-Wilk on a seeded sample of at most ``size`` rows per group; ``n_total`` rows have a value."""
+    by, rows = list(by), present(df, value)
+    tested = shapiro_of_sample(seeded_sample(rows, keys, size, seed, by), value, by)
+    total = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_total"))
+    if by:
+        return join_on(tested, total, by, "left")
+    return tested.withColumn("n_total", total.select("n_total").scalar())
 
 
 def ks_normal(df: DataFrame, value: str, by: Sequence[str] = (), layout: Layout | None = None) -> DataFrame:

@@ -121,7 +121,7 @@ def event_calendar(events: DataFrame, series: DataFrame) -> DataFrame:
                                                F.lit(False))).drop("__s"))
 
 
-def event_flags(series: DataFrame, events: DataFrame, days: int = 7) -> DataFrame:
+def event_flags(series: DataFrame, events: DataFrame, days: int = 7, by: Sequence[str] = ()) -> DataFrame:
     """Mark the days within ``days`` of an event that lies inside the series.
 
     Each event becomes its 2*days+1 calendar days, so membership is an equality
@@ -130,7 +130,7 @@ def event_flags(series: DataFrame, events: DataFrame, days: int = 7) -> DataFram
     near = (events.select(F.col("day").alias("event"), F.explode(
         F.sequence(F.date_sub("day", days), F.date_add("day", days))).alias("day"))
         .groupBy("day").agg(F.collect_set("event").alias("events")))
-    whole = Window.partitionBy()
+    whole = Window.partitionBy(*by)
     spanned = (series.withColumn("start", F.min("day").over(whole))
                .withColumn("stop", F.max("day").over(whole)))
     hit = F.exists("events", lambda e: e.between(F.col("start"), F.col("stop")))
@@ -184,18 +184,19 @@ def interval_flags(series: DataFrame, intervals: DataFrame, start: str, stop: st
     return join_on(series, hit, [*by, "day"], "left").withColumn(output, F.coalesce("__hit", F.lit(False))).drop("__hit")
 
 
-def event_impact(series: DataFrame, events: DataFrame, start=None, days: int = 7) -> DataFrame:
-    """Compare event days with normal days: sizes, means, medians, Mann-Whitney U.
+def event_impact(series: DataFrame, events: DataFrame, start=None, days: int = 7, by: Sequence[str] = ()) -> DataFrame:
+    """Compare event days with normal days: sizes, means, medians, Mann-Whitney U, for each series.
 
     ``start`` leaves out the ramp-up days before it (the events are still judged
     against the whole series). Day totals are rounded to 1e-6 before ranking so
     that summation order cannot split ties.
     """
-    flagged = event_flags(series, events, days).withColumn("value", F.round("value", 6))
+    by = list(by)
+    flagged = event_flags(series, events, days, by).withColumn("value", F.round("value", 6))
     if start is not None:
         flagged = flagged.where(F.col("day") >= F.lit(start).cast("date"))
-    cells = value_counts(flagged, "value", extra=["is_special"])
-    ranked = rank_cells(cells, [], CALENDAR)
+    cells = value_counts(flagged, "value", by, ["is_special"])
+    ranked = rank_cells(cells, by, CALENDAR)
 
     def side(flag):
         inside = F.col("is_special") == flag
@@ -204,6 +205,6 @@ def event_impact(series: DataFrame, events: DataFrame, start=None, days: int = 7
         return mean, F.percentile(F.when(inside, F.col("value")), F.lit(0.5), F.col("n"))
 
     (mean_special, median_special), (mean_normal, median_normal) = side(True), side(False)
-    test = u_test(ranked, "is_special", mean_special=mean_special, mean_normal=mean_normal,
+    test = u_test(ranked, "is_special", by, mean_special=mean_special, mean_normal=mean_normal,
                   median_special=median_special, median_normal=median_normal)
     return test.withColumnsRenamed({"n1": "n_special", "n2": "n_normal"})

@@ -513,6 +513,19 @@ def build() -> dict[str, str]:
             quantile_cont(value, 0.5) FILTER (WHERE is_special) AS c, quantile_cont(value, 0.5) FILTER (WHERE NOT is_special) AS d FROM valid_days)
         SELECT round(a, 4) AS mean_special, round(b, 4) AS mean_normal, round(c, 4) AS median_special, round(d, 4) AS median_normal,
             {columns} FROM s CROSS JOIN sides"""
+    mw, columns = _mann_whitney("valid_days", "value", "is_special", "TRUE", "FALSE", "s")
+    columns = columns.replace(", 6) AS", ", 4) AS").replace("n1, n2,", "n1 AS n_special, n2 AS n_normal,")
+    mw = mw[:-1] if mw.endswith(",") else mw
+    q["event_impact_by_status"] = f"""WITH daily AS (SELECT o_orderstatus AS s, CAST(o_orderdate AS DATE) AS day, sum(o_totalprice) AS v FROM orders GROUP BY 1, 2),
+        span AS (SELECT s, min(day) AS a, max(day) AS b FROM daily GROUP BY s),
+        spine AS (SELECT s, a, b, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM span), {EVENT_ROWS},
+        flagged AS (SELECT spine.s, spine.day, coalesce(v, 0.0) AS value, EXISTS (SELECT 1 FROM events_ e WHERE e.day BETWEEN a AND b
+            AND spine.day BETWEEN e.day - 7 AND e.day + 7) AS is_special FROM spine LEFT JOIN daily USING (s, day)),
+        valid_days AS (SELECT s, day, round(value, 6) AS value, is_special FROM flagged WHERE day >= DATE '{SERIES_START}'),
+        {mw.replace("s AS (SELECT f.*", "st AS (SELECT f.*")}, sides AS (SELECT s, avg(value) FILTER (WHERE is_special) AS a, avg(value) FILTER (WHERE NOT is_special) AS b,
+            quantile_cont(value, 0.5) FILTER (WHERE is_special) AS c, quantile_cont(value, 0.5) FILTER (WHERE NOT is_special) AS d FROM valid_days GROUP BY s)
+        SELECT s AS o_orderstatus, round(a, 4) AS mean_special, round(b, 4) AS mean_normal, round(c, 4) AS median_special, round(d, 4) AS median_normal,
+            {columns.removeprefix("s, ")} FROM st JOIN sides USING (s)"""
     q["chi2_independence"] = f"""WITH {SALES}, {_chi2("SELECT channel AS a, store AS b, count(*) AS n FROM sales GROUP BY ALL")}
         SELECT {_chi2_columns()} FROM tested"""
     q["chi2_yates_by_segment"] = f"""WITH {SALES}, {_chi2("SELECT segment, gender AS a, amount < 30000 AS b, count(*) AS n FROM sales GROUP BY ALL", "segment")}
@@ -522,6 +535,20 @@ def build() -> dict[str, str]:
         m AS (SELECT factor, CAST(sum(n) FILTER (WHERE b) AS BIGINT) AS n_null FROM cells GROUP BY factor)
         SELECT {_chi2_columns('factor')}, n_null, round(n_null / CAST(n AS DOUBLE), 6) AS null_rate,
             CASE WHEN {chi2_upper('statistic', 'df')} < 0.05 THEN 'MAR' ELSE 'MCAR' END AS mechanism FROM tested JOIN m USING (factor)"""
+    long = " UNION ALL ".join(f"SELECT segment || '|{f}' AS k, CAST({f} AS VARCHAR) AS a, customer_id IS NULL AS b FROM sales" for f in ("channel", "gender"))
+    q["missingness_by_segment"] = f"""WITH {SALES}, {_chi2(f"SELECT k, a, b, count(*) AS n FROM ({long}) GROUP BY ALL", "k")},
+        m AS (SELECT k, CAST(sum(n) FILTER (WHERE b) AS BIGINT) AS n_null FROM cells GROUP BY k),
+        o AS (SELECT {_chi2_columns('k')}, n_null, round(n_null / CAST(n AS DOUBLE), 6) AS null_rate,
+            CASE WHEN {chi2_upper('statistic', 'df')} < 0.05 THEN 'MAR' ELSE 'MCAR' END AS mechanism FROM tested JOIN m USING (k))
+        SELECT split_part(k, '|', 1) AS segment, split_part(k, '|', 2) AS factor, o.* EXCLUDE (k) FROM o"""
+    three = ["units", "discount", "amount"]
+    t3 = "CAST(rho AS DOUBLE) * sqrt((n - 2) / (1 - CAST(rho AS DOUBLE) * CAST(rho AS DOUBLE)))"
+    pairs3 = " UNION ALL ".join(f"SELECT flag, '{a}' AS a, '{b}' AS b, count(*) AS n, {'1.0' if a == b else f'corr(k_{a}, k_{b})'} AS rho FROM k GROUP BY flag"
+                                for a in three for b in three)
+    q["spearman_matrix_by_flag"] = f"""WITH {LINES}, k AS (SELECT flag, {', '.join(f"{_avg_rank(v, 'flag')} AS k_{v}" for v in three)} FROM lines WHERE discount IS NOT NULL),
+        l AS ({pairs3}), p AS (SELECT *, CASE WHEN a <> b THEN {t_two_sided(t3, 'n - 2')} END AS p FROM l)
+        SELECT flag, a, b, n, round(CAST(rho AS DOUBLE), 6) AS rho, CASE WHEN a = b THEN '' WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**'
+            WHEN p < 0.05 THEN '*' ELSE ' ns' END AS stars FROM p"""
     q["spearman_pair"] = _spearman("amount", "age_years")
     q["spearman_by_segment"] = _spearman("units", "discount", "segment")
     vs = ["constant", "units", "discount", "amount"]
@@ -558,9 +585,10 @@ def build() -> dict[str, str]:
     q["simple_regression"] = f"WITH {SALES}, {r} SELECT {columns} FROM rs"
     r, columns = _line("lines", "amount", "units", "store", 4)
     q["simple_regression_by_store"] = f"WITH {LINES}, {r} SELECT {columns} FROM rs"
-    q["shapiro"] = f"WITH {LINES}, {_shapiro('lines', 'amount', 5000)} SELECT n, round(w, 6) AS statistic, 'ok' AS status, round({_shapiro_p()}, 6) AS p_value FROM w"
+    q["shapiro"] = f"WITH {LINES}, {_shapiro('lines', 'amount', 5000)} SELECT n, round(w, 6) AS statistic, 'ok' AS status, round({_shapiro_p()}, 6) AS p_value, (SELECT count(amount) FROM lines) AS n_total FROM w"
     q["shapiro_by_flag"] = f"""WITH {LINES}, {_shapiro('lines', 'discount', 1000, 'flag')}
-        SELECT flag, n, round(w, 6) AS statistic, 'ok' AS status, round({_shapiro_p()}, 6) AS p_value FROM w"""
+        SELECT flag, n, round(w, 6) AS statistic, 'ok' AS status, round({_shapiro_p()}, 6) AS p_value,
+            (SELECT count(discount) FROM lines WHERE lines.flag = w.flag) AS n_total FROM w"""
     q["ks_normal"] = f"WITH {LINES}, {_ks('lines', 'amount')} SELECT n, round(d, 6) AS statistic, 'ok' AS status, round({_KS_P}, 6) AS p_value FROM ks"
     q["ks_normal_by_flag"] = f"WITH {LINES}, {_ks('lines', 'units', 'flag')} SELECT flag, n, round(d, 6) AS statistic, 'ok' AS status, round({_KS_P}, 6) AS p_value FROM ks"
     sample = f"picked_rows AS (SELECT * FROM lines ORDER BY {_digest()} LIMIT 5000)"
@@ -642,7 +670,7 @@ def build() -> dict[str, str]:
     q["vif"] = f"""WITH {LINES}, c AS (SELECT corr(units, amount) AS r FROM lines)
         SELECT CAST(position AS BIGINT) AS position, term, round(1 / (1 - r * r), 6) AS vif, 'ok' AS status
         FROM c CROSS JOIN (VALUES (1, 'units'), (2, 'amount')) t(position, term)"""
-    q["residual_shapiro"] = f"""{FITTED}, {_shapiro('fitted', 'residual', 5000)} SELECT n, round(w, 5) AS statistic, 'ok' AS status, round({_shapiro_p()}, 5) AS p_value FROM w"""
+    q["residual_shapiro"] = f"""{FITTED}, {_shapiro('fitted', 'residual', 5000)} SELECT n, round(w, 5) AS statistic, 'ok' AS status, round({_shapiro_p()}, 5) AS p_value, (SELECT count(*) FROM fitted) AS n_total FROM w"""
     q["qq_points"] = f"""{FITTED}, v AS (SELECT round(residual, 6) AS e FROM fitted),
         r AS (SELECT row_number() OVER (ORDER BY e) AS k, count(*) OVER () AS n, (e - avg(e) OVER ()) / stddev_pop(e) OVER () AS z FROM v),
         g AS (SELECT unnest(range(1, 201)) AS point), d AS (SELECT point, (point - 0.5) / 200 AS p, z

@@ -157,7 +157,7 @@ def group_sizes(spark, sf):
 
 @query
 def contingency_long(spark, sf):
-    return contingency.contingency(sales(spark, sf), "channel", "segment")
+    return contingency.contingency(sales(spark, sf, True), "channel", "segment")
 
 
 @query
@@ -178,7 +178,7 @@ def describe_sample(spark, sf):
 
 @query
 def describe_by_segment(spark, sf):
-    return rounded(describe.describe_full(sales(spark, sf), ["amount", "age_years"], ["segment"]), 5, variance=2)
+    return rounded(describe.describe_full(sales(spark, sf, True), ["amount", "age_years"], ["segment"]), 5, variance=2)
 
 
 @query
@@ -305,6 +305,12 @@ def event_impact(spark, sf):
     return rounded(timeseries.event_impact(_series(spark, sf), _events(spark), SERIES_START, 7), 4)
 
 
+@query
+def event_impact_by_status(spark, sf):
+    series = timeseries.daily_series(table(spark, sf, "orders"), "o_orderdate", "o_totalprice", ["o_orderstatus"])
+    return rounded(timeseries.event_impact(series, _events(spark), SERIES_START, 7, ["o_orderstatus"]), 4)
+
+
 # ---- tests ------------------------------------------------------------------
 
 @query
@@ -314,7 +320,7 @@ def chi2_independence(spark, sf):
 
 @query
 def chi2_yates_by_segment(spark, sf):
-    df = sales(spark, sf).withColumn("cheap", F.col("amount") < 30000)
+    df = sales(spark, sf, True).withColumn("cheap", F.col("amount") < 30000)
     return rounded(contingency.chi2_independence(df, "gender", "cheap", ["segment"]))
 
 
@@ -323,6 +329,11 @@ def missingness_chi2(spark, sf):
     return rounded(contingency.missingness(sales(spark, sf), "customer_id", ["channel", "store"]))
 
 
+@query
+def missingness_by_segment(spark, sf):
+    return rounded(contingency.missingness(sales(spark, sf, True), "customer_id", ["channel", "gender"], by=["segment"]))
+
+
 @query
 def spearman_pair(spark, sf):
     return rounded(hypothesis.spearman(sales(spark, sf), "amount", "age_years"))
@@ -330,7 +341,7 @@ def spearman_pair(spark, sf):
 
 @query
 def spearman_by_segment(spark, sf):
-    return rounded(hypothesis.spearman(sales(spark, sf), "units", "discount", ["segment"]))
+    return rounded(hypothesis.spearman(sales(spark, sf, True), "units", "discount", ["segment"]))
 
 
 @query
@@ -340,6 +351,12 @@ def spearman_matrix(spark, sf):
                    .select("a", "b", "n", "rho", "p_value", "stars"))
 
 
+@query
+def spearman_matrix_by_flag(spark, sf):
+    return rounded(hypothesis.spearman_matrix(lines(spark, sf), ["units", "discount", "amount"], ["flag"])
+                   .select("flag", "a", "b", "n", "rho", "stars"))
+
+
 @query
 def anova_oneway(spark, sf):
     return rounded(hypothesis.anova_oneway(sales(spark, sf), "amount", "store"))
@@ -347,7 +364,7 @@ def anova_oneway(spark, sf):
 
 @query
 def anova_by_segment(spark, sf):
-    return rounded(hypothesis.anova_oneway(sales(spark, sf), "amount", "channel", ["segment"]))
+    return rounded(hypothesis.anova_oneway(sales(spark, sf, True), "amount", "channel", ["segment"]))
 
 
 @query
@@ -357,7 +374,7 @@ def kruskal_wallis(spark, sf):
 
 @query
 def kruskal_by_segment(spark, sf):
-    return rounded(hypothesis.kruskal_wallis(sales(spark, sf), "discount", "channel", ["segment"]))
+    return rounded(hypothesis.kruskal_wallis(sales(spark, sf, True), "discount", "channel", ["segment"]))
 
 
 @query
@@ -368,7 +385,7 @@ def mann_whitney(spark, sf):
 
 @query
 def mann_whitney_by_segment(spark, sf):
-    return rounded(hypothesis.mann_whitney(sales(spark, sf), "discount", "gender", "F", "O", ["segment"]))
+    return rounded(hypothesis.mann_whitney(sales(spark, sf, True), "discount", "gender", "F", "O", ["segment"]))
 
 
 @query

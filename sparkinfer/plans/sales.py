@@ -37,16 +37,21 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact(spark, sf_dir, "lineitem").select("l_shipdate", *_line_columns())
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem with its order and customer; a third of the rows have no customer id."""
+def sales(spark: SparkSession, sf_dir: str, segments: bool = False) -> DataFrame:
+    """lineitem with its order; a third of the rows have no customer id.
+
+    The customer table gives the segment and nothing else (every order has its customer), so it is
+    joined only where ``segments`` are asked for.
+    """
     item, order = fact(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer")
-    joined = (item.join(order, item["l_orderkey"] == order["o_orderkey"])
-              .join(customer, order["o_custkey"] == customer["c_custkey"]))
+    joined = item.join(order, item["l_orderkey"] == order["o_orderkey"])
+    if segments:
+        customer = table(spark, sf_dir, "customer")
+        joined = joined.join(customer, order["o_custkey"] == customer["c_custkey"])
     age = years_between(F.col("l_shipdate"), F.col("o_orderdate"))
     return joined.select(
         F.col("o_orderdate").alias("ts"), F.col("o_orderpriority").alias("channel"),
-        F.col("c_mktsegment").alias("segment"), *_line_columns(),
+        *([F.col("c_mktsegment").alias("segment")] if segments else []), *_line_columns(),
         F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("customer_id"),
         F.when(F.col("o_orderstatus") == "P", F.lit("unknown"))
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("birth_text"),
