@@ -52,15 +52,15 @@ def chi2_from_cells(counted: DataFrame, a: str, b: str, by: Sequence[str] = ())
     """
     by = list(by)
     sizes = {r["margin"]: r["m"] for r in counted.groupBy("margin").agg(F.count(F.lit(1)).alias("m")).collect()}
-    rowsum = counted.where("margin = 1").select(*by, a, F.col("n").alias("r"))
-    colsum = counted.where("margin = 2").select(*by, b, F.col("n").alias("c"))
-    sums = rowsum.groupBy(*by).agg(F.sum("r").alias("total"), F.count(F.lit(1)).alias("n_rows"))
+    rowsum = counted.where("margin = 1").select(*by, a, F.col("n").alias("_row_sum"))
+    colsum = counted.where("margin = 2").select(*by, b, F.col("n").alias("_column_sum"))
+    sums = rowsum.groupBy(*by).agg(F.sum("_row_sum").alias("total"), F.count(F.lit(1)).alias("n_rows"))
     kinds = colsum.groupBy(*by).agg(F.count(F.lit(1)).alias("n_cols"))
     cells = counted.where("margin = 0").select(*by, a, b, "n")
-    placed = place(cells, rowsum, [*by, a], "r", sizes.get(1, 0) <= FEW_KEYS, nulls=True)
-    placed = place(placed, colsum, [*by, b], "c", sizes.get(2, 0) <= FEW_KEYS, nulls=True)
-    sized = with_group(placed, by, source=rowsum, total=F.sum("r"))
-    expected = F.col("r") * F.col("c").cast("double") / F.col("total")
+    placed = place(cells, rowsum, [*by, a], "_row_sum", sizes.get(1, 0) <= FEW_KEYS, nulls=True)
+    placed = place(placed, colsum, [*by, b], "_column_sum", sizes.get(2, 0) <= FEW_KEYS, nulls=True)
+    sized = with_group(placed, by, source=rowsum, total=F.sum("_row_sum"))
+    expected = F.col("_row_sum") * F.col("_column_sum").cast("double") / F.col("total")
     gap = F.abs(F.col("n") - expected)
     folded = sized.groupBy(*by).agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("filled"), F.sum(gap * gap / expected).alias("seen"),

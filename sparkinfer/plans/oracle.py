@@ -776,6 +776,14 @@ def build() -> dict[str, str]:
         long("daily_series", "daily_series_filled", "strftime(day, '%Y-%m-%d')", ["value"]),
         long("acf", "acf_30", "CAST(lag AS VARCHAR)", ["acf"]), long("pacf", "pacf_30", "CAST(lag AS VARCHAR)", ["pacf"])])
     q["study_summary"] = _study()
+    summary = """SELECT l_returnflag AS CANAL, count(*) AS n, count(*) FILTER (l_linenumber % 5 <> 0) AS n_units,
+        CAST(sum(CAST(l_quantity AS INTEGER)) FILTER (l_linenumber % 5 <> 0) AS BIGINT) AS units, count(*) FILTER (l_discount > 0) AS n_discount,
+        round(sum(l_discount) FILTER (l_discount > 0), 4) AS discount, CAST(sum(l_suppkey) AS BIGINT) AS stores,
+        strftime(max(l_shipdate), '%Y-%m-%d') AS latest, 'a;"' || l_returnflag AS product"""
+    q["text_scan_blocks"] = f"{summary}, 'GENERO' AS missing FROM lineitem GROUP BY l_returnflag"
+    q["gzip_landing_and_sink"] = f"{summary}, TRUE AS kept, (SELECT count(*) FROM lineitem) AS all_rows FROM lineitem GROUP BY l_returnflag"
+    q["seed_from_environment"] = f"""WITH {LINES}, s AS (SELECT row_key FROM lines ORDER BY {_digest()} LIMIT 100)
+        SELECT unnest(['explicit', 'environment', 'no number']) AS "case", row_key FROM s"""
     quarters = "(VALUES ('p25'), ('p50'), ('p75')) q(quantile)"
     q["quantiles_approximate"] = f"""WITH {LINES} SELECT store, quantile, n, TRUE AS within
         FROM (SELECT store, count(amount) AS n FROM lines GROUP BY store) CROSS JOIN {quarters}"""

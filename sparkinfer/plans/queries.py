@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,10 @@ from sparkinfer.functions.scalars import out_of_range, present
 from sparkinfer.operators import (charts, cleaning, contingency, describe, hypothesis, joins, normality,
                                   ranks, reconcile, regression, sampling, sketches, timeseries)
 from sparkinfer.plans.sales import lines, sales, table
-from sparkinfer.sources.landing import cut
+from sparkinfer.sources.landing import cut, land, scratch, write_results
 from sparkinfer.plans.suites import (SalesColumns, StudyConfig, association_suite, clean_table, event_table,
                                      hypothesis_suite, regression_report as least_squares_report, run_study, temporal_suite)
-from sparkinfer.sources.delimited import CORRUPT, parse
+from sparkinfer.sources.delimited import CORRUPT, parse, scan
 
 SEED = 42
 URGENT, LOW = "1-URGENT", "5-LOW"
@@ -26,6 +27,7 @@ SERIES_START = "1996-03-01"
 SPANS = (("one day", "1996-05-12", "1996-05-12"), ("a week", "1996-12-20", "1996-12-26"), ("a season", "1994-02-03", "1994-06-29"),
          ("years", "1997-10-31", "1999-01-02"), ("inside another", "1998-03-01", "1998-03-09"), ("backwards", "1995-05-05", "1995-05-01"),
          ("before the data", "1901-01-01", "1979-12-31"), ("past the end", "2001-06-01", "2090-01-01"))
+TEXT_COLUMNS = ["FECHA", "CANAL", "PRODUCTO", "UNIDADES", "PORCENTAJE DESCUENTO", "LOCAL"]
 NUMERIC = ["units", "discount", "amount", "age_years"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -733,6 +735,64 @@ def typed_text_rows(spark, sf):
         F.col("CANAL").alias("part"), "n", none.alias("n_units"), none.alias("units"), none.alias("stores")))
 
 
+def _as_text_files(spark, sf: str, compression: str) -> str:
+    """Line items in the sales file's form: separated by semicolons, quoted, with a header and a column nobody reads."""
+    item = table(spark, sf, "lineitem")
+    path = scratch(spark, "sales-text")
+    item.select(
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("FECHA"), F.concat(F.lit('a;"'), "l_returnflag").alias("PRODUCTO"),
+        F.col("l_returnflag").alias("CANAL"), F.when(F.col("l_linenumber") % 5 == 0, "n/a").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("UNIDADES"),
+        F.when(F.col("l_discount") > 0, F.col("l_discount").cast("string")).otherwise("NA").alias("PORCENTAJE DESCUENTO"),
+        F.col("l_suppkey").cast("string").alias("LOCAL"), F.lit("x;y").alias("OTRA"),
+    ).write.option("header", True).option("sep", ";").option("quoteAll", True).option("escape", '"').option("compression", compression).csv(path)
+    return path
+
+
+def _text_summary(data: DataFrame) -> DataFrame:
+    return data.groupBy("CANAL").agg(
+        F.count(F.lit(1)).alias("n"), F.count("UNIDADES").alias("n_units"), F.sum("UNIDADES").alias("units"),
+        F.count("PORCENTAJE DESCUENTO").alias("n_discount"), F.round(F.sum("PORCENTAJE DESCUENTO"), 4).alias("discount"),
+        F.sum("LOCAL").alias("stores"), F.date_format(F.max("FECHA"), "yyyy-MM-dd").alias("latest"), F.min("PRODUCTO").alias("product"))
+
+
+@query
+def text_scan_blocks(spark, sf):
+    """Plain text files, scanned in blocks with declared types, by header name."""
+    found = scan(spark, _as_text_files(spark, sf, "none"), [*TEXT_COLUMNS, "GENERO"])
+    return _text_summary(found.data).withColumn("missing", F.lit(",".join(found.missing)))
+
+
+@query
+def gzip_landing_and_sink(spark, sf):
+    """Gzip text landed as Parquet, taken again without landing anew, summed up, written as result tables and read back."""
+    source, target, out = _as_text_files(spark, sf, "gzip"), scratch(spark, "landed"), scratch(spark, "results")
+    land(spark, source, target, columns=TEXT_COLUMNS)
+    before = sorted(r[0] for r in spark.read.format("binaryFile").load(target).select("path").collect())
+    again = land(spark, source, target, columns=TEXT_COLUMNS)
+    kept = before == sorted(r[0] for r in spark.read.format("binaryFile").load(target).select("path").collect())
+    results = {"summary": _text_summary(again.data)}
+    write_results(results, out)
+    write_results(results, f"{out}/json", "json")
+    other = spark.read.json(f"{out}/json/summary").agg(F.sum("n").alias("n")).scalar()
+    return spark.read.parquet(f"{out}/summary").withColumns({"kept": F.lit(kept), "all_rows": other})
+
+
+@query
+def seed_from_environment(spark, sf):
+    """Samples with an explicit seed, one from the environment and one where the environment holds no number."""
+    rows, held = lines(spark, sf), os.environ.get(sampling.SEED_VARIABLE)
+    parts = []
+    try:
+        for name, text, seed in (("explicit", "5", SEED), ("environment", str(SEED), None), ("no number", "x", None)):
+            os.environ[sampling.SEED_VARIABLE] = text
+            parts.append(sampling.seeded_sample(rows, ["row_key"], 100, seed).select(F.lit(name).alias("case"), "row_key"))
+    finally:
+        os.environ.pop(sampling.SEED_VARIABLE, None)
+        if held is not None:
+            os.environ[sampling.SEED_VARIABLE] = held
+    return _stacked(*parts)
+
+
 @query
 def spearman_cells(spark, sf):
     return hypothesis.spearman_matrix(lines(spark, sf), ["units", "discount", "amount"]).select("a", "b", "cell")

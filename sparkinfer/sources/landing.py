@@ -65,6 +65,14 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Store a step in the shared folder as compressed Parquet and read it back: its lineage ends there.
 
@@ -73,9 +81,7 @@ def cut(df: DataFrame) -> DataFrame:
     settings are not touched.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/step-{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    path = scratch(spark, "step")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
