@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from sparkinfer.functions.scalars import (impute_and_clip, number, out_of_range, outside,
                                           parse_date, safe_ratio, years_between)
 from sparkinfer.operators.joins import lookup
-from sparkinfer.operators.ranks import quantiles
+from sparkinfer.operators.ranks import cell_quantiles, quantiles, value_counts
+from sparkinfer.sources.landing import cut
 
 # Valid age range in years and the age used when no valid one exists.
 MIN_AGE, MAX_AGE = 0, 110
@@ -41,7 +42,10 @@ def valid_median(df: DataFrame, column: str, low=MIN_AGE, high=MAX_AGE,
                  fallback: float = FALLBACK_AGE, approximate: bool = False) -> DataFrame:
     """One row with the median of the in-range values, or the fallback if there are none."""
     valid = df.where(~out_of_range(number(column), low, high))
-    found = quantiles(valid, column, {"median": 0.5}, approximate=approximate)
+    if approximate:
+        found = quantiles(valid, column, {"median": 0.5}, approximate=True)
+    else:  # ages hold few distinct values: they are counted in one pass over the source
+        found = cell_quantiles(cut(value_counts(valid, column)), {"median": 0.5})
     return found.select(F.coalesce("median", F.lit(fallback)).alias("median"), "n_values")
 
 

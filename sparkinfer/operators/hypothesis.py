@@ -17,6 +17,7 @@ from sparkinfer.functions.effects import effect_label, kruskal_eta2, rank_biseri
 from sparkinfer.functions.normal import norm_sf
 from sparkinfer.functions.scalars import number, present
 from sparkinfer.functions.tails import ALTERNATIVES, chi2_sf, f_sf, t_p_value
+from sparkinfer.operators.cells import count_cells
 from sparkinfer.operators.joins import attach, join_on, with_group
 from sparkinfer.operators.ranks import Layout, probe, rank_cells, value_counts
 from sparkinfer.sources.landing import cut
@@ -268,6 +269,9 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
     base = present(df, *columns, *by).select(*by, *[F.col(c).cast("double").alias(f"v{i}")
                                                     for i, c in enumerate(columns)])
     rows = base = cut(base)
+    names = [f"v{i}" for i in range(len(columns))]
+    if not by:  # one count of all columns, one probe, one order
+        return spearman_of_ranks(count_cells(base, names).with_ranks(base, names), columns, [f"rank_{v}" for v in names])
     for i in range(len(columns)):
         rows = _attach_ranks(rows, value_counts(base, f"v{i}", by), f"v{i}", by, probe(base, f"v{i}", by), "n")
     return spearman_of_ranks(rows, columns, [f"rv{i}" for i in range(len(columns))], by)

@@ -202,6 +202,13 @@ def _interpolated(placed: DataFrame, names: Sequence[str], points: Sequence[floa
     return found.select(*by, *out, F.coalesce(total, F.lit(0)).cast("long").alias("n_values"))
 
 
+def cell_quantiles(counted: DataFrame, probabilities: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles of counted values (by, value, n), best stored, as they are read for the layout and for the order."""
+    by, points = list(by), list(probabilities.values())
+    placed = cumulative_counts(counted, by, probe(counted, "value", by))
+    return _interpolated(placed, list(probabilities), points, by)
+
+
 def _selected(df: DataFrame, value: str, points: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Cells around the wanted positions of every group, with running positions.
 

@@ -762,12 +762,13 @@ def build() -> dict[str, str]:
         return " UNION ALL ".join(
             f"SELECT '{section}' AS section, {metric} || ' {v}' AS metric, CAST({v} AS DOUBLE) AS value FROM ({q[name]})" for v in values)
 
-    q["regression_report"] = " UNION ALL ".join([
+    q["regression_report"] = " UNION ALL ".join(part.replace(MODEL, SPLIT_MODEL) for part in [  # fitted on the training rows
         long("coefficients", "ols_coefficients", "term", ["coef", "std_err"]),
         long("fit", "ols_fit", "'train'", ["n", "r2", "r2_adj"]),
         long("holdout", "ols_holdout", "'test'", ["n", "rmse", "mae", "r2"]),
         long("durbin_watson", "durbin_watson", "'train'", ["n", "durbin_watson"]),
-        long("residual_shapiro", "residual_shapiro", "'sample'", ["n", "statistic"])])
+        long("breusch_pagan", "breusch_pagan", "'train'", ["statistic", "df"]),
+        long("residual_shapiro", "residual_shapiro", "'sample'", ["n", "n_total", "statistic"])])
     q["association_report"] = " UNION ALL ".join([
         long("channel_store", "chi2_independence", "'chi2'", ["statistic", "df"]),
         long("store_anova", "anova_oneway", "'anova'", ["statistic"]),

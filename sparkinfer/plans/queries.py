@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sparkinfer.functions.scalars import out_of_range, present
 from sparkinfer.operators import (charts, cleaning, contingency, describe, hypothesis, joins, normality,
                                   ranks, reconcile, regression, sampling, sketches, timeseries)
+from sparkinfer.operators.cells import count_cells
 from sparkinfer.plans.sales import lines, sales, table
 from sparkinfer.sources.landing import cut, land, scratch, write_results
 from sparkinfer.plans.suites import (SalesColumns, StudyConfig, association_suite, clean_table, event_table,
@@ -453,7 +454,9 @@ def shapiro_francia_by_flag(spark, sf):
 
 @query
 def normality_report(spark, sf):
-    return rounded(normality.normality(lines(spark, sf), ["units", "discount", "amount"], ["row_key"], seed=SEED))
+    rows, columns = lines(spark, sf), ["units", "discount", "amount"]
+    distances = count_cells(rows, columns).kolmogorov()
+    return rounded(normality.normality(rows, columns, ["row_key"], seed=SEED, distances=distances))
 
 
 @query
@@ -802,7 +805,7 @@ def spearman_cells(spark, sf):
 def clean_columns(spark, sf):
     """Column names of the cleaned table: no customer id, no birth date; one row each with its non-null count."""
     config = StudyConfig(columns=SalesColumns(birth="birth_text", ts="shipped"))
-    clean = clean_table(sales(spark, sf).drop("age_years"), config)
+    clean = clean_table(sales(spark, sf, True).drop("age_years"), config)
     names = sorted(clean.columns)
     counts = clean.agg(*[F.count(c).alias(c) for c in names])
     return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in names])).alias("r")).select("r.*")
@@ -841,17 +844,15 @@ def _stacked(*parts: DataFrame) -> DataFrame:
 
 @query
 def regression_report(spark, sf):
-    def report(share):
-        return least_squares_report(lines(spark, sf), "amount", ["units"], "flag", ["row_key"], ["row_key"], "N",
-                                    ["N", "A", "R"], test_share=share, seed=SEED, exact_split=False)
-
-    whole, split = report(0.0), report(0.3)
+    found = least_squares_report(lines(spark, sf), "amount", ["units"], "flag", ["row_key"], ["row_key"], "N",
+                                 ["N", "A", "R"], test_share=0.3, seed=SEED, exact_split=False)
     return _stacked(
-        _long("coefficients", whole["coefficients"], F.col("term"), ["coef", "std_err"], 5),
-        _long("fit", whole["fit"], F.lit("train"), ["n", "r2", "r2_adj"], 8),
-        _long("holdout", split["holdout"], F.lit("test"), ["n", "rmse", "mae", "r2"], 6),
-        _long("durbin_watson", whole["durbin_watson"], F.lit("train"), ["n", "durbin_watson"], 6),
-        _long("residual_shapiro", whole["residual_shapiro"], F.lit("sample"), ["n", "statistic"], 5))
+        _long("coefficients", found["coefficients"], F.col("term"), ["coef", "std_err"], 5),
+        _long("fit", found["fit"], F.lit("train"), ["n", "r2", "r2_adj"], 8),
+        _long("holdout", found["holdout"], F.lit("test"), ["n", "rmse", "mae", "r2"], 6),
+        _long("durbin_watson", found["durbin_watson"], F.lit("train"), ["n", "durbin_watson"], 6),
+        _long("breusch_pagan", found["breusch_pagan"], F.lit("train"), ["statistic", "df"], 4),
+        _long("residual_shapiro", found["residual_shapiro"], F.lit("sample"), ["n", "n_total", "statistic"], 5))
 
 
 @query
