@@ -814,7 +814,7 @@ def build() -> dict[str, str]:
                 sqrt(s2 * (1.0 / n + (mu * mu * sdd - 2 * mu * md * sud + md * md * suu) / det)) AS se, n, 'ok' AS m FROM s
             UNION ALL SELECT 'units', bu / 1e7 - bd, sqrt(s2 / det * (sdd / 1e14 + suu + 2 * sud / 1e7)), n, 'ok' FROM s
             UNION ALL SELECT 'nearly', bd, sqrt(s2 * suu / det), n, 'constant or collinear' FROM s)
-        SELECT term, CAST(n AS BIGINT) AS n, round(coef, 4) AS coef, round(se, 4) AS std_err, 'ok' AS status, m AS by_moments FROM t"""
+        SELECT term, CAST(n AS BIGINT) AS n, round(coef, 2) AS coef, round(se, 2) AS std_err, 'ok' AS status, m AS by_moments FROM t"""
     spans = "spans(a, b) AS (VALUES " + ", ".join(f"(DATE '{a}', DATE '{b}')" for _, a, b in SPANS) + ")"
     q["event_interval_flag"] = f"""WITH {SERIES}, {spans} SELECT day, pos, round(value, 2) AS value,
         EXISTS (SELECT 1 FROM spans WHERE series.day BETWEEN spans.a AND spans.b) AS is_special FROM series"""

@@ -513,7 +513,7 @@ def ols_illconditioned(spark, sf):
     plain = regression.ols(rows, "amount", ["units", "nearly"]).coefficients.select("position", F.col("status").alias("by_moments"))
     met = joins.join_on(found, plain, ["position"])
     scale = F.when(F.col("term") == "units", F.lit(1e7)).otherwise(F.lit(1.0))
-    return met.select("term", "n", F.round(F.col("coef") / scale, 4).alias("coef"), F.round(F.col("std_err") / scale, 4).alias("std_err"),
+    return met.select("term", "n", F.round(F.col("coef") / scale, 2).alias("coef"), F.round(F.col("std_err") / scale, 2).alias("std_err"),
                       "status", "by_moments")
 
 
