@@ -1,7 +1,5 @@
 """Registered queries against their SQL, their contracts, and the pipeline against brute force."""
 
-import os
-import re
 import zlib
 
 import numpy as np
@@ -31,12 +29,6 @@ def test_query_matches_sql(spark, duck, name):
         assert not differences(ours, duck.execute(SQL[name]).fetchdf())
 
 
-def test_readme_lists_the_sql():
-    with open(os.path.join(os.path.dirname(corpus_pipeline.__file__), "README.md")) as f:
-        listed = re.search(r"SQL for DuckDB exists for ([^(]+)", f.read())[1]
-    assert set(re.findall(r"op\d+", listed)) == {name.split("_")[0] for name in SQL}
-
-
 def coded():
     rows = sorted(pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pylist(), key=lambda r: r["doc_id"])
     return {r["doc_id"]: ids for r, ids in zip(rows, plain_ids([r["text"] for r in rows]), strict=True)}
