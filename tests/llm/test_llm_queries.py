@@ -1,5 +1,6 @@
 """Registered queries against their SQL, their contracts, and the pipeline against brute force."""
 
+import os
 import zlib
 
 import numpy as np
