@@ -115,5 +115,5 @@ def test_entry_registers_the_queries():
     import __spark_entry__ as entry
 
     assert set(queries.REGISTRY) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.REGISTRY) == list(range(1, 14))
     assert os.path.exists(corpus_pipeline.__file__)
