@@ -35,8 +35,10 @@ class ColumnCells:
     @cached_property
     def ranked(self) -> DataFrame:
         """(column, value, n, cum_le, tied, total, avg_rank) of all columns, ordered once and stored."""
-        placed = cumulative_counts(self.counted, BY, self.layout)
-        return cut(placed.withColumn("avg_rank", F.col("cum_le") - (F.col("tied") - F.lit(1)) / F.lit(2.0)))
+        return cut(self._placed().withColumn("avg_rank", F.col("cum_le") - (F.col("tied") - F.lit(1)) / F.lit(2.0)))
+
+    def _placed(self) -> DataFrame:
+        return cumulative_counts(self.counted, BY, self.layout)
 
     def recoded(self, column: str, value: Column, extra: int = 0) -> ColumnCells:
         """Cells after ``column`` has been mapped by an expression of ``value``.
@@ -76,14 +78,17 @@ class ColumnCells:
     @cached_property
     def moments(self) -> DataFrame:
         """(column, n, mean, m2, m3, m4, min, max): central sums about the mean, one row a column, stored."""
+        return cut(self._moment_table())
+
+    def _moment_table(self) -> DataFrame:
         n, v = F.col("n").cast("double"), F.col("value")
         means = self.counted.groupBy("column").agg(F.sum("n").alias("rows"), (F.sum(n * v) / F.sum(n)).alias("mean"))
         gap = v - F.col("mean")
         apart = join_on(self.counted, means, BY, small=True)  # one row a column
-        return cut(apart.groupBy("column").agg(
+        return apart.groupBy("column").agg(
             F.first("rows").alias("n"), F.first("mean").alias("mean"), F.sum(n * gap * gap).alias("m2"),
             F.sum(n * gap * gap * gap).alias("m3"), F.sum(n * gap * gap * gap * gap).alias("m4"),
-            F.min("value").alias("min"), F.max("value").alias("max")))
+            F.min("value").alias("min"), F.max("value").alias("max"))
 
     def scaling(self) -> DataFrame:
         """(column, mean, population std), the parameters of a standardisation."""
@@ -127,9 +132,15 @@ class ColumnCells:
             "outlier_rate", F.col("n_outliers") / F.nullif(F.col("n"), F.lit(0)))
 
     def kolmogorov(self) -> DataFrame:
-        """(column, n, statistic, status, p_value) of the standardised values against N(0, 1)."""
-        scale = self.moments.select("column", "mean", self._sample_std().alias("std"))
-        return normality.ks_of_positions(join_on(self.ranked, scale, BY, small=True), BY)
+        """(column, n, statistic, status, p_value) of the standardised values against N(0, 1).
+
+        What has been stored for other statistics is read; what has not is computed for this one and not stored.
+        """
+        stored = vars(self)
+        moments = self.moments if "moments" in stored else self._moment_table()
+        placed = self.ranked if "ranked" in stored else self._placed()
+        scale = moments.select("column", "mean", self._sample_std().alias("std"))
+        return normality.ks_of_positions(join_on(placed, scale, BY, small=True), BY)
 
     def qq(self, points: int = 200) -> DataFrame:
         """Standardised values against normal quantiles on a grid, per column."""
