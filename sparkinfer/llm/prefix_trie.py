@@ -301,7 +301,8 @@ def trie_nodes(turns: DataFrame, lengths: DataFrame) -> DataFrame:
     deep = grouped.where("depth > 1").unionByName(tails.where("not parent_alone and depth > 1").drop("parent_alone"))
     out = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     low = F.lit(top["low"]).cast("long").alias("parent_conv_id")
-    looked = _with_parents(deep, parents).select(*out)
+    # a parent that is no shared node was proved to have one member, and so has its child
+    looked = _with_parents(deep, parents).withColumn("parent_conv_id", F.coalesce("parent_conv_id", "conv_id")).select(*out)
     first = grouped.where("depth = 1").unionByName(tails.where("depth = 1").drop("parent_alone")).withColumn("parent_conv_id", low).select(*out)
     inner = tails.where("parent_alone and depth > 1").withColumn("parent_conv_id", F.col("conv_id")).select(*out)
 

@@ -210,6 +210,15 @@ def test_trie_with_blocks_and_a_crowded_sketch(spark, monkeypatch):
     assert trie(spark, rows, (100, opening, 5)) == brute_trie(rows, True)
 
 
+def test_trie_where_some_single_prefixes_look_shared(spark, monkeypatch):
+    """A sketch with about as many cells as prefixes: tails are broken by prefixes that are grouped after all."""
+    monkeypatch.setattr(prefix_trie, "MOST_BITS", 11)
+    monkeypatch.setattr(prefix_trie, "PART_BITS", 6)
+    rng = random.Random(9)
+    rows = [(c, t, "user", f"{c} {t}" if t > 1 else rng.choice("ab")) for c in range(300) for t in range(rng.randrange(1, 12))]
+    assert trie(spark, rows) == brute_trie(rows)
+
+
 def test_trie_of_nothing_and_of_turnless_conversations(spark):
     assert trie(spark, []) == [] and trie(spark, [(None, 1, "user", "x")]) == []
     # crc32 of these ids takes more turns than there are, and no conversation opens their hundred
