@@ -77,10 +77,8 @@ def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str,
     cold = renamed(keyed.where(~heavy), "__cold").withColumn("__zero", zero)
     joined = salted.join(cold, on(salted, cold) & (salted["__salt"] == cold["__zero"]), "left")
     value = F.coalesce("__hot", "__cold")
-    found = joined.withColumn("__v", value)
-    if how == "inner":
-        found = found.where(F.col("__v").isNotNull())
-    return found.select(*rows.columns, *[F.col(f"__v.{v}").alias(v) for v in values])
+    found = joined if how == "left" else joined.where(value.isNotNull())
+    return found.select(*rows.columns, *[value.getField(v).alias(v) for v in values])
 
 
 def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str, how: str = "left",
