@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkinfer.functions.scalars import stable_hash
-from sparkinfer.operators.joins import attach
+from sparkinfer.operators.joins import lookup
 
 DEFAULT_SEED = 42
 SEED_VARIABLE = "SPARKINFER_SEED"
@@ -62,7 +62,8 @@ def seeded_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int | None =
         last = _cut(marked, [], F.lit(n), 5).agg(F.max("slot")).scalar()
         return (marked.where(_digest_slot(5) <= last).orderBy("__digest").limit(n).select(*columns))
     cuts = _cut(marked, by, F.lit(n), 4)
-    kept = attach(marked, cuts, by, "rows", "inner", nulls=True).where(_digest_slot(4) <= F.col("slot"))
+    # groups are mostly few: rows are then sifted where they stand, and only those kept are moved
+    kept = lookup(marked, cuts, by, "rows", "inner", nulls=True).where(_digest_slot(4) <= F.col("slot"))
     place = F.row_number().over(Window.partitionBy(*by).orderBy("__digest"))
     return kept.withColumn("__place", place).where(F.col("__place") <= n).select(*columns)
 

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from sparkinfer.operators import joins, ranks, sketches
+from sparkinfer.operators import joins, ranks, sampling, sketches
 
 
 def test_ranks_of_quantiles_beyond_a_broadcast(spark, monkeypatch):
@@ -24,3 +24,14 @@ def test_attach_takes_rows_with_any_column_name(spark):
     assert inner.agg(F.sum("__v")).first()[0] == sum(i for i in range(100) if i % 4 < 2)
     left = joins.attach(rows, table, ["k"], "n")
     assert left.count() == 100 and left.where("x is null").count() == 50
+
+
+def test_grouped_sample_sifts_rows_in_place(spark, monkeypatch):
+    rows = spark.range(5000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"))
+    few = sampling.seeded_sample(rows, ["id"], 40, 7, ["g"])
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" not in plan  # no join that moves the rows
+    picked = {tuple(r) for r in few.collect()}
+    monkeypatch.setattr(joins, "FEW_KEYS", 1)
+    many = sampling.seeded_sample(rows, ["id"], 40, 7, ["g"])
+    assert len(picked) == 120 and picked == {tuple(r) for r in many.collect()}
