@@ -19,7 +19,7 @@ from sparkinfer.functions.scalars import number, present
 from sparkinfer.functions.tails import ALTERNATIVES, chi2_sf, f_sf, t_p_value
 from sparkinfer.operators.cells import count_cells
 from sparkinfer.operators.joins import attach, join_on, with_group
-from sparkinfer.operators.ranks import Layout, probe, rank_cells, value_counts
+from sparkinfer.operators.ranks import Layout, probe, rank_cells, value_counts, whole_groups
 from sparkinfer.sources.landing import cut
 
 
@@ -98,8 +98,12 @@ def mann_whitney_exact(df: DataFrame, value: str, group: str, first, second, by:
     if alternative not in ALTERNATIVES:
         raise ValueError(f"alternative must be one of {ALTERNATIVES}, not {alternative!r}")
     rows = _two_samples(df, value, group, first, second, by)
-    cells = cut(value_counts(rows, "value", by, ["is_first"]))
-    ranked = rank_cells(cells, by, probe(cells, "value", by))
+    dealt = whole_groups(rows, by) if by else None
+    if dealt is not None:  # small groups: each is ordered in its task, in one shuffle
+        ranked = rank_cells(dealt.withColumn("n", F.lit(1).cast("long")), by, Layout(True))
+    else:
+        cells = cut(value_counts(rows, "value", by, ["is_first"]))
+        ranked = rank_cells(cells, by, probe(cells, "value", by))
     t = F.col("tied").cast("double")
     found = u_test(ranked, "is_first", by, alternative, tie_sum=F.sum(F.col("n") * (t * t - 1)))
     fit = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("tie_sum") == 0) & (F.col("n1") + F.col("n2") <= most)

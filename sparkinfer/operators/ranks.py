@@ -30,6 +30,10 @@ SAMPLE_PER_RANGE = 8
 # reach this far to both sides, by the size of the group.
 RESOLUTION = 1000
 REACHES = (0.004, 0.012, 0.06, 1.0)
+# Groups that are ordered whole: rows of one task, and the most that a group may have. Their sizes
+# are bounded by those of this many buckets of groups.
+TASK_ROWS = 500_000
+GROUP_BUCKETS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -132,6 +136,20 @@ def cumulative_counts(cells: DataFrame, by: Sequence[str], layout: Layout, keep=
             .withColumn("tied", F.sum("n").over(peers)).drop("before", "range"))
 
 
+def whole_groups(df: DataFrame, by: Sequence[str]) -> DataFrame | None:
+    """Rows dealt by group to tasks of about ``TASK_ROWS`` rows, or None where a group may be larger than that.
+
+    No group is larger than its bucket of groups, and counting buckets moves a few numbers a task. The
+    number of tasks follows the rows, so their memory does not grow with the table.
+    """
+    buckets = df.groupBy(F.pmod(F.xxhash64(*by), F.lit(GROUP_BUCKETS)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    size = buckets.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    if (size["most"] or 0) > TASK_ROWS:
+        return None
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-(size["rows"] or 0) // TASK_ROWS))
+    return df.repartition(tasks, *by)
+
+
 def rank_cells(cells: DataFrame, by: Sequence[str], layout: Layout) -> DataFrame:
     """Average rank of every value (ties share the mean of their positions)."""
     return cumulative_counts(cells, by, layout).withColumn(

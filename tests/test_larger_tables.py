@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from sparkinfer.operators import joins, ranks, sampling, sketches
+from sparkinfer.operators import hypothesis, joins, ranks, sampling, sketches
 
 
 def test_ranks_of_quantiles_beyond_a_broadcast(spark, monkeypatch):
@@ -35,3 +35,23 @@ def test_grouped_sample_sifts_rows_in_place(spark, monkeypatch):
     monkeypatch.setattr(joins, "FEW_KEYS", 1)
     many = sampling.seeded_sample(rows, ["id"], 40, 7, ["g"])
     assert len(picked) == 120 and picked == {tuple(r) for r in many.collect()}
+
+
+def test_small_groups_are_ordered_in_one_shuffle(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = spark.createDataFrame(pd.DataFrame({"g": rng.integers(0, 300, 6000) * 1.0, "v": rng.integers(0, 400, 6000) * 0.5,
+                                               "s": rng.random(6000) < 0.4})).withColumn("g", F.nullif("g", F.lit(7.0)))
+
+    def found():
+        out = hypothesis.mann_whitney_exact(rows, "v", "s", True, False, ["g"])
+        return out._jdf.queryExecution().optimizedPlan().toString(), {tuple(r) for r in out.collect()}
+
+    plan, whole = found()
+    assert " Join " not in plan and "RepartitionByExpression" in plan
+    assert ranks.whole_groups(rows, ["g"]).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(ranks, "TASK_ROWS", 100)
+    assert ranks.whole_groups(rows, ["g"]).rdd.getNumPartitions() == 60  # tasks follow the rows
+    monkeypatch.setattr(ranks, "TASK_ROWS", 5)  # a group is too large: ranges
+    assert ranks.whole_groups(rows, ["g"]) is None
+    plan, ranged = found()
+    assert "RepartitionByExpression" not in plan and len(whole) == 300 and whole == ranged
