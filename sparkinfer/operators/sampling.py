@@ -18,6 +18,8 @@ from sparkinfer.operators.joins import lookup
 DEFAULT_SEED = 42
 SEED_VARIABLE = "SPARKINFER_SEED"
 DIGEST_VALUES = 16 ** 8
+#: Digits of the digest prefixes that are counted: few enough for small hash maps, and one holds 1/65,536 of the rows.
+PREFIX = 4
 
 
 def resolve_seed(seed: int | None = None) -> int:
@@ -30,23 +32,23 @@ def resolve_seed(seed: int | None = None) -> int:
         return DEFAULT_SEED
 
 
-def _digest_slot(width: int) -> Column:
-    return F.substring("__digest", 1, width)
+def _digest_slot() -> Column:
+    return F.substring("__digest", 1, PREFIX)
 
 
-def _cut(df: DataFrame, by: Sequence[str], wanted: Column, width: int) -> DataFrame:
-    """Per group: the first digest prefix at which ``wanted`` rows have been seen.
+def _cut(df: DataFrame, by: Sequence[str], wanted: Column) -> DataFrame:
+    """Per group: the first digest prefix at which ``wanted`` rows have been seen, all rows and those of earlier prefixes.
 
-    At most 16**width prefixes per group enter a window partition.
+    At most 16**PREFIX prefixes per group enter a window partition.
     """
-    counts = df.groupBy(*by, _digest_slot(width).alias("slot")).agg(F.count(F.lit(1)).alias("m"))
+    counts = df.groupBy(*by, _digest_slot().alias("slot")).agg(F.count(F.lit(1)).alias("m"))
     running = Window.partitionBy(*by).orderBy("slot")
     whole = Window.partitionBy(*by)
     seen = (counts.withColumn("upto", F.sum("m").over(running))
             .withColumn("rows", F.sum("m").over(whole)))
     short = F.col("upto") - F.col("m") < wanted
     return seen.where(short).groupBy(*by).agg(
-        F.max("slot").alias("slot"), F.max("rows").alias("rows"))
+        F.max("slot").alias("slot"), F.max("rows").alias("rows"), F.max(F.col("upto") - F.col("m")).alias("before"))
 
 
 def seeded_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int | None = None,
@@ -59,11 +61,11 @@ def seeded_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int | None =
     by, columns = list(by), df.columns
     marked = df.withColumn("__digest", stable_hash(keys, resolve_seed(seed)))
     if not by:
-        last = _cut(marked, [], F.lit(n), 5).agg(F.max("slot")).scalar()
-        return (marked.where(_digest_slot(5) <= last).orderBy("__digest").limit(n).select(*columns))
-    cuts = _cut(marked, by, F.lit(n), 4)
+        last = _cut(marked, [], F.lit(n)).select("slot").scalar()
+        return (marked.where(_digest_slot() <= last).orderBy("__digest").limit(n).select(*columns))
+    cuts = _cut(marked, by, F.lit(n)).drop("before")
     # groups are mostly few: rows are then sifted where they stand, and only those kept are moved
-    kept = lookup(marked, cuts, by, "rows", "inner", nulls=True).where(_digest_slot(4) <= F.col("slot"))
+    kept = lookup(marked, cuts, by, "rows", "inner", nulls=True).where(_digest_slot() <= F.col("slot"))
     place = F.row_number().over(Window.partitionBy(*by).orderBy("__digest"))
     return kept.withColumn("__place", place).where(F.col("__place") <= n).select(*columns)
 
@@ -81,15 +83,11 @@ def split_flag_exact(df: DataFrame, keys: Sequence[str], test_share: float = 0.3
     columns = df.columns
     marked = df.withColumn("__digest", stable_hash(keys, resolve_seed(seed)))
     wanted = F.ceil(F.lit(float(test_share)) * F.col("rows"))
-    edge = _cut(marked, [], wanted, 5)
-    last = edge.select("slot").scalar()
-    # rows of the last prefix only, about n / 16**5 of them
-    before = marked.select((_digest_slot(5) < last).alias("early")).agg(
-        F.count_if("early").alias("b"), F.count(F.lit(1)).alias("rows"))
-    room = before.select((F.ceil(F.lit(float(test_share)) * F.col("rows")) - F.col("b"))).scalar()
-    inside = marked.where(_digest_slot(5) == last).select("__digest")
+    edge = _cut(marked, [], wanted).select(F.struct("slot", (wanted - F.col("before")).alias("room")).alias("e")).scalar()
+    # rows of the last prefix only, about n / 16**PREFIX of them
+    inside = marked.where(_digest_slot() == edge.getField("slot")).select("__digest")
     place = F.row_number().over(Window.orderBy("__digest"))
-    final = inside.withColumn("p", place).where(F.col("p") <= room).agg(F.max("__digest")).scalar()
+    final = inside.withColumn("p", place).where(F.col("p") <= edge.getField("room")).agg(F.max("__digest")).scalar()
     return marked.select(*columns, F.coalesce(F.col("__digest") <= final, F.lit(False)).alias(output))
 
 

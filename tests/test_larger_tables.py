@@ -1,7 +1,11 @@
 """What only larger tables meet: many groups, tables beyond a broadcast, tasks with many rows."""
 
+import hashlib
+import math
+
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from sparkinfer.operators import hypothesis, joins, ranks, sampling, sketches
@@ -55,3 +59,19 @@ def test_small_groups_are_ordered_in_one_shuffle(spark, monkeypatch):
     assert ranks.whole_groups(rows, ["g"]) is None
     plan, ranged = found()
     assert "RepartitionByExpression" not in plan and len(whole) == 300 and whole == ranged
+
+
+@pytest.mark.parametrize("width", [1, 4])
+def test_split_and_sample_from_one_count_of_prefixes(spark, monkeypatch, width):
+    monkeypatch.setattr(sampling, "PREFIX", width)
+    for n in (1, 7, 1000):
+        rows = spark.range(n)
+        cut = sampling._cut(rows.withColumn("__digest", F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit("7")))), [], F.lit(1))
+        assert cut.first()["before"] == 0 and cut.first()["rows"] == n
+        order = sorted(range(n), key=lambda i: hashlib.md5(f"{i}|7".encode()).hexdigest())
+        for share in (0.0, 0.3, 1.0):
+            flagged = sampling.split_flag_exact(rows, ["id"], share, 7).where("is_test")
+            assert {r[0] for r in flagged.collect()} == set(order[:math.ceil(share * n)])
+        assert {r[0] for r in sampling.seeded_sample(rows, ["id"], 5, 7).collect()} == set(order[:5])
+    empty = sampling.split_flag_exact(spark.range(0), ["id"], 0.3, 7)
+    assert empty.count() == 0
