@@ -175,8 +175,8 @@ def pack_documents(df: DataFrame, id_col: str, text_col: str, tokenizer: str, en
         gathered = 0
         for record in batches:
             id_arrow = record.schema.field(0).type
-            for lot in range(0, record.num_rows, 256):
-                part = record.slice(lot, 256)
+            for lot in range(0, record.num_rows, 2000):
+                part = record.slice(lot, 2000)
                 names = part.column(0).to_pylist()
                 for owner, coded in zip(names, coder.encode(part.column(1).to_pylist()), strict=True):
                     whole = coded + tail

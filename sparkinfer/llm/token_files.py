@@ -51,8 +51,8 @@ def write_token_files(df: DataFrame, path: str, id_col: str, text_col: str, toke
         coder = per_worker(name, lambda: WordCoder(source.value))
         first = 0
         for record in batches:
-            for lot in range(0, record.num_rows, 256):
-                part = record.slice(lot, 256)
+            for lot in range(0, record.num_rows, 2000):
+                part = record.slice(lot, 2000)
                 coded = [c + tail for c in coder.encode(part.column(1).to_pylist())]
                 sizes = np.array([len(c) // 4 for c in coded], np.int64)
                 ends = first + np.cumsum(sizes)

@@ -102,6 +102,23 @@ def test_word_coder_equals_the_tokenizer(documents):
     assert coder.encode(texts) == plain_ids(texts)
 
 
+def test_word_coder_codes_a_word_once_whatever_stands_around_it():
+    coder = WordCoder(tokenizer_json(queries.tokenizer_path()))
+    texts = ["Haste haste, HASTE. (haste) haste-haste/haste12;haste ###", "haste###Haste", "", "haste!"]
+    assert coder.encode(texts) == plain_ids(texts)
+    assert sum(len(part) > 1 for part in coder.known) == 2
+
+
+def test_word_coder_forgets_without_losing_ids(documents, monkeypatch):
+    coder = WordCoder(tokenizer_json(queries.tokenizer_path()))
+    monkeypatch.setitem(WordCoder._encode.__globals__, "CACHE_WORDS", 300)
+    monkeypatch.setitem(WordCoder._encode.__globals__, "KEPT_WORDS", 100)
+    texts = [d["text"] or "" for d in documents][:60] + ["y" * 3000 + " é" + "z" * 200 + "."]
+    for text in [*texts, *texts[:5]]:
+        assert coder.encode([text]) == plain_ids([text])
+        assert all(len(part) <= 64 for part in coder.known) and len(coder.ids) == coder.first[-1]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_packer_covers_every_token_without_padding(seed):
     rng, packer, sizes, windows = random.Random(seed), packing.Packer(), {}, []
