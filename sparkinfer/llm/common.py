@@ -68,3 +68,10 @@ def per_worker(name: str, build: Callable[[], object]) -> object:
         holder.object = build()
         holder.name = name
     return holder.object
+
+
+def let_go() -> None:
+    """Free what a worker keeps from tasks of another kind (:func:`per_worker`), before this task needs the memory."""
+    holder = sys.modules.get("_worker_object")
+    if holder is not None:
+        holder.name = holder.object = None

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkinfer.llm.common import stored
+from sparkinfer.llm.common import let_go, stored
 from sparkinfer.operators.joins import attach
 
 #: Links, some 50 bytes each, that one task may join at the end.
@@ -18,6 +18,7 @@ ONE_TASK = 1_000_000
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over a task's links: what comes out links every node to its root in the task."""
+    let_go()
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkinfer.llm.common import fresh, stored, text_of
+from sparkinfer.llm.common import fresh, let_go, stored, text_of
 
 #: A bucket splits beyond this many bytes of text; its size also bounds an owner task's share.
 BUCKET_BYTES = 8 << 20
@@ -50,6 +50,7 @@ class Index:
                                  (self.count, T.LongType())])
 
         def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            let_go()
             task = TaskContext.get().partitionId()
             held: list[pa.RecordBatch] = []
             size = base = place = 0
@@ -155,6 +156,7 @@ class Index:
             at[c] for c in (self.task, self.chain, self.place, self.count, self.hash))
 
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            let_go()
             import hashlib
 
             # a run of equal hashes may go on in the next batch: its rows are held back until it ends

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkinfer.llm.common import fresh, per_worker
+from sparkinfer.llm.common import fresh, let_go, per_worker
 
 UNDETERMINED = "und"
 #: Distinct labelled texts that are learned from, about so many of each language; the rest is not needed.
@@ -261,6 +261,7 @@ def learn_languages(labelled: DataFrame, text_col: str, lang_col: str, pieces_fi
              .where(F.col("text").rlike(r"\p{L}")).select("lang", "text").distinct())
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for record in batches:
             tally: Counter = Counter()
             for lang, text in zip(record.column(0).to_pylist(), record.column(1).to_pylist(), strict=True):

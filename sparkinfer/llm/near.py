@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkinfer.llm.common import fresh, stored
+from sparkinfer.llm.common import fresh, let_go, stored
 from sparkinfer.llm.components import components
 from sparkinfer.llm.shingles import GOLDEN, fingerprint, mix, shingle_hashes, shingle_set, words_of
 
@@ -99,6 +99,7 @@ class NearDuplicates:
                                T.StructField(self.text, T.StringType()), T.StructField(self.keys, T.ArrayType(long))])
 
         def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            let_go()
             base, number = TaskContext.get().partitionId() << 36, 0
             seen: set[tuple[int, int]] = set()
             for record in batches:
@@ -199,6 +200,7 @@ class NearDuplicates:
         k, percent = self.k, self.percent
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            let_go()
             for record in batches:
                 for lot in range(0, record.num_rows, 256):
                     part = record.slice(lot, 256)
@@ -239,17 +241,20 @@ class NearDuplicates:
                 .select("a", "b", "ta", "tb"))
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            let_go()
             last, own = None, set()
             for record in batches:
-                keep = []
-                left, mine, other = (record.column(i).to_pylist() for i in (0, 2, 3))
-                for i, a in enumerate(left):
-                    if a != last:
-                        last, own = a, shingle_set(words_of(mine[i]), k)
-                    theirs = shingle_set(words_of(other[i]), k)
-                    met = len(own & theirs)
-                    keep.append(100 * met >= percent * (len(own) + len(theirs) - met))
-                yield record.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                for lot in range(0, record.num_rows, 256):
+                    part = record.slice(lot, 256)
+                    keep = []
+                    left, mine, other = (part.column(i).to_pylist() for i in (0, 2, 3))
+                    for i, a in enumerate(left):
+                        if a != last:
+                            last, own = a, shingle_set(words_of(mine[i]), k)
+                        theirs = shingle_set(words_of(other[i]), k)
+                        met = len(own & theirs)
+                        keep.append(100 * met >= percent * (len(own) + len(theirs) - met))
+                    yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return stored(both.mapInArrow(verify, "a long, b long"), "near-links")
 

@@ -232,3 +232,16 @@ def test_op12_covers_all_rows(spark):
     embeddings = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     got = queries.op12_jacobi_davidson(spark, "/root/testdata/sf0.001").toPandas()
     assert len(got) == 16 * embeddings.count() and got.identity_error.max() < 1e-9
+
+
+def test_tasks_let_go_of_what_a_worker_keeps_for_others():
+    from sparkinfer.llm import common, components
+
+    built = []
+    for _ in range(2):
+        common.per_worker("kept for a test", lambda: built.append(1) or [0])
+    assert len(built) == 1
+    assert list(components._forest(iter([]))) == []
+    common.per_worker("kept for a test", lambda: built.append(1) or [0])
+    assert len(built) == 2
+    common.let_go()
