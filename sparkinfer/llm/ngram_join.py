@@ -6,6 +6,9 @@ first |A| - a + e and |B| - b + e shingles share at least e of them. Rare shingl
 Frequent ones fall into m groups by hash and are indexed as pairs of one group: with e = m + 1 either a rare
 one is shared or, of m + 1 frequent ones, two lie in one group. A set whose first |A| - a + 1 shingles are
 all rare needs no longer prefix (e = 1).
+
+Near copies under the threshold share keys without links. Large buckets of them are divided by what tells their
+members from one of them, instead of what they share.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +38,10 @@ FLOOR, TIMES = 4, 2
 GROUP = 8
 #: Members of a bucket that meet its pivots in one task.
 SHARE = 256
+#: Members outside the largest component that an open bucket compares with all others; with more it is divided first.
+FEW = 32
+#: What the index has of a bucket's member: ``far`` is the size of the set whose shingles are keys, ``slack`` how far past its prefix start.
+MEMBER = ("key", "node", "n", "far", "slack")
 #: Pairs that the buckets of a round may make (places and sizes leave few of them): at least so many, and as many a member.
 PAIRS, PAIRS_A_MEMBER = 20_000_000, 64
 
@@ -130,6 +137,12 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, limit: int, percent: int)
     return key[new].view(np.int64), place[new].astype(np.int64)
 
 
+def similar(a: set, b: set, percent: int) -> bool:
+    """Whether |A and B| / |A or B| >= percent / 100."""
+    common = len(a & b)
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 class NgramJoin:
     """Components of rows linked by |A and B| / |A or B| >= percent / 100 over their k-word shingles.
 
@@ -207,71 +220,145 @@ class NgramJoin:
         """Verified links between nodes that give all components.
 
         A bucket's node that meets most others is compared with its members first, one pair a member.
-        Buckets whose members then lie in one component are done. In the others the members
-        outside the largest component are compared with all members of other components, a share of them
-        a round where pairs are many, and leave; so at the end every pair that shares a key (and can reach the
-        threshold by its places and sizes) was compared or lies in one component.
+        Buckets whose members then lie in one component are done. Where at most FEW members lie outside the
+        largest component, those are compared with all members of other components. Members of
+        larger open buckets meet again under the shingles in which they differ from the bucket's
+        first node (:meth:`_apart`), as long as that halves the pairs left to compare; what is then open is
+        compared as in small buckets. So at the end every pair that shares a key (and can reach the
+        threshold by its places and sizes) was compared, lies in one component or met under a later key.
         """
-        members = stored(self._indexed(), "join-keys")
-        shared = stored(members.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "join-shared")
-        buckets = stored(attach(members, shared, ["key"], "members", how="inner"), "join-buckets")
+        index = stored(self._indexed().withColumn("far", F.col("n")), "join-keys")
+        shared = stored(index.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "join-shared")
+        buckets = stored(attach(index, shared, ["key"], "members", how="inner"), "join-buckets")
         if buckets.isEmpty():
             return None
         self.texts = stored(self.rows.where("text is not null").select(F.col("uid").alias("node"), "text").join(
             buckets.select("node").distinct(), "node", "left_semi"), "join-texts")
-        popular = buckets.groupBy("node").agg(F.sum("members").alias("popular"))
-        pivots = stored(buckets.join(popular, "node").groupBy("key").agg(
-            F.max(F.struct("popular", "node", "n", "slack")).alias("top"), F.count("*").alias("members")).select(
-                "key", F.col("top.node").alias("pivot"), F.col("top.n").alias("pn"), F.col("top.slack").alias("pslack"), "members"),
-            "join-pivots")
-        links = self._verified(attach(buckets.drop("members"), pivots, ["key"], "members", how="inner").where("node != pivot"))
-        rest, turn = buckets.drop("members"), 0
-        gone = pivots.select("key", F.col("pivot").alias("node"))
+        links, before = None, None
+        while True:
+            popular = buckets.groupBy("node").agg(F.sum("members").alias("popular"))
+            pivots = stored(buckets.join(popular, "node").groupBy("key").agg(
+                F.max(F.struct("popular", "node", "n", "far", "slack")).alias("top"), F.count("*").alias("members")).select(
+                    "key", F.col("top.node").alias("pivot"), F.col("top.n").alias("pn"), F.col("top.far").alias("pfar"),
+                    F.col("top.slack").alias("pslack"), "members"), "join-pivots")
+            rows = buckets.select(*MEMBER)
+            more = self._verified(attach(rows, pivots, ["key"], "members", how="inner").where("node != pivot"))
+            links = more if links is None else stored(links.unionByName(more), "join-links")
+            open_ = self._open(rows.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"), links)
+            large = open_.where(F.col("few") > FEW)
+            pairs = large.agg(F.sum("few")).first()[0]
+            if pairs is None or before is not None and 2 * pairs > before:
+                return self._met(open_, links)
+            links, before = self._met(open_.where(F.col("few") <= FEW), links), pairs
+            near, index = self._apart(attach(large.select("key", "node", "n"), pivots.select("key", "pivot", "members"),
+                                             ["key"], "members", how="inner"))
+            links = stored(links.unionByName(near), "join-links")
+            buckets = self._open(index, links)
+            if buckets.isEmpty():
+                return links
+
+    @staticmethod
+    def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
+        """Members of the buckets that hold more than one component, with the component (root), the bucket's
+        members, its largest component (most) and the members outside it (few)."""
+        labelled = stored(rows.join(components(links, "a", "b"), "node", "left").select(
+            *MEMBER, F.coalesce("root", "node").alias("root")), "join-labelled")
+        sizes = labelled.groupBy("key", "root").agg(F.count("*").alias("many"))
+        mixed = stored(sizes.groupBy("key").agg(
+            F.sum("many").alias("members"), F.max_by("root", "many").alias("most"), (F.sum("many") - F.max("many")).alias("few"))
+            .where("few > 0"), "join-mixed")
+        return stored(attach(labelled, mixed, ["key"], "members", how="inner"), "join-open")
+
+    def _met(self, open_: DataFrame, links: DataFrame) -> DataFrame:
+        """``links`` and those of all members outside a bucket's largest component with members of other components.
+
+        A share of these members a round where pairs are many; what they link may close a bucket before the others' turn.
+        """
+        turn = 0
         while True:
-            roots = components(links, "a", "b")
-            rest = rest.join(gone, ["key", "node"], "left_anti")
-            labelled = stored(rest.join(roots, "node", "left").select(
-                "key", "node", "n", "slack", F.coalesce("root", "node").alias("root")), "join-labelled")
-            sizes = labelled.groupBy("key", "root").agg(F.count("*").alias("many"))
-            mixed = stored(sizes.groupBy("key").agg(
-                F.sum("many").alias("members"), F.max_by("root", "many").alias("most"), (F.sum("many") - F.max("many")).alias("few"))
-                .where("few > 0"), "join-mixed")
-            open_ = stored(attach(labelled, mixed, ["key"], "members", how="inner"), "join-open")
-            if open_.isEmpty():
+            size = open_.agg(F.count("*").alias("members"), F.sum("few").alias("pairs")).first()
+            if not size["members"]:
                 return links
-            size = mixed.agg(F.sum("members").alias("members"), F.sum(F.col("few") * F.col("members")).alias("pairs")).first()
             rounds = -(-size["pairs"] // max(PAIRS, PAIRS_A_MEMBER * size["members"]))
-            # a share of the pivots; what they link may close a bucket before the others' turn
             drawn = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(rounds)) == 0
             pivots = stored(open_.where("root != most").where(drawn), "join-pivots")
             ways = F.ceil(F.col("members") / SHARE)
-            many = pivots.select("key", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("slack").alias("pslack"),
-                                 F.col("root").alias("proot"), F.explode(F.sequence(F.lit(0).cast("long"), ways - 1)).alias("way"))
+            many = pivots.select("key", F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("far").alias("pfar"),
+                                 F.col("slack").alias("pslack"), F.col("root").alias("proot"),
+                                 F.explode(F.sequence(F.lit(0).cast("long"), ways - 1)).alias("way"))
             met = open_.withColumn("way", F.pmod(F.xxhash64("node"), ways)).join(many, ["key", "way"]).where("root != proot")
-            more = self._verified(met)
-            links = stored(links.unionByName(more), "join-links")
-            gone = pivots.select("key", "node")
-            rest, turn = open_.select("key", "node", "n", "slack"), turn + 1
-
-    def _verified(self, met: DataFrame) -> DataFrame:
-        """Distinct pairs of ``met`` (pivot, node, with sizes and places) whose whole sets are similar, compared as words.
+            links = stored(links.unionByName(self._verified(met)), "join-links")
+            if rounds == 1:
+                return links
+            open_ = self._open(open_.select(*MEMBER).join(pivots.select("key", "node"), ["key", "node"], "left_anti"), links)
+            turn += 1
+
+    def _apart(self, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links of ``members`` (key, node, n, pivot) to their pivots, and an index of the shingles in which they differ.
+
+        Let D(x) be the shingles that only one of x and the pivot holds. Two sets differ in the shingles in which
+        D(x) and D(y) differ, and similar ones in at most d(x, y) = |x| + |y| - 2 needed. So D(x) and D(y) share
+        o >= (|D(x)| + |D(y)| - d) / 2 shingles, and if o > 0 one of these is among the first |D(x)| - o + 1 of D(x) and
+        |D(y)| - o + 1 of D(y) in any common order, here rarest first. If |D(x)| + |D(y)| <= d, both are similar to the pivot and
+        linked here: d(x, y) changes by 1 when a size does, and the sizes of y and the pivot differ by |D(y)| at most.
+        The first |x| (100 - percent) / percent + 1 shingles are enough for any partner.
+        """
+        k, percent = self.k, self.percent
+        met = stored(members.select("pivot", "node", "n").distinct(), "join-met")
+        met = attach(met, met.groupBy("pivot").agg(F.count("*").alias("members")), ["pivot"], "members", how="inner")
+        both = self._with_texts(met.select(F.col("pivot").alias("a"), F.col("node").alias("b"), "n",
+                                           F.ceil(F.col("members") / SHARE).alias("ways")))
 
-        A pivot's text is laid out once for each SHARE members, so no task gets all members of a pivot.
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last, own, whole = None, np.zeros(0, np.uint64), set()
+            for record in batches:
+                for lot in range(0, record.num_rows, 256):
+                    part = record.slice(lot, 256).select(["a", "b", "n", "ta", "tb"])
+                    linked, apart = [], []
+                    left, mine, other = (part.column(i).to_pylist() for i in (0, 3, 4))
+                    for a, ta, tb in zip(left, mine, other, strict=True):
+                        if a != last:
+                            last, words = a, words_of(ta)
+                            own, whole = shingle_hashes(words, k), shingle_set(words, k)
+                        words = words_of(tb)
+                        linked.append(similar(whole, shingle_set(words, k), percent))
+                        apart.append(np.setxor1d(own, shingle_hashes(words, k), assume_unique=True).view(np.int64))
+                    yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), pa.array(linked, pa.bool_()),
+                                                      pa.array(apart, pa.list_(pa.int64()))], names=["a", "b", "n", "linked", "apart"])
+
+        found = stored(both.mapInArrow(compare, "a long, b long, n long, linked boolean, apart array<long>"), "join-apart")
+        each = found.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "n", F.size("apart").cast("long").alias("far"),
+                            F.explode("apart").alias("shingle"))
+        often = stored(each.groupBy("pivot", "shingle").agg(F.count("*").alias("sets")).where("sets > 1"), "join-often")
+        order = Window.partitionBy("pivot", "node").orderBy(F.coalesce("sets", F.lit(1)), "shingle")
+        index = (attach(each, often, ["pivot", "shingle"], "sets").withColumn("slack", F.row_number().over(order).cast("long") - 1)
+                 .where("sets is not null").where(F.col("slack") * percent <= F.col("n") * (100 - percent)))
+        return (found.where("linked").select("a", "b"),
+                stored(index.withColumn("key", F.xxhash64("pivot", "shingle")).select(*MEMBER), "join-keys"))
+
+    def _with_texts(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (a, b, ways) with both texts, ta and tb, the rows of one ``a`` of a task in a run.
+
+        The text of ``a`` is laid out once for each way, so no task gets all its pairs.
         """
+        pairs = pairs.withColumn("way", F.pmod(F.xxhash64("b"), F.col("ways")))
+        texts = self.texts
+        sides = pairs.groupBy("a").agg(F.max("ways").alias("ways")).join(texts.withColumnRenamed("node", "a"), "a").select(
+            "a", F.col("text").alias("ta"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)).alias("way"))
+        return pairs.drop("ways").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(sides, ["a", "way"])
+
+    def _verified(self, met: DataFrame) -> DataFrame:
+        """Distinct pairs of ``met`` (pivot, node, with sizes and places) whose whole sets are similar, compared as words."""
         k, percent = self.k, self.percent
         needed = F.ceil(F.lit(percent) * (F.col("n") + F.col("pn")) / F.lit(100 + percent))
+        spare = F.col("n") + F.col("pn") - 2 * needed
         fit = met.where(F.lit(100) * F.least("n", "pn") >= F.lit(percent) * F.greatest("n", "pn")).where(
-            (F.col("slack") <= F.col("n") - needed) & (F.col("pslack") <= F.col("pn") - needed))
+            (2 * F.col("slack") + F.col("pfar") - F.col("far") <= spare) & (2 * F.col("pslack") + F.col("far") - F.col("pfar") <= spare))
         pairs = stored(fit.groupBy(F.least("pivot", "node").alias("lo"), F.greatest("pivot", "node").alias("hi")).agg(
             F.max(F.struct("members", "pivot")).alias("top")).select(
                 F.col("top.pivot").alias("a"), F.when(F.col("top.pivot") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("b"),
                 F.ceil(F.col("top.members") / SHARE).alias("ways")), "join-pairs")
-        pairs = pairs.withColumn("way", F.pmod(F.xxhash64("b"), F.col("ways")))
-        texts = self.texts
-        sides = pairs.groupBy("a").agg(F.max("ways").alias("ways")).join(texts.withColumnRenamed("node", "a"), "a").select(
-            "a", F.col("text").alias("ta"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)).alias("way"))
-        both = (pairs.select("a", "b", "way").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-                .join(sides, ["a", "way"]).select("a", "b", "ta", "tb"))
+        both = self._with_texts(pairs).select("a", "b", "ta", "tb")
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last, own = None, set()
@@ -281,9 +368,7 @@ class NgramJoin:
                 for a, ta, tb in zip(left, mine, other, strict=True):
                     if a != last:
                         last, own = a, shingle_set(words_of(ta), k)
-                    theirs = shingle_set(words_of(tb), k)
-                    common = len(own & theirs)
-                    keep.append(100 * common >= percent * (len(own) + len(theirs) - common))
+                    keep.append(similar(own, shingle_set(words_of(tb), k), percent))
                 yield record.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return stored(both.mapInArrow(verify, "a long, b long"), "join-links")

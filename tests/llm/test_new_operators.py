@@ -35,6 +35,43 @@ def test_join_equals_brute_force_on_copies_and_shared_passages(spark, k, percent
     assert sorted(map(tuple, got)) == sorted(brute_groups(rows, k, percent))
 
 
+@pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80), (1, 51), (2, 99)])
+def test_join_by_differences_from_pivots_loses_no_link(spark, monkeypatch, k, percent):
+    monkeypatch.setattr(ngram_join, "FEW", 0)  # every open bucket is divided
+    rng = random.Random(percent)
+    words, rows = [f"w{i}" for i in range(400)], []
+    for size in (12, 40, 60, 150):
+        base = rng.choices(words, k=size)
+        for _ in range(4):  # copies of copies
+            copy = edited(rng, base, rng.uniform(0, 0.1)).split()
+            rows += [edited(rng, copy[:rng.randrange(size - size // 12, size + 1)], rng.uniform(0, (100 - percent) / 100 / k)) for _ in range(15)]
+    rows = list(enumerate(rows))
+    got = ngram_join.similar_groups(make(spark, rows), "doc_id", "text", k, percent).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_groups(rows, k, percent))
+
+
+@pytest.mark.parametrize("copies", [150, 600])
+def test_join_compares_near_copies_in_proportion(spark, monkeypatch, copies):
+    """Copies with one edit each, of which only those with close edits are similar."""
+    rng = random.Random(5)
+    base, rows, pairs = [f"w{i}" for i in range(100)], [], []
+    for i in range(copies):
+        at = rng.randrange(5) * 20 + rng.randrange(4)
+        rows.append((i, " ".join([*base[:at], f"x{i}", *base[at + 1:]])))
+    stored = ngram_join.stored
+
+    def counted(df, label):
+        out = stored(df, label)
+        if label in ("join-pairs", "join-met"):
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    got = ngram_join.similar_groups(make(spark, rows), "doc_id", "text", 3, 90).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_groups(rows, 3, 90))
+    assert sum(pairs) <= 20 * copies
+
+
 def test_join_edge_cases(spark):
     got = ngram_join.similar_groups(make(spark, EDGE), "doc_id", "text", 3, 90)
     assert got.columns == ["doc_id", "n_shingles", "component_id"]
