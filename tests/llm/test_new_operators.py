@@ -72,6 +72,17 @@ def test_join_compares_near_copies_in_proportion(spark, monkeypatch, copies):
     assert sum(pairs) <= 20 * copies
 
 
+@pytest.mark.parametrize("few", [2, 10**9])
+def test_join_in_rounds_loses_no_link(spark, monkeypatch, few):
+    for name, value in (("FEW", few), ("PAIRS", 1), ("PAIRS_A_MEMBER", 1)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = list(enumerate(edited(rng, base, rng.choice([0.02, 0.05])) for _ in range(120)))
+    got = ngram_join.similar_groups(make(spark, rows), "doc_id", "text", 3, 80).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_groups(rows, 3, 80))
+
+
 def test_join_edge_cases(spark):
     got = ngram_join.similar_groups(make(spark, EDGE), "doc_id", "text", 3, 90)
     assert got.columns == ["doc_id", "n_shingles", "component_id"]
