@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,14 +28,17 @@ from sparkinfer.llm.components import components
 from sparkinfer.llm.shingles import GOLDEN, fingerprint, mix, shingle_hashes, shingle_set, words_of
 from sparkinfer.operators.joins import attach
 
-#: Cells of the sketch of shingle counts: at most 2^20 (4 MB), about 64 shingles a cell below that.
-LEAST_BITS, MOST_BITS, SHINGLES_A_CELL = 12, 20, 64
+#: Cells of the sketch of shingle counts: at most 2^22 (8 MB), about 64 shingles a cell below that.
+LEAST_BITS, MOST_BITS, SHINGLES_A_CELL = 12, 22, 64
 #: A part of the sketch that one task adds up.
 PART_BITS = 14
-#: A shingle is frequent when its cell holds more than FLOOR and TIMES the mean of all cells.
-FLOOR, TIMES = 4, 2
+#: A shingle is frequent when its cell holds FLOOR and WIDTH square roots of the median cell more than that, so what other shingles bring into
+#: a cell, which grows with the table, does not hide it.
+FLOOR, WIDTH = 4, 4
 #: Frequent shingles of a prefix that a group should hold at most, about.
 GROUP = 8
+#: Texts that a Python worker holds at once.
+LOT = 256
 #: Members of a bucket that meet its pivots in one task.
 SHARE = 256
 #: Members outside the largest component that an open bucket compares with all others; with more it is divided first.
@@ -47,7 +50,7 @@ PAIRS, PAIRS_A_MEMBER = 20_000_000, 64
 
 
 class Counts:
-    """How many sets hold a shingle, never too few: exact counts of cells of the hashes."""
+    """About how many sets hold a shingle: exact counts of cells of the hashes (up to 65,535), and ``base``, what a cell holds of others."""
 
     def __init__(self, leads: DataFrame, k: int, shingles: int):
         self.bits = int(min(MOST_BITS, max(LEAST_BITS, int(shingles // SHINGLES_A_CELL).bit_length())))
@@ -56,8 +59,9 @@ class Counts:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cells = np.zeros(1 << bits, np.uint32)
             for record in batches:
-                for text in record.column(0).to_pylist():
-                    np.add.at(cells, (shingle_hashes(words_of(text), k) >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
+                for lot in range(0, record.num_rows, LOT):
+                    for text in record.column(0).slice(lot, LOT).to_pylist():
+                        np.add.at(cells, (shingle_hashes(words_of(text), k) >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
             for at in range(0, len(cells), part):
                 if cells[at:at + part].any():
                     yield pa.RecordBatch.from_pydict({"part": [at // part], "cells": [zlib.compress(cells[at:at + part].tobytes(), 1)]})
@@ -68,19 +72,23 @@ class Counts:
                 for number, cells in zip(record.column(0).to_pylist(), record.column(1).to_pylist(), strict=True):
                     if key != number:
                         if key is not None:
-                            yield pa.RecordBatch.from_pydict({"part": [key], "cells": [total.tobytes()]})
+                            yield pa.RecordBatch.from_pydict({"part": [key], "cells": [at_most(total).tobytes()]})
                         key, total = number, np.zeros(part, np.uint64)
                     total += np.frombuffer(zlib.decompress(cells), np.uint32)
             if key is not None:
-                yield pa.RecordBatch.from_pydict({"part": [key], "cells": [total.tobytes()]})
+                yield pa.RecordBatch.from_pydict({"part": [key], "cells": [at_most(total).tobytes()]})
 
-        cells = np.zeros(1 << bits, np.uint64)
+        def at_most(total: np.ndarray) -> np.ndarray:
+            return np.minimum(total, np.iinfo(np.uint16).max).astype(np.uint16)
+
+        cells = np.zeros(1 << bits, np.uint16)
         parts = (leads.mapInArrow(count, "part long, cells binary").repartition("part").sortWithinPartitions("part")
                  .mapInArrow(add, "part long, cells binary"))
         for r in parts.toLocalIterator():
-            cells[r["part"] * part:(r["part"] + 1) * part] = np.frombuffer(r["cells"], np.uint64)
-        self.limit = int(max(FLOOR, TIMES * cells.mean()))
-        self.cells = leads.sparkSession.sparkContext.broadcast(np.minimum(cells, np.iinfo(np.uint32).max).astype(np.uint32))
+            cells[r["part"] * part:(r["part"] + 1) * part] = np.frombuffer(r["cells"], np.uint16)
+        self.base = int(np.median(cells))
+        self.limit = self.base + int(max(FLOOR, WIDTH * self.base ** 0.5))
+        self.cells = leads.sparkSession.sparkContext.broadcast(cells)
 
 
 def groups_of(label: int, percent: int) -> int:
@@ -194,14 +202,14 @@ class NgramJoin:
         leads = self.rows.where("text is not null")
         k, percent = self.k, self.percent
         total = leads.agg(F.sum("n")).first()[0]
-        counts = Counts(leads.select("text"), k, total or 0)
+        counts = self.counts = Counts(leads.select("text"), k, total or 0)
         cells, bits, limit = counts.cells, counts.bits, counts.limit
 
         def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = cells.value
             for record in batches:
-                for lot in range(0, record.num_rows, 256):
-                    part = record.slice(lot, 256)
+                for lot in range(0, record.num_rows, LOT):
+                    part = record.slice(lot, LOT)
                     keys, slack = [], []
                     for text in part.column(2).to_pylist():
                         hashes = shingle_hashes(words_of(text), k)
@@ -299,53 +307,60 @@ class NgramJoin:
         Let D(x) be the shingles that only one of x and the pivot holds. Two sets differ in the shingles in which
         D(x) and D(y) differ, and similar ones in at most d(x, y) = |x| + |y| - 2 needed. So D(x) and D(y) share
         o >= (|D(x)| + |D(y)| - d) / 2 shingles, and if o > 0 one of these is among the first |D(x)| - o + 1 of D(x) and
-        |D(y)| - o + 1 of D(y) in any common order, here rarest first. If |D(x)| + |D(y)| <= d, both are similar to the pivot and
+        |D(y)| - o + 1 of D(y) in any common order. If |D(x)| + |D(y)| <= d, both are similar to the pivot and
         linked here: d(x, y) changes by 1 when a size does, and the sizes of y and the pivot differ by |D(y)| at most.
-        The first |x| (100 - percent) / percent + 1 shingles are enough for any partner.
+        The first |x| (100 - percent) / percent + 1 shingles are enough for any partner, so only these leave the
+        worker: the order is the one of the sketch, which a worker has, not one counted over all D.
         """
-        k, percent = self.k, self.percent
+        k, percent, base = self.k, self.percent, self.counts.base
+        cells, bits = self.counts.cells, self.counts.bits
         met = stored(members.select("pivot", "node", "n").distinct(), "join-met")
         met = attach(met, met.groupBy("pivot").agg(F.count("*").alias("members")), ["pivot"], "members", how="inner")
-        both = self._with_texts(met.select(F.col("pivot").alias("a"), F.col("node").alias("b"), "n",
+        both = self._with_texts(met.select(F.col("pivot").alias("a"), F.col("node").alias("b"), "n", "members",
                                            F.ceil(F.col("members") / SHARE).alias("ways")))
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, own, whole = None, np.zeros(0, np.uint64), set()
+            held, own, whole = cells.value, np.zeros(0, np.uint64), set()
             for record in batches:
-                for lot in range(0, record.num_rows, 256):
-                    part = record.slice(lot, 256).select(["a", "b", "n", "ta", "tb"])
-                    linked, apart = [], []
-                    left, mine, other = (part.column(i).to_pylist() for i in (0, 3, 4))
-                    for a, ta, tb in zip(left, mine, other, strict=True):
-                        if a != last:
-                            last, words = a, words_of(ta)
-                            own, whole = shingle_hashes(words, k), shingle_set(words, k)
-                        words = words_of(tb)
-                        linked.append(similar(whole, shingle_set(words, k), percent))
-                        apart.append(np.setxor1d(own, shingle_hashes(words, k), assume_unique=True).view(np.int64))
-                    yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), pa.array(linked, pa.bool_()),
-                                                      pa.array(apart, pa.list_(pa.int64()))], names=["a", "b", "n", "linked", "apart"])
-
-        found = stored(both.mapInArrow(compare, "a long, b long, n long, linked boolean, apart array<long>"), "join-apart")
-        each = found.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "n", F.size("apart").cast("long").alias("far"),
-                            F.explode("apart").alias("shingle"))
-        often = stored(each.groupBy("pivot", "shingle").agg(F.count("*").alias("sets")).where("sets > 1"), "join-often")
-        order = Window.partitionBy("pivot", "node").orderBy(F.coalesce("sets", F.lit(1)), "shingle")
-        index = (attach(each, often, ["pivot", "shingle"], "sets").withColumn("slack", F.row_number().over(order).cast("long") - 1)
-                 .where("sets is not null").where(F.col("slack") * percent <= F.col("n") * (100 - percent)))
-        return (found.where("linked").select("a", "b"),
-                stored(index.withColumn("key", F.xxhash64("pivot", "shingle")).select(*MEMBER), "join-keys"))
+                for lot in range(0, record.num_rows, LOT):
+                    part = record.slice(lot, LOT).select(["a", "b", "n", "members", "text"])
+                    linked, far, apart = [], [], []
+                    for b, n, members, text in zip(*(part.column(i).to_pylist() for i in range(1, 5)), strict=True):
+                        words = words_of(text)
+                        hashes, shingles = shingle_hashes(words, k), shingle_set(words, k)
+                        if b is None:
+                            own, whole = hashes, shingles
+                            continue
+                        differ = np.setxor1d(own, hashes, assume_unique=True)
+                        # how many of the pivot's members have it in D: those that hold it, or lack what the pivot holds
+                        holders = held[(differ >> np.uint64(64 - bits)).astype(np.int64)].astype(np.int64) - base
+                        rank = np.maximum(np.where(np.isin(differ, own, assume_unique=True), members - holders, holders), 1)
+                        first = np.lexsort((differ, rank))[:n * (100 - percent) // percent + 1]
+                        linked.append(similar(whole, shingles, percent))
+                        far.append(len(differ))
+                        apart.append(differ[first].view(np.int64))
+                    part = part.filter(part.column(1).is_valid())
+                    yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), pa.array(linked, pa.bool_()), pa.array(far, pa.int64()),
+                                                      pa.array(apart, pa.list_(pa.int64()))], names=["a", "b", "n", "linked", "far", "apart"])
+
+        found = stored(both.mapInArrow(compare, "a long, b long, n long, linked boolean, far long, apart array<long>"), "join-apart")
+        index = found.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "n", "far",
+                             F.posexplode("apart").alias("slack", "shingle")).select(
+            F.xxhash64("pivot", "shingle").alias("key"), "node", "n", "far", F.col("slack").cast("long").alias("slack"))
+        often = stored(index.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1"), "join-often")
+        return found.where("linked").select("a", "b"), stored(attach(index, often, ["key"], "sets", how="inner").select(*MEMBER), "join-keys")
 
     def _with_texts(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` (a, b, ways) with both texts, ta and tb, the rows of one ``a`` of a task in a run.
+        """The rows of ``pairs`` (a, b, ways and others) with the text of ``b``, after a row with no ``b`` and the text of ``a``.
 
-        The text of ``a`` is laid out once for each way, so no task gets all its pairs.
+        So a text is sent once for all its partners in a task; it is laid out once for each way, so no task gets all pairs of an ``a``.
         """
-        pairs = pairs.withColumn("way", F.pmod(F.xxhash64("b"), F.col("ways")))
+        pairs = pairs.withColumn("way", F.pmod(F.xxhash64("b"), F.col("ways"))).drop("ways")
         texts = self.texts
-        sides = pairs.groupBy("a").agg(F.max("ways").alias("ways")).join(texts.withColumnRenamed("node", "a"), "a").select(
-            "a", F.col("text").alias("ta"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)).alias("way"))
-        return pairs.drop("ways").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(sides, ["a", "way"])
+        sides = pairs.select("a", "way").distinct().join(texts.withColumnRenamed("node", "a"), "a")
+        partners = pairs.join(texts.withColumnRenamed("node", "b"), "b")
+        return partners.unionByName(sides, allowMissingColumns=True).repartition("a", "way").sortWithinPartitions(
+            "a", "way", F.col("b").asc_nulls_first())
 
     def _verified(self, met: DataFrame) -> DataFrame:
         """Distinct pairs of ``met`` (pivot, node, with sizes and places) whose whole sets are similar, compared as words."""
@@ -358,18 +373,19 @@ class NgramJoin:
             F.max(F.struct("members", "pivot")).alias("top")).select(
                 F.col("top.pivot").alias("a"), F.when(F.col("top.pivot") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("b"),
                 F.ceil(F.col("top.members") / SHARE).alias("ways")), "join-pairs")
-        both = self._with_texts(pairs).select("a", "b", "ta", "tb")
+        both = self._with_texts(pairs).select("a", "b", "text")
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, own = None, set()
+            own = set()
             for record in batches:
-                keep = []
-                left, mine, other = (record.column(i).to_pylist() for i in (0, 2, 3))
-                for a, ta, tb in zip(left, mine, other, strict=True):
-                    if a != last:
-                        last, own = a, shingle_set(words_of(ta), k)
-                    keep.append(similar(own, shingle_set(words_of(tb), k), percent))
-                yield record.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                for lot in range(0, record.num_rows, LOT):
+                    part, keep = record.slice(lot, LOT), []
+                    for b, text in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                        shingles = shingle_set(words_of(text), k)
+                        if b is None:
+                            own = shingles
+                        keep.append(b is not None and similar(own, shingles, percent))
+                    yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return stored(both.mapInArrow(verify, "a long, b long"), "join-links")
 

@@ -83,6 +83,45 @@ def test_join_in_rounds_loses_no_link(spark, monkeypatch, few):
     assert sorted(map(tuple, got)) == sorted(brute_groups(rows, 3, 80))
 
 
+def test_join_sends_a_text_once_for_its_partners(spark):
+    join = object.__new__(ngram_join.NgramJoin)
+    join.texts = spark.createDataFrame([(0, "a" * 50_000), *((i, "b") for i in range(1, 101))], "node long, text string")
+    pairs = spark.createDataFrame([(0, i, 1) for i in range(1, 101)], "a long, b long, ways long")
+    sent = join._with_texts(pairs).collect()
+    assert sum(len(x) for r in sent for x in r if isinstance(x, str)) == 50_100
+    assert sent[0]["b"] is None and sorted(r["b"] for r in sent[1:]) == list(range(1, 101))
+
+
+def test_join_of_unlike_texts_keeps_prefixes_of_differences(spark, monkeypatch):
+    """Texts made of sentences of one pool meet often and are not similar: all they differ in is ten times what can link them."""
+    monkeypatch.setattr(ngram_join, "FEW", 0)
+    rng, apart = random.Random(8), []
+    pool = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(30)) for _ in range(40)]
+    rows = [(i, " ".join(rng.sample(pool, 8))) for i in range(40)]
+    stored = ngram_join.stored
+
+    def counted(df, label):
+        out = stored(df, label)
+        if label == "join-apart":
+            apart.extend(r[0] for r in out.selectExpr("size(apart)").collect())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    got = ngram_join.similar_groups(make(spark, rows), "doc_id", "text", 3, 90).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_groups(rows, 3, 90))
+    assert apart and max(apart) <= 238 * 10 // 90 + 1
+
+
+def test_join_finds_frequent_shingles_among_many_others(spark, monkeypatch):
+    """What other shingles bring into a cell does not hide one that 80 texts hold."""
+    monkeypatch.setattr(ngram_join, "MOST_BITS", 12)
+    rng = np.random.default_rng(3)
+    texts = [(" ".join(f"w{x}" for x in rng.integers(0, 10**9, 202)) + " a b c" * (i < 80),) for i in range(2000)]
+    counts = ngram_join.Counts(spark.createDataFrame(texts, "text string"), 3, 400_000)
+    cell = int(ngram_join.shingle_hashes([b"a", b"b", b"c"], 3)[0] >> np.uint64(64 - counts.bits))
+    assert counts.cells.value[cell] > counts.limit
+
+
 def test_join_edge_cases(spark):
     got = ngram_join.similar_groups(make(spark, EDGE), "doc_id", "text", 3, 90)
     assert got.columns == ["doc_id", "n_shingles", "component_id"]
