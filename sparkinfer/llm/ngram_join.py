@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -231,8 +231,8 @@ class NgramJoin:
         Buckets whose members then lie in one component are done. Where at most FEW members lie outside the
         largest component, those are compared with all members of other components. Members of
         larger open buckets meet again under the shingles in which they differ from the bucket's
-        first node (:meth:`_apart`), as long as that halves the pairs left to compare; what is then open is
-        compared as in small buckets. So at the end every pair that shares a key (and can reach the
+        first node (:meth:`_apart`), as long as that halves the pairs left to compare and they are more than those of
+        the small buckets; what is then open is compared as in these. So at the end every pair that shares a key (and can reach the
         threshold by its places and sizes) was compared, lies in one component or met under a later key.
         """
         index = stored(self._indexed().withColumn("far", F.col("n")), "join-keys")
@@ -254,8 +254,8 @@ class NgramJoin:
             links = more if links is None else stored(links.unionByName(more), "join-links")
             open_ = self._open(rows.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"), links)
             large = open_.where(F.col("few") > FEW)
-            pairs = large.agg(F.sum("few")).first()[0]
-            if pairs is None or before is not None and 2 * pairs > before:
+            every, pairs = open_.agg(F.sum("few"), F.sum(F.when(F.col("few") > FEW, F.col("few")))).first()
+            if pairs is None or 2 * pairs <= every or before is not None and 2 * pairs > before:
                 return self._met(open_, links)
             links, before = self._met(open_.where(F.col("few") <= FEW), links), pairs
             near, index = self._apart(attach(large.select("key", "node", "n"), pivots.select("key", "pivot", "members"),
@@ -309,8 +309,11 @@ class NgramJoin:
         o >= (|D(x)| + |D(y)| - d) / 2 shingles, and if o > 0 one of these is among the first |D(x)| - o + 1 of D(x) and
         |D(y)| - o + 1 of D(y) in any common order. If |D(x)| + |D(y)| <= d, both are similar to the pivot and
         linked here: d(x, y) changes by 1 when a size does, and the sizes of y and the pivot differ by |D(y)| at most.
-        The first |x| (100 - percent) / percent + 1 shingles are enough for any partner, so only these leave the
-        worker: the order is the one of the sketch, which a worker has, not one counted over all D.
+        d(x, y) <= reach = |x| (100 - percent) / percent, so the first reach + 1 shingles are enough for any partner.
+
+        The order is rarest first, counted over the D of at most as many shingles as the pivot has (``near``). The D of sets that have little
+        in common with the pivot hold nearly all of it; of these only the prefix leaves the worker, in the order
+        of the sketch. |D(x)| and |D(y)| differ by d(x, y) at most, so a set that a partner beyond the pivot's size can reach is in both indexes.
         """
         k, percent, base = self.k, self.percent, self.counts.base
         cells, bits = self.counts.cells, self.counts.bits
@@ -320,35 +323,44 @@ class NgramJoin:
                                            F.ceil(F.col("members") / SHARE).alias("ways")))
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, own, whole = cells.value, np.zeros(0, np.uint64), set()
+            held, own, whole, none = cells.value, np.zeros(0, np.uint64), set(), np.zeros(0, np.int64)
             for record in batches:
                 for lot in range(0, record.num_rows, LOT):
                     part = record.slice(lot, LOT).select(["a", "b", "n", "members", "text"])
-                    linked, far, apart = [], [], []
+                    linked, far, near, apart = [], [], [], []
                     for b, n, members, text in zip(*(part.column(i).to_pylist() for i in range(1, 5)), strict=True):
                         words = words_of(text)
                         hashes, shingles = shingle_hashes(words, k), shingle_set(words, k)
                         if b is None:
                             own, whole = hashes, shingles
                             continue
-                        differ = np.setxor1d(own, hashes, assume_unique=True)
+                        differ, reach = np.setxor1d(own, hashes, assume_unique=True), n * (100 - percent) // percent
+                        linked.append(similar(whole, shingles, percent))
+                        far.append(len(differ))
+                        near.append(differ.view(np.int64) if len(differ) <= len(own) else none)
+                        if len(differ) + reach <= len(own):
+                            apart.append(none)
+                            continue
                         # how many of the pivot's members have it in D: those that hold it, or lack what the pivot holds
                         holders = held[(differ >> np.uint64(64 - bits)).astype(np.int64)].astype(np.int64) - base
                         rank = np.maximum(np.where(np.isin(differ, own, assume_unique=True), members - holders, holders), 1)
-                        first = np.lexsort((differ, rank))[:n * (100 - percent) // percent + 1]
-                        linked.append(similar(whole, shingles, percent))
-                        far.append(len(differ))
-                        apart.append(differ[first].view(np.int64))
+                        apart.append(differ[np.lexsort((differ, rank))[:reach + 1]].view(np.int64))
                     part = part.filter(part.column(1).is_valid())
                     yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), pa.array(linked, pa.bool_()), pa.array(far, pa.int64()),
-                                                      pa.array(apart, pa.list_(pa.int64()))], names=["a", "b", "n", "linked", "far", "apart"])
-
-        found = stored(both.mapInArrow(compare, "a long, b long, n long, linked boolean, far long, apart array<long>"), "join-apart")
-        index = found.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "n", "far",
-                             F.posexplode("apart").alias("slack", "shingle")).select(
-            F.xxhash64("pivot", "shingle").alias("key"), "node", "n", "far", F.col("slack").cast("long").alias("slack"))
-        often = stored(index.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1"), "join-often")
-        return found.where("linked").select("a", "b"), stored(attach(index, often, ["key"], "sets", how="inner").select(*MEMBER), "join-keys")
+                                                      pa.array(near, pa.list_(pa.int64())), pa.array(apart, pa.list_(pa.int64()))],
+                                                     names=["a", "b", "n", "linked", "far", "near", "apart"])
+
+        found = stored(both.mapInArrow(compare, "a long, b long, n long, linked boolean, far long, near array<long>, apart array<long>"), "join-apart")
+        of = (F.col("a").alias("pivot"), F.col("b").alias("node"), "n", "far")
+        each = found.select(*of, F.explode("near").alias("shingle"))
+        often = stored(each.groupBy("pivot", "shingle").agg(F.count("*").alias("sets")).where("sets > 1"), "join-often")
+        order = Window.partitionBy("pivot", "node").orderBy(F.coalesce("sets", F.lit(1)), "shingle")
+        ranked = (attach(each, often, ["pivot", "shingle"], "sets").withColumn("slack", F.row_number().over(order).cast("long") - 1)
+                  .where("sets is not null").where(F.col("slack") * percent <= F.col("n") * (100 - percent)))
+        cut = found.select(*of, F.posexplode("apart").alias("slack", "shingle")).withColumn("slack", F.col("slack").cast("long"))
+        index = ranked.drop("sets").withColumn("near", F.lit(True)).unionByName(cut.withColumn("near", F.lit(False)), allowMissingColumns=True)
+        return (found.where("linked").select("a", "b"),
+                stored(index.withColumn("key", F.xxhash64("near", "pivot", "shingle")).select(*MEMBER), "join-keys"))
 
     def _with_texts(self, pairs: DataFrame) -> DataFrame:
         """The rows of ``pairs`` (a, b, ways and others) with the text of ``b``, after a row with no ``b`` and the text of ``a``.
